@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, exact_dedup, mixing, sentencepiece, sharding
+from strata.llm import chat, exact_dedup, mixing, quality, sentencepiece, sharding
 from strata.llm.common import table
 
 #: Where the public tokenizers' files are.
@@ -46,8 +46,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), F.array_join(F.transform("shards", lambda s: s.cast("string")), ",").alias("shards"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.quality(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("distance", 6).alias("distance"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sentencepiece, op4_exact_dedup, op5_chat, op6_hilbert_sharding, op8_mixing)}
+    return {f.__name__: f for f in (op2_sentencepiece, op4_exact_dedup, op5_chat, op6_hilbert_sharding, op8_mixing, op9_quality)}
 
 
 OP4 = """
