@@ -15,16 +15,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the cluster shares.
+def name_checkpoint_dir(spark: SparkSession) -> str:
+    """The folder for checkpoints that the cluster shares: ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` names that folder. Only a session without it (tests on one
-    machine) gets a temporary one.
+    Only a session without that setting (tests on one machine) gets a temporary one.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    name_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 

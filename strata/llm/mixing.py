@@ -66,7 +66,7 @@ def mix(docs: DataFrame, shards: int = 64, seed: int = 7, most: int = 3, weights
     A source takes its documents in permuted order up to its target: the copy of a document is taken if more than
     half of it lies before the target, so a source's words differ from its target by half a document at most.
     Null texts have size 0, null is a source of its own, a source without words has target 0. Repeated rows count
-    each. An empty table gives no rows. ``keep`` names columns of ``docs`` to carry along.
+    each. An empty table gives no rows. ``keep`` names columns of ``docs`` to carry along, as keep_NAME.
     """
     carried = [F.col(c).alias(f"keep_{c}") for c in keep or []]
     text = text_of(text_col)
@@ -101,14 +101,16 @@ def mix(docs: DataFrame, shards: int = 64, seed: int = 7, most: int = 3, weights
     middle = F.col("block_start") + F.col("in_block") + F.col("size") / 2
     copies = sum((F.when(k * F.col("source_size") + middle <= F.col("target"), 1).otherwise(0) for k in range(most)), F.lit(0))
     rows = rows.withColumn("copies", copies)
-    return rows.select(F.col("id").alias(id_col), "size", "source_size", "target", "copies", F.slice("places", F.lit(1), F.col("copies")).alias("shards"), *[F.col(f"keep_{c}").alias(c) for c in keep or [] if c != id_col])
+    return rows.select(F.col("id").alias(id_col), "size", "source_size", "target", "copies", F.slice("places", F.lit(1), F.col("copies")).alias("shards"), *[f"keep_{c}" for c in keep or []])
 
 
 def mixed_rows(docs: DataFrame, seed: int = 7, **options) -> DataFrame:
-    """The mix itself: the columns of ``docs``, a row for each copy taken, with its shard and place in it.
+    """The mix itself: the columns of ``docs``, a row for each copy taken, with mix_shard and mix_place in it.
 
-    Write it with ``repartition("shard").sortWithinPartitions("shard", "place")`` to shuffle each shard locally.
+    Write it with ``repartition("mix_shard").sortWithinPartitions("mix_shard", "mix_place")`` to shuffle each shard
+    locally.
     """
     planned = mix(docs, seed=seed, keep=docs.columns, **options)
-    taken = planned.select(*docs.columns, F.posexplode("shards").alias("copy", "shard"))
-    return taken.withColumn("place", F.xxhash64(F.lit(seed), "shard", "copy", docs.columns[0]))
+    id_col = options.get("id_col", "doc_id")
+    taken = planned.select(*[F.col(f"keep_{c}").alias(c) for c in docs.columns], F.posexplode("shards").alias("__copy", "mix_shard"))
+    return taken.withColumn("mix_place", F.xxhash64(F.lit(seed), "mix_shard", "__copy", id_col)).drop("__copy")

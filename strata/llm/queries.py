@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, exact_dedup, mixing, quality, sentencepiece, sharding
+from strata.llm import chat, exact_dedup, jaccard, licences, line_dedup, mixing, pii, quality, sentencepiece, sharding
 from strata.llm.common import table
 
 #: Where the public tokenizers' files are.
@@ -16,10 +16,24 @@ TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
 
 
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no paths of their own; they lie under source/lang."""
+    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licences.scan(table(spark, sf_dir, "documents"), path)
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encode(table(spark, sf_dir, "documents"), PIECES, seed=2024, dropout=0.1)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    names = F.array(*[F.lit(k) for k in [*pii.KINDS, *pii.ADDED.values()]])
+    said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
+    n = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    return found.select("doc_id", *[n(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)], F.sha2(said(F.filter("spans", lambda s: s["kind"] < len(pii.KINDS))), 256).alias("base_sha256"), said("spans").alias("spans"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("text_digest", "text_sha256")
 
@@ -41,6 +55,11 @@ def op6_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = line_dedup.marked_lines(table(spark, sf_dir, "documents"))
+    return marked.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.transform("removed", lambda i: i.cast("string")), ",").alias("removed"), "removed_chars")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.mix(table(spark, sf_dir, "documents"))
     return planned.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), F.array_join(F.transform("shards", lambda s: s.cast("string")), ",").alias("shards"))
@@ -51,8 +70,18 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("distance", 6).alias("distance"))
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sentencepiece, op4_exact_dedup, op5_chat, op6_hilbert_sharding, op8_mixing, op9_quality)}
+    return {f.__name__: f for f in (op1_licences, op2_sentencepiece, op3_pii, op4_exact_dedup, op5_chat, op6_hilbert_sharding, op7_line_dedup, op8_mixing, op9_quality, op10_jaccard, pipeline)}
 
 
 OP4 = """
