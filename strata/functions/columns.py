@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -158,10 +161,6 @@ def split_table_name(c: Column) -> tuple[Column, Column]:
 
 def canonical_json(c: Column) -> Column:
     """JSON with its keys sorted at every depth; null for what is no JSON. Batches go through Arrow."""
-    import json
-
-    import pandas as pd
-
     def one(text: str | None) -> str | None:
         try:
             return None if text is None else json.dumps(json.loads(text), sort_keys=True, separators=(",", ":"), ensure_ascii=False)

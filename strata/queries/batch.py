@@ -65,7 +65,7 @@ def explode_outer_two_level(spark, t) -> DataFrame:
     return rows.select("c_custkey", F.col("o.o_orderkey").alias("o_orderkey"), F.explode_outer("o.lines").alias("l_linenumber"))
 
 
-@query(f"WITH {V.CREDITS} SELECT credit_id, movie_id, person_id, credit_type, quantity FROM (SELECT *, row_number() OVER (PARTITION BY credit_id ORDER BY at DESC, movie_id DESC, person_id DESC, credit_type DESC, quantity DESC) AS r FROM credits) WHERE r = 1")
+@query(f"WITH {V.CREDITS} SELECT credit_id, movie_id, person_id, credit_type, quantity FROM (SELECT *, row_number() OVER (PARTITION BY credit_id ORDER BY made_at DESC, movie_id DESC, person_id DESC, credit_type DESC, quantity DESC) AS r FROM credits) WHERE r = 1")
 def credit_fact_dedup(spark, t) -> DataFrame:
     rows = V.credits(t).select("credit_id", "movie_id", "person_id", "credit_type", "quantity", "at")
     return dedup.latest(rows, ["credit_id"], *[F.col(c) for c in ("at", "movie_id", "person_id", "credit_type", "quantity")]).drop("at")
@@ -243,7 +243,7 @@ def content_hash(spark, t) -> DataFrame:
     return t.part.select("p_partkey", C.content_hash("p_name", "p_brand", "p_size").alias("hash"))
 
 
-@query("SELECT event_id, sha256(event_type || ':' || user_id || ':' || epoch_ms(ts)) AS batch_id, left(sha256(event_type || chr(1) || user_id || chr(1) || 'null'), 32) AS stable_id FROM events")
+@query("SELECT event_id, sha256(event_type || ':' || user_id || ':' || (epoch_us(ts) // 1000)) AS batch_id, left(sha256(event_type || chr(1) || user_id || chr(1) || 'null'), 32) AS stable_id FROM events")
 def event_id(spark, t) -> DataFrame:
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     return t.events.select("event_id", C.event_id(F.col("event_type"), F.col("user_id"), ms).alias("batch_id"), C.deterministic_id(F.col("event_type"), F.col("user_id"), F.lit(None)).alias("stable_id"))

@@ -69,7 +69,7 @@ def envelopes(t) -> DataFrame:
     return t.events.select("event_id", F.when(k >= 7, broken).when(k >= 4, camel).otherwise(snake).alias("value"))
 
 
-@query("SELECT event_id, event_id % 10 < 7 AS valid, CASE WHEN event_id % 10 < 7 THEN user_id END AS entity_id, CASE WHEN event_id % 10 < 7 THEN epoch_ms(ts) END AS event_ms FROM events")
+@query("SELECT event_id, event_id % 10 < 7 AS valid, CASE WHEN event_id % 10 < 7 THEN user_id END AS entity_id, CASE WHEN event_id % 10 < 7 THEN (epoch_us(ts) // 1000) END AS event_ms FROM events")
 def dlq_split(spark, t) -> DataFrame:
     rows = codec.decode(envelopes(t).withColumnRenamed("event_id", "n"))
     return rows.select(F.col("n").alias("event_id"), "valid", "entity_id", "event_ms")
@@ -87,10 +87,13 @@ def stream_of(spark, t) -> DataFrame:
     return rows.select("event_id", F.col("ts").cast("timestamp").alias("event_time"), "user_id", "event_type", V.cents("value").alias("popularity"))
 
 
-def available_now(spark, stream: DataFrame) -> DataFrame:
-    """What the stream gives for the data that is there."""
+def available_now(spark, stream: DataFrame, empty_batches: bool = True) -> DataFrame:
+    """What the stream gives for the data that is there.
+
+    State that expires by the clock asks for another empty batch after each one, so such a stream would never end.
+    """
     base = scratch(spark)
-    conf = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.shuffle.partitions": "4"}
+    conf = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.shuffle.partitions": "4", "spark.sql.streaming.noDataMicroBatches.enabled": str(empty_batches).lower()}
     before = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
@@ -115,7 +118,7 @@ def stream_trend_available_now(spark, t) -> DataFrame:
 @query("SELECT event_id, user_id, event_type FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) WHERE before IS NULL OR before <> event_type")
 def stream_dedup_available_now(spark, t) -> DataFrame:
     rows = stateful.deduplicated(stream_of(spark, t), ["user_id"], "event_type", "event_time")
-    return available_now(spark, rows).select("event_id", "user_id", "event_type")
+    return available_now(spark, rows, empty_batches=False).select("event_id", "user_id", "event_type")
 
 
 @query(HOURS.replace("FROM observed GROUP BY 1, 2)", "FROM observed GROUP BY 1, 2 HAVING time_bucket(INTERVAL '1 hour', min(event_time)) + INTERVAL '1 hour' <= (SELECT max(event_time) - INTERVAL '1 minute' FROM observed))") + SURGE)

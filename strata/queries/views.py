@@ -51,7 +51,7 @@ def credits(t: Tables) -> DataFrame:
 CREDITS = """credits AS (
   SELECT l_orderkey || '-' || l_linenumber AS credit_id, l_partkey AS movie_id, l_suppkey AS person_id,
          CASE WHEN l_returnflag = 'R' THEN 'crew' ELSE 'cast' END AS credit_type,
-         CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 1 ELSE 0 END AS is_director, l_shipdate AS at, l_quantity::INT AS quantity
+         CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 1 ELSE 0 END AS is_director, l_shipdate AS made_at, l_quantity::INT AS quantity
   FROM lineitem
 )"""
 

@@ -81,5 +81,5 @@ class SurgeDetector(StatefulProcessor):
 
 
 def surge_stream(windows: DataFrame, keys: list[str], samples: int = SAMPLES, least: float = LEAST, ratio: float = RATIO) -> DataFrame:
-    schema = StructType(windows.schema.fields).add("baseline", "double").add("ratio", "double")
+    schema = StructType(list(windows.schema.fields)).add("baseline", "double").add("ratio", "double")
     return windows.groupBy(*keys).transformWithStateInPandas(SurgeDetector(samples, least, ratio), outputStructType=schema, outputMode="Append", timeMode="None")

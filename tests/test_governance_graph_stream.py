@@ -12,7 +12,8 @@ from strata.streaming import codec, sinks, stateful, trend
 def test_quality_rules_fail_alone(spark):
     t = {"t": spark.createDataFrame([(1, None), (1, 5)], "a int, b int")}
     rules = [quality.Rule("rows", "t", "ROW_COUNT", least=3, severity="BLOCKER"), quality.Rule("bad", "t", "RANGE", ("zzz",)), quality.Rule("nulls", "t", "NOT_NULL", ("b",), most=0.5), quality.Rule("gone", "u", "ROW_COUNT")]
-    found = {r["rule"]: (r["value"], r["passed"]) for r in (out := quality.measure(spark, t, rules, "2024-01-01")).collect()}
+    out = quality.measure(spark, t, rules, "2024-01-01")
+    found = {r["rule"]: (r["value"], r["passed"]) for r in out.collect()}
     assert found == {"rows": (2.0, False), "bad": (None, False), "nulls": (0.5, True), "gone": (None, False)} and quality.blocked(out)
     with pytest.raises(ValueError):
         quality.Rule("x", "t", "NONSENSE")
