@@ -78,8 +78,8 @@ def scan(docs: DataFrame, path: str | Column, id_col: str = "doc_id", text_col:
     """One row per row of ``docs``: the id, path, own_licence, cosine, line (-1: the whole text), is_file, licence,
     inherited_from (directory).
 
-    A file is a licence file if its whole text is like a template, or if its name says so and a line is; it speaks for
-    its directory, by its highest cosine, then by name. A header's licence stands before an inherited one. Null
+    A file is a licence file if its whole text is like a template, no less than any of its lines, or if its name says
+    so and a line is; it speaks for its directory, by its highest cosine, then by name. A header's licence stands before an inherited one. Null
     texts are empty, a null path is the root's; repeated rows have equal results; an empty table gives no rows.
     """
     text = text_of(text_col)
@@ -100,7 +100,7 @@ def scan(docs: DataFrame, path: str | Column, id_col: str = "doc_id", text_col:
     of_texts = scored(whole, ["id", "row_key", "line"], idf, rare, templates, file)
     every = of_lines.unionByName(of_texts)
     best = F.min(F.struct((-F.col("cosine")).alias("minus"), "line", "licence"))
-    own = cut(every.groupBy("id", "row_key").agg(best.alias("best"), F.min("line").alias("first")).select(F.col("id").alias("o_id"), F.col("row_key").alias("o_key"), F.col("best.licence").alias("own_licence"), (-F.col("best.minus")).alias("cosine"), F.col("best.line").alias("line"), (F.col("first") < 0).alias("like_file")))
+    own = cut(every.groupBy("id", "row_key").agg(best.alias("best")).select(F.col("id").alias("o_id"), F.col("row_key").alias("o_key"), F.col("best.licence").alias("own_licence"), (-F.col("best.minus")).alias("cosine"), F.col("best.line").alias("line"), (F.col("best.line") < 0).alias("like_file")))
 
     paths = rows.select("id", "row_key", "path")
     named = paths.join(own, paths["id"].eqNullSafe(own["o_id"]) & (paths["row_key"] == own["o_key"]), "left").drop("o_id", "o_key")

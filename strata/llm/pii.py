@@ -34,7 +34,7 @@ KINDS = {
 }
 #: What a text has to hold for a kind to be looked for at all.
 NEEDS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"(?:[0-9][\x20-]?){15}[0-9]", "phone": r"\+[0-9]"}
-PART = r"0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
+PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 TERM = r"(?<![^\s\"'(\[])\p{L}{3,}+(?![^\s.,;:!?\"')\]])"
 SPAN = "array<struct<kind:int,start:int,end:int,value:string,left:string,right:string>>"
 
@@ -139,11 +139,11 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     """``docs`` with the column ``sanitised``: base spans become <KIND>, removed terms <REMOVED>, generalised terms
     <Name> or <word> by their first letter. Of overlapping spans, the first, at equal starts the longest, counts.
     """
-    spans = personal_data(docs, id_col, text_col, **options).select(F.col(id_col).alias("__id"), "row_key", "spans").dropDuplicates(["__id", "row_key"])
+    spans = personal_data(docs, id_col, text_col, **options).select(F.col(id_col).alias("__id"), F.col("row_key").alias("__row"), F.col("spans").alias("__found")).dropDuplicates(["__id", "__row"])
     rows = docs.withColumn("__key", F.xxhash64(F.col(id_col), text_of(text_col)))
-    rows = rows.join(spans, rows[id_col].eqNullSafe(spans["__id"]) & (rows["__key"] == spans["row_key"]), "left")
+    rows = rows.join(spans, rows[id_col].eqNullSafe(spans["__id"]) & (rows["__key"] == spans["__row"]), "left")
     text = text_of(text_col)
-    ordered = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("minus_end"), s["kind"].alias("kind"))))
+    ordered = F.array_sort(F.transform("__found", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("minus_end"), s["kind"].alias("kind"))))
     rows = rows.withColumn("__spans", ordered)
     label = lambda s: F.element_at(F.create_map(*[F.lit(x) for k, v in enumerate([*KINDS, "", "removed"]) for x in (k, f"<{v.upper()}>")]), s["kind"])
     named = lambda s: F.when(s["kind"] == 4, F.when(F.substring(text, s["start"] + 1, F.lit(1)).rlike(r"\p{Lu}"), "<Name>").otherwise("<word>")).otherwise(label(s))
