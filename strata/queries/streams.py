@@ -102,7 +102,7 @@ def available_now(spark, stream: DataFrame, empty_batches: bool = True) -> DataF
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
-    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+    return spark.read.schema(stream.schema).parquet(f"{base}/out").select(*stream.columns)
 
 
 #: A stream shows windows that the watermark has passed, a minute behind the newest event.
