@@ -25,6 +25,12 @@ SCALE = 256
 #: in a coordinate exactly, which would make any other value infinitely far.
 FLOORS = {"log_words": 0.75, "log_word_length": 0.25, "log_symbols": 0.4, "log_dup_lines": 1.0, "log_repeats": 1.0}
 NAMES = list(FLOORS)
+#: Floors that stand in only for a smaller spread: the largest value of each coordinate is beyond the cut-off alone.
+MINIMA = {"log_words": 0.5, "log_word_length": 0.05, "log_symbols": 0.2, "log_dup_lines": 0.75, "log_repeats": 0.75}
+#: The share of clean rows that the cut-off may reject if they are normal.
+FALSE_REJECTIONS = 1e-4
+#: Concentration ends by itself, as the subsets are finite in number; beyond so many steps something is wrong.
+MOST_STEPS = 100
 
 
 def chi_square_quantile(p: float, dims: int) -> float:
@@ -86,31 +92,51 @@ def cell(d2: Column) -> Column:
     return F.floor(F.log2(1 + F.least(d2, F.lit(1e15))) * SCALE).cast("int")
 
 
-def estimate(subset: DataFrame) -> DataFrame:
-    """Mean m_i and Cholesky factor l_i_j of each group's rows."""
+def floored(variance: Column, name: str, minima: dict[str, float] | None) -> Column:
+    """With ``minima``, a floor counts only where the variance is less; else ``FLOORS`` are added."""
+    return F.greatest(variance, F.lit(minima[name] ** 2)) if minima else variance + FLOORS[name] ** 2
+
+
+def estimate(subset: DataFrame, minima: dict[str, float] | None = None) -> DataFrame:
+    """Mean m_i, Cholesky factor l_i_j and logarithm of the determinant of each group's rows."""
     p = len(NAMES)
     added = [F.sum(F.col(x).cast("decimal(18,0)")).alias(f"s_{i}") for i, x in enumerate(NAMES)]
     added += [F.sum((F.col(NAMES[i]) * F.col(NAMES[j])).cast("decimal(18,0)")).alias(f"s_{i}_{j}") for i in range(p) for j in range(i + 1)]
     est = subset.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("h"), *added)
     est = est.withColumns({f"m_{i}": F.col(f"s_{i}").cast("double") / F.col("h") / SCALE for i in range(p)})
-    est = est.withColumns({f"c_{i}_{j}": F.col(f"s_{i}_{j}").cast("double") / F.col("h") / SCALE**2 - F.col(f"m_{i}") * F.col(f"m_{j}") + (FLOORS[NAMES[i]] ** 2 if i == j else 0.0) for i in range(p) for j in range(i + 1)})
+    est = est.withColumns({f"c_{i}_{j}": F.col(f"s_{i}_{j}").cast("double") / F.col("h") / SCALE**2 - F.col(f"m_{i}") * F.col(f"m_{j}") for i in range(p) for j in range(i + 1)})
+    est = est.withColumns({f"c_{i}_{i}": floored(F.col(f"c_{i}_{i}"), x, minima) for i, x in enumerate(NAMES)})
     for i in range(p):
         for j in range(i + 1):
             rest = F.col(f"c_{i}_{j}")
             for k in range(j):
                 rest = rest - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
             est = est.withColumn(f"l_{i}_{j}", F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j else rest / F.col(f"l_{j}_{j}"))
-    return cut(est.select(*GROUP, *[f"m_{i}" for i in range(p)], *[f"l_{i}_{j}" for i in range(p) for j in range(i + 1)]))
+    return cut(with_log_det(est.select(*GROUP, *[f"m_{i}" for i in range(p)], *[f"l_{i}_{j}" for i in range(p) for j in range(i + 1)])))
+
+
+def with_log_det(est: DataFrame) -> DataFrame:
+    return est.withColumn("log_det", sum((2 * F.log(f"l_{i}_{i}") for i in range(len(NAMES))), F.lit(0.0)))
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, steps: int = 3, least_rows: int = 50, tail: float = 1e-9, salts: int = 32, **columns) -> DataFrame:
+def still_falls(before: DataFrame, after: DataFrame) -> bool:
+    """Whether the determinant of any group fell from one step to the next."""
+    old = before.select(*[F.col(g).alias(f"g_{g}") for g in GROUP], F.col("log_det").alias("g_log_det"))
+    same = F.lit(True)
+    for g in GROUP:
+        same = same & F.col(g).eqNullSafe(F.col(f"g_{g}"))
+    return not after.join(old, same).where(F.col("log_det") < F.col("g_log_det") - 1e-9).isEmpty()
+
+
+def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, steps: int | None = 3, least_rows: int = 50, tail: float = 1e-9, salts: int = 32, minima: dict[str, float] | None = None, **columns) -> DataFrame:
     """One row per document: the id, row_key, counts, base_failed, distance (null for base failures), kept.
 
     ``base_failed``: fewer than 50 words, or more than half of the words in repeated 3-word windows. Others are
     rejected beyond the chi-square quantile of 1 - ``tail``, after distances are scaled so that a group's median is
     that of a chi-square variable. Groups of fewer than ``least_rows`` rows reject nothing. Null languages and
     sources are groups of their own, null texts are empty, repeated rows have equal verdicts, an empty table gives
-    no rows. Floors on the spreads (``FLOORS``) keep ordinary variation near a constant coordinate inside.
+    no rows. Floors on the spreads (``FLOORS``, added, or ``minima``, where the spread is less) keep ordinary variation
+    near a constant coordinate inside. With ``steps`` None, steps go on until no group's determinant falls.
     """
     rows = text_counts(docs, id_col, **columns)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -122,12 +148,16 @@ def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, step
     near = lambda table, how="inner": salted_join(good, table, GROUP, salts, ["id", "row_key"], how)
     spread = near(groups).groupBy(*GROUP).agg(*[F.percentile(F.abs(F.col(x) - F.col(f"med_{x}")), 0.5).alias(f"mad_{x}") for x in NAMES])
     start = groups.join(spread.select(*[F.col(g).alias(f"g_{g}") for g in GROUP], *[f"mad_{x}" for x in NAMES]), (F.col("lang").eqNullSafe(F.col("g_lang"))) & (F.col("source").eqNullSafe(F.col("g_source")))).drop("g_lang", "g_source")
-    diagonal = {f"l_{i}_{j}": F.lit(0.0) if i != j else F.sqrt((1.4826 * F.col(f"mad_{x}") / SCALE) ** 2 + FLOORS[x] ** 2) for i, x in enumerate(NAMES) for j in range(i + 1)}
-    est = cut(start.select(*GROUP, *[(F.col(f"med_{x}") / SCALE).alias(f"m_{i}") for i, x in enumerate(NAMES)], *[c.alias(k) for k, c in diagonal.items()]))
-    for _ in range(steps):
+    diagonal = {f"l_{i}_{j}": F.lit(0.0) if i != j else F.sqrt(floored((1.4826 * F.col(f"mad_{x}") / SCALE) ** 2, x, minima)) for i, x in enumerate(NAMES) for j in range(i + 1)}
+    est = cut(with_log_det(start.select(*GROUP, *[(F.col(f"med_{x}") / SCALE).alias(f"m_{i}") for i, x in enumerate(NAMES)], *[c.alias(k) for k, c in diagonal.items()])))
+    for step in range(MOST_STEPS if steps is None else steps):
+        before = est
         measured = squared_distance(near(est)).withColumn("cell", cell(F.col("d2"))).select("id", "row_key", *GROUP, *NAMES, "cell")
         edge = cut(measured.groupBy(*GROUP).agg(F.percentile("cell", support).alias("edge")))
-        est = estimate(salted_join(measured, edge, GROUP, salts, ["id", "row_key"], "inner").where(F.col("cell") <= F.col("edge")))
+        est = estimate(salted_join(measured, edge, GROUP, salts, ["id", "row_key"], "inner").where(F.col("cell") <= F.col("edge")), minima)
+        # The first step leaves medians for means, whose determinants do not compare.
+        if steps is None and step and not still_falls(before, est):
+            break
     measured = squared_distance(near(est))
     middle = cut(measured.groupBy(*GROUP).agg((F.pow(F.lit(2.0), (F.percentile(cell(F.col("d2")), 0.5) + 0.5) / SCALE) - 1).alias("middle")))
     p = len(NAMES)
@@ -138,6 +168,10 @@ def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, step
     return final.select(F.col("id").alias(id_col), "row_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance")
 
 
+#: What the op9 query and the pipeline judge by; the function's own defaults are those its first tests describe.
+STRICT = {"minima": MINIMA, "steps": None, "tail": FALSE_REJECTIONS}
+
+
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that quality() keeps."""
     verdict = quality(docs, **options).where("kept").select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key")).distinct()

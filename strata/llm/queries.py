@@ -66,7 +66,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.quality(table(spark, sf_dir, "documents"))
+    judged = quality.quality(table(spark, sf_dir, "documents"), **quality.STRICT)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("distance", 6).alias("distance"))
 
 

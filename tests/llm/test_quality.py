@@ -100,3 +100,26 @@ def test_keeping_and_empty(spark):
     stay = Q.keep_good(docs)
     assert stay.columns == docs.columns and Counter(r["doc_id"] for r in stay.collect()) == Counter(row[0] for row, k in zip(rows, kept, strict=True) if k)
     assert Q.quality(docs.limit(0)).count() == 0
+
+
+def test_each_coordinate_alone_rejects(spark):
+    """A clean group and one extreme document a coordinate."""
+    r = random.Random(3)
+    word = lambda n=None: "".join(r.choice("abcdefghijklmnop") for _ in range(n or r.randint(3, 8)))
+    line = lambda n=12: " ".join(word() for _ in range(n))
+    clean = ["\n".join(line() for _ in range(r.randint(10, 25))) for _ in range(200)]
+    twice = [line(2) for _ in range(4)]  # short lines, so few words repeat
+    odd = {
+        "words": "\n".join(line() for _ in range(2000)),
+        "word_length": "\n".join(" ".join(word(30) for _ in range(12)) for _ in range(15)),
+        "symbols": "\n".join(line() + " | | | |" for _ in range(15)),
+        "dup_lines": "\n".join([*(twice * 5), *(line(30) for _ in range(8))]),
+        "repeats": "\n".join([*(line() for _ in range(9)), *(" ".join(["a b c d e f g h"] * 3) + f" {k}" for k in range(4))]),
+    }
+    assert not any(failed(counts(t)) for t in odd.values())
+    rows = [(i, t, "en", "a", "", 0) for i, t in enumerate([*clean, *odd.values()])]
+    kept = {x["doc_id"]: x["kept"] for x in Q.quality(spark.createDataFrame(rows, SCHEMA), **Q.STRICT).collect()}
+    assert not any(kept[200 + k] for k in range(len(odd))), {n: kept[200 + k] for k, n in enumerate(odd)}
+    assert sum(kept[i] for i in range(200)) >= 196
+    largest = {"log_symbols": math.log1p(100), "log_dup_lines": math.log1p(100), "log_repeats": math.log1p(50)}
+    assert all((v / Q.MINIMA[n]) ** 2 > Q.chi_square_quantile(1 - Q.FALSE_REJECTIONS, 5) for n, v in largest.items())
