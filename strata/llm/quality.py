@@ -73,7 +73,34 @@ def vector() -> dict[str, Column]:
     return {k: F.round(F.log1p(v.cast("double")) * SCALE).cast("long") for k, v in values.items()}
 
 
-GROUP = ["lang", "source"]
+GROUP = ["level", "lang", "source"]
+#: Levels of groups: all rows (lang and source are null), a language (source is null), a source of a language.
+ALL, LANG, SOURCE = 0, 1, 2
+
+
+def levels_of(good: DataFrame, least_rows: int, wider: bool) -> DataFrame:
+    """lang, source, level (of the group that judges the rows; null: none), and pools (levels that the rows count in).
+
+    Groups of fewer than ``least_rows`` rows are judged by their language, and by all rows if that has too few, too.
+    Rows of a group count in a wider one only if that judges some group.
+    """
+    groups = cut(good.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("rows")))
+    langs = groups.groupBy(F.col("lang").alias("l_lang")).agg(F.sum("rows").alias("lang_rows"), F.min("rows").alias("fewest"))
+    rows = groups.join(langs, F.col("lang").eqNullSafe(F.col("l_lang")))
+    few = langs.where(F.col("lang_rows") < least_rows).limit(1).count() > 0
+    own, of_lang = F.col("rows") >= least_rows, F.col("lang_rows") >= least_rows
+    level = F.when(own, SOURCE)
+    level = level.when(of_lang, LANG).otherwise(ALL) if wider else level
+    pools = [F.when(own, SOURCE)]
+    if wider:
+        pools += [F.when(of_lang & (F.col("fewest") < least_rows), LANG), F.lit(ALL if few else None).cast("int")]
+    return cut(rows.select("lang", "source", level.alias("level"), F.array_compact(F.array(*pools)).alias("pools")))
+
+
+def in_group(rows: DataFrame, level: str) -> DataFrame:
+    """Rows as members of their group at the level, whose lang and source are null where it is wider than these."""
+    lang, source = F.when(F.col(level) >= LANG, F.col("lang")), F.when(F.col(level) >= SOURCE, F.col("source"))
+    return rows.withColumns({"level": F.col(level), "lang": lang, "source": source})
 
 
 def squared_distance(rows: DataFrame) -> DataFrame:
@@ -119,21 +146,26 @@ def with_log_det(est: DataFrame) -> DataFrame:
     return est.withColumn("log_det", sum((2 * F.log(f"l_{i}_{i}") for i in range(len(NAMES))), F.lit(0.0)))
 
 
-def still_falls(before: DataFrame, after: DataFrame) -> bool:
-    """Whether the determinant of any group fell from one step to the next."""
-    old = before.select(*[F.col(g).alias(f"g_{g}") for g in GROUP], F.col("log_det").alias("g_log_det"))
+def same_group() -> Column:
     same = F.lit(True)
     for g in GROUP:
         same = same & F.col(g).eqNullSafe(F.col(f"g_{g}"))
-    return not after.join(old, same).where(F.col("log_det") < F.col("g_log_det") - 1e-9).isEmpty()
+    return same
+
+
+def still_falls(before: DataFrame, after: DataFrame) -> bool:
+    """Whether the determinant of any group fell from one step to the next."""
+    old = before.select(*[F.col(g).alias(f"g_{g}") for g in GROUP], F.col("log_det").alias("g_log_det"))
+    return not after.join(old, same_group()).where(F.col("log_det") < F.col("g_log_det") - 1e-9).isEmpty()
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, steps: int | None = 3, least_rows: int = 50, tail: float = 1e-9, salts: int = 32, minima: dict[str, float] | None = None, **columns) -> DataFrame:
+def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, steps: int | None = 3, least_rows: int = 50, tail: float = 1e-9, salts: int = 32, minima: dict[str, float] | None = None, wider: bool = False, **columns) -> DataFrame:
     """One row per document: the id, row_key, counts, base_failed, distance (null for base failures), kept.
 
     ``base_failed``: fewer than 50 words, or more than half of the words in repeated 3-word windows. Others are
     rejected beyond the chi-square quantile of 1 - ``tail``, after distances are scaled so that a group's median is
-    that of a chi-square variable. Groups of fewer than ``least_rows`` rows reject nothing. Null languages and
+    that of a chi-square variable. Groups of fewer than ``least_rows`` rows are judged by the estimate of their
+    language, or of all rows if the language has too few, with ``wider``, and else reject nothing. Null languages and
     sources are groups of their own, null texts are empty, repeated rows have equal verdicts, an empty table gives
     no rows. Floors on the spreads (``FLOORS``, added, or ``minima``, where the spread is less) keep ordinary variation
     near a constant coordinate inside. With ``steps`` None, steps go on until no group's determinant falls.
@@ -141,13 +173,17 @@ def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, step
     rows = text_counts(docs, id_col, **columns)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rows = cut(rows.withColumn("base_failed", failed).withColumns(vector()))
-    good = rows.where("not base_failed").select("id", "row_key", *GROUP, *NAMES)
+    good = rows.where("not base_failed").select("id", "row_key", "lang", "source", *NAMES)
+    levels = levels_of(good, least_rows, wider)
+    good = salted_join(good, levels.select("lang", "source", "pools"), ["lang", "source"], salts, ["id", "row_key"], "inner")
+    good = cut(in_group(good.withColumn("pool", F.explode("pools")), "pool").drop("pools", "pool"))
 
-    groups = good.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("rows"), *[F.percentile(x, 0.5).alias(f"med_{x}") for x in NAMES])
-    groups = cut(groups.where(F.col("rows") >= least_rows))
+    groups = good.groupBy(*GROUP).agg(*[F.percentile(x, 0.5).alias(f"med_{x}") for x in NAMES])
+    groups = cut(groups)
     near = lambda table, how="inner": salted_join(good, table, GROUP, salts, ["id", "row_key"], how)
     spread = near(groups).groupBy(*GROUP).agg(*[F.percentile(F.abs(F.col(x) - F.col(f"med_{x}")), 0.5).alias(f"mad_{x}") for x in NAMES])
-    start = groups.join(spread.select(*[F.col(g).alias(f"g_{g}") for g in GROUP], *[f"mad_{x}" for x in NAMES]), (F.col("lang").eqNullSafe(F.col("g_lang"))) & (F.col("source").eqNullSafe(F.col("g_source")))).drop("g_lang", "g_source")
+    spread = spread.select(*[F.col(g).alias(f"g_{g}") for g in GROUP], *[f"mad_{x}" for x in NAMES])
+    start = groups.join(spread, same_group()).drop(*[f"g_{g}" for g in GROUP])
     diagonal = {f"l_{i}_{j}": F.lit(0.0) if i != j else F.sqrt(floored((1.4826 * F.col(f"mad_{x}") / SCALE) ** 2, x, minima)) for i, x in enumerate(NAMES) for j in range(i + 1)}
     est = cut(with_log_det(start.select(*GROUP, *[(F.col(f"med_{x}") / SCALE).alias(f"m_{i}") for i, x in enumerate(NAMES)], *[c.alias(k) for k, c in diagonal.items()])))
     for step in range(MOST_STEPS if steps is None else steps):
@@ -162,14 +198,15 @@ def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, step
     middle = cut(measured.groupBy(*GROUP).agg((F.pow(F.lit(2.0), (F.percentile(cell(F.col("d2")), 0.5) + 0.5) / SCALE) - 1).alias("middle")))
     p = len(NAMES)
     scaled = F.col("d2") * chi_square_quantile(0.5, p) / F.greatest(F.col("middle"), F.lit(chi_square_quantile(0.5, p)))
-    final = salted_join(salted_join(rows, est, GROUP, salts, ["id", "row_key"]), middle, GROUP, salts, ["id", "row_key"])
+    judged = in_group(salted_join(rows, levels.select("lang", "source", F.col("level").alias("by")), ["lang", "source"], salts, ["id", "row_key"]), "by")
+    final = salted_join(salted_join(judged, est, GROUP, salts, ["id", "row_key"]), middle, GROUP, salts, ["id", "row_key"])
     final = squared_distance(final).withColumn("distance", F.when(~F.col("base_failed"), scaled))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= chi_square_quantile(1 - tail, p), F.lit(True))
     return final.select(F.col("id").alias(id_col), "row_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance")
 
 
 #: What the op9 query and the pipeline judge by; the function's own defaults are those its first tests describe.
-STRICT = {"minima": MINIMA, "steps": None, "tail": FALSE_REJECTIONS}
+STRICT = {"minima": MINIMA, "steps": None, "tail": FALSE_REJECTIONS, "wider": True}
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:

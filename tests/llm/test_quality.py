@@ -123,3 +123,16 @@ def test_each_coordinate_alone_rejects(spark):
     assert sum(kept[i] for i in range(200)) >= 196
     largest = {"log_symbols": math.log1p(100), "log_dup_lines": math.log1p(100), "log_repeats": math.log1p(50)}
     assert all((v / Q.MINIMA[n]) ** 2 > Q.chi_square_quantile(1 - Q.FALSE_REJECTIONS, 5) for n, v in largest.items())
+
+
+def test_small_groups_are_judged_by_wider_ones(spark):
+    r = random.Random(4)
+    text = lambda extra="": "\n".join(" ".join("".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(3, 8))) for _ in range(12)) + extra for _ in range(r.randint(8, 20)))
+    junk = " | | | | |"
+    rows = [(i, text(), "en", f"site{i % 20}", "", 0) for i in range(80)]  # 4 rows a source
+    rows += [(100, text(junk), "en", "site3", "", 0), (101, text(), "xx", "rare", "", 0), (102, text(junk), "xx", "rare", "", 0), (103, text(junk), None, None, "", 0), (104, None, "en", "none", "", 0)]
+    rows += [(200 + i, text(), "de", "big", "", 0) for i in range(60)] + [(300, text(junk), "de", "big", "", 0)]
+    found = {x["doc_id"]: x for x in Q.quality(spark.createDataFrame(rows, SCHEMA), **Q.STRICT).collect()}
+    assert len(found) == len(rows) and not any(found[i]["kept"] for i in (100, 102, 103, 104, 300))
+    assert found[101]["kept"] and sum(found[i]["kept"] for i in range(80)) >= 78
+    assert all(x["base_failed"] or x["distance"] is not None for x in found.values())
