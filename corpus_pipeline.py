@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from strata.llm import exact_dedup, jaccard, mixing, quality, sentencepiece
 from strata.llm.common import name_checkpoint_dir
@@ -38,8 +39,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids, n_tokens, lossless of every document of the mix."""
-    return sentencepiece.encode(docs, PIECES, seed=2024, dropout=0.1)
+    """doc_id, ids, n_tokens, lossless of every document of the mix; copies of a document are numbered and differ."""
+    copies = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
+    return sentencepiece.encode(docs.withColumn("copy", F.row_number().over(copies)), PIECES, seed=2024, dropout=0.1, copy_col="copy")
 
 
 STAGES = [("quality rules", quality_rules), ("exact dedup", exact_duplicates), ("n-gram Jaccard join", near_duplicates), ("mixing", mixture), ("SentencePiece encoding", pieces)]

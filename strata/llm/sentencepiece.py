@@ -2,12 +2,14 @@
 
 Byte-pair merging as an agenda: of all neighbouring symbols whose concatenation is a piece, the pair with the best
 score (the leftmost of equals) merges, until none is left. With dropout a candidate (start, middle, end of its two
-symbols) is skipped if the keyed hash of (seed, chunk, variant, start, middle, end) falls below ``dropout``. A
+symbols) is skipped if the keyed hash of (seed, document, position, start, middle, end) falls below ``dropout``. A
 candidate arises once at most, so asking the hash when it arises is the same as asking when the agenda pops it.
 
 No piece reaches over a space or a line feed except at its start, so texts are cut into chunks there, and a chunk's
-segmentation depends on nothing else. Each occurrence of a chunk draws one of ``variants`` by the keyed hash of its
-document and position; a (chunk, variant) is segmented once per Python worker and then looked up. Characters
+segmentation depends on its text and on what is skipped alone. Every occurrence asks the hash for each of its own
+candidates. What a Python worker remembers is a tree per chunk: a node holds the candidates that arise in an agenda
+with certain skips, and the segmentation if no more are skipped; the answers for an occurrence lead to the next node,
+until nothing more is skipped. So equal answers are merged once, and no occurrence shares another's draws. Characters
 without a piece, and the piece mark itself when it stands in a text, become byte pieces, so decoding is lossless.
 """
 
@@ -19,15 +21,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
 #: Chunks up to this many characters are merged in columns, longer ones one by one.
 WIDE = 48
-#: A worker forgets its segmentations when it knows so many chunks.
+#: A worker forgets its segmentations when it knows so many chunks, or has so many nodes.
 REMEMBERED = 300_000
+REMEMBERED_NODES = 500_000
+#: Candidates of a node up to this many are answered as bits of a number; a chunk with more is merged by itself.
+BITS = 62
 #: Characters that are encoded at a time, which bounds a worker's memory.
 SLICE_CHARS = 2_000_000
 U = np.uint64
@@ -56,9 +60,20 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+ALL = 2**64 - 1
+
+
+def mixed_one(x: int) -> int:
+    """The same of one number."""
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & ALL
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB & ALL
+    return x ^ (x >> 31)
+
+
 class Codec:
-    def __init__(self, vocabulary: dict, seed: int = 0, dropout: float = 0.0, variants: int = 1):
-        self.seed, self.variants = seed, max(1, variants)
+    def __init__(self, vocabulary: dict, seed: int = 0, dropout: float = 0.0, variants: int | None = None):
+        """``variants`` is not used any more: every occurrence has draws of its own."""
+        self.seed = seed
         self.least = U(min(int(dropout * 2.0**64), 2**64 - 1))
         plain = [not s and not b for s, b in zip(vocabulary["special"], vocabulary["byte"], strict=True)]
         self.ids = {p: i for i, (p, ok) in enumerate(zip(vocabulary["pieces"], plain, strict=True)) if ok}
@@ -86,9 +101,14 @@ class Codec:
     def forget(self) -> None:
         self.codes: dict[str, int] = {}
         self.chunks: list[str] = []
-        self.at = np.full(0, -1, dtype=np.int64)
-        self.starts, self.lens, self.values = [np.zeros(1, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int32)]
-        self.known, self.stored = 0, 0
+        self.root = np.full(0, -1, dtype=np.int64)
+        #: By node: its chunk, the node before it and the answers that led here.
+        self.of: list[tuple[int, int, int]] = []
+        self.child: dict[tuple[int, int], int] = {}
+        self.parts: dict[str, list[np.ndarray]] = {"lens": [], "values": [], "asks": [], "asked": []}
+        for name, kind in (("lens", np.int64), ("values", np.int32), ("asks", np.int64), ("asked", np.int64)):
+            self.parts[name].append(np.zeros(0, dtype=kind))
+        self.tables()
 
     def char_ids(self, chunk: str) -> list[int]:
         """Ids of the single characters; -1 where only bytes will do. A space is the mark, a mark is not."""
@@ -101,18 +121,15 @@ class Codec:
         at = start.astype(U) << U(42) ^ middle.astype(U) << U(21) ^ end.astype(U)
         return mixed(key ^ mixed(at + U(0x9E3779B97F4A7C15))) < self.least
 
-    def chunk_key(self, chunk: str, variant: int) -> int:
-        return xxhash.xxh3_64_intdigest(chunk.encode("utf-8", "surrogatepass"), seed=(self.seed * 1_000_003 + variant) & (2**64 - 1))
-
-    def segment_one(self, chunk: str, variant: int) -> list[int]:
-        """By an agenda on a heap; for long chunks."""
+    def segment_one(self, chunk: str, key: int) -> list[int]:
+        """By an agenda on a heap, with the key of an occurrence; for long chunks."""
         sym, n = self.char_ids(chunk), len(chunk)
-        nxt, prv, key = list(range(1, n + 1)), list(range(-1, n - 1)), self.chunk_key(chunk, variant)
+        nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda: list[tuple[int, int, int, int]] = []
 
         def push(i: int, j: int) -> None:
             if i >= 0 and j < n and (new := self.pairs.get(sym[i] << 20 | sym[j] if sym[i] >= 0 <= sym[j] else -1)) is not None:
-                if not self.least or not self.skipped(np.array([key], dtype=U), np.array([i]), np.array([j]), np.array([nxt[j]]))[0]:
+                if not self.least or not mixed_one(key ^ mixed_one(((i << 42 ^ j << 21 ^ nxt[j]) + 0x9E3779B97F4A7C15) & ALL)) < int(self.least):
                     heapq.heappush(agenda, (int(self.rank[new]), i, j, nxt[j]))
 
         for i in range(n - 1):
@@ -133,8 +150,31 @@ class Codec:
     def as_bytes(self, char: str) -> list[int]:
         return [self.bytes[b] for b in char.encode("utf-8", "surrogatepass")]
 
-    def segment_many(self, chunks: list[str], variants: list[int]) -> list[list[int]]:
-        """The same by columns: one row per chunk, one merge per row and turn."""
+    def segment_many(self, chunks: list[str], keys: list[int]) -> list[list[int]]:
+        """The same by columns, with a key each."""
+        key = np.array(keys, dtype=U)
+        return self.merged(chunks, lambda r, i, j, end: ~self.skipped(key[r], i, j, end))
+
+    def explored(self, chunks: list[str], skips: list[list[int]]) -> tuple[list[list[int]], list[np.ndarray]]:
+        """Segmentations of chunks of up to WIDE characters with given candidates skipped, and all that arise.
+
+        A candidate is start << 12 | middle << 6 | end.
+        """
+        gone = np.array(sorted(r << 18 | x for r, some in enumerate(skips) for x in some), dtype=np.int64)
+        arisen = []
+
+        def allowed(r: np.ndarray, i: np.ndarray, j: np.ndarray, end: np.ndarray) -> np.ndarray:
+            at = r << 18 | i << 12 | j << 6 | end
+            arisen.append(at)
+            return ~np.isin(at, gone) if len(gone) else np.ones(len(at), dtype=bool)
+
+        ids = self.merged(chunks, allowed)
+        every = np.unique(np.concatenate(arisen)) if arisen else np.zeros(0, dtype=np.int64)
+        bounds = np.searchsorted(every >> 18, np.arange(len(chunks) + 1))
+        return ids, [every[a:b] & (2**18 - 1) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+    def merged(self, chunks: list[str], allowed) -> list[list[int]]:
+        """One row per chunk, one merge per row and turn, of the candidates (row, start, middle, end) that are allowed."""
         rows, width = len(chunks), max(map(len, chunks))
         none = np.int32(2**31 - 1)
         sym = np.full((rows, width + 1), -1, dtype=np.int64)
@@ -143,7 +183,6 @@ class Codec:
         size = np.array([len(c) for c in chunks])
         nxt = np.tile(np.arange(1, width + 2), (rows, 1))
         prv = np.tile(np.arange(-1, width), (rows, 1))
-        key = np.array([self.chunk_key(c, v) for c, v in zip(chunks, variants, strict=True)], dtype=U)
         gone = np.zeros((rows, width + 1), dtype=bool)
         rank, new = np.full((rows, width + 1), none, dtype=np.int32), np.zeros((rows, width + 1), dtype=np.int32)
 
@@ -154,7 +193,7 @@ class Codec:
             want = np.where(ok, left << 20 | right, -1)
             place = np.minimum(np.searchsorted(self.pair_keys, want), len(self.pair_keys) - 1)
             ok &= self.pair_keys[place] == want
-            ok[ok] = ~self.skipped(key[r[ok]], i[ok], j[ok], nxt[r[ok], j[ok]])
+            ok[ok] = allowed(r[ok], i[ok], j[ok], nxt[r[ok], j[ok]])
             piece = self.pair_ids[place]
             rank[r, i] = np.where(ok, self.rank[piece], none)
             new[r, i] = piece
@@ -195,44 +234,95 @@ class Codec:
             out.append(row)
         return out
 
-    def learn(self, keys: np.ndarray) -> None:
-        """Segment the (chunk, variant) keys that are not known yet."""
-        chunks = [self.chunks[k // self.variants] for k in keys]
-        variants = [int(k % self.variants) for k in keys]
-        order = sorted(range(len(keys)), key=lambda x: len(chunks[x]))
-        found: list[list[int]] = [[]] * len(keys)
+    def path(self, node: int) -> tuple[set[int], list[int]]:
+        """The candidates that were asked up to a node and its predecessors, and those of them that are skipped."""
+        asked, skips = set(), []
+        while node >= 0:
+            code, before, mask = self.of[node]
+            if before >= 0:
+                own = self.asked[self.ask_starts[before] : self.ask_starts[before] + self.asks[before]].tolist()
+                asked.update(own)
+                skips += [x for k, x in enumerate(own) if mask >> k & 1]
+            node = before
+        return asked, skips
+
+    def learn(self, new: list[tuple[int, int, int]]) -> None:
+        """Adds nodes (chunk, node before, answers)."""
+        first = len(self.of)
+        self.of += new
+        paths = [self.path(first + k) if before >= 0 else (set(), []) for k, (_, before, _) in enumerate(new)]
+        chunks = [self.chunks[code] for code, _, _ in new]
+        order = sorted(range(len(new)), key=lambda x: len(chunks[x]))
+        found: list[list[int]] = [[]] * len(new)
+        asks: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(new)
         lo = 0
         while lo < len(order):
-            n = len(chunks[order[lo]])
-            if n > WIDE:
-                found[order[lo]] = self.segment_one(chunks[order[lo]], variants[order[lo]])
-                lo += 1
-                continue
-            hi = lo
-            limit = max(8, -(-n // 8) * 8)
+            hi, limit = lo, max(8, -(-len(chunks[order[lo]]) // 8) * 8)
             while hi < len(order) and hi - lo < 20_000 and len(chunks[order[hi]]) <= limit:
                 hi += 1
             part = order[lo:hi]
-            for x, ids in zip(part, self.segment_many([chunks[x] for x in part], [variants[x] for x in part]), strict=True):
+            for x, ids, arisen in zip(part, *self.explored([chunks[x] for x in part], [paths[x][1] for x in part]), strict=True):
+                asked = paths[x][0]
                 found[x] = ids
+                if self.least:
+                    asks[x] = arisen if not asked else np.array([c for c in arisen.tolist() if c not in asked], dtype=np.int64)
             lo = hi
-        lens = np.fromiter(map(len, found), np.int64, len(found))
-        self.at[keys] = self.known + np.arange(len(keys))
-        self.lens.append(lens)
-        self.starts.append(self.stored + np.cumsum(lens))
-        self.values.append(np.fromiter((x for ids in found for x in ids), np.int32, int(lens.sum())))
-        self.known += len(keys)
-        self.stored += int(lens.sum())
-
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        for name in ("starts", "lens", "values"):
-            if len(parts := getattr(self, name)) > 1:
-                setattr(self, name, [np.concatenate(parts)])
-        return self.starts[0], self.lens[0], self.values[0]
+        self.parts["lens"].append(np.fromiter(map(len, found), np.int64, len(found)))
+        self.parts["values"].append(np.fromiter((x for ids in found for x in ids), np.int32))
+        self.parts["asks"].append(np.fromiter(map(len, asks), np.int64, len(asks)))
+        self.parts["asked"].append(np.concatenate(asks))
+        self.tables()
+
+    def tables(self) -> None:
+        for name, parts in self.parts.items():
+            if len(parts) > 1:
+                self.parts[name] = [np.concatenate(parts)]
+        self.lens, self.values, self.asks, self.asked = (self.parts[name][0] for name in ("lens", "values", "asks", "asked"))
+        self.starts, self.ask_starts = np.cumsum(self.lens) - self.lens, np.cumsum(self.asks) - self.asks
+        at = self.asked.astype(U)
+        at = (at >> U(12)) << U(42) ^ (at >> U(6) & U(63)) << U(21) ^ (at & U(63))
+        self.ask_hash = mixed(at + U(0x9E3779B97F4A7C15))
+
+    def answered(self, nodes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """For each occurrence at a node that asks something, which of its candidates are skipped, as bits."""
+        n = self.asks[nodes]
+        first = np.cumsum(n) - n
+        bit = np.arange(int(n.sum())) - np.repeat(first, n)
+        skip = mixed(np.repeat(keys, n) ^ self.ask_hash[np.repeat(self.ask_starts[nodes], n) + bit]) < self.least
+        return np.add.reduceat(skip.astype(np.int64) << bit, first)
+
+    def settled(self, flat: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The node of each occurrence's segmentation, and the occurrences that are to be merged by themselves."""
+        if len(self.root) < len(self.chunks):
+            self.root = np.concatenate([self.root, np.full(2 * len(self.chunks) - len(self.root), -1, dtype=np.int64)])
+        codes = np.unique(flat)
+        alone = np.zeros(len(self.chunks), dtype=bool)
+        alone[codes] = [len(self.chunks[c]) > WIDE for c in codes]
+        codes = codes[~alone[codes] & (self.root[codes] < 0)]
+        if len(codes):
+            self.root[codes] = len(self.of) + np.arange(len(codes))
+            self.learn([(int(c), -1, 0) for c in codes])
+        single = alone[flat]
+        nodes = np.where(single, -1, self.root[flat])
+        active = np.nonzero(~single)[0]
+        while len(active):
+            single[active[self.asks[nodes[active]] > BITS]] = True
+            active = active[(self.asks[nodes[active]] > 0) & ~single[active]]
+            if not len(active):
+                break
+            masks = self.answered(nodes[active], keys[active])
+            active, masks = active[masks != 0], masks[masks != 0]
+            pairs = list(zip(nodes[active].tolist(), masks.tolist(), strict=True))
+            new = [p for p in dict.fromkeys(pairs) if p not in self.child]
+            if new:
+                self.child.update((p, len(self.of) + k) for k, p in enumerate(new))
+                self.learn([(self.of[node][0], node, mask) for node, mask in new])
+            nodes[active] = np.fromiter(map(self.child.__getitem__, pairs), np.int64, len(pairs))
+        return nodes, np.nonzero(single)[0]
 
     def encode(self, texts: list[str], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has. docs: a 64-bit key per document."""
-        if len(self.chunks) > REMEMBERED:
+        if len(self.chunks) > REMEMBERED or len(self.of) > REMEMBERED_NODES:
             self.forget()
         cut, codes, chunks = re.compile("\n| +[^ \n]*|[^ \n]+").findall, self.codes, self.chunks
         each, counts = [], np.zeros(len(texts), dtype=np.int64)
@@ -244,23 +334,22 @@ class Codec:
                 chunks.append(part)
             each.append(np.fromiter(map(codes.__getitem__, parts), np.int64, len(parts)))
         flat = np.concatenate(each) if each else np.zeros(0, dtype=np.int64)
-        if self.variants > 1 and len(flat):
-            place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
-            drawn = mixed(np.repeat(docs.astype(U), counts) + mixed(place.astype(U) + U(self.seed & (2**63 - 1))))
-            flat = flat * self.variants + (drawn % U(self.variants)).astype(np.int64)
-        if len(self.at) < (need := len(chunks) * self.variants):
-            self.at = np.concatenate([self.at, np.full(max(need, 2 * len(self.at)) - len(self.at), -1, dtype=np.int64)])
-        missing = flat[self.at[flat] < 0]
-        if len(missing):
-            self.learn(np.unique(missing))
-        starts, lens, values = self.tables()
-        at = self.at[flat]
-        n = lens[at]
+        if not len(flat):
+            return np.zeros(0, dtype=np.int32), counts
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
+        keys = mixed(np.repeat(docs.astype(U), counts) + mixed(place.astype(U) + U(self.seed & (2**63 - 1))))
+        nodes, single = self.settled(flat, keys)
+        alone = [np.array(self.segment_one(chunks[flat[k]], int(keys[k])), dtype=np.int32) for k in single.tolist()]
+        # Those merged by themselves lie behind the remembered values.
+        values = np.concatenate([self.values, *alone])
+        known = np.nonzero(nodes >= 0)[0]
+        n, starts = np.zeros(len(flat), dtype=np.int64), np.zeros(len(flat), dtype=np.int64)
+        n[known], starts[known] = self.lens[nodes[known]], self.starts[nodes[known]]
+        n[single] = [len(x) for x in alone]
+        starts[single] = len(self.values) + np.cumsum(n[single]) - n[single]
         ends = np.cumsum(n)
-        ids = values[np.repeat(starts[at] - (ends - n), n) + np.arange(int(n.sum()))]
-        bounds = np.concatenate([[0], np.cumsum(counts)])
-        total = np.concatenate([[0], ends])[bounds]
-        return ids, np.diff(total)
+        ids = values[np.repeat(starts - (ends - n), n) + np.arange(int(n.sum()))]
+        return ids, np.diff(np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])])
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """UTF-8 of each text."""
@@ -293,17 +382,17 @@ def slices(texts: list[str]) -> Iterator[slice]:
         yield slice(lo, len(texts))
 
 
-def encode(docs: DataFrame, model_file: str, seed: int = 0, dropout: float = 0.1, variants: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model_file: str, seed: int = 0, dropout: float = 0.1, id_col: str = "doc_id", text_col: str = "text", copy_col: str | None = None) -> DataFrame:
     """One row per row of ``docs``: the id, ids (pieces), n_tokens, lossless (the ids decode to the text).
 
     A null text is an empty one, whose ids are empty. The keyed hash is seeded and takes the document's id and the
-    position, so reruns agree and repeated rows get the same ids; a null id counts as 0. Texts are encoded whole,
+    position, so reruns agree and repeated rows get the same ids, unless ``copy_col`` tells them apart; a null id counts as 0. Texts are encoded whole,
     whatever their length. Other columns are ignored.
     """
     vocabulary = load_pieces(model_file)
 
     def work(batches):
-        own = codec(vocabulary, seed, dropout, variants)
+        own = codec(vocabulary, seed, dropout)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             keys = batch.column(2).to_numpy(zero_copy_only=False)
@@ -315,7 +404,7 @@ def encode(docs: DataFrame, model_file: str, seed: int = 0, dropout: float = 0.1
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.start, part.stop - part.start), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)), pa.array(counts), pa.array(lossless, pa.bool_())], names=["id", "ids", "n_tokens", "lossless"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("long"), F.lit(0))).alias("key"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("long"), F.lit(0)), *([copy_col] if copy_col else [])).alias("key"))
     return rows.mapInArrow(work, "id long, ids array<int>, n_tokens long, lossless boolean").withColumnRenamed("id", id_col)
 
 

@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -69,3 +70,32 @@ def test_dataframes(spark, vocabulary):
     again = {(r["doc_id"], tuple(r["ids"])) for r in sp.encode(docs.coalesce(1), PIECES, seed=5, dropout=0.2).collect()}
     assert again == {(r["doc_id"], tuple(r["ids"])) for r in found}
     assert sp.encode(docs.limit(0), PIECES).count() == 0
+
+
+def test_every_occurrence_draws_alone(vocabulary):
+    """A frequent word takes many segmentations, each by its own keys, and those are the agenda's."""
+    word, n = " internationalization", 3000
+    codec = sp.Codec(vocabulary, 9, 0.2)
+    ids, _ = codec.encode([word[1:] + word * (n - 1)], np.array([5], dtype=np.uint64))
+    keys = sp.mixed(np.full(n, 5, dtype=np.uint64) + sp.mixed(np.arange(n, dtype=np.uint64) + np.uint64(9)))
+    want = [codec.segment_one(word, int(k)) for k in keys]
+    assert ids.tolist() == [x for some in want for x in some]
+    assert len({tuple(x) for x in want}) > 40
+    mixed = [" the", " thing", "日本語の国", " internationalization", "\n", " " + "a" * 30, " " + "th" * 40]
+    r = random.Random(2)
+    chunks = [r.choice(mixed) for _ in range(2000)]
+    chunks[0] = " the"
+    ids, _ = codec.encode(["".join(chunks)[1:]], np.array([6], dtype=np.uint64))
+    parts = re.findall("\n| +[^ \n]*|[^ \n]+", "".join(chunks))
+    keys = sp.mixed(np.full(len(parts), 6, dtype=np.uint64) + sp.mixed(np.arange(len(parts), dtype=np.uint64) + np.uint64(9)))
+    assert ids.tolist() == [x for c, k in zip(parts, keys, strict=True) for x in codec.segment_one(c, int(k))]
+
+
+def test_only_long_chunks(vocabulary):
+    assert len(encoded(sp.Codec(vocabulary, 1, 0.2), ["a" * 100])[0]) > 1
+
+
+def test_copies_differ(spark):
+    docs = spark.createDataFrame([(1, "the international thing " * 20, k) for k in range(3)], "doc_id long, text string, place long")
+    found = {tuple(r["ids"]) for r in sp.encode(docs, PIECES, dropout=0.2, copy_col="place").collect()}
+    assert len(found) == 3
