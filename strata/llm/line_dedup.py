@@ -4,6 +4,10 @@ A line that many sites carry is boilerplate. Lines are hashed; a HyperLogLog ske
 by aggregation, in tasks first and then across them. Lines whose estimate is clear of the threshold by more than
 ``margin`` are decided by it; those near the threshold get an exact distinct count. Lines seen fewer times than
 the threshold cannot be on so many sites, and need no sketch.
+
+Long lines are not repeated by chance: those of at least ``long_words`` words are boilerplate from ``long_sites`` sites
+on, if they stand in different texts: copies of one whole text are no boilerplate. Least and greatest values decide both
+exactly where that is two sites.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, text_of
+from strata.llm.common import WORD, cut, text_of
 
 
 def line_hash(line: Column) -> Column:
@@ -21,16 +25,18 @@ def line_hash(line: Column) -> Column:
 
 
 def site_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site: str | Column = "source") -> DataFrame:
-    """id, row_key, site, line (from 0), chars, hash of every line with a word."""
+    """id, row_key, site, text_key, line (from 0), chars, words, hash of every line with a word."""
     place = F.col(site) if isinstance(site, str) else site
     text = text_of(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("row_key"), F.coalesce(place.cast("string"), F.lit("\x00")).alias("site"), F.posexplode(F.split(text, "\n", -1)).alias("line", "said"))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("row_key"), F.coalesce(place.cast("string"), F.lit("\x00")).alias("site"), F.xxhash64(text).alias("text_key"), F.posexplode(F.split(text, "\n", -1)).alias("line", "said"))
     rows = rows.where(F.col("said").rlike(r"[^\x20\x09-\x0D]"))
-    return rows.select("id", "row_key", "site", "line", F.length("said").alias("chars"), line_hash(F.col("said")).alias("hash"))
+    return rows.select("id", "row_key", "site", "text_key", "line", F.length("said").alias("chars"), F.regexp_count("said", F.lit(WORD)).alias("words"), line_hash(F.col("said")).alias("hash"))
 
 
-def boilerplate(lines: DataFrame, least_sites: int = 10, margin: float = 0.2, lg_k: int = 12) -> DataFrame:
-    """hash of the lines on at least ``least_sites`` sites, with sites (estimated, or exact near the threshold)."""
+def boilerplate(lines: DataFrame, least_sites: int = 10, margin: float = 0.2, lg_k: int = 12, long_words: int = 50, long_sites: int = 2) -> DataFrame:
+    """hash of the lines on at least ``least_sites`` sites, with sites (estimated, or exact near the threshold), and of
+    long lines on at least ``long_sites``, with sites (exact; of lines on two sites or more if that is two: at least 2).
+    """
     often = lines.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_sites).select("hash")
     # One row per line, site and task first: copies of a line on one site say nothing new to a sketch.
     seen = cut(lines.select("hash", "site").join(often, "hash", "left_semi").distinct())
@@ -39,7 +45,13 @@ def boilerplate(lines: DataFrame, least_sites: int = 10, margin: float = 0.2, lg
     near = spread.where(F.col("sites").between(int(low), int(high) + 1)).select("hash")
     exact = seen.join(near, "hash", "left_semi").groupBy("hash").agg(F.count_distinct("site").alias("sites")).where(F.col("sites") >= least_sites)
     clear = spread.where(F.col("sites") > int(high) + 1)
-    return cut(clear.unionByName(exact))
+    found = clear.unionByName(exact)
+    long = lines.where(F.col("words") >= long_words)
+    ends = long.groupBy("hash").agg(F.min("site").alias("first"), F.max("site").alias("last"), F.min("text_key").alias("one"), F.max("text_key").alias("other"))
+    wide = ends.where((F.col("one") != F.col("other")) & ((F.col("first") != F.col("last")) | F.lit(long_sites < 2))).select("hash", F.lit(min(long_sites, 2)).cast("long").alias("sites"))
+    if long_sites > 2:
+        wide = long.join(wide.select("hash"), "hash", "left_semi").select("hash", "site").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("sites")).where(F.col("sites") >= long_sites)
+    return cut(found.unionByName(wide).groupBy("hash").agg(F.max("sites").alias("sites")))
 
 
 def marked_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site: str | Column = "source", **thresholds) -> DataFrame:

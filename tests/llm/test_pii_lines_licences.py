@@ -155,3 +155,12 @@ def test_licences(spark):
     best = max(sum(idf(w) ** 2 for w in own & licences.tokens_of(t)) / norm(own) / norm(licences.tokens_of(t)) for t in licences.TEMPLATES["Apache-2.0"])
     assert abs(found[101]["cosine"] - best) < 1e-6
     assert licences.scan(docs.limit(0), "source").count() == 0
+
+
+def test_long_lines_count_from_two_sites(spark):
+    passage, short = " ".join(f"word{k}" for k in range(60)), "a short line"
+    rows = [(i, f"own {i}\n{passage}\n{short}", "en", f"site{i}", "", 0) for i in range(2)]
+    rows += [(10 + i, f"{passage} of one site", "en", "site0", "", 0) for i in range(3)] + [(20, passage[:200], "en", "site5", "", 0)]
+    rows += [(30 + i, passage.upper(), "en", f"site{i}", "", 0) for i in range(3)]  # copies of a whole text
+    found = {r["doc_id"]: r["removed"] for r in line_dedup.marked_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found == {0: [1], 1: [1], 10: [], 11: [], 12: [], 20: [], 30: [], 31: [], 32: []}
