@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import graph
 from strata.queries import views as V
-from strata.queries.registry import query
+from strata.queries.registry import SQL, query
 
 E = f"WITH {V.EDGES} "
 ACTED = "(SELECT DISTINCT from_id, to_id FROM edges WHERE type = 'ACTED_IN')"
@@ -92,3 +92,24 @@ def graph_shortest_path(spark, t) -> DataFrame:
 @query(E + f", {SPARSE}, a AS (SELECT DISTINCT from_id, to_id FROM s JOIN edges USING (from_id, to_id) WHERE type = 'ACTED_IN'), m1 AS (SELECT DISTINCT to_id FROM a WHERE from_id = 1), p2 AS (SELECT DISTINCT from_id FROM a WHERE to_id IN (FROM m1)) SELECT count(DISTINCT to_id) AS movies FROM a WHERE from_id IN (FROM p2)")
 def graph_circle(spark, t) -> DataFrame:
     return graph.circle(sparse(t), 1, 3)
+
+
+#: All credits; the queries above with their filter stay as their SQL says.
+WHOLE = "s AS (SELECT DISTINCT from_id, to_id FROM edges WHERE type IN ('ACTED_IN', 'DIRECTED'))"
+
+
+@query(SQL["graph_shortest_path"].replace(SPARSE, WHOLE))
+def graph_shortest_path_whole(spark, t) -> DataFrame:
+    return graph.shortest_path(V.edges(t), 1, 2).select("hops")
+
+
+@query(SQL["graph_circle"].replace(SPARSE, WHOLE))
+def graph_circle_whole(spark, t) -> DataFrame:
+    return graph.circle(V.edges(t), 1, 3)
+
+
+@query(SQL["graph_counts"] + " UNION ALL SELECT 'vertex', 'movie', count(*) FROM part UNION ALL SELECT 'vertex', 'person', count(*) FROM supplier")
+def graph_counts_whole(spark, t) -> DataFrame:
+    """Parts are the movies, suppliers the persons."""
+    movies = t.part.select(F.col("p_partkey").alias("id"), F.lit("movie").alias("label"))
+    return graph.counts(movies.unionByName(t.supplier.select(F.col("s_suppkey").alias("id"), F.lit("person").alias("label"))), V.edges(t))
