@@ -5,12 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.queries import views as V
 from strata.queries.batch import no_zone
-from strata.queries.registry import query
+from strata.queries.registry import SQL, query
 from strata.streaming import codec, sinks, stateful, trend
 
 WINDOWS = "w AS (SELECT time_bucket(INTERVAL '{0}', event_time) AS window_start, event_type, count(*) AS samples, sum(popularity)::BIGINT AS total, max(popularity) AS most, round(sum(popularity) / count(*), 6) AS average FROM observed GROUP BY 1, 2)"
@@ -51,14 +51,36 @@ def alert_rollup(spark, t) -> DataFrame:
 SELECT event_id, event_type FROM m WHERE seen IS NULL OR time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes' > seen - INTERVAL '1 minute'""")
 def late_data_filter(spark, t) -> DataFrame:
     """Rows that a watermark of a minute lets in, if rows arrive by id: their window has not closed."""
-    from pyspark.sql import Window
+    return let_in(V.observed(t).where("event_type = 'error'"))
 
-    rows = V.observed(t).where("event_type = 'error'")
-    seen = F.max("event_time").over(Window.partitionBy("event_type").orderBy("event_id").rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("seen", seen).withColumn("end", F.window("event_time", "5 minutes").end)
+
+@query(SQL["late_data_filter"].replace(" WHERE event_type = 'error')", ")"))
+def late_data_filter_all(spark, t) -> DataFrame:
+    """The same of the events of all types under one watermark."""
+    return let_in(V.observed(t))
+
+
+def let_in(rows: DataFrame) -> DataFrame:
+    rows = seen_before(rows).withColumn("end", F.window("event_time", "5 minutes").end)
     return rows.where(F.col("seen").isNull() | (F.col("end") > F.col("seen") - F.expr("interval 1 minute"))).select("event_id", "event_type")
 
 
+def seen_before(rows: DataFrame, ranges: int = 64) -> DataFrame:
+    """Adds seen, the greatest event_time of the rows with smaller ids: of the ranges before, and inside the row's own.
+
+    Ranges of ids hold about as many rows each; all that meets in one place is a maximum a range.
+    """
+    bounds = rows.agg(F.percentile_approx("event_id", [k / ranges for k in range(1, ranges)], 10_000)).first()[0] or []
+    at = sum((F.coalesce(F.col("event_id") > b, F.lit(False)).cast("int") for b in sorted(set(bounds))), F.lit(0))
+    rows = rows.withColumn("range", at)
+    tops = rows.groupBy("range").agg(F.max("event_time").alias("top"))
+    later = tops.select(F.col("range").alias("own")).join(F.broadcast(tops), F.col("range") < F.col("own"))
+    earlier = later.groupBy("own").agg(F.max("top").alias("earlier"))
+    inside = F.max("event_time").over(Window.partitionBy("range").orderBy("event_id").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("inside", inside).join(F.broadcast(earlier), F.col("range") == F.col("own"), "left")
+    return rows.withColumn("seen", F.greatest("earlier", "inside")).drop("range", "own", "earlier", "inside")
+
+
 def envelopes(t) -> DataFrame:
     """events as messages on the wire, some of them broken, in either naming."""
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
