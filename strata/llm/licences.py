@@ -2,11 +2,12 @@
 
 Every line of every text, and every whole text, is a sparse vector of its distinct words, weighted by the inverse
 frequency that the words have among all lines of the corpus. Words that no template holds can't add to a product; they
-count in the norm with the weight of a word seen once, so a line that merely holds a few words of a licence stays far
-from it. Only what depends on the templates leaves the executors: the frequencies of their words.
+count in the norm with their own weights, so a line that merely holds a few words of a licence stays far from it. Only
+what depends on the templates leaves the executors: the frequencies of their words.
 
 A line that could reach the threshold (its template words carry enough of its norm) is joined to the templates word
-by word, and sums of products are its cosines. A text without a licence of its own inherits that of the nearest
+by word, and sums of products are its cosines. Units that reach the threshold even if their other words had the least
+weight there is are joined to the frequencies of these. A text without a licence of its own inherits that of the nearest
 ancestor directory with a licence file: distinct directories are exploded to their ancestors and joined by path.
 """
 
@@ -35,6 +36,8 @@ TEMPLATES = {
     "Proprietary": ["Copyright. All rights reserved.", "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited."],
 }
 TOKEN = r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"
+#: The weight of a word that is in every line.
+LEAST = 0.1
 FILE_NAME = r"(?i)(?:^|/)(?:licen[cs]e|copying|notice|unlicense)(?:[.-][a-z0-9.-]+)?$"
 
 
@@ -46,14 +49,15 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), 0))
 
 
-def scored(units: DataFrame, keys: list[str], idf: dict[str, float], rare: float, templates: dict[str, list[str]], least: float) -> DataFrame:
+def scored(units: DataFrame, keys: list[str], idf: dict[str, float], weights: DataFrame, templates: dict[str, list[str]], least: float) -> DataFrame:
     """keys, licence, cosine of the best template of each unit (column ``terms``) that reaches ``least``."""
     words = F.array(*[F.lit(w) for w in idf])
     weight = F.create_map(*[F.lit(x) for w, v in idf.items() for x in (w, v)])
-    units = units.select(*keys, F.size("terms").alias("n"), F.array_intersect("terms", words).alias("hits")).where(F.size("hits") > 0)
+    units = units.select(*keys, F.array_except("terms", words).alias("others"), F.array_intersect("terms", words).alias("hits")).where(F.size("hits") > 0)
     mass = F.aggregate("hits", F.lit(0.0), lambda s, t: s + F.element_at(weight, t) * F.element_at(weight, t))
-    units = units.withColumn("mass", mass).withColumn("norm", F.sqrt(F.col("mass") + (F.col("n") - F.size("hits")) * rare * rare))
-    units = units.where(F.sqrt("mass") >= least * F.col("norm")).select(*keys, "norm", F.explode("hits").alias("term"))
+    units = units.withColumn("mass", mass).withColumn("norm", F.sqrt(F.col("mass") + F.size("others") * LEAST * LEAST))
+    units = units.where(F.sqrt("mass") >= least * F.col("norm"))
+    every, units = units.select(*keys, "mass", "others"), units.select(*keys, "norm", F.explode("hits").alias("term"))
     rows = []
     for licence, texts in templates.items():
         for k, text in enumerate(texts):
@@ -63,7 +67,16 @@ def scored(units: DataFrame, keys: list[str], idf: dict[str, float], rare: float
     table = units.sparkSession.createDataFrame(rows, "licence string, k int, term string, part double")
     # The templates' words are a fixed list, whatever the data.
     dots = units.join(F.broadcast(table), "term").groupBy(*keys, "norm", "licence", "k").agg(F.sum("part").alias("dot"))
-    dots = dots.select(*keys, "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("cosine")).where(F.col("cosine") >= least)
+    dots = cut(dots.where(F.round(F.col("dot") / F.col("norm"), 9) >= least).drop("norm"))
+    # Repeated rows have the same keys and terms, so one of them says the norm.
+    likely = dots.select(*[F.col(k).alias(f"l_{k}") for k in keys]).distinct()
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"l_{k}"))
+    kept = every.join(likely, same, "left_semi").dropDuplicates(keys).select(*keys, "mass", F.explode_outer("others").alias("term"))
+    norms = kept.join(weights, "term", "left").groupBy(*keys, "mass").agg(F.coalesce(F.sum(F.col("weight") * F.col("weight")), F.lit(0.0)).alias("rest"))
+    norms = norms.select(*[F.col(k).alias(f"l_{k}") for k in keys], F.sqrt(F.col("mass") + F.col("rest")).alias("norm"))
+    dots = dots.join(norms, same).select(*keys, "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("cosine")).where(F.col("cosine") >= least)
     best = dots.groupBy(*keys).agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "licence")).alias("best"))
     return best.select(*keys, F.col("best.licence").alias("licence"), (-F.col("best.minus")).alias("cosine"))
 
@@ -88,16 +101,15 @@ def scan(docs: DataFrame, path: str | Column, id_col: str = "doc_id", text_col:
     vocabulary = sorted(set().union(*(tokens_of(t) for texts in templates.values() for t in texts)))
     lines = rows.select("id", "row_key", F.posexplode(F.split("text", "\n", -1)).alias("line", "said")).select("id", "row_key", "line", terms(F.col("said")).alias("terms"))
     known = F.array(*[F.lit(w) for w in vocabulary])
-    # A row of the total comes with each line; both come down to one number a word.
-    seen = lines.select(F.explode(F.concat(F.array(F.lit("")), F.array_intersect("terms", known))).alias("term")).groupBy("term").count().collect()
-    seen = {r["term"]: r["count"] for r in seen}
-    total = seen.get("", 0)
-    idf = {w: math.log((1 + total) / (1 + seen.get(w, 0))) + 0.1 for w in vocabulary}
-    rare = math.log((1 + total) / 2) + 0.1
-
-    of_lines = scored(lines, ["id", "row_key", "line"], idf, rare, templates, header)
+    total = lines.count()
+    counted = cut(lines.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")))
+    seen = {r["term"]: r["n"] for r in counted.where(F.col("term").isin(vocabulary)).collect()}
+    idf = {w: math.log((1 + total) / (1 + seen.get(w, 0))) + LEAST for w in vocabulary}
+    weights = counted.select("term", (F.log(F.lit(1.0 + total) / (1 + F.col("n"))) + LEAST).alias("weight"))
+
+    of_lines = scored(lines, ["id", "row_key", "line"], idf, weights, templates, header)
     whole = rows.select("id", "row_key", F.lit(-1).alias("line"), terms(F.col("text")).alias("terms"))
-    of_texts = scored(whole, ["id", "row_key", "line"], idf, rare, templates, file)
+    of_texts = scored(whole, ["id", "row_key", "line"], idf, weights, templates, file)
     every = of_lines.unionByName(of_texts)
     best = F.min(F.struct((-F.col("cosine")).alias("minus"), "line", "licence"))
     own = cut(every.groupBy("id", "row_key").agg(best.alias("best")).select(F.col("id").alias("o_id"), F.col("row_key").alias("o_key"), F.col("best.licence").alias("own_licence"), (-F.col("best.minus")).alias("cosine"), F.col("best.line").alias("line"), (F.col("best.line") < 0).alias("like_file")))

@@ -164,3 +164,15 @@ def test_long_lines_count_from_two_sites(spark):
     rows += [(30 + i, passage.upper(), "en", f"site{i}", "", 0) for i in range(3)]  # copies of a whole text
     found = {r["doc_id"]: r["removed"] for r in line_dedup.marked_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert found == {0: [1], 1: [1], 10: [], 11: [], 12: [], 20: [], 30: [], 31: [], 32: []}
+
+
+def test_all_words_have_corpus_frequencies(spark):
+    """Ordinary words of a header weigh little, and a verdict does not change when the corpus is repeated."""
+    prose = "\n".join(["this project is for the file of you and see details in it"] * 40)
+    said = "This project is released under the MIT License, see the file for details."
+    rows = [(i, f"{prose}\nown{i}", "en", "a", "", 0) for i in range(20)] + [(100, said, "en", "b", "", 0), (101, "xylophone quartz released zebra under umbrella MIT violin", "en", "c", "", 0)]
+    once = {r["doc_id"]: r["own_licence"] for r in licences.scan(spark.createDataFrame(rows, SCHEMA), "source").collect()}
+    assert once[100] == "MIT" and once[101] is None and all(once[i] is None for i in range(20))
+    more = [(i + 1000 * k, *rest) for k in range(10) for i, *rest in rows]
+    again = {r["doc_id"]: r["own_licence"] for r in licences.scan(spark.createDataFrame(more, SCHEMA), "source").collect()}
+    assert all(again[i + 1000 * k] == x for i, x in once.items() for k in range(10))
