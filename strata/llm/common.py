@@ -53,3 +53,49 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str], salts: int, s
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
     return left.join(right, on, how).drop("__salt", "__rsalt", *[f"__{k}" for k in keys])
+
+
+#: Words of 64 bits in a bitmap of keys: it has at most so many rows, however many keys there are.
+BITMAP_WORDS = 1 << 20
+
+
+def _bit(*key: str | Column) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(64 * BITMAP_WORDS))
+
+
+def bitmap(keys: DataFrame, *key: str | Column) -> DataFrame:
+    """The hashes of the keys as bits: __word, __bits, of at most BITMAP_WORDS rows, which bounds its broadcast."""
+    at = _bit(*key)
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))
+    return keys.select(F.shiftright(at, 6).alias("__word"), one.alias("__one")).groupBy("__word").agg(F.bit_or("__one").alias("__bits"))
+
+
+def with_maybe(docs: DataFrame, bits: DataFrame, *key: str | Column) -> DataFrame:
+    """docs with __maybe: false if the key is not in the bitmap. No row is shuffled for that.
+
+    Beyond some ten million keys more and more rows may be in it, so an exact join has to follow; the bitmap only
+    saves the rows that it leaves out from taking part in that.
+    """
+    at = _bit(*key)
+    joined = docs.withColumn("__at", at).join(F.broadcast(bits), F.shiftright("__at", 6) == F.col("__word"), "left")
+    return joined.withColumn("__maybe", F.coalesce(F.getbit("__bits", (F.col("__at") % 64).cast("int")) == 1, F.lit(False))).drop("__at", "__word", "__bits")
+
+
+def _matches(keys: dict[str, Column]) -> Column:
+    same = F.lit(True)
+    for name, own in keys.items():
+        same = same & own.eqNullSafe(F.col(f"__w_{name}"))
+    return same
+
+
+def rows_in(docs: DataFrame, wanted: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """The rows of docs whose keys (expressions by the name of their column in ``wanted``) are in ``wanted``, null-safe."""
+    maybe = with_maybe(docs, bitmap(wanted, *keys), *keys.values()).where("__maybe").drop("__maybe")
+    return maybe.join(wanted.select(*[F.col(k).alias(f"__w_{k}") for k in keys]), _matches(keys), "left_semi")
+
+
+def rows_not_in(docs: DataFrame, unwanted: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """The other rows. Those that the bitmap leaves out stay where they are; the rest are compared by a join."""
+    marked = with_maybe(docs, bitmap(unwanted, *keys), *keys.values())
+    rest = marked.where("__maybe").drop("__maybe").join(unwanted.select(*[F.col(k).alias(f"__w_{k}") for k in keys]), _matches(keys), "left_anti")
+    return marked.where("not __maybe").drop("__maybe").unionByName(rest)

@@ -1,14 +1,16 @@
 """Exact duplicates by skew-safe combining.
 
-Equal texts meet in three steps, each of which groups by the full text and not by its digest alone:
+First digests alone are counted, combined in tasks before they are shuffled: a text whose digest occurs once has no
+equal. A bitmap of the repeated digests, whose size is bounded, leaves the other texts where they are. Those that may
+have an equal meet in three steps, each of which groups by the full text and not by its digest alone:
 
 1. local: every task combines its own equal texts before anything is shuffled,
 2. salted: the tasks' rows meet by (digest, salt, text), where the salt comes from the task, so a text that
    holds a third of all rows is merged by many tasks,
 3. global: the few salt winners of a text meet by (digest, text).
 
-Documents then look up their group by digest. That look-up is exact because step 3 has compared the full
-contents under each digest: where one digest covers several texts, their documents join by text as well.
+Documents then look up their group by digest, salted as well. That look-up is exact because step 3 has compared the
+full contents under each digest: where one digest covers several texts, their documents join by text as well.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, text_of
+from strata.llm.common import bitmap, cut, rows_not_in, salted_join, text_of, with_maybe
 
 
 def sha256_of(text: Column) -> Column:
@@ -24,7 +26,7 @@ def sha256_of(text: Column) -> Column:
 
 
 def text_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 64, normalise=lambda t: t, digest=sha256_of) -> DataFrame:
-    """One row per distinct text: digest, keep_id (largest id), group_size."""
+    """One row per distinct text: digest, text, keep_id (largest id), group_size."""
     rows = docs.select(F.col(id_col).alias("id"), normalise(text_of(text_col)).alias("text"))
     rows = rows.select("id", "text", digest(F.col("text")).alias("digest"), F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt"))
     salted = rows.groupBy("digest", "salt", "text").agg(F.max("id").alias("winner"), F.count(F.lit(1)).alias("n"))
@@ -38,24 +40,36 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     keeps the null id. A null text is an empty text. Repeated rows count in group_size and share the verdict.
     An empty table gives no rows; other columns are ignored, whatever their names.
     """
-    groups = cut(text_groups(docs, id_col, text_col, salts, normalise, digest).select("digest", "keep_id", "group_size"))
-    rows = docs.select(F.col(id_col).alias("id"), digest(normalise(text_of(text_col))).alias("digest"))
+    own = digest(normalise(text_of(text_col)))
+    rows = cut(docs.select(F.col(id_col).alias("id"), own.alias("digest")))
+    repeated = bitmap(rows.groupBy("digest").count().where("count > 1"), "digest")
+    maybe = with_maybe(docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias(text_col)), repeated, own).where("__maybe")
+    groups = cut(text_groups(maybe, id_col, text_col, salts, normalise, digest).select("digest", "keep_id", "group_size"))
     clashing = groups.groupBy("digest").count().where("count > 1").select("digest")
+    several = groups.where("group_size > 1")
     if clashing.isEmpty():
-        found = rows.join(groups, "digest")
+        found = salted_join(rows, several, ["digest"], salts=16, spread=["id"])
     else:  # one digest, several texts: these join by their whole text
         clashing = cut(clashing)
-        single = groups.join(clashing, "digest", "left_anti")
+        single = several.join(clashing, "digest", "left_anti")
         full = docs.select(F.col(id_col).alias("id"), normalise(text_of(text_col)).alias("text"))
         full = full.withColumn("digest", digest(F.col("text"))).join(clashing, "digest", "left_semi")
         texts = text_groups(docs, id_col, text_col, salts, normalise, digest).join(clashing, "digest", "left_semi")
-        found = rows.join(single, "digest").unionByName(full.join(texts, ["digest", "text"]).drop("text"))
+        found = salted_join(rows.join(clashing, "digest", "left_anti"), single, ["digest"], salts=16, spread=["id"])
+        found = found.unionByName(full.join(texts, ["digest", "text"]).drop("text").select(*found.columns))
+    found = found.select("id", "digest", F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"))
     return found.select(F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("digest").alias("text_digest"))
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 64) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns, once each."""
-    stay = exact_duplicates(docs, id_col, text_col, salts).where("kept").select(F.col(id_col).alias("__id"), F.col("text_digest").alias("__digest")).distinct()
-    keyed = docs.withColumn("__own", sha256_of(text_of(text_col)))
-    on = keyed[id_col].eqNullSafe(stay["__id"]) & (keyed["__own"] == stay["__digest"])
-    return keyed.join(stay, on, "left_semi").dropDuplicates([id_col, "__own"]).select(*docs.columns)
+    """The rows of ``docs`` that stay, with all their columns, once each, under the rules of exact_duplicates().
+
+    Only texts that may go, or that repeat under their id, take part in a shuffle.
+    """
+    found = exact_duplicates(docs, id_col, text_col, salts).select(F.col(id_col).alias("id"), F.col("text_digest").alias("digest"), "kept", "group_size")
+    unsettled = cut(found.where("group_size > 1").groupBy("id", "digest").agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("not kept or n > 1"))
+    own = {"id": F.col(id_col), "digest": sha256_of(text_of(text_col))}
+    marked = with_maybe(docs, bitmap(unsettled, *own), *own.values())
+    stay = rows_not_in(marked.where("__maybe").drop("__maybe"), unsettled.where("not kept"), own)
+    once = stay.withColumn("__own", own["digest"]).dropDuplicates([id_col, "__own"]).select(*docs.columns)
+    return marked.where("not __maybe").select(*docs.columns).unionByName(once)
