@@ -7,9 +7,9 @@ candidate arises once at most, so asking the hash when it arises is the same as
 
 No piece reaches over a space or a line feed except at its start, so texts are cut into chunks there, and a chunk's
 segmentation depends on its text and on what is skipped alone. Every occurrence asks the hash for each of its own
-candidates. What a Python worker remembers is a tree per chunk: a node holds the candidates that arise in an agenda
-with certain skips, and the segmentation if no more are skipped; the answers for an occurrence lead to the next node,
-until nothing more is skipped. So equal answers are merged once, and no occurrence shares another's draws. Characters
+candidates and is merged by itself; nothing of one occurrence's draws serves another. Occurrences of one length are
+merged side by side in columns: a turn takes each one's best candidate, merges it, and offers the two candidates that
+arise beside it. What a worker remembers is a chunk's characters and first candidates before any draw. Characters
 without a piece, and the piece mark itself when it stands in a text, become byte pieces, so decoding is lossless.
 """
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,15 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-#: Chunks up to this many characters are merged in columns, longer ones one by one.
-WIDE = 48
-#: A worker forgets its segmentations when it knows so many chunks, or has so many nodes.
-REMEMBERED = 300_000
-REMEMBERED_NODES = 500_000
-#: Candidates of a node up to this many are answered as bits of a number; a chunk with more is merged by itself.
-BITS = 62
+#: Chunks up to this many characters are merged in columns (places take six bits), longer ones one by one.
+WIDE = 62
+#: So many chunks are merged side by side: a block's columns stay in a core's cache.
+BLOCK = 8192
+#: A worker forgets chunks when it knows so many.
+REMEMBERED = 400_000
 #: Characters that are encoded at a time, which bounds a worker's memory.
 SLICE_CHARS = 2_000_000
+NONE = np.int32(2**31 - 1)
 U = np.uint64
 
 
@@ -70,9 +71,26 @@ def mixed_one(x: int) -> int:
     return x ^ (x >> 31)
 
 
+class CharIds(dict):
+    """Ids of characters. One without a piece is its byte piece, or gets an id beyond the vocabulary if it has several
+    bytes; neither is in a pair. A space is the piece mark; a mark that stands in a text is not.
+    """
+
+    def __init__(self, ids: dict[str, int], spelt: dict[int, int], size: int):
+        super().__init__((c, i) for c, i in ids.items() if len(c) == 1 and c not in (MARK, " "))
+        if MARK in ids:
+            self[" "] = ids[MARK]
+        self.spelt, self.size, self.others = spelt, size, []
+
+    def __missing__(self, char: str) -> int:
+        self[char] = i = self.spelt[ord(char)] if char < "\x80" else self.size + len(self.others)
+        if i >= self.size:
+            self.others.append(char)
+        return i
+
+
 class Codec:
-    def __init__(self, vocabulary: dict, seed: int = 0, dropout: float = 0.0, variants: int | None = None):
-        """``variants`` is not used any more: every occurrence has draws of its own."""
+    def __init__(self, vocabulary: dict, seed: int = 0, dropout: float = 0.0):
         self.seed = seed
         self.least = U(min(int(dropout * 2.0**64), 2**64 - 1))
         plain = [not s and not b for s, b in zip(vocabulary["special"], vocabulary["byte"], strict=True)]
@@ -80,56 +98,150 @@ class Codec:
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(vocabulary["pieces"]) if vocabulary["byte"][i]}
         if len(self.bytes) != 256:
             raise ValueError("the model has no byte pieces")
-        ranked = sorted(range(len(plain)), key=lambda i: (-vocabulary["scores"][i], i))
-        self.rank = np.zeros(len(plain), dtype=np.int32)
-        self.rank[ranked] = np.arange(len(plain), dtype=np.int32)
+        self.size = len(plain)
+        self.by_rank = np.array(sorted(range(self.size), key=lambda i: (-vocabulary["scores"][i], i)), dtype=np.int32)
+        self.rank = np.zeros(self.size, dtype=np.int32)
+        self.rank[self.by_rank] = np.arange(self.size, dtype=np.int32)
         self.raw = [bytes([int(p[3:5], 16)]) if b else b"" if s else p.replace(MARK, " ").encode() for p, s, b in zip(vocabulary["pieces"], vocabulary["special"], vocabulary["byte"], strict=True)]
         self.raw_array = pa.array(self.raw, pa.binary())
         self.raw_len = np.array([len(x) for x in self.raw], dtype=np.int64)
-        pairs = {}
+        self.pairs = {}
         for p, i in self.ids.items():
             for k in range(1, len(p)):
                 left, right = self.ids.get(p[:k]), self.ids.get(p[k:])
                 if left is not None and right is not None:
-                    pairs[left << 20 | right] = i
-        self.pair_keys = np.array(sorted(pairs), dtype=np.int64)
-        self.pair_ids = np.array([pairs[k] for k in sorted(pairs)], dtype=np.int32)
-        self.pairs = pairs
+                    self.pairs[left << 21 | right] = i
+        self.index_pairs()
+        place = np.arange(64, dtype=U)
+        at = place[:, None, None] << U(42) ^ place[None, :, None] << U(21) ^ place[None, None, :]
+        self.place_hash = mixed(at + U(0x9E3779B97F4A7C15)).ravel()
         self.forget()
 
-    # --- segmentations that the worker remembers
+    def index_pairs(self) -> None:
+        """A hash table in arrays: the rank of what a pair of ids merges to."""
+        keys = np.fromiter(self.pairs, np.int64, len(self.pairs))
+        ranks = self.rank[np.fromiter(self.pairs.values(), np.int64, len(keys))]
+        bits = max(4, int(4 * len(keys)).bit_length())
+        self.shift, self.slots = U(64 - bits), np.full(1 << bits, -1, dtype=np.int64)
+        self.slot_rank, self.probes = np.full(1 << bits, NONE, dtype=np.int32), 0
+        slot = self.slot_of(keys)
+        while len(keys):
+            self.probes += 1
+            first = np.zeros(len(keys), dtype=bool)
+            first[np.unique(slot, return_index=True)[1]] = True
+            first &= self.slots[slot] < 0
+            self.slots[slot[first]], self.slot_rank[slot[first]] = keys[first], ranks[first]
+            keys, ranks, slot = keys[~first], ranks[~first], (slot[~first] + 1) % len(self.slots)
+
+    def slot_of(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(U) * U(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of the merged pieces; NONE where a pair merges to none."""
+        want = left.astype(np.int64) << 21 | right
+        slot = self.slot_of(want)
+        held = self.slots[slot]
+        rank = np.where(held == want, self.slot_rank[slot], NONE)
+        open_ = np.nonzero((held != want) & (held >= 0))[0]
+        slot = slot[open_]
+        for _ in range(self.probes):
+            if not len(open_):
+                break
+            slot = (slot + 1) % len(self.slots)
+            held, wanted = self.slots[slot], want[open_]
+            rank[open_] = np.where(held == wanted, self.slot_rank[slot], NONE)
+            on = (held != wanted) & (held >= 0)
+            open_, slot = open_[on], slot[on]
+        return rank
+
+    # --- what the worker remembers of chunks
     def forget(self) -> None:
         self.codes: dict[str, int] = {}
         self.chunks: list[str] = []
-        self.root = np.full(0, -1, dtype=np.int64)
-        #: By node: its chunk, the node before it and the answers that led here.
-        self.of: list[tuple[int, int, int]] = []
-        self.child: dict[tuple[int, int], int] = {}
-        self.parts: dict[str, list[np.ndarray]] = {"lens": [], "values": [], "asks": [], "asked": []}
-        for name, kind in (("lens", np.int64), ("values", np.int32), ("asks", np.int64), ("asked", np.int64)):
-            self.parts[name].append(np.zeros(0, dtype=kind))
-        self.tables()
-
-    def char_ids(self, chunk: str) -> list[int]:
-        """Ids of the single characters; -1 where only bytes will do. A space is the mark, a mark is not."""
-        get = self.ids.get
-        return [-1 if c == MARK else get(MARK if c == " " else c, -1) for c in chunk]
-
-    def skipped(self, key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
-        if not self.least:
-            return np.zeros(len(key), dtype=bool)
-        at = start.astype(U) << U(42) ^ middle.astype(U) << U(21) ^ end.astype(U)
-        return mixed(key ^ mixed(at + U(0x9E3779B97F4A7C15))) < self.least
+        self.chars = CharIds(self.ids, self.bytes, self.size)
+        self.sym, self.first = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)
+        self.lens, self.starts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def learn(self) -> None:
+        """Characters and first candidates of the chunks that are new; of long ones the length alone."""
+        new = self.chunks[len(self.lens) :]
+        if not new:
+            return
+        lens = np.fromiter(map(len, new), np.int64, len(new))
+        short = [c for c in new if len(c) <= WIDE]
+        sym = np.fromiter(map(self.chars.__getitem__, "".join(short)), np.int32)
+        first = np.full(len(sym), NONE, dtype=np.int32)
+        if len(sym):
+            own = lens[lens <= WIDE]
+            place = np.arange(len(sym)) - np.repeat(np.cumsum(own) - own, own)
+            rank = self.ranks_of(sym[:-1], sym[1:])
+            inside = (place[1:] > 0) & (rank != NONE)
+            first[:-1][inside] = rank[inside] << 6 | place[:-1][inside]
+        held = np.where(lens <= WIDE, lens, 0)
+        self.starts = np.concatenate([self.starts, len(self.sym) + np.cumsum(held) - held])
+        self.lens = np.concatenate([self.lens, lens])
+        self.sym, self.first = np.concatenate([self.sym, sym]), np.concatenate([self.first, first])
+
+    # --- merging
+    def skipped(self, keys: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mixed(keys ^ self.place_hash[start << 12 | middle << 6 | end]) < self.least
+
+    def merged(self, codes: np.ndarray, keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks of n characters in a row, and how many each has. A column per chunk, a row per place."""
+        m = len(codes)
+        at = self.starts[codes][None, :] + np.arange(n)[:, None]
+        sym, best_at = self.sym[at], self.first[at]
+        if self.least:
+            for i in range(n - 1):
+                best_at[i][mixed(keys ^ self.place_hash[i << 12 | (i + 1) << 6 | (i + 2)]) < self.least] = NONE
+        after = np.repeat(np.arange(1, n + 1, dtype=np.int8)[:, None], m, axis=1)
+        before = np.repeat(np.arange(-1, n, dtype=np.int8)[:, None], m, axis=1)
+        sym_, best_, after_, before_ = sym.ravel(), best_at.ravel(), after.ravel(), before.ravel()
+        while True:
+            best = best_at.min(axis=0)
+            col = np.nonzero(best != NONE)[0]
+            if not len(col):
+                break
+            best = best[col]
+            start = (best & 63).astype(np.int64)
+            here = start * m + col
+            middle = after_[here].astype(np.int64) * m + col
+            end = after_[middle].astype(np.int64)
+            new = self.by_rank[best >> 6]
+            sym_[here], sym_[middle] = new, -1
+            best_[here], best_[middle] = NONE, NONE
+            after_[here] = end
+            beyond = end * m + col
+            before_[beyond] = start
+            # The candidates that arise: with what follows, and with what stands before.
+            has = np.nonzero(end < n)[0]
+            prev = before_[here].astype(np.int64)
+            had = np.nonzero(prev >= 0)[0]
+            i, j = np.concatenate([start[has], prev[had]]), np.concatenate([end[has], start[had]])
+            c = np.concatenate([col[has], col[had]])
+            left, right = np.concatenate([new[has], sym_[prev[had] * m + col[had]]]), np.concatenate([sym_[beyond[has]], new[had]])
+            rank = self.ranks_of(left, right)
+            place = i * m + c
+            best_[place] = NONE
+            ok = np.nonzero(rank != NONE)[0]
+            i, j, c, place, rank = i[ok], j[ok], c[ok], place[ok], rank[ok]
+            if self.least and len(ok):
+                stays = np.nonzero(~self.skipped(keys[c], i, j, after_[j * m + c].astype(np.int64)))[0]
+                i, place, rank = i[stays], place[stays], rank[stays]
+            best_[place] = rank << 6 | i.astype(np.int32)
+        there = sym >= 0
+        return sym.T[there.T], there.sum(axis=0)
 
     def segment_one(self, chunk: str, key: int) -> list[int]:
         """By an agenda on a heap, with the key of an occurrence; for long chunks."""
-        sym, n = self.char_ids(chunk), len(chunk)
+        n, least = len(chunk), int(self.least)
+        sym = list(map(self.chars.__getitem__, chunk))
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda: list[tuple[int, int, int, int]] = []
 
         def push(i: int, j: int) -> None:
-            if i >= 0 and j < n and (new := self.pairs.get(sym[i] << 20 | sym[j] if sym[i] >= 0 <= sym[j] else -1)) is not None:
-                if not self.least or not mixed_one(key ^ mixed_one(((i << 42 ^ j << 21 ^ nxt[j]) + 0x9E3779B97F4A7C15) & ALL)) < int(self.least):
+            if i >= 0 and j < n and (new := self.pairs.get(sym[i] << 21 | sym[j])) is not None:
+                if not least or not mixed_one(key ^ mixed_one(((i << 42 ^ j << 21 ^ nxt[j]) + 0x9E3779B97F4A7C15) & ALL)) < least:
                     heapq.heappush(agenda, (int(self.rank[new]), i, j, nxt[j]))
 
         for i in range(n - 1):
@@ -139,217 +251,66 @@ class Codec:
             _, i, j, end = heapq.heappop(agenda)
             if gone[i] or gone[j] or nxt[i] != j or nxt[j] != end:
                 continue
-            sym[i] = self.pairs[sym[i] << 20 | sym[j]]
+            sym[i] = self.pairs[sym[i] << 21 | sym[j]]
             gone[j], nxt[i] = True, end
             if end < n:
                 prv[end] = i
             push(prv[i], i)
             push(i, end)
-        return [x for i in range(n) if not gone[i] for x in ([sym[i]] if sym[i] >= 0 else self.as_bytes(chunk[i]))]
-
-    def as_bytes(self, char: str) -> list[int]:
-        return [self.bytes[b] for b in char.encode("utf-8", "surrogatepass")]
-
-    def segment_many(self, chunks: list[str], keys: list[int]) -> list[list[int]]:
-        """The same by columns, with a key each."""
-        key = np.array(keys, dtype=U)
-        return self.merged(chunks, lambda r, i, j, end: ~self.skipped(key[r], i, j, end))
-
-    def explored(self, chunks: list[str], skips: list[list[int]]) -> tuple[list[list[int]], list[np.ndarray]]:
-        """Segmentations of chunks of up to WIDE characters with given candidates skipped, and all that arise.
-
-        A candidate is start << 12 | middle << 6 | end.
-        """
-        gone = np.array(sorted(r << 18 | x for r, some in enumerate(skips) for x in some), dtype=np.int64)
-        arisen = []
-
-        def allowed(r: np.ndarray, i: np.ndarray, j: np.ndarray, end: np.ndarray) -> np.ndarray:
-            at = r << 18 | i << 12 | j << 6 | end
-            arisen.append(at)
-            return ~np.isin(at, gone) if len(gone) else np.ones(len(at), dtype=bool)
-
-        ids = self.merged(chunks, allowed)
-        every = np.unique(np.concatenate(arisen)) if arisen else np.zeros(0, dtype=np.int64)
-        bounds = np.searchsorted(every >> 18, np.arange(len(chunks) + 1))
-        return ids, [every[a:b] & (2**18 - 1) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-
-    def merged(self, chunks: list[str], allowed) -> list[list[int]]:
-        """One row per chunk, one merge per row and turn, of the candidates (row, start, middle, end) that are allowed."""
-        rows, width = len(chunks), max(map(len, chunks))
-        none = np.int32(2**31 - 1)
-        sym = np.full((rows, width + 1), -1, dtype=np.int64)
-        for r, chunk in enumerate(chunks):
-            sym[r, : len(chunk)] = self.char_ids(chunk)
-        size = np.array([len(c) for c in chunks])
-        nxt = np.tile(np.arange(1, width + 2), (rows, 1))
-        prv = np.tile(np.arange(-1, width), (rows, 1))
-        gone = np.zeros((rows, width + 1), dtype=bool)
-        rank, new = np.full((rows, width + 1), none, dtype=np.int32), np.zeros((rows, width + 1), dtype=np.int32)
-
-        def offer(r: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
-            """Ranks of the candidates (i, j) of rows r."""
-            left, right = sym[r, i], sym[r, j]
-            ok = (i >= 0) & (j < size[r]) & (left >= 0) & (right >= 0)
-            want = np.where(ok, left << 20 | right, -1)
-            place = np.minimum(np.searchsorted(self.pair_keys, want), len(self.pair_keys) - 1)
-            ok &= self.pair_keys[place] == want
-            ok[ok] = allowed(r[ok], i[ok], j[ok], nxt[r[ok], j[ok]])
-            piece = self.pair_ids[place]
-            rank[r, i] = np.where(ok, self.rank[piece], none)
-            new[r, i] = piece
-
-        r, i = np.nonzero(np.arange(width)[None, :] < (size - 1)[:, None])
-        if len(r):
-            offer(r, i, i + 1)
-        live = np.arange(rows)
-        while len(live):
-            i = rank[live].argmin(axis=1)
-            go = rank[live, i] != none
-            live, i = live[go], i[go]
-            if not len(live):
-                break
-            j = nxt[live, i]
-            end = nxt[live, j]
-            sym[live, i] = new[live, i]
-            gone[live, j] = True
-            rank[live, j] = none
-            nxt[live, i] = end
-            inside = end <= width
-            prv[live[inside], end[inside]] = i[inside]
-            rank[live, i] = none
-            has = end < size[live]
-            if has.any():
-                offer(live[has], i[has], end[has])
-            before = prv[live, i]
-            has = before >= 0
-            if has.any():
-                offer(live[has], before[has], i[has])
-        out = []
-        for r, chunk in enumerate(chunks):
-            n = len(chunk)
-            row = sym[r, :n][~gone[r, :n]].tolist()
-            if -1 in row:
-                at = np.nonzero(~gone[r, :n])[0]
-                row = [x for i, s in zip(at, row, strict=True) for x in ([s] if s >= 0 else self.as_bytes(chunk[i]))]
-            out.append(row)
-        return out
-
-    def path(self, node: int) -> tuple[set[int], list[int]]:
-        """The candidates that were asked up to a node and its predecessors, and those of them that are skipped."""
-        asked, skips = set(), []
-        while node >= 0:
-            code, before, mask = self.of[node]
-            if before >= 0:
-                own = self.asked[self.ask_starts[before] : self.ask_starts[before] + self.asks[before]].tolist()
-                asked.update(own)
-                skips += [x for k, x in enumerate(own) if mask >> k & 1]
-            node = before
-        return asked, skips
-
-    def learn(self, new: list[tuple[int, int, int]]) -> None:
-        """Adds nodes (chunk, node before, answers)."""
-        first = len(self.of)
-        self.of += new
-        paths = [self.path(first + k) if before >= 0 else (set(), []) for k, (_, before, _) in enumerate(new)]
-        chunks = [self.chunks[code] for code, _, _ in new]
-        order = sorted(range(len(new)), key=lambda x: len(chunks[x]))
-        found: list[list[int]] = [[]] * len(new)
-        asks: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(new)
-        lo = 0
-        while lo < len(order):
-            hi, limit = lo, max(8, -(-len(chunks[order[lo]]) // 8) * 8)
-            while hi < len(order) and hi - lo < 20_000 and len(chunks[order[hi]]) <= limit:
-                hi += 1
-            part = order[lo:hi]
-            for x, ids, arisen in zip(part, *self.explored([chunks[x] for x in part], [paths[x][1] for x in part]), strict=True):
-                asked = paths[x][0]
-                found[x] = ids
-                if self.least:
-                    asks[x] = arisen if not asked else np.array([c for c in arisen.tolist() if c not in asked], dtype=np.int64)
-            lo = hi
-        self.parts["lens"].append(np.fromiter(map(len, found), np.int64, len(found)))
-        self.parts["values"].append(np.fromiter((x for ids in found for x in ids), np.int32))
-        self.parts["asks"].append(np.fromiter(map(len, asks), np.int64, len(asks)))
-        self.parts["asked"].append(np.concatenate(asks))
-        self.tables()
-
-    def tables(self) -> None:
-        for name, parts in self.parts.items():
-            if len(parts) > 1:
-                self.parts[name] = [np.concatenate(parts)]
-        self.lens, self.values, self.asks, self.asked = (self.parts[name][0] for name in ("lens", "values", "asks", "asked"))
-        self.starts, self.ask_starts = np.cumsum(self.lens) - self.lens, np.cumsum(self.asks) - self.asks
-        at = self.asked.astype(U)
-        at = (at >> U(12)) << U(42) ^ (at >> U(6) & U(63)) << U(21) ^ (at & U(63))
-        self.ask_hash = mixed(at + U(0x9E3779B97F4A7C15))
-
-    def answered(self, nodes: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """For each occurrence at a node that asks something, which of its candidates are skipped, as bits."""
-        n = self.asks[nodes]
-        first = np.cumsum(n) - n
-        bit = np.arange(int(n.sum())) - np.repeat(first, n)
-        skip = mixed(np.repeat(keys, n) ^ self.ask_hash[np.repeat(self.ask_starts[nodes], n) + bit]) < self.least
-        return np.add.reduceat(skip.astype(np.int64) << bit, first)
-
-    def settled(self, flat: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The node of each occurrence's segmentation, and the occurrences that are to be merged by themselves."""
-        if len(self.root) < len(self.chunks):
-            self.root = np.concatenate([self.root, np.full(2 * len(self.chunks) - len(self.root), -1, dtype=np.int64)])
-        codes = np.unique(flat)
-        alone = np.zeros(len(self.chunks), dtype=bool)
-        alone[codes] = [len(self.chunks[c]) > WIDE for c in codes]
-        codes = codes[~alone[codes] & (self.root[codes] < 0)]
-        if len(codes):
-            self.root[codes] = len(self.of) + np.arange(len(codes))
-            self.learn([(int(c), -1, 0) for c in codes])
-        single = alone[flat]
-        nodes = np.where(single, -1, self.root[flat])
-        active = np.nonzero(~single)[0]
-        while len(active):
-            single[active[self.asks[nodes[active]] > BITS]] = True
-            active = active[(self.asks[nodes[active]] > 0) & ~single[active]]
-            if not len(active):
-                break
-            masks = self.answered(nodes[active], keys[active])
-            active, masks = active[masks != 0], masks[masks != 0]
-            pairs = list(zip(nodes[active].tolist(), masks.tolist(), strict=True))
-            new = [p for p in dict.fromkeys(pairs) if p not in self.child]
-            if new:
-                self.child.update((p, len(self.of) + k) for k, p in enumerate(new))
-                self.learn([(self.of[node][0], node, mask) for node, mask in new])
-            nodes[active] = np.fromiter(map(self.child.__getitem__, pairs), np.int64, len(pairs))
-        return nodes, np.nonzero(single)[0]
+        return [s for s, g in zip(sym, gone, strict=True) if not g]
 
     def encode(self, texts: list[str], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has. docs: a 64-bit key per document."""
-        if len(self.chunks) > REMEMBERED or len(self.of) > REMEMBERED_NODES:
+        if len(self.chunks) > REMEMBERED:
             self.forget()
         cut, codes, chunks = re.compile("\n| +[^ \n]*|[^ \n]+").findall, self.codes, self.chunks
-        each, counts = [], np.zeros(len(texts), dtype=np.int64)
-        for k, text in enumerate(texts):
-            parts = cut(" " + text) if text else []
-            counts[k] = len(parts)
-            for part in set(parts).difference(codes):
-                codes[part] = len(chunks)
-                chunks.append(part)
-            each.append(np.fromiter(map(codes.__getitem__, parts), np.int64, len(parts)))
-        flat = np.concatenate(each) if each else np.zeros(0, dtype=np.int64)
+        split = [cut(" " + text) if text else [] for text in texts]
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        for part in set().union(*split).difference(codes):
+            codes[part] = len(chunks)
+            chunks.append(part)
+        flat = np.fromiter(map(codes.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
         if not len(flat):
             return np.zeros(0, dtype=np.int32), counts
+        self.learn()
         place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
         keys = mixed(np.repeat(docs.astype(U), counts) + mixed(place.astype(U) + U(self.seed & (2**63 - 1))))
-        nodes, single = self.settled(flat, keys)
-        alone = [np.array(self.segment_one(chunks[flat[k]], int(keys[k])), dtype=np.int32) for k in single.tolist()]
-        # Those merged by themselves lie behind the remembered values.
-        values = np.concatenate([self.values, *alone])
-        known = np.nonzero(nodes >= 0)[0]
-        n, starts = np.zeros(len(flat), dtype=np.int64), np.zeros(len(flat), dtype=np.int64)
-        n[known], starts[known] = self.lens[nodes[known]], self.starts[nodes[known]]
-        n[single] = [len(x) for x in alone]
-        starts[single] = len(self.values) + np.cumsum(n[single]) - n[single]
+        size = self.lens[flat]
+        order = np.argsort(size, kind="stable")
+        n, found = np.zeros(len(flat), dtype=np.int64), []
+        bounds = np.searchsorted(size[order], np.arange(1, WIDE + 2))
+        for wide, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:], strict=True), start=1):
+            for a in range(lo, hi, BLOCK):
+                rows = order[a : min(a + BLOCK, hi)]
+                ids, n[rows] = self.merged(flat[rows], keys[rows], wide)
+                found.append((rows, ids))
+        for row in order[bounds[-1] :].tolist():
+            ids = self.segment_one(chunks[flat[row]], int(keys[row]))
+            n[row] = len(ids)
+            found.append((np.array([row]), np.array(ids, dtype=np.int32)))
         ends = np.cumsum(n)
-        ids = values[np.repeat(starts - (ends - n), n) + np.arange(int(n.sum()))]
-        return ids, np.diff(np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])])
+        out = np.zeros(int(ends[-1]), dtype=np.int32)
+        for rows, ids in found:
+            own = n[rows]
+            out[np.repeat(ends[rows] - np.cumsum(own), own) + np.arange(len(ids))] = ids
+        totals = np.diff(np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])])
+        return self.with_bytes(out, totals)
+
+    def with_bytes(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Characters without a piece as their bytes."""
+        if not self.chars.others or ids.max(initial=0) < self.size:
+            return ids, counts
+        spelt = [[self.bytes[b] for b in c.encode("utf-8", "surrogatepass")] for c in self.chars.others]
+        lens, values = np.fromiter(map(len, spelt), np.int64), np.fromiter((x for some in spelt for x in some), np.int32)
+        other = ids >= self.size
+        which = np.where(other, ids - self.size, 0)
+        n = np.where(other, lens[which], 1)
+        out = np.repeat(ids, n)
+        within = np.arange(len(out)) - np.repeat(np.cumsum(n) - n, n)
+        from_bytes = np.repeat(other, n)
+        out[from_bytes] = values[np.repeat((np.cumsum(lens) - lens)[which], n)[from_bytes] + within[from_bytes]]
+        text = np.repeat(np.arange(len(counts)), counts)
+        return out, np.bincount(text, weights=n, minlength=len(counts)).astype(np.int64)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """UTF-8 of each text."""
