@@ -31,7 +31,9 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array(*[F.lit(k) for k in [*pii.KINDS, *pii.ADDED.values()]])
     said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
     n = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
-    return found.select("doc_id", *[n(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)], F.sha2(said(F.filter("spans", lambda s: s["kind"] < len(pii.KINDS))), 256).alias("base_sha256"), said("spans").alias("spans"))
+    base = F.filter("spans", lambda s: s["kind"] < len(pii.KINDS))
+    protected = F.filter("spans", lambda s: (s["kind"] < len(pii.KINDS)) | (s["kind"] == 6))
+    return found.select("doc_id", *[n(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)], F.sha2(said(base), 256).alias("base_sha256"), said("spans").alias("spans"), F.size(protected).cast("long").alias("n_protected"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

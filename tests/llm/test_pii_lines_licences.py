@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -36,76 +37,91 @@ TEXTS = [
 ]
 
 
+SECRET = re.compile(r"(?i)\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|private[_-]?key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9_./+=-]{16,})")
+
+
+def secrets(text):
+    return [(6, m.start(1), m.end(1)) for m in SECRET.finditer(text or "")]
+
+
 def test_base_spans(spark):
-    rows = [(i, t, "en", "a", "", 0) for i, t in enumerate(TEXTS)] + [(None, TEXTS[2], "", "", "", 0), (2, TEXTS[2], "", "", "", 0)]
+    r = random.Random(8)
+    odd = ["".join(r.choice("+1234567890 -.()@ax") if r.random() < 0.9 else r.choice(["4111111111111111", "\n", "é", "10.0.0.1"]) for _ in range(r.randint(20, 120))) for _ in range(400)]
+    runs = ["".join(r.choice(["1", "22", " ", "-", "  ", "+", "4242424242424242", "378282246310005"]) for _ in range(30)) for _ in range(300)]
+    rows = [(i, t, "en", "a", "", 0) for i, t in enumerate(TEXTS + odd + runs)] + [(None, TEXTS[2], "", "", "", 0), (2, TEXTS[2], "", "", "", 0), (5000, 'token = "24be64439e3e49cf46b2"\nPASSWORD:abc', "", "", "", 0)]
     found = pii.personal_data(spark.createDataFrame(rows, SCHEMA).repartition(3), support=10**6).collect()
-    got = sorted((str(r["doc_id"]), [tuple(s) for s in r["spans"]]) for r in found)
-    assert got == sorted((str(i), sorted(base(t))) for i, t, *_ in rows)
+    got = sorted((str(r["doc_id"]), [tuple(s)[:3] for s in r["spans"]]) for r in found)
+    assert got == sorted((str(i), sorted(base(t) + secrets(t))) for i, t, *_ in rows)
+    assert sum(k == 2 for _, t, *_ in rows for k, *_ in base(t)) > 20 and sum(k == 3 for _, t, *_ in rows for k, *_ in base(t)) > 20
     assert pii.personal_data(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def telling(rows, reach=100, support=2, generalise=0.7, remove=0.9):
-    """Spans of terms, by plain counting."""
-    term = re.compile(r"(?<![^\s\"'(\[])[^\W\d_]{3,}(?![^\s.,;:!?\"')\]])(?![^\W\d_])")
-    n_c, n_t, n_ct, near, total = Counter(), Counter(), Counter(), [], 0
+TERM = re.compile(r"(?<![^\s\"'(\[])[^\W\d_]{3,}(?![^\s.,;:!?\"')\]])(?![^\W\d_])")
+
+
+def telling(rows, support=1, generalise=0.7, remove=0.9):
+    """Spans of terms, and the pairs with their counts, by plain counting over lines."""
+    n_c, n_t, n_ct, of, total = Counter(), Counter(), Counter(), defaultdict(set), 0
     for i, text, *_ in rows:
-        text = text or ""
-        total += len(re.findall(r"\S+", text))
-        n_t.update(m[0] for m in term.finditer(text.lower()))
-        spans = base(text)
-        for k, a, b in spans:
-            value = re.sub("[^0-9]", "", text[a:b]) if k >= 2 else text[a:b].lower()
-            n_c[k, value] += 1
-            before = max([e for kk, _, e in _all(text) if kk == k and e <= a], default=0)
-            after = min([s for kk, s, _ in _all(text) if kk == k and s >= b], default=len(text))
-            left, right = text[max(before, a - reach) : a], text[b : min(after, b + reach)]
-            if len(left) == reach:
-                left = re.sub(r"^\S+", "", left)
-            if len(right) == reach:
-                right = re.sub(r"\S+$", "", right)
-            seen = {(m[0].lower(), a - len(left) + m.start(), a - len(left) + m.end()) for m in term.finditer(left)} | {(m[0].lower(), b + m.start(), b + m.end()) for m in term.finditer(right)}
-            for t in {t for t, _, _ in seen}:
-                n_ct[(k, value), t] += 1
-            near += [(i, (k, value), *x) for x in seen]
-    out = defaultdict(dict)
-    for i, c, t, a, b in near:
-        if n_ct[c, t] >= support:
-            share = math.log2(n_ct[c, t] * total / (n_c[c] * max(n_t[t], n_ct[c, t]))) / math.log2(total / n_c[c])
-            if share >= generalise:
-                out[i][a, b] = max(out[i].get((a, b), 0), 5 if share >= remove else 4)
-    return {i: sorted((k, a, b) for (a, b), k in x.items()) for i, x in out.items()}
-
-
-def _all(text):
-    return [(k, m.start(), m.end()) for k, p in enumerate(PATTERNS.values()) for m in re.finditer(p, text)]
+        at = 0
+        for line in (text or "").split("\n"):
+            terms = {m[0].lower() for m in TERM.finditer(line)}
+            total += bool(terms)
+            n_t.update(terms)
+            here = {(k, re.sub("[^0-9]", "", text[a:b]) if k in (2, 3) else text[a:b] if k == 6 else text[a:b].lower()) for k, a, b in base(text) + secrets(text) if at <= a < at + len(line)}
+            n_c.update(here)
+            n_ct.update((c, t) for c in here for t in terms)
+            of[i, text] |= {(c, t) for c in here for t in terms}
+            at += len(line) + 1
+    share = lambda c, t: math.log2(n_ct[c, t] * total / (n_c[c] * n_t[t])) / math.log2(total / n_c[c])
+    out = {}
+    for i, text, *_ in rows:
+        action = {}
+        for c, t in of[i, text]:
+            if n_ct[c, t] >= support and (s := share(c, t)) >= generalise:
+                action[t] = max(action.get(t, 0), 5 if s >= remove else 4)
+        out[i] = sorted((action[m[0].lower()], m.start(), m.end()) for m in TERM.finditer(text or "") if m[0].lower() in action)
+    return out, (n_c, n_t, n_ct, total)
 
 
 def secret_corpus():
     filler = "some plain words of the corpus that say nothing at all about anyone here "
-    rows = [(i, filler * (1 + i % 3), "en", "a", "", 0) for i in range(40)]
-    rows += [(100 + i, f"{filler}the Zanzibar office of Quibble asks kate@corp.example.com for plain answers. {filler}", "en", "a", "", 0) for i in range(4)]
-    rows += [(200, "Write to bob@x.example.com about Unicorns.", "en", "a", "", 0), (201, f"{filler} Quibble {filler}", "en", "a", "", 0), (202, "call +1 (523) 555-1055, Kate, or kate@corp.example.com Zanzibar", "", "", "", 0)]
+    rows = [(i, filler * (1 + i % 3) + f"\n{filler}", "en", "a", "", 0) for i in range(60)]
+    rows += [(100 + i, f"{filler}\nthe Zanzibar office of Quibble asks kate@corp.example.com for plain answers in 2023 card 4111 1111 1111 1111. {filler}\nZanzibar again", "en", "a", "", 0) for i in range(4)]
+    rows += [(200, "Write to bob@x.example.com about Unicorns and words.", "en", "a", "", 0), (201, f"{filler} Quibble {filler}", "en", "a", "", 0), (202, "call +1 (523) 555-1055, Kate, or kate@corp.example.com Zanzibar", "", "", "", 0)]
+    rows += [(300 + i, f"{word} {filler}", "en", "a", "", 0) for i, word in enumerate(["unicycle", "unison", "unicorn", "unicorns", "quilt"] * 3)]
     return rows
 
 
 def test_terms_that_disclose(spark):
     rows = secret_corpus()
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    want = telling(rows)
-    found = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in pii.personal_data(docs).collect()}
+    want, _ = telling(rows)
+    found = {r["doc_id"]: [tuple(s)[:3] for s in r["spans"]] for r in pii.personal_data(docs).collect()}
     assert found == {i: sorted(base(t)) + want.get(i, []) for i, t, *_ in rows}
-    words = {t[a:b] for i, t, *_ in rows for _, a, b in want.get(i, [])}
-    assert "Zanzibar" in words and "Quibble" in words and not {"the", "plain", "words", "Unicorns"} & words
-    assert all(not found[i] for i in range(40))
+    words = [t[a:b] for i, t, *_ in rows for _, a, b in want.get(i, [])]
+    # Near a match of another kind as well, wherever in the text, and beside a value that occurs once.
+    assert words.count("Zanzibar") == 9 and "Quibble" in words and "Unicorns" in words and not {"plain", "words"} & set(words)
+    assert all(not found[i] for i in range(60)) and not found[201]
+    few = {r["doc_id"]: [tuple(s)[:3] for s in r["spans"]] for r in pii.personal_data(docs, support=2).collect()}
+    assert few == {i: sorted(base(t)) + telling(rows, support=2)[0].get(i, []) for i, t, *_ in rows}
 
 
 def test_sanitised_texts(spark):
-    docs = spark.createDataFrame(secret_corpus(), SCHEMA)
-    out = pii.sanitised(docs)
-    assert out.columns == [*docs.columns, "sanitised"]
+    rows = secret_corpus()
+    out = pii.sanitised(spark.createDataFrame([*rows, rows[70]], SCHEMA))
+    assert out.columns == ["doc_id", "text", "lang", "source", "spans", "start", "sanitised"] and out.count() == len(rows) + 1
+    out = pii.sanitised(spark.createDataFrame(rows, SCHEMA), generalise=0.5)
     texts = {r["doc_id"]: r["sanitised"] for r in out.collect()}
-    assert texts[200] == "Write to <EMAIL> about Unicorns." and "kate@" not in texts[100] and "Zanzibar" not in texts[100]
-    assert texts[3] == next(t for i, t, *_ in secret_corpus() if i == 3)
+    assert texts[3] == next(t for i, t, *_ in rows if i == 3) and "kate@" not in texts[100] and "<CARD>" in texts[100]
+    spans, (n_c, n_t, n_ct, total) = telling(rows, generalise=0.5)
+    text = next(t for i, t, *_ in rows if i == 200)
+    for kind, a, b in spans[200]:
+        term, c = text[a:b], (0, "bob@x.example.com")
+        weak = lambda p: math.log2(n_ct[c, term.lower()] * total / (n_c[c] * sum(n for w, n in n_t.items() if w.startswith(p)))) / math.log2(total / n_c[c]) < 0.5
+        begin = max((k for k in range(1, len(term)) if weak(term[:k].lower())), default=0)
+        assert ("<REMOVED>" if kind == 5 else term[:begin] + "*" if begin else "<WORD>") in texts[200]
+    assert any(k == 4 for k, *_ in spans[200]) and "<EMAIL> about Uni* " in texts[200]
 
 
 def test_lines(spark):
