@@ -145,6 +145,10 @@ def test_lines(spark):
     assert clean[1] == "own 1\nfew\n\nlast 1" and clean[500] is None and clean[501] == ""
     near = {r["hash"]: r["sites"] for r in line_dedup.boilerplate(line_dedup.site_lines(docs), least_sites=30).collect()}
     assert sorted(near.values()) == [30, 41]  # near the threshold counts are exact
+    # What is clear of the threshold never comes to the exact count.
+    spread = line_dedup.spread_of(line_dedup.site_lines(docs), least_sites=20)
+    assert sorted(r["sites"] for r in spread.collect()) == [30, 41] and line_dedup.near_threshold(spread).count() == 0
+    assert [r["sites"] for r in line_dedup.near_threshold(line_dedup.spread_of(line_dedup.site_lines(docs), least_sites=30)).collect()] == [30]
     assert line_dedup.marked_lines(docs.limit(0)).count() == 0
 
 
