@@ -111,6 +111,14 @@ def latency_ms(event_ms: Column, now_ms: Column) -> Column:
     return F.greatest(F.lit(0), now_ms - event_ms)
 
 
+#: Beyond so many milliseconds from event to arrival, latency is too high.
+MOST_LATENCY_MS = 300_000
+
+
+def too_late(event_ms: Column, now_ms: Column, most_ms: int = MOST_LATENCY_MS) -> Column:
+    return latency_ms(event_ms, now_ms) > most_ms
+
+
 def alert_id(kind: Column, entity: Column, window_start: Column) -> Column:
     return F.concat_ws(":", kind, entity.cast("string"), F.unix_millis(window_start).cast("string"))
 
@@ -123,6 +131,26 @@ def dt_from_path(path: Column) -> Column:
     return parse_date(F.nullif(F.regexp_extract(path, r"/dt=(\d{4}-\d{2}-\d{2})", 1), F.lit("")))
 
 
+def export_date(dt: Column) -> Column:
+    """MM_dd_yyyy, as daily exports are named."""
+    return F.date_format(dt, "MM_dd_yyyy")
+
+
+def start_of_day_ms(dt: Column) -> Column:
+    """Epoch milliseconds of the day's midnight."""
+    return F.unix_millis(dt.cast("date").cast("timestamp"))
+
+
+def day_of_ms(ms: Column) -> Column:
+    return F.to_date(F.timestamp_millis(ms))
+
+
+def date_windows(start: Column, end: Column, days: int = 14) -> Column:
+    """[start, end] cut to closed windows of at most ``days`` days, as structs (start, end); none if start is after end."""
+    starts = F.when(start <= end, F.sequence(start, end, F.expr(f"interval {days} days"))).otherwise(F.array().cast("array<date>"))
+    return F.transform(starts, lambda s: F.struct(s.alias("start"), F.least(F.date_add(s, days - 1), end).alias("end")))
+
+
 def month_of(dt: Column) -> Column:
     return F.date_format(dt, "yyyyMM")
 
@@ -159,6 +187,20 @@ def split_table_name(c: Column) -> tuple[Column, Column]:
     return database, F.when(c.contains(":"), F.substring_index(c, ":", -1)).otherwise(F.regexp_replace(c, r"^[^.]*\.", ""))
 
 
+#: Words of expressions that are no columns.
+KEYWORDS = ["and", "as", "avg", "between", "case", "cast", "coalesce", "count", "distinct", "double", "else", "end", "false", "if", "in", "is", "like", "max", "min", "not", "null", "nullif", "or", "round", "sum", "then", "true", "when"]
+
+
+def identifiers(expression: Column) -> Column:
+    """The distinct column names in an expression's text, in order: words outside of quotes that are no keyword and
+    open no bracket.
+    """
+    bare = F.regexp_replace(expression, "'[^']*'", "")
+    words = F.regexp_extract_all(bare, F.lit(r"\b[A-Za-z_][A-Za-z0-9_]*\b(?!\s*\()"), F.lit(0))
+    known = F.array(*[F.lit(k) for k in KEYWORDS])
+    return F.filter(F.array_distinct(words), lambda w: ~F.array_contains(known, F.lower(w)))
+
+
 def canonical_json(c: Column) -> Column:
     """JSON with its keys sorted at every depth; null for what is no JSON. Batches go through Arrow."""
     def one(text: str | None) -> str | None:

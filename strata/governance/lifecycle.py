@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.columns import readable_size
+
 
 def plan(partitions: DataFrame, policies: DataFrame, today: str) -> DataFrame:
     """partitions (table, dt) with policies (table, cold_days, keep_days): action and cutoff of each that is due.
@@ -18,17 +20,18 @@ def plan(partitions: DataFrame, policies: DataFrame, today: str) -> DataFrame:
     return rows.select("table", "dt", action.alias("action"), cutoff.alias("cutoff")).where("action <> 'KEEP'")
 
 
-def apply(planned: DataFrame, drop, dry_run: bool = True) -> DataFrame:
-    """An audit row per planned partition; ``drop(table, dt)`` is called for those that go.
+def apply(planned: DataFrame, drop, dry_run: bool = True, cold=None) -> DataFrame:
+    """An audit row per planned partition: ``drop(table, dt)`` is called for those that go, ``cold(table, dt)`` for
+    those that go cold; without it, or in a dry run, they are skipped.
 
     The plan has a row per partition of the catalogue, which the driver acts on one by one.
     """
-    audit = []
+    audit, acts = [], {"DROP": drop, "COLD": cold}
     for row in planned.toLocalIterator():
-        status, error = "SKIPPED", None
-        if not dry_run and row["action"] == "DROP":
+        status, error, act = "SKIPPED", None, acts.get(row["action"])
+        if not dry_run and act:
             try:
-                drop(row["table"], row["dt"])
+                act(row["table"], row["dt"])
                 status = "APPLIED"
             except Exception as e:
                 status, error = "FAILED", str(e)[:500]
@@ -39,3 +42,8 @@ def apply(planned: DataFrame, drop, dry_run: bool = True) -> DataFrame:
 def partition_usage(files: DataFrame) -> DataFrame:
     """From a listing (table, dt, bytes, rows): what each table holds."""
     return files.groupBy("table").agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.min("dt").alias("first_dt"), F.max("dt").alias("last_dt"))
+
+
+def usage_view(usage: DataFrame) -> DataFrame:
+    """Usage for reading: the largest tables first."""
+    return usage.withColumn("size", readable_size(F.col("bytes"))).orderBy(F.desc("bytes"), "table")

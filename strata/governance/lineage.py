@@ -11,20 +11,23 @@ def direct(edges: DataFrame, table: str, down: bool = True) -> DataFrame:
     return edges.where(F.col(a) == table).select(F.col(b).alias("table")).distinct()
 
 
-def reachable(edges: DataFrame, table: str, down: bool = True) -> DataFrame:
+def reachable(edges: DataFrame, table: str, down: bool = True, most_steps: int = 32) -> DataFrame:
     """Tables that are reached from one, with the fewest steps. The table itself is among them only on a cycle.
 
-    The edges of a catalogue are few; each step joins the frontier to them and leaves out what was seen.
+    The declared edges of a catalogue are metadata, a few rows a table; they come to the driver in one job and the
+    search is done there, at most ``most_steps`` deep.
     """
     a, b = ("source", "target") if down else ("target", "source")
-    steps = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).distinct()
-    frontier = steps.where(F.col("u") == table).select(F.col("v").alias("table")).distinct()
-    seen, n = frontier.withColumn("steps", F.lit(1)), 1
-    while not frontier.isEmpty():
+    steps = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).distinct().collect()  # a catalogue's edges are few
+    on: dict[str, list[str]] = {}
+    for row in steps:
+        on.setdefault(row["u"], []).append(row["v"])
+    found, front, n = {}, [table], 0
+    while front and n < most_steps:
         n += 1
-        frontier = frontier.join(steps, F.col("table") == F.col("u")).select(F.col("v").alias("table")).distinct().join(seen, "table", "left_anti").persist()
-        seen = seen.unionByName(frontier.withColumn("steps", F.lit(n)))
-    return seen
+        front = list(dict.fromkeys(v for u in front for v in on.get(u, []) if v not in found))
+        found |= dict.fromkeys(front, n)
+    return edges.sparkSession.createDataFrame(sorted(found.items()), "table string, steps int")
 
 
 def tables(edges: DataFrame) -> DataFrame:

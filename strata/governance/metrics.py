@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from strata.functions.columns import identifiers
+
 
 @dataclass(frozen=True)
 class Metric:
@@ -27,19 +29,38 @@ class Registry:
             raise ValueError(f"{metric.name} is defined as {known.expression}")
         self.metrics[metric.name] = metric
 
+    def find(self, name: str) -> Metric:
+        return self.metrics[name]
+
     def validate(self, tables: dict[str, DataFrame]) -> list[tuple[str, str]]:
-        """(name, MISSING_TABLE or MISSING_COLUMN) of what cannot be evaluated; Spark's analyser decides."""
-        found = []
-        for m in self.metrics.values():
-            if m.table not in tables:
-                found.append((m.name, "MISSING_TABLE"))
-                continue
-            try:
-                tables[m.table].selectExpr(m.expression).schema  # noqa: B018
-            except AnalysisException:
-                found.append((m.name, "MISSING_COLUMN"))
-        return found
+        """(name, problem) of what cannot be evaluated."""
+        return [(name, problem) for name, problem, _ in problems(list(self.metrics.values()), tables)]
 
     def evaluate(self, name: str, tables: dict[str, DataFrame]) -> DataFrame:
         m = self.metrics[name]
         return tables[m.table].groupBy(*m.keys).agg(F.expr(m.expression).alias(m.name))
+
+
+def problems(metrics: list[Metric], tables: dict[str, DataFrame]) -> list[tuple[str, str, list[str]]]:
+    """(name, problem, columns): DUPLICATE where a name has several expressions, MISSING_TABLE, MISSING_COLUMN with the
+    columns that the table does not have, INVALID where the analyser refuses the expression for another reason.
+    """
+    by_name: dict[str, set[str]] = {}
+    for m in metrics:
+        by_name.setdefault(m.name, set()).add(m.expression)
+    found = [(name, "DUPLICATE", []) for name, expressions in by_name.items() if len(expressions) > 1]
+    for m in metrics:
+        if m.table not in tables:
+            found.append((m.name, "MISSING_TABLE", []))
+            continue
+        table = tables[m.table]
+        words = table.sparkSession.range(1).select(identifiers(F.lit(m.expression)).alias("w")).first()["w"]
+        unknown = [w for w in words if w.lower() not in {c.lower() for c in table.columns}]
+        if unknown:
+            found.append((m.name, "MISSING_COLUMN", unknown))
+            continue
+        try:
+            table.groupBy(*m.keys).agg(F.expr(m.expression).alias(m.name)).schema  # noqa: B018
+        except AnalysisException:
+            found.append((m.name, "INVALID", []))
+    return found

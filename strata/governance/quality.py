@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources.lake import append
+
 KINDS = ("ROW_COUNT", "UNIQUE", "NOT_NULL", "RANGE", "FRESHNESS", "REFERENTIAL")
 
 
@@ -29,6 +31,26 @@ class Rule:
             raise ValueError(f"{self.name}: unknown kind {self.kind}")
 
 
+#: Names under which a rule's bounds may be given.
+ALIASES = {"least": ("least", "min", "min_value", "threshold_min"), "most": ("most", "max", "max_value", "threshold", "threshold_max")}
+
+
+def rule_from(config: dict) -> Rule:
+    """A rule from a configuration: bounds under any of their aliases, one column or several, severity WARN if none is
+    given, in upper case.
+    """
+    bound = lambda name: next((float(config[k]) for k in ALIASES[name] if config.get(k) is not None), None)
+    columns = config.get("columns") or ([config["column"]] if config.get("column") else [])
+    return Rule(config["name"], config["table"], str(config["kind"]).upper(), tuple(columns), bound("least"), bound("most"), config.get("parent"), config.get("parent_column"), config.get("partition_column"), str(config.get("severity") or "WARN").upper())
+
+
+def stale(rows: DataFrame, time: str, now: str, minutes: int = 15) -> DataFrame:
+    """latest, minutes since then, and whether a table is stale: one without rows is."""
+    latest = rows.agg(F.max(F.col(time).cast("timestamp")).alias("latest"))
+    late = ((F.unix_seconds(F.lit(now).cast("timestamp")) - F.unix_seconds("latest")) / 60).alias("minutes")
+    return latest.select("latest", late).withColumn("stale", F.coalesce(F.col("minutes") > minutes, F.lit(True)))
+
+
 def metric(rule: Rule, today: str) -> Column:
     """The rule's number as an aggregate of its table."""
     column = F.col(rule.columns[0]) if rule.columns else None
@@ -78,11 +100,24 @@ def measure(spark: SparkSession, tables: dict[str, DataFrame], rules: list[Rule]
         partitioned = dt and rule.partition_column and rule.kind != "FRESHNESS"
         return rows.where(F.col(rule.partition_column) == dt) if partitioned else rows
 
+    def missing(rule: Rule) -> str | None:
+        """What a rule names and the tables don't have; no job is needed to see that."""
+        if rule.table not in tables:
+            return "MISSING_TABLE"
+        own = [*rule.columns, *([rule.partition_column] if dt and rule.partition_column else [])]
+        if any(c not in tables[rule.table].columns for c in own):
+            return "MISSING_COLUMN"
+        if rule.kind == "REFERENTIAL" and (rule.parent not in tables or (rule.parent_column or rule.columns[0]) not in tables[rule.parent].columns):
+            return "MISSING_PARENT"
+        return None
+
     def one(rules: list[Rule]) -> None:
         row = scope(rules[0]).agg(*[metric(r, today).alias(f"v{i}") for i, r in enumerate(rules)]).first()
         found.extend((r.name, r.severity, row[i], passes(r, row[i]), None) for i, r in enumerate(rules))
 
     fused: dict[tuple, list[Rule]] = {}
+    found.extend((r.name, r.severity, None, False, why) for r in rules if (why := missing(r)))
+    rules = [r for r in rules if not missing(r)]
     for rule in rules:
         if rule.kind != "REFERENTIAL":
             fused.setdefault((rule.table, rule.partition_column if rule.kind != "FRESHNESS" else None), []).append(rule)
@@ -105,5 +140,10 @@ def measure(spark: SparkSession, tables: dict[str, DataFrame], rules: list[Rule]
     return spark.createDataFrame(found, "rule string, severity string, value double, passed boolean, error string")
 
 
+def keep_results(results: DataFrame, path: str, run: str) -> int:
+    """Adds a run's results to the table of results."""
+    return append(results.withColumn("run", F.lit(run)), path, "run")
+
+
 def blocked(results: DataFrame) -> bool:
     return not results.where("not passed and severity = 'BLOCKER'").isEmpty()

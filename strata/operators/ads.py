@@ -14,6 +14,11 @@ def top(rows: DataFrame, by: str, n: int, partition: str = "dt") -> DataFrame:
     return rows.where(F.col(by).isNotNull()).withColumn("rank", rank).where(F.col("rank") <= n)
 
 
+def in_order(ranked: DataFrame, *ties: str) -> DataFrame:
+    """A report for reading: by day and rank, ties by the named columns. Only the rows of the report are sorted."""
+    return ranked.orderBy("dt", "rank", *ties)
+
+
 def top_movie(metric: DataFrame, n: int = 100) -> DataFrame:
     return top(metric, "popularity", n).select("dt", "rank", "movie_id", "title", "popularity", "popularity_wow", "vote_average")
 

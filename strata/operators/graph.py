@@ -6,9 +6,13 @@ that are ranked break ties by id.
 
 from __future__ import annotations
 
+from decimal import Decimal, InvalidOperation
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import checkpointed
+
 CREDITS = ["ACTED_IN", "DIRECTED"]
 FEATURES = ["ACTED_IN", "HAS_GENRE", "HAS_KEYWORD"]
 
@@ -24,6 +28,68 @@ def merged_vertices(vertices: DataFrame) -> DataFrame:
     return vertices.groupBy("label", "id").agg(F.max("name").alias("name"))
 
 
+def merge(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+    """existing with incoming upserted by its keys: one row a key, incoming's values where it has one. Merging the same
+    again changes nothing.
+    """
+    new = incoming.dropDuplicates(keys)
+    same = F.lit(True)
+    for k in keys:
+        same = same & (existing[k] == new[k])
+    return existing.join(new, same, "left_anti").unionByName(new.select(*existing.columns))
+
+
+#: What the modelled tables say: edge type, table, its two columns, and the labels of their ends.
+MODEL_EDGES = [
+    ("HAS_GENRE", "bridge_movie_genre", "movie_id", "genre_id", "movie", "genre"),
+    ("PRODUCED_BY", "bridge_movie_company", "movie_id", "company_id", "movie", "company"),
+    ("HAS_KEYWORD", "bridge_movie_keyword", "movie_id", "keyword_id", "movie", "keyword"),
+]
+MODEL_VERTICES = [("movie", "dim_movie", "movie_id", "title"), ("person", "dim_person", "person_id", "person_name"), ("genre", "dim_genre", "genre_id", "genre_name"), ("company", "dim_company", "company_id", "company_name"), ("keyword", "dim_keyword", "keyword_id", "keyword_name")]
+
+
+def from_tables(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Vertices (label, id, name) and edges (from_id, to_id, type, from_label, to_label) of the modelled tables.
+
+    Of histories the current versions count; a vertex without a name stays, one without an id does not; an edge whose
+    end has no vertex is left out, and each edge is there once.
+    """
+    vertices = None
+    for label, name, key, said in MODEL_VERTICES:
+        rows = tables[name]
+        if "valid_to" in rows.columns:
+            rows = rows.where(F.col("valid_to") == F.lit("2099-12-31 00:00:00").cast("timestamp"))
+        rows = rows.where(F.col(key).isNotNull()).select(F.lit(label).alias("label"), F.col(key).cast("bigint").alias("id"), F.col(said).alias("name"))
+        vertices = rows if vertices is None else vertices.unionByName(rows)
+    vertices = merged_vertices(vertices)
+    credits = tables["fact_movie_credit"].select(F.col("person_id").alias("from_id"), F.col("movie_id").alias("to_id"), "credit_type", "is_director")
+    ends = lambda rows, kind, a, b: rows.select("from_id", "to_id", F.lit(kind).alias("type"), F.lit(a).alias("from_label"), F.lit(b).alias("to_label"))
+    edges = ends(credits.where("credit_type = 'cast'"), "ACTED_IN", "person", "movie").unionByName(ends(credits.where("is_director = 1"), "DIRECTED", "person", "movie"))
+    for kind, name, a, b, from_label, to_label in MODEL_EDGES:
+        edges = edges.unionByName(ends(tables[name].select(F.col(a).alias("from_id"), F.col(b).cast("bigint").alias("to_id")), kind, from_label, to_label))
+    for end in ("from", "to"):
+        known = vertices.select(F.col("label").alias(f"{end}_label"), F.col("id").alias(f"{end}_id"))
+        edges = edges.join(known, [f"{end}_label", f"{end}_id"], "left_semi")
+    return vertices, edges.select("from_id", "to_id", "type", "from_label", "to_label").distinct()
+
+
+def parameter(text: str) -> tuple[str, int | Decimal | str]:
+    """k=v as a name and an int, a decimal or a text."""
+    name, sign, value = text.partition("=")
+    if not sign or not name.strip():
+        raise ValueError(f"{text} is not name=value")
+    value = value.strip()
+    try:
+        return name.strip(), int(value)
+    except ValueError:
+        pass
+    try:
+        number = Decimal(value)
+        return name.strip(), number if number.is_finite() else value
+    except InvalidOperation:
+        return name.strip(), value
+
+
 def of(edges: DataFrame, types: list[str] | str) -> DataFrame:
     return edges.where(F.col("type").isin([types] if isinstance(types, str) else types)).select("from_id", "to_id", "type")
 
@@ -52,6 +118,13 @@ def director_actor(edges: DataFrame, limit: int | None = None) -> DataFrame:
     return ranked(pairs, "shared", limit, "director_id", "actor_id")
 
 
+def director_actor_names(edges: DataFrame, persons: DataFrame, limit: int | None = None) -> DataFrame:
+    """The same by the persons' names (id, name): those of one name count together, by distinct movies."""
+    named = lambda kind, name: of(edges, kind).join(persons.select(F.col("id").alias("from_id"), F.col("name").alias(name)), "from_id").select(name, "to_id").distinct()
+    pairs = named("DIRECTED", "director").join(named("ACTED_IN", "actor"), "to_id").groupBy("director", "actor").agg(F.count(F.lit(1)).alias("shared"))
+    return ranked(pairs, "shared", limit, "director", "actor")
+
+
 def actor_network(edges: DataFrame, person: int, limit: int | None = None) -> DataFrame:
     acted = of(edges, "ACTED_IN").select("from_id", "to_id").distinct()
     own = acted.where(F.col("from_id") == person).select("to_id")
@@ -98,30 +171,43 @@ def _both_ways(edges: DataFrame, types: list[str]) -> DataFrame:
 
 def shortest_path(edges: DataFrame, start: int, end: int, most_hops: int = 6) -> DataFrame:
     """hops of the shortest path between two persons, and the least of the shortest paths by its nodes; no row beyond
-    ``most_hops``. Each hop joins the frontier to the edges and keeps one path a node, so it never grows past the
-    number of nodes; it stops at the end or when nothing new is reached.
+    ``most_hops``.
+
+    The links are written once. A search first grows the nodes within each hop, one row a node; it stops at the end
+    or when nothing new is reached. Then only the nodes that lie on shortest paths are walked back.
     """
-    links = _both_ways(edges, CREDITS)
-    frontier = links.sparkSession.createDataFrame([(f"p{start}", f"p{start}")], "node string, path string")
-    seen = frontier.select("node")
-    for hop in range(1, most_hops + 1):
-        grown = frontier.join(links, frontier["node"] == links["u"]).select(F.col("v").alias("node"), F.concat_ws(">", "path", "v").alias("path"))
-        grown = grown.join(seen, "node", "left_anti").groupBy("node").agg(F.min("path").alias("path")).persist()
-        found = grown.where(F.col("node") == f"p{end}")
-        if not found.isEmpty():
-            return found.select(F.lit(hop).alias("hops"), "path")
-        if grown.isEmpty():
+    links = checkpointed(_both_ways(edges, CREDITS))
+    spark = links.sparkSession
+    layers = [spark.createDataFrame([(f"p{start}",)], "node string")]
+    seen = layers[0]
+    for _ in range(most_hops):
+        grown = checkpointed(layers[-1].join(links, F.col("node") == F.col("u")).select(F.col("v").alias("node")).distinct().join(seen, "node", "left_anti"))
+        layers.append(grown)
+        if grown.isEmpty() or not grown.where(F.col("node") == f"p{end}").isEmpty():
             break
-        seen, frontier = seen.unionByName(grown.select("node")), grown
-    return frontier.where("false").select(F.lit(0).alias("hops"), "path")
+        seen = seen.unionByName(grown)
+    hops = len(layers) - 1
+    paths = layers[-1].where(F.col("node") == f"p{end}").select("node", F.col("node").alias("path"))
+    for layer in reversed(layers[:-1]):  # a node keeps the least of its ways on to the end
+        back = paths.join(links, F.col("node") == F.col("v")).select(F.col("u").alias("node"), F.concat_ws(">", "u", "path").alias("path"))
+        paths = back.join(layer, "node", "left_semi").groupBy("node").agg(F.min("path").alias("path"))
+    return paths.where(F.lit(hops > 0)).select(F.lit(hops).alias("hops"), "path")
+
+
+def path_names(paths: DataFrame, persons: DataFrame, movies: DataFrame) -> DataFrame:
+    """paths (hops, path) with names: those of its nodes, in order; a node without a name shows its id."""
+    names = persons.select(F.concat(F.lit("p"), "id").alias("node"), "name").unionByName(movies.select(F.concat(F.lit("m"), "id").alias("node"), "name"))
+    nodes = paths.select("hops", "path", F.posexplode(F.split("path", ">")).alias("at", "node")).join(names, "node", "left")
+    named = nodes.groupBy("hops", "path").agg(F.sort_array(F.collect_list(F.struct("at", F.coalesce("name", "node").alias("name")))).alias("n"))
+    return named.select("hops", "path", F.transform("n", lambda x: x["name"]).alias("names"))
 
 
 def circle(edges: DataFrame, person: int, depth: int = 2) -> DataFrame:
     """Distinct movies within 1..depth hops (1 to 4) of a person over acting."""
-    links = _both_ways(edges, ["ACTED_IN"])
+    links = checkpointed(_both_ways(edges, ["ACTED_IN"]))
     frontier = links.sparkSession.createDataFrame([(f"p{person}",)], "node string")
     seen = frontier
     for _ in range(min(4, max(1, depth))):
-        frontier = frontier.join(links, frontier["node"] == links["u"]).select(F.col("v").alias("node")).distinct().join(seen, "node", "left_anti")
+        frontier = checkpointed(frontier.join(links, F.col("node") == F.col("u")).select(F.col("v").alias("node")).distinct().join(seen, "node", "left_anti"))
         seen = seen.unionByName(frontier)
     return seen.where(F.col("node").startswith("m")).agg(F.count_distinct("node").alias("movies"))

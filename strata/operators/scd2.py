@@ -42,6 +42,11 @@ def merge(existing: DataFrame, incoming: DataFrame, key: str, business: list[str
     return closed.select(*columns).unionByName(opened)
 
 
+def chain(versions: DataFrame, key: str) -> DataFrame:
+    """The versions for reading: each key's in the order of their validity."""
+    return versions.orderBy(key, "valid_from")
+
+
 def as_of(facts: DataFrame, versions: DataFrame, key: str, at: str, closed: bool = False) -> DataFrame:
     """facts with the version that was valid at their time; half open, or closed at both ends.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import graph
 from strata.queries import views as V
-from strata.queries.registry import SQL, query
+from strata.queries.registry import query
 
 E = f"WITH {V.EDGES} "
 ACTED = "(SELECT DISTINCT from_id, to_id FROM edges WHERE type = 'ACTED_IN')"
@@ -59,9 +59,23 @@ def graph_keyword(spark, t) -> DataFrame:
     return graph.keyword_centrality(V.edges(t))
 
 
-@query(E + "SELECT 'edge' AS what, type AS kind, count(*) AS \"count\" FROM edges GROUP BY 2")
+def counted(t) -> DataFrame:
+    """Parts are the movies, suppliers the persons."""
+    movies = t.part.select(F.col("p_partkey").alias("id"), F.lit("movie").alias("label"))
+    return graph.counts(movies.unionByName(t.supplier.select(F.col("s_suppkey").alias("id"), F.lit("person").alias("label"))), V.edges(t))
+
+
+COUNTS = E + "SELECT 'edge' AS what, type AS kind, count(*) AS \"count\" FROM edges GROUP BY 2 UNION ALL SELECT 'vertex', 'movie', count(*) FROM part UNION ALL SELECT 'vertex', 'person', count(*) FROM supplier"
+
+
+@query(COUNTS)
 def graph_counts(spark, t) -> DataFrame:
-    return graph.counts(spark.createDataFrame([], "id bigint, label string"), V.edges(t))
+    return counted(t)
+
+
+@query(COUNTS)
+def graph_counts_whole(spark, t) -> DataFrame:
+    return counted(t)
 
 
 @query(E + f", small AS (SELECT p_partkey FROM part WHERE p_size <= 25), sup AS (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) SELECT from_id, to_id, type FROM edges WHERE type = 'ACTED_IN' AND to_id IN (FROM small) AND from_id IN (FROM sup)")
@@ -72,44 +86,42 @@ def graph_checked_edges(spark, t) -> DataFrame:
     return graph.checked_edges(acted, vertices).select("from_id", (-1 - F.col("to_id")).alias("to_id"), "type")
 
 
-SPARSE = "s AS (SELECT DISTINCT from_id, to_id FROM edges WHERE type IN ('ACTED_IN', 'DIRECTED') AND to_id % 40 = 0 AND (from_id + to_id) % 3 = 0)"
-
-
-def sparse(t) -> DataFrame:
-    """A thinner graph, in which paths have several hops."""
-    return V.edges(t).where("type in ('ACTED_IN', 'DIRECTED') and to_id % 40 = 0 and (from_id + to_id) % 3 = 0")
-
-
-@query(E + f""", {SPARSE}, links AS (SELECT 'p' || from_id AS u, 'm' || to_id AS v FROM s UNION ALL SELECT 'm' || to_id, 'p' || from_id FROM s),
+#: All credits, undirected. One of several shortest paths is taken, the least by its nodes.
+LINKS = "s AS (SELECT DISTINCT from_id, to_id FROM edges WHERE type IN ('ACTED_IN', 'DIRECTED')), links AS (SELECT 'p' || from_id AS u, 'm' || to_id AS v FROM s UNION ALL SELECT 'm' || to_id, 'p' || from_id FROM s)"
+HOPS = E + f""", {LINKS},
   n1 AS (SELECT DISTINCT v AS node, 1 AS h FROM links WHERE u = 'p1'), n2 AS (SELECT DISTINCT v AS node FROM links WHERE u IN (SELECT node FROM n1)),
   n3 AS (SELECT DISTINCT v AS node FROM links WHERE u IN (FROM n2)), n4 AS (SELECT DISTINCT v AS node FROM links WHERE u IN (FROM n3)),
   n5 AS (SELECT DISTINCT v AS node FROM links WHERE u IN (FROM n4)), n6 AS (SELECT DISTINCT v AS node FROM links WHERE u IN (FROM n5))
-SELECT min(h)::INT AS hops FROM (SELECT 2 AS h FROM n2 WHERE node = 'p2' UNION ALL SELECT 4 FROM n4 WHERE node = 'p2' UNION ALL SELECT 6 FROM n6 WHERE node = 'p2') HAVING min(h) IS NOT NULL""")
+SELECT min(h)::INT AS hops FROM (SELECT 2 AS h FROM n2 WHERE node = 'p2' UNION ALL SELECT 4 FROM n4 WHERE node = 'p2' UNION ALL SELECT 6 FROM n6 WHERE node = 'p2') HAVING min(h) IS NOT NULL"""
+
+
+@query(HOPS)
 def graph_shortest_path(spark, t) -> DataFrame:
-    return graph.shortest_path(sparse(t), 1, 2).select("hops")
+    return graph.shortest_path(V.edges(t), 1, 2).select("hops")
 
 
-@query(E + f", {SPARSE}, a AS (SELECT DISTINCT from_id, to_id FROM s JOIN edges USING (from_id, to_id) WHERE type = 'ACTED_IN'), m1 AS (SELECT DISTINCT to_id FROM a WHERE from_id = 1), p2 AS (SELECT DISTINCT from_id FROM a WHERE to_id IN (FROM m1)) SELECT count(DISTINCT to_id) AS movies FROM a WHERE from_id IN (FROM p2)")
-def graph_circle(spark, t) -> DataFrame:
-    return graph.circle(sparse(t), 1, 3)
+@query(HOPS)
+def graph_shortest_path_whole(spark, t) -> DataFrame:
+    return graph.shortest_path(V.edges(t), 1, 2).select("hops")
 
 
-#: All credits; the queries above with their filter stay as their SQL says.
-WHOLE = "s AS (SELECT DISTINCT from_id, to_id FROM edges WHERE type IN ('ACTED_IN', 'DIRECTED'))"
+@query(E + f""", {LINKS}, two AS (SELECT min('p1>' || a.v || '>p2') AS path FROM links a JOIN links b ON a.v = b.u WHERE a.u = 'p1' AND b.v = 'p2')
+SELECT 2 AS hops, path, (SELECT s_name FROM supplier WHERE s_suppkey = 1) || ' > ' || p_name || ' > ' || (SELECT s_name FROM supplier WHERE s_suppkey = 2) AS names FROM two JOIN part ON path = 'p1>m' || p_partkey || '>p2'""")
+def graph_path_names(spark, t) -> DataFrame:
+    """A shortest path with the names along it."""
+    found = graph.shortest_path(V.edges(t), 1, 2)
+    named = graph.path_names(found, t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")), t.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name")))
+    return named.select("hops", "path", F.array_join("names", " > ").alias("names"))
 
 
-@query(SQL["graph_shortest_path"].replace(SPARSE, WHOLE))
-def graph_shortest_path_whole(spark, t) -> DataFrame:
-    return graph.shortest_path(V.edges(t), 1, 2).select("hops")
+CIRCLE = E + f", {LINKS}, a AS (SELECT DISTINCT from_id, to_id FROM edges WHERE type = 'ACTED_IN'), m1 AS (SELECT DISTINCT to_id FROM a WHERE from_id = 1), p2 AS (SELECT DISTINCT from_id FROM a WHERE to_id IN (FROM m1)) SELECT count(DISTINCT to_id) AS movies FROM a WHERE from_id IN (FROM p2)"
 
 
-@query(SQL["graph_circle"].replace(SPARSE, WHOLE))
-def graph_circle_whole(spark, t) -> DataFrame:
+@query(CIRCLE)
+def graph_circle(spark, t) -> DataFrame:
     return graph.circle(V.edges(t), 1, 3)
 
 
-@query(SQL["graph_counts"] + " UNION ALL SELECT 'vertex', 'movie', count(*) FROM part UNION ALL SELECT 'vertex', 'person', count(*) FROM supplier")
-def graph_counts_whole(spark, t) -> DataFrame:
-    """Parts are the movies, suppliers the persons."""
-    movies = t.part.select(F.col("p_partkey").alias("id"), F.lit("movie").alias("label"))
-    return graph.counts(movies.unionByName(t.supplier.select(F.col("s_suppkey").alias("id"), F.lit("person").alias("label"))), V.edges(t))
+@query(CIRCLE)
+def graph_circle_whole(spark, t) -> DataFrame:
+    return graph.circle(V.edges(t), 1, 3)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,7 +9,8 @@ from pyspark.sql import functions as F
 
 from strata.queries import views as V
 from strata.queries.batch import no_zone
-from strata.queries.registry import SQL, query
+from strata.queries.registry import query
+from strata.session import shared_folder
 from strata.streaming import codec, sinks, stateful, trend
 
 WINDOWS = "w AS (SELECT time_bucket(INTERVAL '{0}', event_time) AS window_start, event_type, count(*) AS samples, sum(popularity)::BIGINT AS total, max(popularity) AS most, round(sum(popularity) / count(*), 6) AS average FROM observed GROUP BY 1, 2)"
@@ -47,16 +47,20 @@ def alert_rollup(spark, t) -> DataFrame:
     return no_zone(rolled(rows, "window_start", ["event_type"], "ratio"))
 
 
-@query(f"""WITH {V.OBSERVED}, m AS (SELECT *, max(event_time) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM observed WHERE event_type = 'error')
-SELECT event_id, event_type FROM m WHERE seen IS NULL OR time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes' > seen - INTERVAL '1 minute'""")
+LET_IN = f"""WITH {V.OBSERVED}, m AS (SELECT *, max(event_time) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM observed)
+SELECT event_id, event_type FROM m WHERE seen IS NULL OR time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes' > seen - INTERVAL '1 minute'"""
+
+
+@query(LET_IN)
 def late_data_filter(spark, t) -> DataFrame:
-    """Rows that a watermark of a minute lets in, if rows arrive by id: their window has not closed."""
-    return let_in(V.observed(t).where("event_type = 'error'"))
+    """Events that a watermark of a minute, moved by every row, lets in if rows arrive by id: their window has not
+    closed. A stream moves its watermark between batches; ``stream_late_rows`` is one.
+    """
+    return let_in(V.observed(t))
 
 
-@query(SQL["late_data_filter"].replace(" WHERE event_type = 'error')", ")"))
+@query(LET_IN)
 def late_data_filter_all(spark, t) -> DataFrame:
-    """The same of the events of all types under one watermark."""
     return let_in(V.observed(t))
 
 
@@ -98,9 +102,8 @@ def dlq_split(spark, t) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A folder for checkpoints and output: under the cluster's shared folder, if it names one."""
-    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared}/stream-{uuid.uuid4()}" if shared else tempfile.mkdtemp(prefix="spark-stream-")
+    """A folder for checkpoints and output, under the folder that all machines share."""
+    return f"{shared_folder(spark)}/stream-{uuid.uuid4()}"
 
 
 def stream_of(spark, t) -> DataFrame:
@@ -139,7 +142,7 @@ def stream_trend_available_now(spark, t) -> DataFrame:
 
 @query("SELECT event_id, user_id, event_type FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) WHERE before IS NULL OR before <> event_type")
 def stream_dedup_available_now(spark, t) -> DataFrame:
-    rows = stateful.deduplicated(stream_of(spark, t), ["user_id"], "event_type", "event_time")
+    rows = stateful.deduplicated(stream_of(spark, t), ["user_id"], "event_type", ["event_time", "event_id"])
     return available_now(spark, rows, empty_batches=False).select("event_id", "user_id", "event_type")
 
 
@@ -148,3 +151,26 @@ def stream_surge_available_now(spark, t) -> DataFrame:
     rows = trend.windowed(stream_of(spark, t), keys=("event_type",), width="1 hour", watermark="1 minute").select("window_start", "event_type", "samples", F.round("average", 6).alias("average"))
     found = available_now(spark, stateful.surge_stream(rows, ["event_type"], least=2000.0))
     return no_zone(found.select("window_start", "event_type", "samples", "average", "baseline", F.round("ratio", 6).alias("ratio")))
+
+
+#: Events before this time come in a third batch. Spark judges a batch's rows by the watermark that the batch before
+#: began with, which the first two batches have moved beyond them.
+LATE = "2024-01-15 00:00:00"
+
+
+@query(HOURS.replace("FROM events)", f"FROM events WHERE ts >= TIMESTAMP '{LATE}')") + " SELECT window_start, event_type, samples, total, most, average FROM w" + CLOSED)
+def stream_late_rows(spark, t) -> DataFrame:
+    """Three batches: what the last brings is late, and its rows are dropped; windows show what came in time."""
+    folder = f"{scratch(spark)}/late"
+    late = F.col("ts") < F.lit(LATE).cast("timestamp_ntz")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    even = F.col("event_id") % 2 == 0
+    for k, rows in enumerate((t.events.where(~late & even), t.events.where(~late & ~even), t.events.where(late))):
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/{k}")
+        fs = hadoop(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for file in fs.globStatus(hadoop(f"{folder}/{k}/*.parquet")):  # files go by their times
+            fs.setTimes(file.getPath(), 1_700_000_000_000 + 60_000 * k, -1)
+    stream = spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(folder)
+    rows = stream.select("event_id", F.col("ts").cast("timestamp").alias("event_time"), "user_id", "event_type", V.cents("value").alias("popularity"))
+    rows = trend.windowed(rows, keys=("event_type",), width="1 hour", watermark="1 minute").withColumn("average", F.round("average", 6))
+    return no_zone(available_now(spark, rows).drop("window_end"))

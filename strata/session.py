@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -21,3 +23,23 @@ def build(app: str = "strata", master: str | None = None, shuffle_partitions: in
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", shuffle_partitions)
     return builder.config(map=CONF | conf).getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all machines share: ``spark.checkpoint.dir``.
+
+    A session on one machine (tests) that has none gets a temporary folder; a cluster has to name one.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = context.getConf().get("spark.checkpoint.dir")
+        if named is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder, with its lineage cut."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.sources.raw import exists
@@ -21,26 +21,54 @@ def overwrite_partitions(df: DataFrame, path: str, by: str = "dt") -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
-def append(df: DataFrame, path: str, by: str | None = None) -> None:
-    (df.write.partitionBy(by) if by else df.write).mode("append").parquet(path)
+def append(df: DataFrame, path: str, by: str | None = None) -> int:
+    """Adds df's rows; returns how many."""
+    return counted(df, lambda d: (d.write.partitionBy(by) if by else d.write).mode("append").parquet(path))
+
+
+def insert(df: DataFrame, path: str, columns: list[str], by: str | None = None) -> int:
+    """Adds rows to a table with exactly these columns; others are refused before anything is written."""
+    return append(checked(df, columns), path, by)
+
+
+def _move(fs, source, target) -> None:
+    """Some file systems say that a rename failed and some raise; here it always raises."""
+    if not fs.rename(source, target):
+        raise OSError(f"{source} could not be renamed to {target}")
 
 
 def publish(df: DataFrame, path: str) -> int:
-    """Replaces a whole table, which df may be reading: write beside it, count, swap. Returns the rows."""
+    """Replaces a whole table, which df may be reading: write beside it, then swap. Returns the rows that were written.
+
+    The rows are counted while they are written. If the swap fails, the table is put back as it was.
+    """
     spark, stage, old = df.sparkSession, f"{path}__{uuid.uuid4().hex}", f"{path}__{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs, target = _fs(spark, path)
+    stage_path, old_path = hadoop(stage), hadoop(old)
     try:
-        df.write.parquet(stage)
-        rows = spark.read.schema(df.schema).parquet(stage).count()
-        fs, target = _fs(spark, path)
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        if fs.exists(target):
-            fs.rename(target, hadoop(old))
-        fs.rename(hadoop(stage), target)
+        rows = counted(df, lambda d: d.write.parquet(stage))
+        had = fs.exists(target)
+        if had:
+            _move(fs, target, old_path)
+        try:
+            _move(fs, stage_path, target)
+        except Exception:
+            if had:
+                _move(fs, old_path, target)
+            raise
+        if had:
+            fs.delete(old_path, True)
         return rows
     finally:
-        for left in (stage, old):
-            fs, where = _fs(spark, left)
-            fs.delete(where, True)
+        fs.delete(stage_path, True)
+
+
+def counted(df: DataFrame, write) -> int:
+    """Runs ``write`` on df and returns how many rows it wrote, without a job of its own."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return seen.get["rows"]
 
 
 def replace_window(existing: DataFrame, incoming: DataFrame, column: str, start: str, end: str) -> DataFrame:
@@ -56,8 +84,12 @@ def checked(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*columns)
 
 
-def write_ndjson(df: DataFrame, path: str, records_per_file: int = 200_000) -> None:
-    df.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", records_per_file).json(path)
+def write_ndjson(df: DataFrame, path: str, records_per_file: int = 200_000, bytes_per_file: int | None = None, record_bytes: int = 1024) -> None:
+    """Adds gzipped lines of JSON in files of at most ``records_per_file`` records, and of about ``bytes_per_file``
+    before compression where that is given, at ``record_bytes`` a record.
+    """
+    most = min(records_per_file, max(1, bytes_per_file // record_bytes)) if bytes_per_file else records_per_file
+    df.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", most).json(path)
 
 
 def compact(spark: SparkSession, path: str, target_bytes: int = 128 << 20) -> int:
@@ -69,8 +101,49 @@ def compact(spark: SparkSession, path: str, target_bytes: int = 128 << 20) -> in
 
 
 def save_state(spark: SparkSession, path: str, state: dict) -> None:
-    spark.createDataFrame([(json.dumps(state, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    """Writes the state beside the old one and swaps, so that a crash leaves one of the two."""
+    publish_text(spark, path, json.dumps(state, sort_keys=True))
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs, target = _fs(spark, path)
+    stage, old = hadoop(f"{path}__{uuid.uuid4().hex}"), hadoop(f"{path}.old")
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(stage.toString())
+    fs.delete(old, True)
+    if fs.exists(target):
+        _move(fs, target, old)
+    _move(fs, stage, target)
+    fs.delete(old, True)
 
 
 def load_state(spark: SparkSession, path: str) -> dict:
-    return json.loads(spark.read.text(path).first()[0]) if exists(spark, path) else {}
+    """The state, or that before it where a crash came between; {} where there is none."""
+    for place in (path, f"{path}.old"):
+        if exists(spark, f"{place}/*") and (row := spark.read.text(place).first()):
+            return json.loads(row[0])
+    return {}
+
+
+def update_state(spark: SparkSession, path: str, change) -> dict:
+    """``change`` gets the state and returns the new one."""
+    state = change(load_state(spark, path))
+    save_state(spark, path, state)
+    return state
+
+
+def delete_state(spark: SparkSession, path: str) -> None:
+    for place in (path, f"{path}.old"):
+        delete(spark, place)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, where = _fs(spark, path)
+    fs.delete(where, True)
+
+
+def table_files(spark: SparkSession, path: str, table: str, by: str = "dt") -> DataFrame:
+    """table, dt, file, bytes, rows of a Parquet table's files. The listing and the row counts are Spark's."""
+    found = spark.read.option("basePath", path).parquet(path)
+    rows = found.groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"), F.col(by).cast("date").alias("dt")).agg(F.count(F.lit(1)).alias("rows"))
+    return rows.select(F.lit(table).alias("table"), "dt", "file", "bytes", "rows")

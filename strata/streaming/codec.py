@@ -16,7 +16,14 @@ def field(text: Column, snake: str, camel: str) -> Column:
 def decode(messages: DataFrame, column: str = "value") -> DataFrame:
     """messages with the event's columns and ``valid``; invalid rows keep their text alone."""
     text = F.col(column)
-    long = lambda snake, camel: field(text, snake, camel).try_cast("bigint")
+    parsed = F.try_parse_json(text)
+
+    def long(snake: str, camel: str) -> Column:
+        """A field that is a JSON number; a text of digits is none."""
+        kind = lambda name: F.schema_of_variant(F.try_variant_get(parsed, f"$.{name}", "variant"))
+        number = lambda name: F.when(kind(name).rlike("^(BIGINT|DECIMAL|DOUBLE)"), F.try_variant_get(parsed, f"$.{name}", "bigint"))
+        return F.coalesce(number(snake), number(camel))
+
     rows = messages.withColumns({
         "event_type": F.upper(field(text, "event_type", "eventType")),
         "entity_type": F.lower(field(text, "entity_type", "entityType")),
@@ -44,3 +51,18 @@ def dead_letters(decoded: DataFrame, column: str = "value") -> DataFrame:
 def popularity(events: DataFrame) -> DataFrame:
     """Numbers of a popularity payload; what is no number is null."""
     return events.withColumn("p", F.from_json("payload", POPULARITY)).withColumns({"title": F.coalesce("p.title", F.lit("")), "list_name": F.coalesce("p.list_name", F.lit("")), "popularity": F.col("p.popularity"), "vote_average": F.col("p.vote_average"), "vote_count": F.col("p.vote_count")}).drop("p")
+
+
+#: Where rows of a stream go: by the time of the event, as text where the table has text.
+ODS_COLUMNS = ["event_id", "event_type", "entity_type", "entity_id", "event_time", "ingest_time", "source", "schema_version", "content_hash", "payload", "dt"]
+
+
+def to_ods(events: DataFrame) -> DataFrame:
+    """Good events as rows of the raw event table: dt is the day of the event in UTC, a missing payload is {}."""
+    return events.select(*[F.timestamp_millis("ingest_ms").alias(c) if c == "ingest_time" else F.coalesce("payload", F.lit("{}")).alias(c) if c == "payload" else F.col(c) for c in ODS_COLUMNS])
+
+
+def to_observations(events: DataFrame) -> DataFrame:
+    """Popularity events as rows of the real-time table."""
+    rows = popularity(events.where("event_type = 'POPULARITY_OBSERVED'"))
+    return rows.select("dt", "event_time", "entity_type", "entity_id", "title", "list_name", "popularity", "vote_average", "vote_count", "event_id")

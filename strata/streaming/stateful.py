@@ -29,7 +29,7 @@ def surges(windows: DataFrame, keys: list[str], samples: int = SAMPLES, least: f
 class Deduplicator(StatefulProcessor):
     """Rows whose content differs from the key's last one; state is forgotten after ``ttl_ms`` without a write."""
 
-    def __init__(self, content: str, order: str, ttl_ms: int):
+    def __init__(self, content: str, order: list[str], ttl_ms: int):
         self.content, self.order, self.ttl_ms = content, order, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -51,7 +51,9 @@ class Deduplicator(StatefulProcessor):
         pass
 
 
-def deduplicated(stream: DataFrame, keys: list[str], content: str, order: str, ttl_ms: int = 7 * 24 * 3600 * 1000) -> DataFrame:
+def deduplicated(stream: DataFrame, keys: list[str], content: str, order: str | list[str], ttl_ms: int = 7 * 24 * 3600 * 1000) -> DataFrame:
+    """Rows of a batch go by the columns of ``order``, the first of which is the time and the others break its ties."""
+    order = [order] if isinstance(order, str) else order
     return stream.groupBy(*keys).transformWithStateInPandas(Deduplicator(content, order, ttl_ms), outputStructType=stream.schema, outputMode="Append", timeMode="ProcessingTime")
 
 

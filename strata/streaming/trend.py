@@ -20,6 +20,6 @@ def windowed(events: DataFrame, time: str = "event_time", keys: tuple[str, ...]
 
 
 def popularity_extras(time: str = "event_time") -> dict[str, Column]:
-    """Votes (null without any), and the last title and list that are not empty."""
+    """The average of the known votes (0 without any), and the last title and list that are not empty."""
     last = lambda c: F.max_by(F.nullif(F.col(c), F.lit("")), F.when(F.col(c) != "", F.col(time)))
-    return {"vote_average": F.avg("vote_average"), "vote_count": F.max("vote_count"), "title": last("title"), "list_name": last("list_name")}
+    return {"vote_average": F.coalesce(F.avg("vote_average"), F.lit(0.0)), "vote_count": F.max("vote_count"), "title": last("title"), "list_name": last("list_name")}
