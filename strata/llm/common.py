@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import checkpointed, shared_folder
+
 #: A word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -16,20 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def name_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints that the cluster shares: ``spark.checkpoint.dir``.
-
-    Only a session without that setting (tests on one machine) gets a temporary one.
+    """The folder for checkpoints that the cluster shares: ``spark.checkpoint.dir``; only a session on one machine
+    (tests) may have none, and gets a temporary one.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return context.getCheckpointDir()
+    return shared_folder(spark)
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
-    name_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    return checkpointed(df)
 
 
 def text_of(column: str = "text") -> Column:
