@@ -34,8 +34,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, up to three times each."""
-    return mixing.mixed_rows(docs.select(*COLUMNS)).select(*COLUMNS)
+    """Documents as often as the mix takes them, up to three times each, written by shard in its shuffled order."""
+    return mixing.in_shards(mixing.mixed_rows(docs.select(*COLUMNS))).select(*COLUMNS)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

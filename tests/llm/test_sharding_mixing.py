@@ -69,3 +69,40 @@ def test_mix(spark):
     assert taken.columns == [*docs.columns, "mix_shard", "mix_place"] and taken.count() == sum(r["copies"] for r in planned)
     assert mixing.mix(spark.createDataFrame([], SCHEMA)).count() == 0
     assert taken.where(F.col("mix_shard").isNull()).count() == 0
+
+
+def test_shards_take_the_drawn_quotas_in_disjoint_runs(spark):
+    _, docs = documents(spark)
+    meta = docs.select(*[c.alias(k) for k, c in mixing.keyed(docs, 7, "doc_id", "text", "source").items()])
+    places = mixing.placed_blocks(meta, 8, 7, 3, mixing.WEIGHTS, 1.0, 16).collect()
+    names = sorted({r["src"] for r in places}, key=lambda s: (s is None, s or ""))
+    draws = {name: sorted((k, r["block_start"], r["blk"], r["places"][k]) for r in places if r["src"] == name for k in range(3) if k * r["source_size"] + r["block_start"] < r["target"]) for name in names}
+    want = mixing.split_quotas([len(draws[name]) for name in names], 8, 7)
+    for i, name in enumerate(names):
+        shards = [shard for *_, shard in draws[name]]
+        assert shards == sorted(shards)  # runs of the permuted blocks
+        assert [shards.count(k) for k in range(8)] == want[:, i].tolist()
+    assert want.sum() > 30 and (want.sum(axis=1) > 0).all()
+
+
+def test_written_shards(spark, tmp_path):
+    _, docs = documents(spark)
+    mixing.write_shards(docs, str(tmp_path / "mix"), shards=4, docs_per_block=16)
+    planned = mixing.mix(docs, shards=4, docs_per_block=16).collect()
+    want = Counter((r["doc_id"], shard) for r in planned for shard in r["shards"])
+    got, places = Counter(), 0
+    for shard in range(4):
+        [file] = (tmp_path / "mix" / f"mix_shard={shard}").glob("*.parquet")
+        rows = spark.read.parquet(str(file)).collect()
+        got.update((r["doc_id"], shard) for r in rows)
+        order = [r["mix_place"] for r in rows]
+        assert order == sorted(order) and [r["doc_id"] for r in rows] != sorted((r["doc_id"] for r in rows), key=str)
+        places += len(order)
+    assert got == want and places == sum(want.values())
+
+
+def test_own_names_clash(spark):
+    docs = documents(spark)[1].withColumns({"mix_shard": F.lit("x"), "mix_place": F.lit("y"), "__copy": F.lit("z"), "copies": F.lit("k")})
+    taken = mixing.mixed_rows(docs, docs_per_block=16)
+    assert taken.columns == ["doc_id", "text", "lang", "source", "size", "cell", "shard", "copies", "mix_shard", "mix_place"]
+    assert {r["copies"] for r in taken.collect()} == {"k"}
