@@ -1,82 +1,95 @@
 """License scans: TF-IDF cosine of header lines and licence files to templates, and inheritance by directory.
 
-Every line of every text, and every whole text, is a sparse vector of its distinct words, weighted by the inverse
-frequency that the words have among all lines of the corpus. Words that no template holds can't add to a product; they
-count in the norm with their own weights, so a line that merely holds a few words of a licence stays far from it. Only
-what depends on the templates leaves the executors: the frequencies of their words.
-
-A line that could reach the threshold (its template words carry enough of its norm) is joined to the templates word
-by word, and sums of products are its cosines. Units that reach the threshold even if their other words had the least
-weight there is are joined to the frequencies of these. A text without a licence of its own inherits that of the nearest
-ancestor directory with a licence file: distinct directories are exploded to their ancestors and joined by path.
+Every line of every text, and every whole text, is a sparse vector: a word's weight is how often the unit has it, times
+the inverse frequency that the word has among all lines of the corpus. Only what depends on the templates leaves the
+executors: the frequencies of their words.
+
+Few units can be like a template at all. Of each template the heaviest words are set apart, until the others together
+are too light: a unit with none of the words set apart cannot reach the threshold, whatever else it holds. Texts that
+hold such a word give their lines and themselves as units, whose cosines are sums of products over joins by word.
+
+A text without a licence of its own inherits that of the nearest ancestor directory with a licence file: distinct
+directories are exploded to their ancestors and joined by path.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import cut, salted_join, text_of
+from strata.llm.licence_texts import TEMPLATES
 
-#: What licences say of themselves in headers, and the sentences that mark their files.
-TEMPLATES = {
-    "MIT": ["Released under the MIT License.", "Licensed under the MIT license.", "SPDX-License-Identifier: MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"],
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version."],
-    "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0-or-later"],
-    "BSD-3-Clause": ["Released under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "CC0-1.0": ["Released into the public domain under CC0 1.0.", "SPDX-License-Identifier: CC0-1.0"],
-    "Proprietary": ["Copyright. All rights reserved.", "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited."],
-}
 TOKEN = r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"
 #: The weight of a word that is in every line.
 LEAST = 0.1
 FILE_NAME = r"(?i)(?:^|/)(?:licen[cs]e|copying|notice|unlicense)(?:[.-][a-z0-9.-]+)?$"
 
 
-def tokens_of(text: str) -> set[str]:
-    return set(re.findall(r"[^\W_]+(?:[.-][^\W_]+)*", text.lower()))
+def tokens_of(text: str) -> list[str]:
+    return re.findall(r"[^\W_]+(?:[.-][^\W_]+)*", text.lower())
+
+
+def tokens(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
+
+
+def counted(words: Column) -> Column:
+    """The distinct words of an array with their numbers, by runs of the sorted array."""
+    first = lambda s: F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+    runs = lambda s: F.transform(F.array(first(s)), lambda at: F.transform(at, lambda i, k: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).alias("tf"))))
+    some = F.when(F.size(words) > 0, F.array(F.array_sort(words))).otherwise(F.array().cast("array<array<string>>"))
+    return F.flatten(F.flatten(F.transform(some, runs)))
 
 
-def terms(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), 0))
+class Vectors:
+    """The templates as vectors, under the corpus's weights."""
 
+    def __init__(self, templates: dict[str, list[str]], idf: dict[str, float]):
+        self.rows, self.weights = [], []
+        for licence, texts in templates.items():
+            for k, text in enumerate(texts):
+                own = {w: n * idf[w] for w, n in Counter(tokens_of(text)).items()}
+                size = math.sqrt(sum(v * v for v in own.values()))
+                self.weights.append((own, size))
+                self.rows += [(licence, k, w, v * idf[w] / size) for w, v in sorted(own.items())]
 
-def scored(units: DataFrame, keys: list[str], idf: dict[str, float], weights: DataFrame, templates: dict[str, list[str]], least: float) -> DataFrame:
-    """keys, licence, cosine of the best template of each unit (column ``terms``) that reaches ``least``."""
-    words = F.array(*[F.lit(w) for w in idf])
-    weight = F.create_map(*[F.lit(x) for w, v in idf.items() for x in (w, v)])
-    units = units.select(*keys, F.array_except("terms", words).alias("others"), F.array_intersect("terms", words).alias("hits")).where(F.size("hits") > 0)
-    mass = F.aggregate("hits", F.lit(0.0), lambda s, t: s + F.element_at(weight, t) * F.element_at(weight, t))
-    units = units.withColumn("mass", mass).withColumn("norm", F.sqrt(F.col("mass") + F.size("others") * LEAST * LEAST))
-    units = units.where(F.sqrt("mass") >= least * F.col("norm"))
-    every, units = units.select(*keys, "mass", "others"), units.select(*keys, "norm", F.explode("hits").alias("term"))
-    rows = []
-    for licence, texts in templates.items():
-        for k, text in enumerate(texts):
-            own = tokens_of(text)
-            size = math.sqrt(sum(idf[w] ** 2 for w in own))
-            rows += [(licence, k, w, idf[w] ** 2 / size) for w in sorted(own)]
-    table = units.sparkSession.createDataFrame(rows, "licence string, k int, term string, part double")
+    def needed(self, least: float) -> set[str]:
+        """Words of which a unit needs one at least to reach a cosine of ``least`` with any template."""
+        found = set()
+        for own, size in self.weights:
+            rest = size * size
+            for word, weight in sorted(own.items(), key=lambda x: (-x[1], x[0])):
+                if math.sqrt(max(rest, 0.0)) < least * size * (1 - 1e-9):
+                    break
+                found.add(word)
+                rest -= weight * weight
+        return found
+
+
+def holds(words: Column, needed: set[str]) -> Column:
+    return F.exists(words, lambda w: w.isin(*sorted(needed)))
+
+
+def scored(units: DataFrame, keys: list[str], weights: DataFrame, vectors: Vectors, least: float, salts: int) -> DataFrame:
+    """keys, licence, cosine of the best template of each unit (column ``words``) that reaches ``least``."""
+    units = units.where(holds(F.col("words"), vectors.needed(least))).dropDuplicates(keys)
+    terms = cut(units.select(*keys, F.explode(counted(F.col("words"))).alias("t")).select(*keys, "t.term", "t.tf"))
+    own = weights.join(terms.select("term").distinct(), "term", "left_semi")
+    weighed = salted_join(terms, own, ["term"], salts, keys, "inner")
+    norms = weighed.groupBy(*keys).agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("weight"), 2))).alias("norm"))
     # The templates' words are a fixed list, whatever the data.
-    dots = units.join(F.broadcast(table), "term").groupBy(*keys, "norm", "licence", "k").agg(F.sum("part").alias("dot"))
-    dots = cut(dots.where(F.round(F.col("dot") / F.col("norm"), 9) >= least).drop("norm"))
-    # Repeated rows have the same keys and terms, so one of them says the norm.
-    likely = dots.select(*[F.col(k).alias(f"l_{k}") for k in keys]).distinct()
+    table = F.broadcast(units.sparkSession.createDataFrame(vectors.rows, "licence string, k int, term string, part double"))
+    dots = terms.join(table, "term").groupBy(*keys, "licence", "k").agg(F.sum(F.col("tf") * F.col("part")).alias("dot"))
     same = F.lit(True)
     for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"l_{k}"))
-    kept = every.join(likely, same, "left_semi").dropDuplicates(keys).select(*keys, "mass", F.explode_outer("others").alias("term"))
-    norms = kept.join(weights, "term", "left").groupBy(*keys, "mass").agg(F.coalesce(F.sum(F.col("weight") * F.col("weight")), F.lit(0.0)).alias("rest"))
-    norms = norms.select(*[F.col(k).alias(f"l_{k}") for k in keys], F.sqrt(F.col("mass") + F.col("rest")).alias("norm"))
-    dots = dots.join(norms, same).select(*keys, "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("cosine")).where(F.col("cosine") >= least)
+        same = same & F.col(k).eqNullSafe(F.col(f"n_{k}"))
+    dots = dots.join(norms.select(*[F.col(k).alias(f"n_{k}") for k in keys], "norm"), same)
+    dots = dots.select(*keys, "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("cosine")).where(F.col("cosine") >= least)
     best = dots.groupBy(*keys).agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "licence")).alias("best"))
     return best.select(*keys, F.col("best.licence").alias("licence"), (-F.col("best.minus")).alias("cosine"))
 
@@ -87,43 +100,52 @@ def ancestors(directory: Column) -> Column:
     return F.array_distinct(F.concat(F.array(F.lit("")), F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))))
 
 
+def line_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """term, n: in how many lines it stands; the term '' stands for lines with any word."""
+    lines = docs.select(F.explode(F.split(text_of(text_col), "\n", -1)).alias("said")).select(F.array_distinct(tokens(F.col("said"))).alias("words"))
+    return lines.where(F.size("words") > 0).select(F.explode(F.array_append("words", F.lit(""))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+
+
 def scan(docs: DataFrame, path: str | Column, id_col: str = "doc_id", text_col: str = "text", header: float = 0.6, file: float = 0.5, templates: dict[str, list[str]] = TEMPLATES, salts: int = 16) -> DataFrame:
     """One row per row of ``docs``: the id, path, own_licence, cosine, line (-1: the whole text), is_file, licence,
     inherited_from (directory).
 
     A file is a licence file if its whole text is like a template, no less than any of its lines, or if its name says
-    so and a line is; it speaks for its directory, by its highest cosine, then by name. A header's licence stands before an inherited one. Null
-    texts are empty, a null path is the root's; repeated rows have equal results; an empty table gives no rows.
+    so and a line is; it speaks for its directory, by its highest cosine, then by path and name. A header's licence
+    stands before an inherited one. Null texts are empty, a null path is the root's; repeated rows have equal results;
+    an empty table gives no rows. Texts are compared whole, whatever their length; other columns are ignored, whatever
+    their names.
     """
     text = text_of(text_col)
     where = F.coalesce(F.col(path) if isinstance(path, str) else path, F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text, where).alias("row_key"), where.alias("path"), text.alias("text"))
-    vocabulary = sorted(set().union(*(tokens_of(t) for texts in templates.values() for t in texts)))
-    lines = rows.select("id", "row_key", F.posexplode(F.split("text", "\n", -1)).alias("line", "said")).select("id", "row_key", "line", terms(F.col("said")).alias("terms"))
-    known = F.array(*[F.lit(w) for w in vocabulary])
-    total = lines.count()
-    counted = cut(lines.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")))
-    seen = {r["term"]: r["n"] for r in counted.where(F.col("term").isin(vocabulary)).collect()}
-    idf = {w: math.log((1 + total) / (1 + seen.get(w, 0))) + LEAST for w in vocabulary}
-    weights = counted.select("term", (F.log(F.lit(1.0 + total) / (1 + F.col("n"))) + LEAST).alias("weight"))
-
-    of_lines = scored(lines, ["id", "row_key", "line"], idf, weights, templates, header)
-    whole = rows.select("id", "row_key", F.lit(-1).alias("line"), terms(F.col("text")).alias("terms"))
-    of_texts = scored(whole, ["id", "row_key", "line"], idf, weights, templates, file)
-    every = of_lines.unionByName(of_texts)
+    vocabulary = sorted({w for texts in templates.values() for t in texts for w in tokens_of(t)})
+    frequencies = cut(line_frequencies(docs, text_col))
+    seen = {r["term"]: r["n"] for r in frequencies.where(F.col("term").isin("", *vocabulary)).collect()}  # words of the templates
+    total = seen.get("", 0)
+    vectors = Vectors(templates, {w: math.log((1 + total) / (1 + seen.get(w, 0))) + LEAST for w in vocabulary})
+    weights = frequencies.where("term <> ''").select("term", (F.log(F.lit(1.0 + total) / (1 + F.col("n"))) + LEAST).alias("weight"))
+
+    likely = cut(rows.select("id", "row_key", "text", tokens(F.col("text")).alias("words")).where(holds(F.col("words"), vectors.needed(min(header, file)))))
+    keys = ["id", "row_key", "line"]
+    lines = likely.select("id", "row_key", F.posexplode(F.split("text", "\n", -1)).alias("line", "said")).select(*keys, tokens(F.col("said")).alias("words"))
+    of_lines = scored(lines, keys, weights, vectors, header, salts)
+    of_texts = scored(likely.select("id", "row_key", F.lit(-1).alias("line"), "words"), keys, weights, vectors, file, salts)
     best = F.min(F.struct((-F.col("cosine")).alias("minus"), "line", "licence"))
-    own = cut(every.groupBy("id", "row_key").agg(best.alias("best")).select(F.col("id").alias("o_id"), F.col("row_key").alias("o_key"), F.col("best.licence").alias("own_licence"), (-F.col("best.minus")).alias("cosine"), F.col("best.line").alias("line"), (F.col("best.line") < 0).alias("like_file")))
+    own = of_lines.unionByName(of_texts).groupBy("id", "row_key").agg(best.alias("best"))
+    own = cut(own.select(F.col("id").alias("o_id"), F.col("row_key").alias("o_key"), F.col("best.licence").alias("own_licence"), (-F.col("best.minus")).alias("cosine"), F.col("best.line").alias("line")))
 
     paths = rows.select("id", "row_key", "path")
     named = paths.join(own, paths["id"].eqNullSafe(own["o_id"]) & (paths["row_key"] == own["o_key"]), "left").drop("o_id", "o_key")
-    is_file = F.col("own_licence").isNotNull() & (F.col("like_file") | F.col("path").rlike(FILE_NAME))
+    is_file = F.col("own_licence").isNotNull() & ((F.col("line") < 0) | F.col("path").rlike(FILE_NAME))
     directory = F.regexp_replace("path", r"/?[^/]*$", "")
     named = cut(named.select("id", "row_key", "path", directory.alias("directory"), "own_licence", "cosine", "line", F.coalesce(is_file, F.lit(False)).alias("is_file")))
     holders = named.where("is_file").groupBy("directory").agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "path", "own_licence")).alias("best"))
     holders = holders.select(F.col("directory").alias("holder"), F.col("best.own_licence").alias("licence"))
     ways = named.where("own_licence is null").select("directory").distinct()
     ways = ways.select("directory", F.explode(ancestors(F.col("directory"))).alias("holder"))
-    nearest = ways.join(holders, "holder").groupBy("directory").agg(F.max_by(F.struct("holder", "licence"), F.length("holder")).alias("near"))
+    # Every directory comes to the root and to the shallow ones, which are dealt to many tasks.
+    nearest = salted_join(ways, holders, ["holder"], salts, ["directory"], "inner").groupBy("directory").agg(F.max_by(F.struct("holder", "licence"), F.length("holder")).alias("near"))
     nearest = cut(nearest.select("directory", F.col("near.holder").alias("inherited_from"), F.col("near.licence").alias("inherited")))
     final = salted_join(named, nearest, ["directory"], salts, ["id", "row_key"])
     return final.select(F.col("id").alias(id_col), "path", "own_licence", "cosine", "line", "is_file", F.coalesce("own_licence", "inherited").alias("licence"), F.when(F.col("own_licence").isNull(), F.col("inherited_from")).alias("inherited_from"))

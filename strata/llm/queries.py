@@ -17,9 +17,14 @@ PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
 
 
 def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents have no paths of their own; they lie under source/lang."""
-    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
-    return licences.scan(table(spark, sf_dir, "documents"), path)
+    """Documents have no paths of their own. They lie in eight folders under source/lang; a short one that ends with a
+    word of licences has the name of a licence file, and lies in its folder or, if its id is even, above the folders.
+    """
+    base = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")))
+    folder = F.concat_ws("/", base, F.concat(F.lit("d"), F.pmod("doc_id", F.lit(8)).cast("string")))
+    named = (F.length("text") < 1000) & F.substring_index("text", "\n", -1).rlike(r"(?i)licen[cs]e")
+    file = F.concat_ws("/", F.when(F.col("doc_id") % 2 == 0, base).otherwise(folder), F.concat(F.lit("LICENSE."), F.col("doc_id").cast("string")))
+    return licences.scan(table(spark, sf_dir, "documents"), F.when(named, file).otherwise(F.concat_ws("/", folder, F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))))
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -152,31 +152,74 @@ def test_lines(spark):
     assert line_dedup.marked_lines(docs.limit(0)).count() == 0
 
 
+def plain_scan(rows, path, header=0.6, file=0.5):
+    """Cosines of all lines and texts with all templates, and a walk up the directories."""
+    lines = Counter(w for _, t, *_ in rows for x in (t or "").split("\n") for w in set(licences.tokens_of(x)))
+    total = sum(bool(licences.tokens_of(x)) for _, t, *_ in rows for x in (t or "").split("\n"))
+    idf = lambda w: math.log((1 + total) / (1 + lines[w])) + licences.LEAST
+    vector = lambda words: {w: n * idf(w) for w, n in Counter(words).items()}
+    size = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    templates = [(name, vector(licences.tokens_of(t))) for name, ts in licences.TEMPLATES.items() for t in ts]
+
+    def best(said, least):
+        v = vector(licences.tokens_of(said))
+        found = [(-round(sum(x * b.get(w, 0) for w, x in v.items()) / size(v) / size(b), 9), name) for name, b in templates] if v else []
+        return min((x for x in found if -x[0] >= least), default=None)
+
+    own, holders = [], defaultdict(list)
+    for row in rows:
+        text, where = row[1] or "", path(row)
+        units = [(x[0], k, x[1]) for k, said in enumerate(text.split("\n")) if (x := best(said, header))] + [(x[0], -1, x[1]) for x in [best(text, file)] if x]
+        top = min(units, default=None)
+        is_file = bool(top) and (top[1] < 0 or bool(re.search(licences.FILE_NAME, where)))
+        own.append((where, top, is_file))
+        if is_file:
+            holders[where.rpartition("/")[0]].append((top[0], where, top[2]))
+    out = []
+    for row, (where, top, is_file) in zip(rows, own, strict=True):
+        licence, source, d = top[2] if top else None, None, where.rpartition("/")[0]
+        while not top:
+            if d in holders:
+                licence, source = min(holders[d])[2], d
+                break
+            if not d:
+                break
+            d = d.rpartition("/")[0]
+        out.append((row[0], where, top[2] if top else None, -top[0] if top else None, top[1] if top else None, is_file, licence, source))
+    return out
+
+
 def test_licences(spark):
+    from strata.llm import licence_texts as L
+
     prose = "The quick brown fox is of the opinion that software is not for the lazy dog. " * 4
-    mit = licences.TEMPLATES["MIT"][-1]
     rows = [(i, f"{prose}{i} {i * 7} x{i}\nnothing{i}", "en", "lib", "", 0) for i in range(30)]
-    rows += [(100, mit, "LICENSE", "lib", "", 0), (101, f"// Licensed under the Apache License, Version 2.0.\n{prose}", "a.c", "lib/sub/deep", "", 0), (102, prose, "b.c", "lib/sub/deep", "", 0), (103, prose, "c.c", "other", "", 0)]
-    rows += [(104, licences.TEMPLATES["GPL-3.0"][2], "COPYING", "lib/sub", "", 0), (105, None, None, None, "", 0), (106, "", "d.c", "lib/x", "", 0), (102, prose, "b.c", "lib/sub/deep", "", 0), (107, "This is licensed to be of the software in the form", "e.c", "other", "", 0)]
+    rows += [(100, f"Copyright (c) 2001 Kim Doe\n\n{L.MIT}", "README", "lib", "", 0), (101, f"// Licensed under the Apache License, Version 2.0.\n{prose}", "a.c", "lib/sub/deep", "", 0), (102, prose, "b.c", "lib/sub/deep", "", 0), (103, prose, "c.c", "other", "", 0)]
+    rows += [(104, L.GPL_NOTICE, "COPYING", "lib/sub", "", 0), (105, None, None, None, "", 0), (106, "", "d.c", "lib/x", "", 0), (102, prose, "b.c", "lib/sub/deep", "", 0), (107, "This is licensed to be of the software in the form", "e.c", "other", "", 0)]
+    rows += [(108, "see below\nReleased under the MIT License.", "LICENSE.md", "third", "", 0), (109, prose, "x/y/z.c", "third", "", 0), (110, "license license license license", "f.c", "third", "", 0), (111, L.BSD_3.replace("THE COPYRIGHT", "KIM DOE"), "LICENSE", "bsd", "", 0), (112, "word " * 60_000 + "MIT License", "big", "bsd", "", 0), (None, L.ISC, "LICENSE", "isc", "", 0), (113, L.MIT + "\n" + L.MIT, "twice", "two", "", 0)]
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    found = {r["doc_id"]: r for r in licences.scan(docs, F.concat_ws("/", "source", "lang")).collect()}
-    assert len(found) == len({r[0] for r in rows})
-    get = lambda i: (found[i]["own_licence"], found[i]["licence"], found[i]["inherited_from"], found[i]["is_file"])
-    assert get(100) == ("MIT", "MIT", None, True) and get(101) == ("Apache-2.0", "Apache-2.0", None, False)
-    assert get(102) == (None, "GPL-3.0", "lib/sub", False) and get(106) == (None, "MIT", "lib", False) and get(3) == (None, "MIT", "lib", False)
-    assert get(103) == (None, None, None, False) and get(105) == (None, None, None, False) and get(107)[0] is None
-    # cosines by plain counting
-    lines = [licences.tokens_of(x) for _, t, *_ in rows for x in (t or "").split("\n")]
-    idf = lambda w: math.log((1 + len(lines)) / (1 + (sum(w in x for x in lines)))) + 0.1
-    known = set().union(*(licences.tokens_of(t) for ts in licences.TEMPLATES.values() for t in ts))
-    rare = math.log((1 + len(lines)) / 2) + 0.1
-    own = licences.tokens_of("// Licensed under the Apache License, Version 2.0.")
-    norm = lambda s: math.sqrt(sum(idf(w) ** 2 if w in known else rare**2 for w in s))
-    best = max(sum(idf(w) ** 2 for w in own & licences.tokens_of(t)) / norm(own) / norm(licences.tokens_of(t)) for t in licences.TEMPLATES["Apache-2.0"])
-    assert abs(found[101]["cosine"] - best) < 1e-6
+    path = lambda r: "/".join(x for x in (r[3], r[2]) if x is not None)
+    want = plain_scan(rows, path)
+    found = [tuple(r) for r in licences.scan(docs, F.concat_ws("/", "source", "lang")).collect()]
+    near = lambda x: tuple(round(v, 6) if isinstance(v, float) else v for v in x)
+    assert sorted(map(near, found), key=str) == sorted(map(near, want), key=str)
+    by_id = {r[0]: r[2:] for r in want}
+    assert by_id[100][0] == "MIT" and by_id[100][3] and by_id[101][0] == "Apache-2.0" and not by_id[101][3] and by_id[111][:1] == ("BSD-3-Clause",) and by_id[111][3] and by_id[None][0] == "ISC"
+    assert by_id[102][4:] == ("GPL-3.0", "lib/sub") and by_id[3][4:] == ("MIT", "lib") and by_id[109][4:] == ("MIT", "third") and by_id[103][4:] == (None, None) and by_id[107][0] is None
     assert licences.scan(docs.limit(0), "source").count() == 0
 
 
+def test_words_that_are_needed():
+    """No vector without them reaches the threshold: the best that can do so is the template's own rest."""
+    vectors = licences.Vectors(licences.TEMPLATES, defaultdict(lambda: 2.0, {"the": 0.1, "license": 0.9, "software": 0.5}))
+    for least in (0.5, 0.6, 0.9):
+        needed = vectors.needed(least)
+        for own, size in vectors.weights:
+            rest = math.sqrt(sum(v * v for w, v in own.items() if w not in needed))
+            assert rest / size < least
+    assert "the" not in vectors.needed(0.6)
+
+
 def test_long_lines_count_from_two_sites(spark):
     passage, short = " ".join(f"word{k}" for k in range(60)), "a short line"
     rows = [(i, f"own {i}\n{passage}\n{short}", "en", f"site{i}", "", 0) for i in range(2)]
