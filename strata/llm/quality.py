@@ -2,23 +2,23 @@
 
 Whole texts give counts in one narrow pass of Spark expressions. Ratios of the counts, log-transformed and rounded
 to 1/256, form a vector per document. For each (language, source) the minimum-covariance-determinant estimate is
-found by concentration steps: from coordinate-wise medians and median deviations on, the ``support`` share of rows
-with the smallest distances gives the next mean and covariance, whose determinant never grows. A document whose
-Mahalanobis distance is beyond the cut-off is rejected.
+found by concentration steps: from several starts on, the ``support`` share of rows with the smallest distances gives
+the next mean and covariance, and the estimate with the least determinant wins. A document whose Mahalanobis distance
+is beyond the cut-off is rejected.
 
-Vectors are whole numbers and their moments are added as decimals, and quantiles are exact over the few thousand
-values that rounded distances can have, so results do not depend on the order in which tasks finish, and no group
-is gathered anywhere: all that a group needs is sums and histograms of bounded size.
+Vectors are whole numbers, so sums of their moments do not depend on the order in which tasks finish; they are added
+per cell of the rounded distances, of which a group has a few thousand at most. No group is gathered anywhere: all
+that a group needs is sums and histograms of bounded size, and each step is one plan.
 """
 
 from __future__ import annotations
 
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD, cut, salted_join, text_of
+from strata.llm.common import WORD, cut, rows_not_in, salted_join, text_of
 
 SCALE = 256
 #: Least standard deviation of each coordinate, in the units of its transform. More than half of a group may agree
@@ -124,28 +124,54 @@ def floored(variance: Column, name: str, minima: dict[str, float] | None) -> Col
     return F.greatest(variance, F.lit(minima[name] ** 2)) if minima else variance + FLOORS[name] ** 2
 
 
-def estimate(subset: DataFrame, minima: dict[str, float] | None = None) -> DataFrame:
-    """Mean m_i, Cholesky factor l_i_j and logarithm of the determinant of each group's rows."""
+def moments() -> dict[str, Column]:
+    """What adds up to a mean and a covariance. Vectors are whole numbers, so sums don't depend on their order."""
     p = len(NAMES)
-    added = [F.sum(F.col(x).cast("decimal(18,0)")).alias(f"s_{i}") for i, x in enumerate(NAMES)]
-    added += [F.sum((F.col(NAMES[i]) * F.col(NAMES[j])).cast("decimal(18,0)")).alias(f"s_{i}_{j}") for i in range(p) for j in range(i + 1)]
-    est = subset.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("h"), *added)
-    est = est.withColumns({f"m_{i}": F.col(f"s_{i}").cast("double") / F.col("h") / SCALE for i in range(p)})
+    out = {"h": F.count(F.lit(1))} | {f"s_{i}": F.sum(x) for i, x in enumerate(NAMES)}
+    return out | {f"s_{i}_{j}": F.sum(F.col(NAMES[i]) * F.col(NAMES[j])) for i in range(p) for j in range(i + 1)}
+
+
+def estimate(sums: DataFrame, keys: list[str], minima: dict[str, float] | None = None) -> DataFrame:
+    """Mean m_i, Cholesky factor l_i_j and logarithm of the determinant from the moments of each key."""
+    p = len(NAMES)
+    est = sums.withColumns({f"m_{i}": F.col(f"s_{i}").cast("double") / F.col("h") / SCALE for i in range(p)})
     est = est.withColumns({f"c_{i}_{j}": F.col(f"s_{i}_{j}").cast("double") / F.col("h") / SCALE**2 - F.col(f"m_{i}") * F.col(f"m_{j}") for i in range(p) for j in range(i + 1)})
     est = est.withColumns({f"c_{i}_{i}": floored(F.col(f"c_{i}_{i}"), x, minima) for i, x in enumerate(NAMES)})
-    for i in range(p):
-        for j in range(i + 1):
-            rest = F.col(f"c_{i}_{j}")
-            for k in range(j):
-                rest = rest - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
-            est = est.withColumn(f"l_{i}_{j}", F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j else rest / F.col(f"l_{j}_{j}"))
-    return cut(with_log_det(est.select(*GROUP, *[f"m_{i}" for i in range(p)], *[f"l_{i}_{j}" for i in range(p) for j in range(i + 1)])))
+    for j in range(p):  # column by column, so that each is one projection
+        rest = lambda i, j=j: F.col(f"c_{i}_{j}") - sum((F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") for k in range(j)), F.lit(0.0))
+        est = est.withColumn(f"l_{j}_{j}", F.sqrt(F.greatest(rest(j), F.lit(1e-9))))
+        est = est.withColumns({f"l_{i}_{j}": rest(i) / F.col(f"l_{j}_{j}") for i in range(j + 1, p)}) if j + 1 < p else est
+    return with_log_det(est.select(*keys, *ESTIMATE))
+
+
+#: The columns of an estimate, besides the logarithm of its determinant.
+ESTIMATE = [*[f"m_{i}" for i in range(len(NAMES))], *[f"l_{i}_{j}" for i in range(len(NAMES)) for j in range(i + 1)]]
 
 
 def with_log_det(est: DataFrame) -> DataFrame:
     return est.withColumn("log_det", sum((2 * F.log(f"l_{i}_{i}") for i in range(len(NAMES))), F.lit(0.0)))
 
 
+def concentrated(measured: DataFrame, keys: list[str], support: float, minima: dict[str, float] | None) -> DataFrame:
+    """The next estimate of each key: that of the ``support`` share of its rows with the smallest distances.
+
+    Moments are added per cell of the distances, in tasks first; a key has a few thousand cells at most, over which
+    they are added up to the cell where the share is reached.
+    """
+    sums = moments()
+    cells = measured.groupBy(*keys, "cell").agg(*[c.alias(k) for k, c in sums.items()])
+    order = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("before", F.coalesce(F.sum("h").over(order), F.lit(0))).withColumn("all", F.sum("h").over(Window.partitionBy(*keys)))
+    inside = cells.where(F.col("before") <= F.floor(F.lit(support) * (F.col("all") - 1)))
+    return estimate(inside.groupBy(*keys).agg(*[F.sum(k).alias(k) for k in sums]), keys, minima)
+
+
+def least(estimates: DataFrame, keys: list[str], *ties: str) -> DataFrame:
+    """Of several estimates of a key, that with the least determinant."""
+    best = F.min_by(F.struct(*ESTIMATE, "log_det"), F.struct("log_det", *ties)).alias("best")
+    return estimates.groupBy(*keys).agg(best).select(*keys, "best.*")
+
+
 def same_group() -> Column:
     same = F.lit(True)
     for g in GROUP:
@@ -153,13 +179,11 @@ def same_group() -> Column:
     return same
 
 
-def still_falls(before: DataFrame, after: DataFrame) -> bool:
-    """Whether the determinant of any group fell from one step to the next."""
-    old = before.select(*[F.col(g).alias(f"g_{g}") for g in GROUP], F.col("log_det").alias("g_log_det"))
-    return not after.join(old, same_group()).where(F.col("log_det") < F.col("g_log_det") - 1e-9).isEmpty()
+#: A start from a few rows takes so many of them, if the keyed hash spreads evenly.
+FEW = 12
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, steps: int | None = 3, least_rows: int = 50, tail: float = 1e-9, salts: int = 32, minima: dict[str, float] | None = None, wider: bool = False, **columns) -> DataFrame:
+def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, steps: int | None = 3, least_rows: int = 50, tail: float = 1e-9, salts: int = 32, minima: dict[str, float] | None = None, wider: bool = False, starts: int = 1, **columns) -> DataFrame:
     """One row per document: the id, row_key, counts, base_failed, distance (null for base failures), kept.
 
     ``base_failed``: fewer than 50 words, or more than half of the words in repeated 3-word windows. Others are
@@ -167,8 +191,12 @@ def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, step
     that of a chi-square variable. Groups of fewer than ``least_rows`` rows are judged by the estimate of their
     language, or of all rows if the language has too few, with ``wider``, and else reject nothing. Null languages and
     sources are groups of their own, null texts are empty, repeated rows have equal verdicts, an empty table gives
-    no rows. Floors on the spreads (``FLOORS``, added, or ``minima``, where the spread is less) keep ordinary variation
-    near a constant coordinate inside. With ``steps`` None, steps go on until no group's determinant falls.
+    no rows. Texts are read whole; other columns are ignored, whatever their names. Floors on the spreads (``FLOORS``,
+    added, or ``minima``, where the spread is less) keep ordinary variation near a constant coordinate inside.
+
+    The first start is the groups' medians and median deviations, the others are a few rows each by keyed hash. With
+    ``steps`` None, each start takes two steps, the least determinant goes on, and steps end for a group when its
+    determinant no longer falls.
     """
     rows = text_counts(docs, id_col, **columns)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -178,39 +206,50 @@ def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, step
     good = salted_join(good, levels.select("lang", "source", "pools"), ["lang", "source"], salts, ["id", "row_key"], "inner")
     good = cut(in_group(good.withColumn("pool", F.explode("pools")), "pool").drop("pools", "pool"))
 
-    groups = good.groupBy(*GROUP).agg(*[F.percentile(x, 0.5).alias(f"med_{x}") for x in NAMES])
-    groups = cut(groups)
+    groups = cut(good.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("rows"), *[F.percentile(x, 0.5).alias(f"med_{x}") for x in NAMES]))
     near = lambda table, how="inner": salted_join(good, table, GROUP, salts, ["id", "row_key"], how)
     spread = near(groups).groupBy(*GROUP).agg(*[F.percentile(F.abs(F.col(x) - F.col(f"med_{x}")), 0.5).alias(f"mad_{x}") for x in NAMES])
     spread = spread.select(*[F.col(g).alias(f"g_{g}") for g in GROUP], *[f"mad_{x}" for x in NAMES])
     start = groups.join(spread, same_group()).drop(*[f"g_{g}" for g in GROUP])
     diagonal = {f"l_{i}_{j}": F.lit(0.0) if i != j else F.sqrt(floored((1.4826 * F.col(f"mad_{x}") / SCALE) ** 2, x, minima)) for i, x in enumerate(NAMES) for j in range(i + 1)}
-    est = cut(with_log_det(start.select(*GROUP, *[(F.col(f"med_{x}") / SCALE).alias(f"m_{i}") for i, x in enumerate(NAMES)], *[c.alias(k) for k, c in diagonal.items()])))
-    for step in range(MOST_STEPS if steps is None else steps):
-        before = est
-        measured = squared_distance(near(est)).withColumn("cell", cell(F.col("d2"))).select("id", "row_key", *GROUP, *NAMES, "cell")
-        edge = cut(measured.groupBy(*GROUP).agg(F.percentile("cell", support).alias("edge")))
-        est = estimate(salted_join(measured, edge, GROUP, salts, ["id", "row_key"], "inner").where(F.col("cell") <= F.col("edge")), minima)
-        # The first step leaves medians for means, whose determinants do not compare.
-        if steps is None and step and not still_falls(before, est):
+    est = start.select(*GROUP, F.lit(0).alias("start"), *[(F.col(f"med_{x}") / SCALE).alias(f"m_{i}") for i, x in enumerate(NAMES)], *[c.alias(k) for k, c in diagonal.items()])
+    est = with_log_det(est).select(*GROUP, "start", *ESTIMATE, "log_det")
+    if starts > 1:
+        some = near(groups.select(*GROUP, "rows")).withColumn("start", F.explode(F.sequence(F.lit(1), F.lit(starts - 1))))
+        some = some.where(F.pmod(F.xxhash64("start", "id", "row_key"), F.col("rows")) < FEW)
+        sums = some.groupBy(*GROUP, "start").agg(*[c.alias(k) for k, c in moments().items()])
+        est = est.unionByName(estimate(sums, [*GROUP, "start"], minima))
+    est = cut(est)
+    measured = lambda e: squared_distance(near(e)).withColumn("cell", cell(F.col("d2")))
+    for _ in range(2 if steps is None else steps):
+        est = cut(concentrated(measured(est), [*GROUP, "start"], support, minima))
+    est = cut(least(est, GROUP, "start"))
+    for _ in range(MOST_STEPS if steps is None else 0):
+        after = concentrated(measured(est), GROUP, support, minima).withColumn("step", F.lit(1)).unionByName(est.withColumn("step", F.lit(0)))
+        fell = F.min(F.when(F.col("step") == 1, F.col("log_det"))) < F.min(F.when(F.col("step") == 0, F.col("log_det"))) - 1e-9
+        best = F.min_by(F.struct(*ESTIMATE, "log_det"), F.when(F.col("step") == 1, F.col("log_det") + 1e-9).otherwise(F.col("log_det"))).alias("best")
+        after = cut(after.groupBy(*GROUP).agg(best, fell.alias("fell")).select(*GROUP, "best.*", "fell"))
+        est = after.drop("fell")
+        if after.where("fell").isEmpty():
             break
-    measured = squared_distance(near(est))
-    middle = cut(measured.groupBy(*GROUP).agg((F.pow(F.lit(2.0), (F.percentile(cell(F.col("d2")), 0.5) + 0.5) / SCALE) - 1).alias("middle")))
+    middle = F.pow(F.lit(2.0), (F.percentile("cell", 0.5) + 0.5) / SCALE) - 1
+    middle = measured(est).groupBy(*GROUP).agg(middle.alias("middle"))
+    middle = middle.select(*[F.col(g).alias(f"g_{g}") for g in GROUP], "middle")
+    est = cut(est.join(middle, same_group()).drop(*[f"g_{g}" for g in GROUP]))
     p = len(NAMES)
     scaled = F.col("d2") * chi_square_quantile(0.5, p) / F.greatest(F.col("middle"), F.lit(chi_square_quantile(0.5, p)))
     judged = in_group(salted_join(rows, levels.select("lang", "source", F.col("level").alias("by")), ["lang", "source"], salts, ["id", "row_key"]), "by")
-    final = salted_join(salted_join(judged, est, GROUP, salts, ["id", "row_key"]), middle, GROUP, salts, ["id", "row_key"])
-    final = squared_distance(final).withColumn("distance", F.when(~F.col("base_failed"), scaled))
+    final = squared_distance(salted_join(judged, est, GROUP, salts, ["id", "row_key"])).withColumn("distance", F.when(~F.col("base_failed"), scaled))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= chi_square_quantile(1 - tail, p), F.lit(True))
     return final.select(F.col("id").alias(id_col), "row_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance")
 
 
 #: What the op9 query and the pipeline judge by; the function's own defaults are those its first tests describe.
-STRICT = {"minima": MINIMA, "steps": None, "tail": FALSE_REJECTIONS, "wider": True}
+STRICT = {"minima": MINIMA, "steps": None, "tail": FALSE_REJECTIONS, "wider": True, "starts": 3}
 
 
-def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that quality() keeps."""
-    verdict = quality(docs, **options).where("kept").select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key")).distinct()
-    keyed = docs.withColumn("__own", F.xxhash64(F.col("doc_id"), text_of("text"), F.col("lang"), F.col("source")))
-    return keyed.join(verdict, keyed["doc_id"].eqNullSafe(verdict["__id"]) & (keyed["__own"] == verdict["__key"]), "left_semi").select(*docs.columns)
+def keep_good(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` that quality() keeps, under its rules. Only rows that may go take part in a shuffle."""
+    text, lang, source = (options.get(k, k.removesuffix("_col")) for k in ("text_col", "lang_col", "source_col"))
+    rejected = cut(quality(docs, id_col, **options).where("not kept").select(F.col(id_col).alias("id"), "row_key").distinct())
+    return rows_not_in(docs, rejected, {"id": F.col(id_col), "row_key": F.xxhash64(F.col(id_col), text_of(text), F.col(lang), F.col(source))})

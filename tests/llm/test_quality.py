@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from strata.llm import quality as Q
 
@@ -40,32 +41,74 @@ def exact_percentile(values, p):
     return values[lo] + (at - lo) * (values[min(lo + 1, len(values) - 1)] - values[lo])
 
 
-def verdicts(rows, support=0.75, steps=3, least_rows=50, tail=1e-9):
-    """Concentration steps with numpy, group by group."""
+def hashes(spark, rows, starts):
+    """What a row's hash is, per start but the first."""
+    docs = spark.createDataFrame([(n, *r[:4]) for n, r in enumerate(rows)], "n int, doc_id long, text string, lang string, source string")
+    key = F.xxhash64("doc_id", F.coalesce("text", F.lit("")), "lang", "source")
+    found = docs.select("n", *[F.xxhash64(F.lit(k), "doc_id", key).alias(f"h{k}") for k in range(1, starts)]).orderBy("n").collect()
+    return [[r[f"h{k}"] for r in found] for k in range(1, starts)]
+
+
+def strict(spark, rows, wider=True):
+    """What the op9 query and the pipeline judge by."""
+    return verdicts(rows, steps=None, minima=Q.MINIMA, tail=Q.FALSE_REJECTIONS, few=hashes(spark, rows, Q.STRICT["starts"]), wider=wider)
+
+
+def verdicts(rows, support=0.75, steps=3, least_rows=50, tail=1e-9, minima=None, few=None, wider=False):
+    """Concentration steps with numpy, group by group. few: per start but the first, what a row's hash is."""
     stats = [counts(t) for _, t, *_ in rows]
     groups, kept = defaultdict(list), [not failed(c) for c in stats]
     for i, (_, _, lang, source, *_) in enumerate(rows):
         if kept[i]:
             groups[lang, source].append(i)
-    floors = np.array(list(Q.FLOORS.values()))
+    floors = np.array(list((minima or Q.FLOORS).values()))
     cell = lambda d: math.floor(math.log2(1 + min(d, 1e15)) * Q.SCALE)
-    for ids in groups.values():
-        if len(ids) < least_rows:
-            continue
+
+    def floored(cov):
+        return cov - np.diag(np.diag(cov)) + np.diag(np.maximum(np.diag(cov), floors**2)) if minima else cov + np.diag(floors**2)
+
+    def of(x):
+        return x.mean(axis=0), floored(np.cov(x.T, bias=True))
+
+    def distances(x, mean, cov):
+        return np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+
+    def step(x, mean, cov):
+        cells = [cell(v) for v in distances(x, mean, cov)]
+        return of(x[np.array(cells) <= exact_percentile(cells, support)])
+
+    log_det = lambda e: np.linalg.slogdet(e[1])[1]
+    pools = [(ids, ids) for ids in groups.values() if len(ids) >= least_rows]
+    if wider:
+        langs, small = defaultdict(list), defaultdict(list)
+        for (lang, _), ids in groups.items():
+            langs[lang] += ids
+            small[lang] += ids if len(ids) < least_rows else []
+        pools += [(langs[lang], ids) for lang, ids in small.items() if ids and len(langs[lang]) >= least_rows]
+        rare = [i for lang, ids in small.items() if len(langs[lang]) < least_rows for i in ids]
+        pools += [([i for ids in langs.values() for i in ids], rare)] if rare else []
+    for ids, judged in pools:
         x = np.array([vector(stats[i]) for i in ids])
         mean = np.array([exact_percentile(x[:, j] * Q.SCALE, 0.5) for j in range(5)]) / Q.SCALE
         mad = np.array([exact_percentile(abs(x[:, j] - mean[j]) * Q.SCALE, 0.5) for j in range(5)]) / Q.SCALE
-        cov = np.diag((1.4826 * mad) ** 2 + floors**2)
-        for _ in range(steps):
-            d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
-            cells = [cell(v) for v in d]
-            inside = x[np.array(cells) <= exact_percentile(cells, support)]
-            mean, cov = inside.mean(axis=0), np.cov(inside.T, bias=True) + np.diag(floors**2)
-        d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+        found = [(mean, floored(np.diag((1.4826 * mad) ** 2)))]
+        for hashes in few or []:
+            taken = [n for n, i in enumerate(ids) if hashes[i] % len(ids) < Q.FEW]
+            found += [of(x[taken])] if taken else []
+        for _ in range(2 if steps is None else steps):
+            found = [step(x, *e) for e in found]
+        best = min(found, key=log_det)
+        while steps is None:
+            after = step(x, *best)
+            if log_det(after) >= log_det(best) - 1e-9:
+                break
+            best = after
+        d = distances(x, *best)
         middle = 2 ** ((exact_percentile([cell(v) for v in d], 0.5) + 0.5) / Q.SCALE) - 1
         half = Q.chi_square_quantile(0.5, 5)
         for i, v in zip(ids, d * half / max(middle, half), strict=True):
-            kept[i] = v <= Q.chi_square_quantile(1 - tail, 5)
+            if i in judged:
+                kept[i] = v <= Q.chi_square_quantile(1 - tail, 5)
     return stats, kept
 
 
@@ -93,6 +136,15 @@ def test_against_brute_force(spark):
     assert sum(not k and not failed(c) for c, k in zip(stats, kept, strict=True)) > 10  # the method rejects some itself
 
 
+def test_strict_rules_against_brute_force(spark):
+    """Several starts, steps to convergence, floors as minima, small groups by wider ones."""
+    rows = corpus(5) + [(2000 + i, f"{' '.join('abcdefgh'[i % 8] * (1 + k % 7) + str(k * i % 91) for k in range(60 + i))}", "fr", f"s{i}", "", 0) for i in range(9)]
+    for wider in (False, True):
+        stats, kept = strict(spark, rows, wider)
+        found = Q.quality(spark.createDataFrame(rows, SCHEMA).repartition(3), **{**Q.STRICT, "wider": wider}).collect()
+        assert Counter((r["doc_id"], r["n_words"], r["kept"]) for r in found) == Counter((row[0], c[0], k) for row, c, k in zip(rows, stats, kept, strict=True))
+
+
 def test_keeping_and_empty(spark):
     rows = corpus(2)
     docs = spark.createDataFrame(rows, SCHEMA)
