@@ -1,7 +1,12 @@
 """The corpus pipeline: quality rules, exact dedup, near-duplicate join, mixing, SentencePiece encoding.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the
-next stage's docs. All but the last return the columns of documents.
+next stage's docs. All but the last return the columns of documents; columns of other names are left out.
+
+Null and empty texts fail the quality rules, so none comes further; the stages by themselves take them as empty. Null
+languages and sources are groups of their own. Rows that repeat an id and its text share a verdict, and the exact
+dedup leaves one of them; a null id is an id like any other there, the near-duplicate join keeps its row if no other
+document links with it. Texts of any length are taken whole. Of an empty table every stage makes an empty one.
 """
 
 from __future__ import annotations
@@ -19,17 +24,17 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go, repeated rows together."""
     return quality.keep_good(docs, **quality.STRICT).select(*COLUMNS)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest id stays."""
+    """Of equal texts, the row with the largest id stays, once; null ids count as smallest."""
     return exact_dedup.drop_exact_duplicates(docs).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents, the one with the smallest id stays."""
+    """Of linked documents, the one with the smallest id stays; one without an id only if it links with nothing."""
     return jaccard.one_per_component(docs).select(*COLUMNS)
 
 
@@ -39,12 +44,21 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids, n_tokens, lossless of every document of the mix; copies of a document are numbered and differ."""
+    """doc_id, ids, n_tokens, lossless of every document of the mix; copies of a document are numbered and differ.
+
+    Copies are alike in all they show, so whichever gets which number, the result is the same.
+    """
     copies = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
     return sentencepiece.encode(docs.withColumn("copy", F.row_number().over(copies)), PIECES, seed=2024, dropout=0.1, copy_col="copy")
 
 
-STAGES = [("quality rules", quality_rules), ("exact dedup", exact_duplicates), ("n-gram Jaccard join", near_duplicates), ("mixing", mixture), ("SentencePiece encoding", pieces)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("exact dedup", exact_duplicates),
+    ("n-gram Jaccard join", near_duplicates),
+    ("mixing", mixture),
+    ("SentencePiece encoding", pieces),
+]
 
 #: SQL can express neither the concentration steps nor the merges; tests hold run() against a brute-force version.
 ORACLE_SQL = None

@@ -2,7 +2,9 @@
 
 import importlib
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strata.llm import mixing
@@ -28,7 +30,7 @@ def test_run(spark, tmp_path):
     spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
 
-    _, kept = quality.verdicts(rows)
+    _, kept = quality.strict(spark, rows)
     stay = [row for row, k in zip(rows, kept, strict=True) if k]
     largest = defaultdict(int)
     for i, text, *_ in stay:
@@ -56,3 +58,27 @@ def test_stages_keep_the_columns(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, "").columns == docs.columns
         assert stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_stages_take_nulls_repeats_and_other_columns(spark):
+    """Each stage by itself: nulls in every column, repeated rows, a very long text, columns that operators use inside."""
+    rows = corpus()[:60]
+    rows += [(None, rows[3][1], None, None, None), (None, None, None, None, None), (9001, None, "en", "a", 0), (9002, "", None, "b", 0), rows[5], rows[5], (9003, "word and more " * 20_000, "en", "a", 0), (9004, rows[5][1], "en", "a", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    odd = ["id", "row_key", "digest", "salt", "h", "size", "block", "copies", "component_id", "kept", "text_key", "mix_shard", "key"]
+    docs = docs.select("*", *[F.lit("x").alias(c) for c in odd]).repartition(3)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "")
+        got = out.collect()
+        if name == "quality rules":
+            assert all(r["text"] for r in got) and sum(r["doc_id"] == rows[5][0] for r in got) in (0, 3)
+        elif name == "exact dedup":
+            assert len(got) == len({r[1] or "" for r in rows}) and Counter(r["text"] or "" for r in got) == Counter({r[1] or "" for r in rows})
+        elif name == "n-gram Jaccard join":
+            assert sum(r["text"] is None or r["text"] == "" for r in got) == 3 and sum(r["doc_id"] == 9004 for r in got) == 0
+        elif name == "mixing":
+            assert {r["doc_id"] for r in got} <= {r[0] for r in rows}
+        else:
+            assert len(got) == len(rows) and all(r["lossless"] for r in got)
+        if name != "SentencePiece encoding":
+            assert out.columns == corpus_pipeline.COLUMNS
