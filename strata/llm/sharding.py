@@ -1,8 +1,8 @@
 """Shards along a Hilbert curve.
 
-Language, source and size are quantised to five bits each; the Hilbert index of the three puts documents that
-agree in several of them next to each other, and equal runs of that order become shards, so that a manifest of
-each shard's ranges prunes files by any of the dimensions.
+Language, source and size are quantised to five bits each, in their order and by about equal counts; the Hilbert index
+of the three puts documents that agree in several of them next to each other, and equal runs of that order become
+shards, so that a manifest of each shard's ranges prunes files by any of the dimensions.
 
 The order is never sorted in one place. The curve has 2**15 cells, a bound that does not grow with the data: one
 histogram over the cells gives every cell its offset. A cell is dealt by hash to sub-cells of about
@@ -11,6 +11,8 @@ histogram over the cells gives every cell its offset. A cell is dealt by hash to
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -51,9 +53,23 @@ def curve(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
     return pd.Series(hilbert_index(np.stack([a.to_numpy(), b.to_numpy(), c.to_numpy()], axis=1)).astype(np.int32))
 
 
-def by_hash(column: str) -> Column:
-    """A name's cell; null has its own hash."""
-    return F.pmod(F.xxhash64(F.coalesce(F.col(column).cast("string"), F.lit("\x00"))), F.lit(1 << BITS)).cast("int")
+def as_number(name: Column) -> Column:
+    """The first seven bytes of a name as a number, which keeps their order; null comes first."""
+    head = F.substring(name.cast("string").cast("binary"), 1, 7)
+    return F.coalesce(F.conv(F.rpad(F.hex(head), 14, "0"), 16, 10).cast("long"), F.lit(-1).cast("long"))
+
+
+def cuts_of(docs: DataFrame, names: tuple[str, str]) -> list[list[int]]:
+    """For each name, the 31 quantiles of its numbers. A frequent name is several of them, so that its cell and the
+    next are as far apart as it has rows.
+    """
+    at = [k / (1 << BITS) for k in range(1, 1 << BITS)]
+    row = docs.agg(*[F.percentile_approx(as_number(F.col(n)), at, 10_000).alias(f"q{k}") for k, n in enumerate(names)]).first()
+    return [sorted(q or []) for q in row]
+
+
+def cell_of(number: Column, cuts: list[int]) -> Column:
+    return sum((F.when(number > c, n).otherwise(0) for c, n in Counter(cuts).items()), F.lit(0)).cast("int")
 
 
 def log_cell(size: Column) -> Column:
@@ -62,22 +78,25 @@ def log_cell(size: Column) -> Column:
 
 
 def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", names: tuple[str, str] = ("lang", "source"), rows_per_task: int = 1000) -> DataFrame:
-    """One row per document: id, size (UTF-8 bytes plus 1), text_crc32, curve cell, shard, slot.
+    """One row per document: id, size (UTF-8 bytes plus 1), text_crc32, name_a, name_b, curve cell, shard, slot.
 
     Row counts of shards differ by one at most; slots of a shard run from 0 without gaps. Null texts have size 1,
     null names a cell of their own. Rows that repeat are told apart by nothing and take neighbouring slots.
-    Names are quantised by hash, sizes by equal counts over the exact histogram of their logarithms.
+    Names are quantised by quantiles of their first bytes, sizes by equal counts over the exact histogram of their
+    logarithms. Texts are read whole; other columns are ignored, whatever their names.
     """
     text = text_of(text_col)
-    meta = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("crc"), by_hash(names[0]).alias("a"), by_hash(names[1]).alias("b"))
+    meta = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("crc"), F.col(names[0]).cast("string").alias("name_a"), F.col(names[1]).cast("string").alias("name_b"))
     meta = cut(meta.withColumn("log", log_cell(F.col("size"))))
+    first, second = cuts_of(meta, ("name_a", "name_b"))
     seen = sorted((r["log"], r["count"]) for r in meta.groupBy("log").count().collect())  # at most 1008 rows
     total, before, cells = sum(n for _, n in seen), 0, []
     for log, n in seen:
         cells += [F.lit(log), F.lit(min((1 << BITS) - 1, (before + n // 2) * (1 << BITS) // max(total, 1)))]
         before += n
     size_cell = F.create_map(*cells)[F.col("log")] if cells else F.lit(0)
-    placed = cut(meta.select("id", "size", "crc", curve("a", "b", size_cell.cast("int")).alias("cell")))
+    named = cell_of(as_number(F.col("name_a")), first), cell_of(as_number(F.col("name_b")), second)
+    placed = cut(meta.select("id", "size", "crc", "name_a", "name_b", curve(*named, size_cell.cast("int")).alias("cell")))
 
     counts = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))  # at most 2**15 rows, whatever the data
     counts = counts.withColumn("cell_start", F.sum("n").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)))
@@ -94,12 +113,13 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     guess = F.expr(f"(at * {shards}L) div {max(total, 1)}L")
     out = out.withColumn("guess", guess)
     out = out.withColumn("shard", F.when(low("(guess + 1)") <= F.col("at"), F.col("guess") + 1).otherwise(F.col("guess")))
-    return out.select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), "cell", F.col("shard").cast("int").alias("shard"), (F.col("at") - low("shard")).alias("slot"))
+    return out.select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), "name_a", "name_b", "cell", F.col("shard").cast("int").alias("shard"), (F.col("at") - low("shard")).alias("slot"))
 
 
-def manifest(docs: DataFrame, placed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Ranges of each shard, by which a reader leaves out files."""
-    keys = docs.select(id_col, by_hash("lang").alias("lang_cell"), by_hash("source").alias("source_cell"))
-    joined = placed.join(keys, id_col)
-    ranges = [f(c).alias(f"{n}_{c}") for c in ("lang_cell", "source_cell", "size") for n, f in (("min", F.min), ("max", F.max))]
-    return joined.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes"), *ranges)
+def manifest(placed: DataFrame) -> DataFrame:
+    """Ranges of each shard of hilbert_shards(), by which a reader leaves out files: rows, bytes, least and greatest of
+    both names and of the size, and how many names are null. Rows of any id count once each.
+    """
+    ranges = [f(c).alias(f"{n}_{c}") for c in ("name_a", "name_b", "size") for n, f in (("min", F.min), ("max", F.max))]
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("name_a", "name_b")]
+    return placed.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes"), *ranges, *nulls)

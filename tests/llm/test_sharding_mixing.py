@@ -34,8 +34,26 @@ def test_shards(spark):
     order = [c for k in range(16) for _, c in sorted(slots[k])]
     assert order == sorted(order)  # shards and slots follow the curve
     assert sharding.hilbert_shards(spark.createDataFrame([], SCHEMA)).count() == 0
-    ranges = sharding.manifest(docs.where("doc_id > 20"), sharding.hilbert_shards(docs.where("doc_id > 20"))).collect()
-    assert len(ranges) == 16 and all(r["min_size"] <= r["max_size"] for r in ranges)
+    ranges = sharding.manifest(sharding.hilbert_shards(docs)).collect()  # with repeated and null ids
+    assert len(ranges) == 16 and all(r["min_size"] <= r["max_size"] for r in ranges) and sum(r["rows"] for r in ranges) == len(rows)
+    assert sum(r["null_name_a"] for r in ranges) == sum(r[2] is None for r in rows)
+
+
+def test_names_keep_their_order(spark):
+    names = sorted({f"{a}{b}" for a in ("src", "web", "é", "") for b in range(12)} | {""})
+    rows = [(i, name) for i, name in enumerate(names)] * 3 + [(1000 + i, "src0") for i in range(500)] + [(9, None)] * 4
+    df = spark.createDataFrame(rows, "n long, name string")
+    [cuts, _] = sharding.cuts_of(df, ("name", "name"))
+    cells = dict(df.select("name", sharding.cell_of(sharding.as_number(F.col("name")), cuts)).distinct().collect())
+    by_bytes = sorted((n for n in cells if n is not None), key=lambda n: n.encode()[:7])
+    assert len(cuts) <= 31 and [cells[n] for n in by_bytes] == sorted(cells[n] for n in by_bytes) and cells[None] == 0 == min(cells.values())
+    assert max(cells.values()) > 5
+
+
+def test_a_manifest_prunes_by_name(spark):
+    docs = spark.createDataFrame([(i, "x" * (i % 50), f"l{i % 4}", f"s{i % 8}") for i in range(2000)], "doc_id long, text string, lang string, source string")
+    ranges = sharding.manifest(sharding.hilbert_shards(docs)).collect()
+    assert sum(r["min_name_b"] <= "s3" <= r["max_name_b"] for r in ranges) < 12 and sum(r["min_name_a"] <= "l2" <= r["max_name_a"] for r in ranges) < 12
 
 
 def test_targets():
