@@ -33,9 +33,15 @@ def genre_year(genres: DataFrame, movies: DataFrame) -> DataFrame:
 
 
 def person_career(credits: DataFrame, movies: DataFrame, persons: DataFrame) -> DataFrame:
-    """Counts are per credit, and averages are weighted by credits."""
-    rows = credits.join(movies, "movie_id").groupBy("person_id")
-    rows = rows.agg(F.count_distinct("movie_id").alias("work_count"), F.sum("is_director").alias("as_director_count"), F.sum(F.when(F.col("credit_type") == "cast", 1).otherwise(0)).alias("as_cast_count"), F.min("release_year").alias("first_work_year"), F.max("release_year").alias("latest_work_year"), F.avg("vote_average").alias("avg_vote_average"))
+    """Counts are per credit, and averages are weighted by credits. Credits of a person in a movie are added first, so
+    the join and the distinct count see each pair once.
+    """
+    cast = F.sum(F.when(F.col("credit_type") == "cast", 1).otherwise(0))
+    pairs = credits.groupBy("person_id", "movie_id").agg(F.count(F.lit(1)).alias("n"), F.sum("is_director").alias("directed"), cast.alias("acted"))
+    known = F.when(F.col("vote_average").isNotNull(), F.col("n"))
+    rows = pairs.join(movies, "movie_id").groupBy("person_id").agg(
+        F.count_distinct("movie_id").alias("work_count"), F.sum("directed").alias("as_director_count"), F.sum("acted").alias("as_cast_count"), F.min("release_year").alias("first_work_year"),
+        F.max("release_year").alias("latest_work_year"), F.try_divide(F.sum(F.col("vote_average") * F.col("n")), F.sum(known)).alias("avg_vote_average"))
     return rows.join(persons.select("person_id", "person_name", "known_for_department", F.col("popularity")), "person_id", "left")
 
 
