@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from strata.llm import exact_dedup, jaccard, mixing, quality, sentencepiece
 from strata.llm.common import name_checkpoint_dir
 from strata.llm.queries import PIECES
+from strata.sources import lake
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -65,17 +66,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's result over documents. What a stage has written goes once the next has written its own; the last
+    one's input stays, as the result is read from it.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = written(spark, docs)
+            path = f"{name_checkpoint_dir(spark)}/corpus-{uuid.uuid4()}"
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+            if before:
+                lake.delete(spark, before)
+            before = path
     return docs
-
-
-def written(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Written as Parquet to the shared folder, and read again."""
-    name_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/corpus-{uuid.uuid4()}"
-    docs.write.parquet(path)
-    return spark.read.parquet(path)
