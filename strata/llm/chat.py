@@ -43,7 +43,8 @@ def format_chats(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "tur
     escaped = F.transform("turns", lambda t: F.struct(escape(t["role"]).alias("role"), escape(t["text"]).alias("text")))
     chats = chats.select("id", escaped.alias("turns"))
     # A turn opens a block, or goes on with that of the turn before it.
-    opens = F.transform("turns", lambda t, i: F.when((i > 0) & (F.get("turns", i - 1)["role"] == t["role"]), F.concat(F.lit(MORE), t["text"])).otherwise(F.concat(F.when(i > 0, F.lit(END)).otherwise(F.lit("")), F.lit(TURN), t["role"], F.lit(TEXT), t["text"])))
+    opens = F.transform("turns", lambda t, i: F.when((i > 0) & (F.get("turns", i - 1)["role"] == t["role"]),
+        F.concat(F.lit(MORE), t["text"])).otherwise(F.concat(F.when(i > 0, F.lit(END)).otherwise(F.lit("")), F.lit(TURN), t["role"], F.lit(TEXT), t["text"])))
     return chats.select(F.col("id").alias(id_col), F.concat(F.array_join(opens, ""), F.lit(END)).alias("formatted"))
 
 
@@ -53,12 +54,21 @@ def read_back(chats: DataFrame, id_col: str = "conv_id", loss_role: str = "assis
     Each loss span covers one escaped text of ``loss_role``.
     """
     blocks = F.filter(F.split("formatted", re.escape(TURN), -1), lambda b: b != "")
-    parsed = F.transform(blocks, lambda b: F.struct(F.split_part(b, F.lit(TEXT), F.lit(1)).alias("role"), F.split(F.regexp_replace(F.substring_index(b, TEXT, -1), re.escape(END) + "$", ""), re.escape(MORE), -1).alias("texts")))
+    parsed = F.transform(blocks, lambda b: F.struct(F.split_part(b, F.lit(TEXT), F.lit(1)).alias("role"),
+        F.split(F.regexp_replace(F.substring_index(b, TEXT, -1), re.escape(END) + "$", ""), re.escape(MORE), -1).alias("texts")))
     chats = chats.select(id_col, "formatted", parsed.alias("blocks"))
-    turns = F.flatten(F.transform("blocks", lambda b: F.transform(b["texts"], lambda t: F.struct(unescape(b["role"]).alias("role"), unescape(t).alias("text")))))
+    turns = F.flatten(F.transform("blocks",
+        lambda b: F.transform(b["texts"], lambda t: F.struct(unescape(b["role"]).alias("role"), unescape(t).alias("text")))))
     width = F.lit(len(TURN) + len(TEXT) + len(END))
-    size = lambda b: width + F.length(b["role"]) + F.aggregate(b["texts"], F.lit(0), lambda n, t: n + F.length(t)) + F.lit(len(MORE)) * (F.size(b["texts"]) - 1)
-    start = F.aggregate("blocks", F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<role:string,start:int,texts:array<string>>>").alias("out")), lambda acc, b: F.struct((acc["at"] + size(b)).alias("at"), F.concat(acc["out"], F.array(F.struct(b["role"].alias("role"), (acc["at"] + len(TURN) + F.length(b["role"]) + len(TEXT)).alias("start"), b["texts"].alias("texts")))).alias("out")))
+    size = lambda b: width + F.length(b["role"]) + F.aggregate(b["texts"], F.lit(0),
+        lambda n, t: n + F.length(t)) + F.lit(len(MORE)) * (F.size(b["texts"]) - 1)
+    start = F.aggregate("blocks", F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<role:string,start:int,texts:array<string>>>").alias("out")),
+        lambda acc, b: F.struct((acc["at"] + size(b)).alias("at"),
+        F.concat(acc["out"], F.array(F.struct(b["role"].alias("role"), (acc["at"] + len(TURN) + F.length(b["role"]) + len(TEXT)).alias("start"), b["texts"].alias("texts")))).alias("out")))
     chats = chats.select(id_col, "formatted", turns.alias("turns"), F.filter(start["out"], lambda b: unescape(b["role"]) == loss_role).alias("masked"))
-    spans = F.flatten(F.transform("masked", lambda b: F.transform(b["texts"], lambda t, i: F.struct((b["start"] + F.aggregate(F.slice(b["texts"], F.lit(1), i), F.lit(0), lambda n, x: n + F.length(x) + len(MORE))).alias("start"), F.length(t).alias("n")))))
-    return chats.select(id_col, "formatted", "turns", F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (s["start"] + s["n"]).alias("end"))).alias("loss_spans"))
+    spans = F.flatten(F.transform("masked",
+        lambda b: F.transform(b["texts"],
+        lambda t, i: F.struct((b["start"] + F.aggregate(F.slice(b["texts"], F.lit(1), i), F.lit(0), lambda n, x: n + F.length(x) + len(MORE))).alias("start"),
+        F.length(t).alias("n")))))
+    return chats.select(id_col, "formatted", "turns",
+        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (s["start"] + s["n"]).alias("end"))).alias("loss_spans"))

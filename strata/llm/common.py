@@ -43,7 +43,8 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str], salts: int, s
     Keys join null-safe.
     """
     left = big.withColumn("__salt", salt_of(salts, *spread))
-    right = small.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in small.columns if c not in keys], F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__rsalt"))
+    right = small.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in small.columns if c not in keys],
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__rsalt"))
     on = F.col("__salt") == F.col("__rsalt")
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))

@@ -57,8 +57,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         texts = text_groups(docs, id_col, text_col, salts, normalise, digest).join(clashing, "digest", "left_semi")
         found = salted_join(rows.join(clashing, "digest", "left_anti"), single, ["digest"], salts=16, spread=["id"])
         found = found.unionByName(full.join(texts, ["digest", "text"]).drop("text").select(*found.columns))
-    found = found.select("id", "digest", F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"))
-    return found.select(F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("digest").alias("text_digest"))
+    found = found.select("id", "digest", F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
+        F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"))
+    return found.select(F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        F.col("digest").alias("text_digest"))
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 64) -> DataFrame:
@@ -67,7 +69,8 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Only texts that may go, or that repeat under their id, take part in a shuffle.
     """
     found = exact_duplicates(docs, id_col, text_col, salts).select(F.col(id_col).alias("id"), F.col("text_digest").alias("digest"), "kept", "group_size")
-    unsettled = cut(found.where("group_size > 1").groupBy("id", "digest").agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("not kept or n > 1"))
+    unsettled = cut(found.where("group_size > 1").groupBy("id", "digest").agg(F.min("kept").alias("kept"),
+        F.count(F.lit(1)).alias("n")).where("not kept or n > 1"))
     own = {"id": F.col(id_col), "digest": sha256_of(text_of(text_col))}
     marked = with_maybe(docs, bitmap(unsettled, *own), *own.values())
     stay = rows_not_in(marked.where("__maybe").drop("__maybe"), unsettled.where("not kept"), own)

@@ -133,9 +133,12 @@ detriment of our heirs and successors."""
 
 TEMPLATES = {
     "MIT": ["Released under the MIT License.", "Licensed under the MIT license.", "SPDX-License-Identifier: MIT", MIT],
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache-2.0", APACHE_NOTICE.split("\n\n")[0], APACHE_NOTICE, APACHE],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-3.0-or-later", GPL_NOTICE.split("\n\n")[0], GPL_NOTICE, GPL],
-    "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0-or-later", GPL_NOTICE.replace("General", "Lesser General").replace("program", "library")],
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache-2.0", APACHE_NOTICE.split("\n\n")[0], APACHE_NOTICE,
+    APACHE],
+    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-3.0-or-later",
+    GPL_NOTICE.split("\n\n")[0], GPL_NOTICE, GPL],
+    "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0-or-later",
+    GPL_NOTICE.replace("General", "Lesser General").replace("program", "library")],
     "BSD-2-Clause": ["Released under the BSD 2-Clause License.", "SPDX-License-Identifier: BSD-2-Clause", BSD_2],
     "BSD-3-Clause": ["Released under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause", BSD_3],
     "ISC": ["Released under the ISC License.", "SPDX-License-Identifier: ISC", ISC],

@@ -41,7 +41,8 @@ def tokens(text: Column) -> Column:
 def counted(words: Column) -> Column:
     """The distinct words of an array with their numbers, by runs of the sorted array."""
     first = lambda s: F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
-    runs = lambda s: F.transform(F.array(first(s)), lambda at: F.transform(at, lambda i, k: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).alias("tf"))))
+    runs = lambda s: F.transform(F.array(first(s)),
+        lambda at: F.transform(at, lambda i, k: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).alias("tf"))))
     some = F.when(F.size(words) > 0, F.array(F.array_sort(words))).otherwise(F.array().cast("array<array<string>>"))
     return F.flatten(F.flatten(F.transform(some, runs)))
 
@@ -97,16 +98,19 @@ def scored(units: DataFrame, keys: list[str], weights: DataFrame, vectors: Vecto
 def ancestors(directory: Column) -> Column:
     """The directory and those above it, up to the root ''."""
     parts = F.split(directory, "/")
-    return F.array_distinct(F.concat(F.array(F.lit("")), F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))))
+    return F.array_distinct(F.concat(F.array(F.lit("")),
+        F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))))
 
 
 def line_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """term, n: in how many lines it stands; the term '' stands for lines with any word."""
     lines = docs.select(F.explode(F.split(text_of(text_col), "\n", -1)).alias("said")).select(F.array_distinct(tokens(F.col("said"))).alias("words"))
-    return lines.where(F.size("words") > 0).select(F.explode(F.array_append("words", F.lit(""))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return lines.where(F.size("words") > 0).select(F.explode(F.array_append("words",
+        F.lit(""))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def scan(docs: DataFrame, path: str | Column, id_col: str = "doc_id", text_col: str = "text", header: float = 0.6, file: float = 0.5, templates: dict[str, list[str]] = TEMPLATES, salts: int = 16) -> DataFrame:
+def scan(docs: DataFrame, path: str | Column, id_col: str = "doc_id", text_col: str = "text", header: float = 0.6, file: float = 0.5,
+    templates: dict[str, list[str]] = TEMPLATES, salts: int = 16) -> DataFrame:
     """One row per row of ``docs``: the id, path, own_licence, cosine, line (-1: the whole text), is_file, licence,
     inherited_from (directory).
 
@@ -133,19 +137,23 @@ def scan(docs: DataFrame, path: str | Column, id_col: str = "doc_id", text_col:
     of_texts = scored(likely.select("id", "row_key", F.lit(-1).alias("line"), "words"), keys, weights, vectors, file, salts)
     best = F.min(F.struct((-F.col("cosine")).alias("minus"), "line", "licence"))
     own = of_lines.unionByName(of_texts).groupBy("id", "row_key").agg(best.alias("best"))
-    own = cut(own.select(F.col("id").alias("o_id"), F.col("row_key").alias("o_key"), F.col("best.licence").alias("own_licence"), (-F.col("best.minus")).alias("cosine"), F.col("best.line").alias("line")))
+    own = cut(own.select(F.col("id").alias("o_id"), F.col("row_key").alias("o_key"), F.col("best.licence").alias("own_licence"),
+        (-F.col("best.minus")).alias("cosine"), F.col("best.line").alias("line")))
 
     paths = rows.select("id", "row_key", "path")
     named = paths.join(own, paths["id"].eqNullSafe(own["o_id"]) & (paths["row_key"] == own["o_key"]), "left").drop("o_id", "o_key")
     is_file = F.col("own_licence").isNotNull() & ((F.col("line") < 0) | F.col("path").rlike(FILE_NAME))
     directory = F.regexp_replace("path", r"/?[^/]*$", "")
-    named = cut(named.select("id", "row_key", "path", directory.alias("directory"), "own_licence", "cosine", "line", F.coalesce(is_file, F.lit(False)).alias("is_file")))
+    named = cut(named.select("id", "row_key", "path", directory.alias("directory"), "own_licence", "cosine", "line",
+        F.coalesce(is_file, F.lit(False)).alias("is_file")))
     holders = named.where("is_file").groupBy("directory").agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "path", "own_licence")).alias("best"))
     holders = holders.select(F.col("directory").alias("holder"), F.col("best.own_licence").alias("licence"))
     ways = named.where("own_licence is null").select("directory").distinct()
     ways = ways.select("directory", F.explode(ancestors(F.col("directory"))).alias("holder"))
     # Every directory comes to the root and to the shallow ones, which are dealt to many tasks.
-    nearest = salted_join(ways, holders, ["holder"], salts, ["directory"], "inner").groupBy("directory").agg(F.max_by(F.struct("holder", "licence"), F.length("holder")).alias("near"))
+    nearest = salted_join(ways, holders, ["holder"], salts, ["directory"],
+        "inner").groupBy("directory").agg(F.max_by(F.struct("holder", "licence"), F.length("holder")).alias("near"))
     nearest = cut(nearest.select("directory", F.col("near.holder").alias("inherited_from"), F.col("near.licence").alias("inherited")))
     final = salted_join(named, nearest, ["directory"], salts, ["id", "row_key"])
-    return final.select(F.col("id").alias(id_col), "path", "own_licence", "cosine", "line", "is_file", F.coalesce("own_licence", "inherited").alias("licence"), F.when(F.col("own_licence").isNull(), F.col("inherited_from")).alias("inherited_from"))
+    return final.select(F.col("id").alias(id_col), "path", "own_licence", "cosine", "line", "is_file", F.coalesce("own_licence", "inherited").alias("licence"),
+        F.when(F.col("own_licence").isNull(), F.col("inherited_from")).alias("inherited_from"))

@@ -34,9 +34,12 @@ def site_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """id, row_key, site, text_key, line (from 0), chars, words, hash of every line with a word."""
     place = F.col(site) if isinstance(site, str) else site
     text = text_of(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("row_key"), F.coalesce(place.cast("string"), F.lit("\x00")).alias("site"), F.xxhash64(text).alias("text_key"), F.posexplode(F.split(text, "\n", -1)).alias("line", "said"))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("row_key"),
+        F.coalesce(place.cast("string"), F.lit("\x00")).alias("site"), F.xxhash64(text).alias("text_key"),
+        F.posexplode(F.split(text, "\n", -1)).alias("line", "said"))
     rows = rows.where(trimmed("said") != "")
-    return rows.select("id", "row_key", "site", "text_key", "line", F.length("said").alias("chars"), F.regexp_count("said", F.lit(WORD)).alias("words"), line_hash(F.col("said")).alias("hash"))
+    return rows.select("id", "row_key", "site", "text_key", "line", F.length("said").alias("chars"), F.regexp_count("said", F.lit(WORD)).alias("words"),
+        line_hash(F.col("said")).alias("hash"))
 
 
 def spread_of(lines: DataFrame, least_sites: int = 10, lg_k: int = 12, long_words: int = 50, long_sites: int = 2) -> DataFrame:
@@ -44,7 +47,8 @@ def spread_of(lines: DataFrame, least_sites: int = 10, lg_k: int = 12, long_word
     # A line of so many words has as many characters and spaces between them; others need no count of words.
     long = F.when(F.col("chars") >= 2 * long_words - 1, F.col("words") >= long_words).otherwise(False)
     seen = lines.select("hash", "site", "text_key", long.alias("long")).groupBy("hash").agg(
-        F.count(F.lit(1)).alias("n"), F.first("long").alias("long"), F.min("text_key").alias("one"), F.max("text_key").alias("other"), F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"))
+        F.count(F.lit(1)).alias("n"), F.first("long").alias("long"), F.min("text_key").alias("one"), F.max("text_key").alias("other"),
+        F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"))
     seen = seen.withColumn("least", F.when(F.col("long"), long_sites).otherwise(least_sites))
     seen = seen.where((F.col("n") >= F.col("least")) & (~F.col("long") | (F.col("one") != F.col("other"))))
     return cut(seen.select("hash", "least", F.hll_sketch_estimate("sketch").cast("long").alias("sites")))
@@ -81,7 +85,8 @@ def marked_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = boilerplate(lines, **thresholds).select("hash")
     # A line that stands in a third of all texts is dealt to many tasks.
     likely = with_maybe(lines.select("id", "row_key", "line", "chars", "hash"), bitmap(found, "hash"), "hash").where("__maybe").drop("__maybe")
-    hits = salted_join(likely, found, ["hash"], 16, ["row_key", "line"], "inner").groupBy("id", "row_key").agg(F.sort_array(F.collect_set(F.struct("line", "chars"))).alias("hits"))
+    hits = salted_join(likely, found, ["hash"], 16, ["row_key", "line"], "inner").groupBy("id",
+        "row_key").agg(F.sort_array(F.collect_set(F.struct("line", "chars"))).alias("hits"))
     hits = hits.select(F.col("id").alias("h_id"), F.col("row_key").alias("h_key"), "hits")
     text = text_of(text_col)
     worded = F.size(F.filter(F.split(text, "\n", -1), lambda x: trimmed(x) != ""))
@@ -98,7 +103,8 @@ def without_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Texts of any length are one row; repeated rows stay and are treated alike. Names that begin with ``__`` are for
     the operator's own columns.
     """
-    marks = marked_lines(docs, id_col, text_col, **options).where(F.size("removed") > 0).select(F.col(id_col).alias("__id"), F.col("row_key").alias("__row"), F.col("removed").alias("__removed")).dropDuplicates(["__id", "__row"])
+    marks = marked_lines(docs, id_col, text_col, **options).where(F.size("removed") > 0).select(F.col(id_col).alias("__id"), F.col("row_key").alias("__row"),
+        F.col("removed").alias("__removed")).dropDuplicates(["__id", "__row"])
     rows = docs.withColumn("__key", F.xxhash64(F.col(id_col), text_of(text_col)))
     rows = rows.join(marks, rows[id_col].eqNullSafe(marks["__id"]) & (rows["__key"] == marks["__row"]), "left")
     gone = F.map_from_arrays("__removed", "__removed")

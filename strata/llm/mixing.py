@@ -66,7 +66,8 @@ def split_quotas(quotas: list[int], shards: int, seed: int) -> np.ndarray:
 
 def keyed(docs: DataFrame, seed: int, id_col: str, text_col: str, source_col: str) -> dict[str, Column]:
     """The columns that a mix needs of a document."""
-    return {"id": F.col(id_col), "source": F.col(source_col).cast("string"), "size": F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long"), "h": F.xxhash64(F.lit(seed), F.col(id_col), text_of(text_col))}
+    return {"id": F.col(id_col), "source": F.col(source_col).cast("string"), "size": F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long"),
+        "h": F.xxhash64(F.lit(seed), F.col(id_col), text_of(text_col))}
 
 
 def placed_blocks(meta: DataFrame, shards: int, seed: int, most: int, weights: tuple[float, ...], share: float, docs_per_block: int) -> DataFrame:
@@ -78,12 +79,15 @@ def placed_blocks(meta: DataFrame, shards: int, seed: int, most: int, weights: t
     seen = sorted(seen, key=lambda r: (r["source"] is None, r["source"] or ""))
     targets = source_targets([r["size"] for r in seen], weights, share, most)
     most_of_one = max(1, MOST_BLOCKS // max(1, len(seen)))
-    recipe_type = T.StructType([T.StructField("src", T.StringType()), T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType()), T.StructField("n_blocks", T.LongType())])
-    recipe = spark.createDataFrame([(r["source"], r["size"], t, min(most_of_one, -(-r["n"] // docs_per_block))) for r, t in zip(seen, targets, strict=True)], recipe_type)
+    recipe_type = T.StructType([T.StructField("src", T.StringType()), T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType()),
+        T.StructField("n_blocks", T.LongType())])
+    recipe = spark.createDataFrame([(r["source"], r["size"], t, min(most_of_one, -(-r["n"] // docs_per_block))) for r, t in zip(seen, targets, strict=True)],
+        recipe_type)
     rows = meta.join(F.broadcast(recipe), meta["source"].eqNullSafe(recipe["src"])).withColumn("blk", F.pmod("h", "n_blocks"))
     blocks = rows.groupBy("src", "blk", "n_blocks", "source_size", "target").agg(F.sum("size").alias("words"))
     permuted = Window.partitionBy("src").orderBy(F.xxhash64(F.lit(seed), "src", "blk"), "blk")
-    blocks = blocks.withColumns({"rank": F.row_number().over(permuted) - 1, "block_end": F.sum("words").over(permuted.rowsBetween(Window.unboundedPreceding, 0)), "n_ranks": F.count(F.lit(1)).over(Window.partitionBy("src"))})
+    blocks = blocks.withColumns({"rank": F.row_number().over(permuted) - 1,
+        "block_end": F.sum("words").over(permuted.rowsBetween(Window.unboundedPreceding, 0)), "n_ranks": F.count(F.lit(1)).over(Window.partitionBy("src"))})
     blocks = cut(blocks.withColumn("block_start", F.col("block_end") - F.col("words")))
     drawn = sum((F.when(k * F.col("source_size") + F.col("block_start") < F.col("target"), 1).otherwise(0) for k in range(most)), F.lit(0))
     quota = {r["src"]: r["q"] for r in blocks.groupBy("src").agg(F.sum(drawn).alias("q")).collect()}
@@ -92,11 +96,14 @@ def placed_blocks(meta: DataFrame, shards: int, seed: int, most: int, weights: t
     runs = spark.createDataFrame([(r["source"], [int(x) for x in bounds[:, i]]) for i, r in enumerate(seen)], runs_type)
     blocks = blocks.join(F.broadcast(runs), blocks["src"].eqNullSafe(runs["r_src"]))
     shard = lambda k: F.size(F.filter("bounds", lambda b: b <= k * F.col("n_ranks") + F.col("rank")))
-    run = lambda k: F.when(k * F.col("source_size") + F.col("block_end") <= F.col("target"), 1).when(k * F.col("source_size") + F.col("block_start") <= F.col("target"), 2).otherwise(0)
-    return cut(blocks.select("src", "blk", "n_blocks", "source_size", "target", "block_start", F.array(*[shard(k) for k in range(most)]).alias("places"), F.array(*[run(k) for k in range(most)]).alias("runs")))
+    run = lambda k: F.when(k * F.col("source_size") + F.col("block_end") <= F.col("target"),
+        1).when(k * F.col("source_size") + F.col("block_start") <= F.col("target"), 2).otherwise(0)
+    return cut(blocks.select("src", "blk", "n_blocks", "source_size", "target", "block_start", F.array(*[shard(k) for k in range(most)]).alias("places"),
+        F.array(*[run(k) for k in range(most)]).alias("runs")))
 
 
-def mix(docs: DataFrame, shards: int = 64, seed: int = 7, most: int = 3, weights: tuple[float, ...] = WEIGHTS, share: float = 1.0, docs_per_block: int = 256, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: list[str] | None = None) -> DataFrame:
+def mix(docs: DataFrame, shards: int = 64, seed: int = 7, most: int = 3, weights: tuple[float, ...] = WEIGHTS, share: float = 1.0, docs_per_block: int = 256,
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: list[str] | None = None) -> DataFrame:
     """One row per document: id, size (words), source_size, target (its source's), copies, shards (one a copy).
 
     A source takes its documents in permuted order up to its target: the copy of a document is taken if more than
@@ -119,7 +126,8 @@ def mix(docs: DataFrame, shards: int = 64, seed: int = 7, most: int = 3, weights
     whole = F.size(F.filter("runs", lambda r: r == 1))
     some = sum((F.when(k * F.col("source_size") + F.col("middle") <= F.col("target"), 1).otherwise(0) for k in range(most)), F.lit(0))
     rows = rows.where(~part).withColumn("copies", whole).unionByName(rows.where(part).withColumn("middle", middle).withColumn("copies", some).drop("middle"))
-    return rows.select(F.col("id").alias(id_col), "size", "source_size", "target", "copies", F.slice("places", F.lit(1), F.col("copies")).alias("shards"), *[f"keep_{c}" for c in keep or []])
+    return rows.select(F.col("id").alias(id_col), "size", "source_size", "target", "copies", F.slice("places", F.lit(1), F.col("copies")).alias("shards"),
+        *[f"keep_{c}" for c in keep or []])
 
 
 def mixed_rows(docs: DataFrame, seed: int = 7, **options) -> DataFrame:

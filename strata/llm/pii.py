@@ -70,14 +70,17 @@ def spans_of(text: Column) -> Column:
     """kind, start, end, value of the base kinds and of secrets, by kind and start."""
     each = []
     for k, pattern in PATTERNS.items():
-        make = lambda m, start, k=k: F.when(valid(k, m), F.array(F.struct(F.lit(k).alias("kind"), start.cast("int").alias("start"), (start + F.length(m)).cast("int").alias("end"), m.alias("value")))).otherwise(F.array().cast(SPAN))
+        make = lambda m, start, k=k: F.when(valid(k, m),
+            F.array(F.struct(F.lit(k).alias("kind"), start.cast("int").alias("start"), (start + F.length(m)).cast("int").alias("end"),
+            m.alias("value")))).otherwise(F.array().cast(SPAN))
         each.append(F.when(text.rlike(NEEDS[k]), placed(text, F.lit(pattern), make, SPAN)).otherwise(F.array().cast(SPAN)))
     return F.concat(*each)
 
 
 def entity_of(span: Column) -> Column:
     digits = span["kind"].isin(2, 3)
-    return F.concat_ws(":", span["kind"], F.when(digits, F.regexp_replace(span["value"], "[^0-9]", "")).when(span["kind"] == 6, span["value"]).otherwise(F.lower(span["value"])))
+    return F.concat_ws(":", span["kind"],
+        F.when(digits, F.regexp_replace(span["value"], "[^0-9]", "")).when(span["kind"] == 6, span["value"]).otherwise(F.lower(span["value"])))
 
 
 def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -86,12 +89,17 @@ def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("row_key"), text.alias("text"))
     rows = rows.withColumn("spans", spans_of(F.col("text")))
     # No pattern reaches over a line feed, so a span's line is what stands around it up to the nearest ones.
-    line = lambda s: F.concat(F.substring_index(F.substring("text", F.lit(1), s["start"]), "\n", -1), s["value"], F.substring_index(F.substring("text", s["end"] + 1, F.length("text")), "\n", 1))
-    rows = rows.withColumn("lines", F.transform("spans", lambda s: F.struct((s["start"] - F.length(F.substring_index(F.substring("text", F.lit(1), s["start"]), "\n", -1))).alias("at"), entity_of(s).alias("entity"))))
+    line = lambda s: F.concat(F.substring_index(F.substring("text", F.lit(1), s["start"]), "\n", -1), s["value"],
+        F.substring_index(F.substring("text", s["end"] + 1, F.length("text")), "\n", 1))
+    rows = rows.withColumn("lines", F.transform("spans",
+        lambda s: F.struct((s["start"] - F.length(F.substring_index(F.substring("text", F.lit(1), s["start"]), "\n", -1))).alias("at"),
+        entity_of(s).alias("entity"))))
     firsts = F.array_distinct(F.transform("lines", lambda x: x["at"]))
     mentions = F.transform(firsts, lambda at: F.struct(line(F.get("spans", F.array_position(F.transform("lines", lambda x: x["at"]), at).cast("int") - 1)).alias("line"), F.array_distinct(F.transform(F.filter("lines", lambda x: x["at"] == at), lambda x: x["entity"])).alias("entities")))
     rows = rows.withColumn("mentions", mentions)
-    return rows.select("id", "row_key", F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("found"), "mentions").withColumnRenamed("found", "spans")
+    return rows.select("id", "row_key", F.transform("spans",
+        lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("found"), "mentions").withColumnRenamed("found",
+        "spans")
 
 
 def terms_of(line: Column) -> Column:
@@ -107,7 +115,8 @@ def mention_lines(found: DataFrame) -> DataFrame:
 def line_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """term, n_t: in how many lines it stands; the term '' stands for lines with any term."""
     lines = docs.select(F.explode(F.split(text_of(text_col), "\n", -1)).alias("line")).select(terms_of(F.col("line")).alias("terms"))
-    return lines.where(F.size("terms") > 0).select(F.explode(F.array_append("terms", F.lit(""))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    return lines.where(F.size("terms") > 0).select(F.explode(F.array_append("terms",
+        F.lit(""))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
 
 
 def pairs_of(lines: DataFrame) -> DataFrame:
@@ -138,7 +147,8 @@ def generalised(telling: DataFrame, words: DataFrame, generalise: float = 0.7) -
     """entity, term, general: the longest beginning of a term to generalise that discloses less than ``generalise``
     of the entity, of all terms that begin so; no row if each discloses as much.
     """
-    begins = lambda: F.explode(F.transform(F.sequence(F.lit(1), F.length("term") - 1), lambda k: F.substring("term", F.lit(1), k))).alias("general")
+    begins = lambda: F.explode(F.transform(F.sequence(F.lit(1), F.length("term") - 1),
+        lambda k: F.substring("term", F.lit(1), k))).alias("general")
     wanted = telling.where("action = 4").select("entity", "term", "n_ct", "n_c", begins())
     every = words.where(F.length("term") > 1).select("n_t", begins()).groupBy("general").agg(F.sum("n_t").alias("n_g"))
     weaker = wanted.join(every, "general").where(share_of(F.col("n_ct"), F.col("n_c"), F.col("n_g"), total_of(words)) < generalise)
@@ -153,17 +163,20 @@ def told(docs: DataFrame, hits: DataFrame, id_col: str, text_col: str) -> DataFr
     text = text_of(text_col)
     own = docs.select(F.col(id_col).alias("d_id"), F.xxhash64(F.col(id_col), text).alias("d_key"), text.alias("d_text"))
     near = rows_in(own, hits.select("id", "row_key"), {"id": F.col("d_id"), "row_key": F.col("d_key")})
-    near = salted_join(near.dropDuplicates(["d_id", "d_key"]), hits.select(F.col("id").alias("d_id"), F.col("row_key").alias("d_key"), "tells"), ["d_id", "d_key"], 1, ["d_key"], "inner")
+    near = salted_join(near.dropDuplicates(["d_id", "d_key"]), hits.select(F.col("id").alias("d_id"), F.col("row_key").alias("d_key"), "tells"),
+        ["d_id", "d_key"], 1, ["d_key"], "inner")
     # The forms in which the terms stand in the text are letters alone, so they are a pattern as they are.
     forms = F.filter(F.array_distinct(F.regexp_extract_all("d_text", F.lit(TERM), F.lit(0))), lambda f: F.map_contains_key(F.col("tells"), F.lower(f)))
     pattern = F.concat(F.lit(BEFORE + "(?:"), F.array_join(forms, "|"), F.lit(")" + AFTER))
     kind = "array<struct<kind:int,start:int,end:int,general:string>>"
-    make = lambda m, start: F.array(F.struct(F.element_at("tells", F.lower(m))["kind"].alias("kind"), start.cast("int").alias("start"), (start + F.length(m)).cast("int").alias("end"), F.element_at("tells", F.lower(m))["general"].alias("general")))
+    make = lambda m, start: F.array(F.struct(F.element_at("tells", F.lower(m))["kind"].alias("kind"), start.cast("int").alias("start"),
+        (start + F.length(m)).cast("int").alias("end"), F.element_at("tells", F.lower(m))["general"].alias("general")))
     near = near.withColumn("pattern", pattern)
     return near.select(F.col("d_id").alias("h_id"), F.col("d_key").alias("h_key"), placed(F.col("d_text"), F.col("pattern"), make, kind).alias("added"))
 
 
-def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16, support: int = 1, generalise: float = 0.7, remove: float = 0.9, beginnings: bool = False) -> DataFrame:
+def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16, support: int = 1, generalise: float = 0.7,
+    remove: float = 0.9, beginnings: bool = False) -> DataFrame:
     """One row per row of ``docs``: the id, row_key, spans (kind, start, end, general; ordered by kind and start).
 
     Kinds 0 to 3 are the base's, 4 and 5 terms to generalise and to remove, 6 secrets. Null texts are empty. Repeated
@@ -187,7 +200,9 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     tells = F.map_from_entries(F.collect_list(F.struct("term", F.struct((-F.col("s.minus")).cast("int").alias("kind"), F.col("s.general").alias("general")))))
     hits = cut(hits.groupBy("id", "row_key").agg(tells.alias("tells")))
     added = told(docs, hits, id_col, text_col)
-    base = found.select("id", "row_key", F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit(None).cast("string").alias("general"))).alias("base"))
+    base = found.select("id", "row_key", F.transform("spans",
+        lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
+        F.lit(None).cast("string").alias("general"))).alias("base"))
     both = base.join(added, base["id"].eqNullSafe(added["h_id"]) & (base["row_key"] == added["h_key"]), "left")
     none = F.array().cast("array<struct<kind:int,start:int,end:int,general:string>>")
     return both.select(F.col("id").alias(id_col), "row_key", F.array_sort(F.concat("base", F.coalesce("added", none))).alias("spans"))
@@ -199,17 +214,21 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     spans, the first, at equal starts the longest, counts. A null text's result is empty. Names that begin with ``__``
     are for the operator's own columns.
     """
-    spans = personal_data(docs, id_col, text_col, beginnings=True, **options).select(F.col(id_col).alias("__id"), F.col("row_key").alias("__row"), F.col("spans").alias("__found")).dropDuplicates(["__id", "__row"])
+    spans = personal_data(docs, id_col, text_col, beginnings=True, **options).select(F.col(id_col).alias("__id"), F.col("row_key").alias("__row"),
+        F.col("spans").alias("__found")).dropDuplicates(["__id", "__row"])
     rows = docs.withColumn("__key", F.xxhash64(F.col(id_col), text_of(text_col)))
     rows = rows.join(spans, rows[id_col].eqNullSafe(spans["__id"]) & (rows["__key"] == spans["__row"]), "left")
     text = text_of(text_col)
-    ordered = F.array_sort(F.transform("__found", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("minus_end"), s["kind"].alias("kind"), s["general"].alias("general"))))
+    ordered = F.array_sort(F.transform("__found",
+        lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("minus_end"), s["kind"].alias("kind"), s["general"].alias("general"))))
     rows = rows.withColumn("__spans", ordered)
     labels = F.create_map(*[F.lit(x) for k, v in [*enumerate(KINDS), (5, "removed"), (6, "secret")] for x in (k, f"<{v.upper()}>")])
     # A beginning is of the lower-case term; what stands in the text keeps its own letters.
     begun = lambda s: F.concat(F.substring(text, s["start"] + 1, F.length(s["general"])), F.lit("*"))
     named = lambda s: F.when(s["kind"] == 4, F.coalesce(begun(s), F.lit("<WORD>"))).otherwise(F.element_at(labels, s["kind"]))
-    step = lambda acc, s: F.when(s["start"] < acc["at"], acc).otherwise(F.struct((-s["minus_end"]).alias("at"), F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), named(s))).alias("out")))
+    step = lambda acc, s: F.when(s["start"] < acc["at"],
+        acc).otherwise(F.struct((-s["minus_end"]).alias("at"),
+        F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), named(s))).alias("out")))
     done = F.aggregate("__spans", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step)
     rows = rows.withColumn("__done", done)
     clean = F.concat(F.array_join("__done.out", ""), F.substring(text, F.col("__done.at") + 1, F.length(text)))

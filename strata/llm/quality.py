@@ -53,14 +53,21 @@ def twins(rows: str) -> Column:
 def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """id, row_key, lang, source, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words."""
     text = text_of(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text, F.col(lang_col), F.col(source_col)).alias("row_key"), F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"), text.alias("text"))
-    rows = rows.select("id", "row_key", "lang", "source", F.regexp_extract_all("text", F.lit(WORD), 0).alias("words"), F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"), F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text, F.col(lang_col), F.col(source_col)).alias("row_key"),
+        F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"), text.alias("text"))
+    rows = rows.select("id", "row_key", "lang", "source", F.regexp_extract_all("text", F.lit(WORD), 0).alias("words"),
+        F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
     # Hashes find the windows that may repeat; these few are then compared as strings.
-    hashes = F.transform(F.slice("words", F.lit(1), F.greatest(F.size("words") - 2, F.lit(0))), lambda w, i: F.struct(F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)).alias("key"), i.alias("i")))
+    hashes = F.transform(F.slice("words", F.lit(1), F.greatest(F.size("words") - 2, F.lit(0))),
+        lambda w, i: F.struct(F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)).alias("key"), i.alias("i")))
     chars = F.aggregate("words", F.lit(0).cast("long"), lambda n, w: n + F.length(w))
-    rows = rows.select("id", "row_key", "lang", "source", "n_symbols", F.size("words").cast("long").alias("n_words"), chars.alias("word_chars"), F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), "words", F.sort_array(hashes).alias("hashes"))
+    rows = rows.select("id", "row_key", "lang", "source", "n_symbols", F.size("words").cast("long").alias("n_words"), chars.alias("word_chars"),
+        F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), "words",
+        F.sort_array(hashes).alias("hashes"))
     rows = rows.select(*[c for c in rows.columns if c != "hashes"], twins("hashes").alias("maybe"))
-    rows = rows.select(*[c for c in rows.columns if c not in ("maybe", "words")], F.sort_array(F.transform("maybe", lambda x: F.struct(window("words", x["i"]).alias("key"), x["i"].alias("i")))).alias("windows"))
+    rows = rows.select(*[c for c in rows.columns if c not in ("maybe", "words")],
+        F.sort_array(F.transform("maybe", lambda x: F.struct(window("words", x["i"]).alias("key"), x["i"].alias("i")))).alias("windows"))
     rows = rows.select(*[c for c in rows.columns if c != "windows"], twins("windows").alias("again"))
     inside = F.array_distinct(F.flatten(F.transform("again", lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2))))
     return rows.select(*[c for c in rows.columns if c != "again"], F.size(inside).cast("long").alias("n_repeat_words"))
@@ -69,7 +76,9 @@ def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def vector() -> dict[str, Column]:
     """Transformed statistics as whole multiples of 1/256."""
     percent = lambda n, of: 100 * F.col(n) / F.greatest(F.col(of), F.lit(1))
-    values = {"log_words": F.col("n_words"), "log_word_length": F.col("word_chars") / F.greatest("n_words", F.lit(1)), "log_symbols": percent("n_symbols", "word_chars"), "log_dup_lines": percent("n_dup_lines", "n_lines"), "log_repeats": percent("n_repeat_words", "n_words")}
+    values = {"log_words": F.col("n_words"), "log_word_length": F.col("word_chars") / F.greatest("n_words", F.lit(1)),
+        "log_symbols": percent("n_symbols", "word_chars"), "log_dup_lines": percent("n_dup_lines", "n_lines"),
+        "log_repeats": percent("n_repeat_words", "n_words")}
     return {k: F.round(F.log1p(v.cast("double")) * SCALE).cast("long") for k, v in values.items()}
 
 
@@ -183,7 +192,8 @@ def same_group() -> Column:
 FEW = 12
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, steps: int | None = 3, least_rows: int = 50, tail: float = 1e-9, salts: int = 32, minima: dict[str, float] | None = None, wider: bool = False, starts: int = 1, **columns) -> DataFrame:
+def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, steps: int | None = 3, least_rows: int = 50, tail: float = 1e-9, salts: int = 32,
+    minima: dict[str, float] | None = None, wider: bool = False, starts: int = 1, **columns) -> DataFrame:
     """One row per document: the id, row_key, counts, base_failed, distance (null for base failures), kept.
 
     ``base_failed``: fewer than 50 words, or more than half of the words in repeated 3-word windows. Others are
@@ -211,8 +221,10 @@ def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, step
     spread = near(groups).groupBy(*GROUP).agg(*[F.percentile(F.abs(F.col(x) - F.col(f"med_{x}")), 0.5).alias(f"mad_{x}") for x in NAMES])
     spread = spread.select(*[F.col(g).alias(f"g_{g}") for g in GROUP], *[f"mad_{x}" for x in NAMES])
     start = groups.join(spread, same_group()).drop(*[f"g_{g}" for g in GROUP])
-    diagonal = {f"l_{i}_{j}": F.lit(0.0) if i != j else F.sqrt(floored((1.4826 * F.col(f"mad_{x}") / SCALE) ** 2, x, minima)) for i, x in enumerate(NAMES) for j in range(i + 1)}
-    est = start.select(*GROUP, F.lit(0).alias("start"), *[(F.col(f"med_{x}") / SCALE).alias(f"m_{i}") for i, x in enumerate(NAMES)], *[c.alias(k) for k, c in diagonal.items()])
+    diagonal = {f"l_{i}_{j}": F.lit(0.0) if i != j else F.sqrt(floored((1.4826 * F.col(f"mad_{x}") / SCALE) ** 2, x,
+        minima)) for i, x in enumerate(NAMES) for j in range(i + 1)}
+    est = start.select(*GROUP, F.lit(0).alias("start"), *[(F.col(f"med_{x}") / SCALE).alias(f"m_{i}") for i, x in enumerate(NAMES)],
+        *[c.alias(k) for k, c in diagonal.items()])
     est = with_log_det(est).select(*GROUP, "start", *ESTIMATE, "log_det")
     if starts > 1:
         some = near(groups.select(*GROUP, "rows")).withColumn("start", F.explode(F.sequence(F.lit(1), F.lit(starts - 1))))
@@ -241,7 +253,8 @@ def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, step
     judged = in_group(salted_join(rows, levels.select("lang", "source", F.col("level").alias("by")), ["lang", "source"], salts, ["id", "row_key"]), "by")
     final = squared_distance(salted_join(judged, est, GROUP, salts, ["id", "row_key"])).withColumn("distance", F.when(~F.col("base_failed"), scaled))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= chi_square_quantile(1 - tail, p), F.lit(True))
-    return final.select(F.col("id").alias(id_col), "row_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance")
+    return final.select(F.col("id").alias(id_col), "row_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        kept.alias("kept"), "distance")
 
 
 #: What the op9 query and the pipeline judge by; the function's own defaults are those its first tests describe.

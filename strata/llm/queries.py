@@ -24,7 +24,8 @@ def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = F.concat_ws("/", base, F.concat(F.lit("d"), F.pmod("doc_id", F.lit(8)).cast("string")))
     named = (F.length("text") < 1000) & F.substring_index("text", "\n", -1).rlike(r"(?i)licen[cs]e")
     file = F.concat_ws("/", F.when(F.col("doc_id") % 2 == 0, base).otherwise(folder), F.concat(F.lit("LICENSE."), F.col("doc_id").cast("string")))
-    return licences.scan(table(spark, sf_dir, "documents"), F.when(named, file).otherwise(F.concat_ws("/", folder, F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))))
+    return licences.scan(table(spark, sf_dir, "documents"),
+        F.when(named, file).otherwise(F.concat_ws("/", folder, F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))))
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +39,8 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
     base = F.filter("spans", lambda s: s["kind"] < len(pii.KINDS))
     protected = F.filter("spans", lambda s: (s["kind"] < len(pii.KINDS)) | (s["kind"] == 6))
-    return found.select("doc_id", *[n(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)], F.sha2(said(base), 256).alias("base_sha256"), said("spans").alias("spans"), F.size(protected).cast("long").alias("n_protected"))
+    return found.select("doc_id", *[n(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)], F.sha2(said(base), 256).alias("base_sha256"),
+        said("spans").alias("spans"), F.size(protected).cast("long").alias("n_protected"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +56,8 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = F.array_join(F.transform("loss_spans", lambda s: chat.unescape(F.substring("formatted", s["start"] + 1, s["end"] - s["start"]))), "")
     chats = chats.select("conv_id", "formatted", F.size("turns").cast("long").alias("n_turns"), F.sha2(texts, 256).alias("turns_sha256"), loss.alias("loss"))
-    return chats.select("conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+    return chats.select("conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
 def op6_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,17 +67,20 @@ def op6_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = line_dedup.marked_lines(table(spark, sf_dir, "documents"))
-    return marked.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.transform("removed", lambda i: i.cast("string")), ",").alias("removed"), "removed_chars")
+    return marked.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"),
+        F.array_join(F.transform("removed", lambda i: i.cast("string")), ",").alias("removed"), "removed_chars")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.mix(table(spark, sf_dir, "documents"))
-    return planned.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), F.array_join(F.transform("shards", lambda s: s.cast("string")), ",").alias("shards"))
+    return planned.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"),
+        F.array_join(F.transform("shards", lambda s: s.cast("string")), ",").alias("shards"))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality(table(spark, sf_dir, "documents"), **quality.STRICT)
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("distance", 6).alias("distance"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("distance", 6).alias("distance"))
 
 
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +94,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_licences, op2_sentencepiece, op3_pii, op4_exact_dedup, op5_chat, op6_hilbert_sharding, op7_line_dedup, op8_mixing, op9_quality, op10_jaccard, pipeline)}
+    return {f.__name__: f for f in (op1_licences, op2_sentencepiece, op3_pii, op4_exact_dedup, op5_chat, op6_hilbert_sharding, op7_line_dedup, op8_mixing,
+        op9_quality, op10_jaccard, pipeline)}
 
 
 OP4 = """

@@ -102,7 +102,8 @@ class Codec:
         self.by_rank = np.array(sorted(range(self.size), key=lambda i: (-vocabulary["scores"][i], i)), dtype=np.int32)
         self.rank = np.zeros(self.size, dtype=np.int32)
         self.rank[self.by_rank] = np.arange(self.size, dtype=np.int32)
-        self.raw = [bytes([int(p[3:5], 16)]) if b else b"" if s else p.replace(MARK, " ").encode() for p, s, b in zip(vocabulary["pieces"], vocabulary["special"], vocabulary["byte"], strict=True)]
+        self.raw = [bytes([int(p[3:5], 16)]) if b else b"" if s else p.replace(MARK, " ").encode() for p, s, b in zip(vocabulary["pieces"],
+            vocabulary["special"], vocabulary["byte"], strict=True)]
         self.raw_array = pa.array(self.raw, pa.binary())
         self.raw_len = np.array([len(x) for x in self.raw], dtype=np.int64)
         self.pairs = {}
@@ -343,7 +344,8 @@ def slices(texts: list[str]) -> Iterator[slice]:
         yield slice(lo, len(texts))
 
 
-def encode(docs: DataFrame, model_file: str, seed: int = 0, dropout: float = 0.1, id_col: str = "doc_id", text_col: str = "text", copy_col: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, model_file: str, seed: int = 0, dropout: float = 0.1, id_col: str = "doc_id", text_col: str = "text",
+    copy_col: str | None = None) -> DataFrame:
     """One row per row of ``docs``: the id, ids (pieces), n_tokens, lossless (the ids decode to the text).
 
     A null text is an empty one, whose ids are empty. The keyed hash is seeded and takes the document's id and the
@@ -363,9 +365,12 @@ def encode(docs: DataFrame, model_file: str, seed: int = 0, dropout: float = 0.1
                 back = own.decode(ids, counts)
                 lossless = [b == t.encode("utf-8", "surrogatepass") for b, t in zip(back, some, strict=True)]
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.start, part.stop - part.start), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)), pa.array(counts), pa.array(lossless, pa.bool_())], names=["id", "ids", "n_tokens", "lossless"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.start, part.stop - part.start),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)), pa.array(counts), pa.array(lossless, pa.bool_())],
+                    names=["id", "ids", "n_tokens", "lossless"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("long"), F.lit(0)), *([copy_col] if copy_col else [])).alias("key"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("long"), F.lit(0)), *([copy_col] if copy_col else [])).alias("key"))
     return rows.mapInArrow(work, "id long, ids array<int>, n_tokens long, lossless boolean").withColumnRenamed("id", id_col)
 
 
@@ -379,7 +384,8 @@ def decode(encoded: DataFrame, model_file: str, id_col: str = "doc_id", ids_col:
             lists = batch.column(1)
             counts = np.diff(np.asarray(lists.offsets))
             texts = own.decode(np.asarray(lists.flatten()), counts)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t.decode("utf-8", "surrogatepass") for t in texts], pa.string())], names=["id", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t.decode("utf-8", "surrogatepass") for t in texts], pa.string())],
+                names=["id", "text"])
 
     rows = encoded.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
     return rows.mapInArrow(work, "id long, text string").withColumnRenamed("id", id_col)

@@ -77,7 +77,8 @@ def log_cell(size: Column) -> Column:
     return F.floor(F.log2(size.cast("double")) * 16).cast("int")
 
 
-def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", names: tuple[str, str] = ("lang", "source"), rows_per_task: int = 1000) -> DataFrame:
+def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", names: tuple[str, str] = ("lang", "source"),
+    rows_per_task: int = 1000) -> DataFrame:
     """One row per document: id, size (UTF-8 bytes plus 1), text_crc32, name_a, name_b, curve cell, shard, slot.
 
     Row counts of shards differ by one at most; slots of a shard run from 0 without gaps. Null texts have size 1,
@@ -86,7 +87,8 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     logarithms. Texts are read whole; other columns are ignored, whatever their names.
     """
     text = text_of(text_col)
-    meta = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("crc"), F.col(names[0]).cast("string").alias("name_a"), F.col(names[1]).cast("string").alias("name_b"))
+    meta = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("crc"),
+        F.col(names[0]).cast("string").alias("name_a"), F.col(names[1]).cast("string").alias("name_b"))
     meta = cut(meta.withColumn("log", log_cell(F.col("size"))))
     first, second = cuts_of(meta, ("name_a", "name_b"))
     seen = sorted((r["log"], r["count"]) for r in meta.groupBy("log").count().collect())  # at most 1008 rows
@@ -104,7 +106,8 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     rows = placed.join(F.broadcast(counts), "cell")
     rows = rows.withColumn("sub", F.pmod(F.xxhash64("id", "crc", "size", F.lit(17)), F.col("subs")).cast("int"))
     parts = rows.groupBy("cell", "sub").agg(F.count(F.lit(1)).alias("n"))
-    parts = parts.select("cell", "sub", F.coalesce(F.sum("n").over(Window.partitionBy("cell").orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("sub_start"))
+    parts = parts.select("cell", "sub", F.coalesce(F.sum("n").over(Window.partitionBy("cell").orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)).alias("sub_start"))
     ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("cell", "sub").orderBy("id", "crc", "size")) - 1)
     at = F.col("cell_start") + F.col("sub_start") + F.col("rank")
     out = ranked.join(parts, ["cell", "sub"]).withColumn("at", at.cast("long"))
@@ -113,7 +116,8 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     guess = F.expr(f"(at * {shards}L) div {max(total, 1)}L")
     out = out.withColumn("guess", guess)
     out = out.withColumn("shard", F.when(low("(guess + 1)") <= F.col("at"), F.col("guess") + 1).otherwise(F.col("guess")))
-    return out.select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), "name_a", "name_b", "cell", F.col("shard").cast("int").alias("shard"), (F.col("at") - low("shard")).alias("slot"))
+    return out.select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), "name_a", "name_b", "cell",
+        F.col("shard").cast("int").alias("shard"), (F.col("at") - low("shard")).alias("slot"))
 
 
 def manifest(placed: DataFrame) -> DataFrame:

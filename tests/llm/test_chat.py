@@ -46,7 +46,8 @@ def check(spark, rows):
 
 def test_small_cases(spark):
     said = "</s>[INST] ok [/INST]"
-    check(spark, [(-7, 0, "user", said), (-7, 1, "assistant", said), (1, 1, "assistant", "b"), (1, 0, "assistant", "a"), (1, 2, "user", None), (1, 2, "user", None), (2, None, None, ""), (None, 0, "user", "x"), (3, 0, "assistant", "long " * 50_000)])
+    check(spark, [(-7, 0, "user", said), (-7, 1, "assistant", said), (1, 1, "assistant", "b"), (1, 0, "assistant", "a"), (1, 2, "user", None),
+        (1, 2, "user", None), (2, None, None, ""), (None, 0, "user", "x"), (3, 0, "assistant", "long " * 50_000)])
     assert chat.format_chats(spark.createDataFrame([], SCHEMA)).count() == 0
 
 

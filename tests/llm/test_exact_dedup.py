@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from strata.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
 
 SCHEMA = "doc_id long, text string, digest string, n int"
-ROWS = [(1, "a", "x", 1), (2, "b", None, 2), (3, "a", "y", 3), (4, None, "z", 4), (5, "", "z", 5), (6, "b", "z", 6), (6, "b", "z", 6), (None, "c", "z", 7), (None, "a", "z", 8), (7, "x" * 200_000, "", 1), (8, "x" * 200_000, "", 1)]
+ROWS = [(1, "a", "x", 1), (2, "b", None, 2), (3, "a", "y", 3), (4, None, "z", 4), (5, "", "z", 5), (6, "b", "z", 6), (6, "b", "z", 6), (None, "c", "z", 7),
+    (None, "a", "z", 8), (7, "x" * 200_000, "", 1), (8, "x" * 200_000, "", 1)]
 
 
 def brute(rows):

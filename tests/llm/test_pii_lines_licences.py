@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from strata.llm import licences, line_dedup, pii
 
 SCHEMA = "doc_id long, text string, lang string, source string, spans string, start int"
-PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
 def luhn(digits):
@@ -31,9 +32,12 @@ def base(text):
 
 
 TEXTS = [
-    None, "", "mail a.b+c@x-y.example.com, a@b no, x@y@z.com and a@b.c%d@e.f", "ip 10.0.0.1 and 256.1.1.1 1.2.3.4.5.6.7.8 010.0000255.3.4 99999999999999999999.1.1.1",
-    "card 4111 1111 1111 1111, 4111-1111-1111-1112 4111111111111111 and 1 2 3", "call +1 (523) 555-1055 or +49.30.1234567 or +1 2 or ++12345678 é🎉+44 20 7946 0958.",
-    "é🎉 4111 1111 1111 1111+1 (523) 555-1055x@y.zz 1.2.3.4", "9" * 3000 + " " + "a" * 3000 + "@ " + "1." * 500 + " " + "+1" + "(" * 2000, "a@b.c" * 50, "-4111-1111-1111-1111- +1-(2)-3-4-5-6-7-8",
+    None, "", "mail a.b+c@x-y.example.com, a@b no, x@y@z.com and a@b.c%d@e.f",
+    "ip 10.0.0.1 and 256.1.1.1 1.2.3.4.5.6.7.8 010.0000255.3.4 99999999999999999999.1.1.1",
+    "card 4111 1111 1111 1111, 4111-1111-1111-1112 4111111111111111 and 1 2 3",
+    "call +1 (523) 555-1055 or +49.30.1234567 or +1 2 or ++12345678 é🎉+44 20 7946 0958.",
+    "é🎉 4111 1111 1111 1111+1 (523) 555-1055x@y.zz 1.2.3.4", "9" * 3000 + " " + "a" * 3000 + "@ " + "1." * 500 + " " + "+1" + "(" * 2000, "a@b.c" * 50,
+    "-4111-1111-1111-1111- +1-(2)-3-4-5-6-7-8",
 ]
 
 
@@ -46,9 +50,11 @@ def secrets(text):
 
 def test_base_spans(spark):
     r = random.Random(8)
-    odd = ["".join(r.choice("+1234567890 -.()@ax") if r.random() < 0.9 else r.choice(["4111111111111111", "\n", "é", "10.0.0.1"]) for _ in range(r.randint(20, 120))) for _ in range(400)]
+    odd = ["".join(r.choice("+1234567890 -.()@ax") if r.random() < 0.9 else r.choice(["4111111111111111", "\n", "é", "10.0.0.1"]) for _ in range(r.randint(20,
+        120))) for _ in range(400)]
     runs = ["".join(r.choice(["1", "22", " ", "-", "  ", "+", "4242424242424242", "378282246310005"]) for _ in range(30)) for _ in range(300)]
-    rows = [(i, t, "en", "a", "", 0) for i, t in enumerate(TEXTS + odd + runs)] + [(None, TEXTS[2], "", "", "", 0), (2, TEXTS[2], "", "", "", 0), (5000, 'token = "24be64439e3e49cf46b2"\nPASSWORD:abc', "", "", "", 0)]
+    rows = [(i, t, "en", "a", "", 0) for i, t in enumerate(TEXTS + odd + runs)] + [(None, TEXTS[2], "", "", "", 0), (2, TEXTS[2], "", "", "", 0),
+        (5000, 'token = "24be64439e3e49cf46b2"\nPASSWORD:abc', "", "", "", 0)]
     found = pii.personal_data(spark.createDataFrame(rows, SCHEMA).repartition(3), support=10**6).collect()
     got = sorted((str(r["doc_id"]), [tuple(s)[:3] for s in r["spans"]]) for r in found)
     assert got == sorted((str(i), sorted(base(t) + secrets(t))) for i, t, *_ in rows)
@@ -68,7 +74,8 @@ def telling(rows, support=1, generalise=0.7, remove=0.9):
             terms = {m[0].lower() for m in TERM.finditer(line)}
             total += bool(terms)
             n_t.update(terms)
-            here = {(k, re.sub("[^0-9]", "", text[a:b]) if k in (2, 3) else text[a:b] if k == 6 else text[a:b].lower()) for k, a, b in base(text) + secrets(text) if at <= a < at + len(line)}
+            here = {(k, re.sub("[^0-9]", "", text[a:b]) if k in (2,
+                3) else text[a:b] if k == 6 else text[a:b].lower()) for k, a, b in base(text) + secrets(text) if at <= a < at + len(line)}
             n_c.update(here)
             n_ct.update((c, t) for c in here for t in terms)
             of[i, text] |= {(c, t) for c in here for t in terms}
@@ -88,7 +95,8 @@ def secret_corpus():
     filler = "some plain words of the corpus that say nothing at all about anyone here "
     rows = [(i, filler * (1 + i % 3) + f"\n{filler}", "en", "a", "", 0) for i in range(60)]
     rows += [(100 + i, f"{filler}\nthe Zanzibar office of Quibble asks kate@corp.example.com for plain answers in 2023 card 4111 1111 1111 1111. {filler}\nZanzibar again", "en", "a", "", 0) for i in range(4)]
-    rows += [(200, "Write to bob@x.example.com about Unicorns and words.", "en", "a", "", 0), (201, f"{filler} Quibble {filler}", "en", "a", "", 0), (202, "call +1 (523) 555-1055, Kate, or kate@corp.example.com Zanzibar", "", "", "", 0)]
+    rows += [(200, "Write to bob@x.example.com about Unicorns and words.", "en", "a", "", 0), (201, f"{filler} Quibble {filler}", "en", "a", "", 0),
+        (202, "call +1 (523) 555-1055, Kate, or kate@corp.example.com Zanzibar", "", "", "", 0)]
     rows += [(300 + i, f"{word} {filler}", "en", "a", "", 0) for i, word in enumerate(["unicycle", "unison", "unicorn", "unicorns", "quilt"] * 3)]
     return rows
 
@@ -118,15 +126,18 @@ def test_sanitised_texts(spark):
     text = next(t for i, t, *_ in rows if i == 200)
     for kind, a, b in spans[200]:
         term, c = text[a:b], (0, "bob@x.example.com")
-        weak = lambda p: math.log2(n_ct[c, term.lower()] * total / (n_c[c] * sum(n for w, n in n_t.items() if w.startswith(p)))) / math.log2(total / n_c[c]) < 0.5
+        weak = lambda p: math.log2(n_ct[c,
+            term.lower()] * total / (n_c[c] * sum(n for w, n in n_t.items() if w.startswith(p)))) / math.log2(total / n_c[c]) < 0.5
         begin = max((k for k in range(1, len(term)) if weak(term[:k].lower())), default=0)
         assert ("<REMOVED>" if kind == 5 else term[:begin] + "*" if begin else "<WORD>") in texts[200]
     assert any(k == 4 for k, *_ in spans[200]) and "<EMAIL> about Uni* " in texts[200]
 
 
 def test_lines(spark):
-    text = lambda i: "\n".join([f"own {i}", "everywhere", *(["often"] if i % 4 else []), *(["few"] if i < 8 else []), " everywhere ", "", f"last {i}"])
-    rows = [(i, text(i), "en", f"site{i % 40}", "", 0) for i in range(120)] + [(500, None, "en", None, "", 0), (501, "", "", "", "", 0), (3, text(3), "en", "site3", "", 0), (None, "everywhere\n" * 3, "", None, "", 0)]
+    text = lambda i: "\n".join([f"own {i}", "everywhere", *(["often"] if i % 4 else []), *(["few"] if i < 8 else []), " everywhere ", "",
+        f"last {i}"])
+    rows = [(i, text(i), "en", f"site{i % 40}", "", 0) for i in range(120)] + [(500, None, "en", None, "", 0), (501, "", "", "", "", 0),
+        (3, text(3), "en", "site3", "", 0), (None, "everywhere\n" * 3, "", None, "", 0)]
     docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
     sites = defaultdict(set)
     for _, t, _, site, *_ in rows:
@@ -194,9 +205,15 @@ def test_licences(spark):
 
     prose = "The quick brown fox is of the opinion that software is not for the lazy dog. " * 4
     rows = [(i, f"{prose}{i} {i * 7} x{i}\nnothing{i}", "en", "lib", "", 0) for i in range(30)]
-    rows += [(100, f"Copyright (c) 2001 Kim Doe\n\n{L.MIT}", "README", "lib", "", 0), (101, f"// Licensed under the Apache License, Version 2.0.\n{prose}", "a.c", "lib/sub/deep", "", 0), (102, prose, "b.c", "lib/sub/deep", "", 0), (103, prose, "c.c", "other", "", 0)]
-    rows += [(104, L.GPL_NOTICE, "COPYING", "lib/sub", "", 0), (105, None, None, None, "", 0), (106, "", "d.c", "lib/x", "", 0), (102, prose, "b.c", "lib/sub/deep", "", 0), (107, "This is licensed to be of the software in the form", "e.c", "other", "", 0)]
-    rows += [(108, "see below\nReleased under the MIT License.", "LICENSE.md", "third", "", 0), (109, prose, "x/y/z.c", "third", "", 0), (110, "license license license license", "f.c", "third", "", 0), (111, L.BSD_3.replace("THE COPYRIGHT", "KIM DOE"), "LICENSE", "bsd", "", 0), (112, "word " * 60_000 + "MIT License", "big", "bsd", "", 0), (None, L.ISC, "LICENSE", "isc", "", 0), (113, L.MIT + "\n" + L.MIT, "twice", "two", "", 0)]
+    rows += [(100, f"Copyright (c) 2001 Kim Doe\n\n{L.MIT}", "README", "lib", "", 0),
+        (101, f"// Licensed under the Apache License, Version 2.0.\n{prose}", "a.c", "lib/sub/deep", "", 0), (102, prose, "b.c", "lib/sub/deep", "", 0),
+        (103, prose, "c.c", "other", "", 0)]
+    rows += [(104, L.GPL_NOTICE, "COPYING", "lib/sub", "", 0), (105, None, None, None, "", 0), (106, "", "d.c", "lib/x", "", 0),
+        (102, prose, "b.c", "lib/sub/deep", "", 0), (107, "This is licensed to be of the software in the form", "e.c", "other", "", 0)]
+    rows += [(108, "see below\nReleased under the MIT License.", "LICENSE.md", "third", "", 0), (109, prose, "x/y/z.c", "third", "", 0),
+        (110, "license license license license", "f.c", "third", "", 0), (111, L.BSD_3.replace("THE COPYRIGHT", "KIM DOE"), "LICENSE", "bsd", "", 0),
+        (112, "word " * 60_000 + "MIT License", "big", "bsd", "", 0), (None, L.ISC, "LICENSE", "isc", "", 0),
+        (113, L.MIT + "\n" + L.MIT, "twice", "two", "", 0)]
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
     path = lambda r: "/".join(x for x in (r[3], r[2]) if x is not None)
     want = plain_scan(rows, path)
@@ -204,8 +221,10 @@ def test_licences(spark):
     near = lambda x: tuple(round(v, 6) if isinstance(v, float) else v for v in x)
     assert sorted(map(near, found), key=str) == sorted(map(near, want), key=str)
     by_id = {r[0]: r[2:] for r in want}
-    assert by_id[100][0] == "MIT" and by_id[100][3] and by_id[101][0] == "Apache-2.0" and not by_id[101][3] and by_id[111][:1] == ("BSD-3-Clause",) and by_id[111][3] and by_id[None][0] == "ISC"
-    assert by_id[102][4:] == ("GPL-3.0", "lib/sub") and by_id[3][4:] == ("MIT", "lib") and by_id[109][4:] == ("MIT", "third") and by_id[103][4:] == (None, None) and by_id[107][0] is None
+    assert by_id[100][0] == "MIT" and by_id[100][3] and by_id[101][0] == "Apache-2.0" and not by_id[101][3] and by_id[111][:1] == ("BSD-3-Clause",
+        ) and by_id[111][3] and by_id[None][0] == "ISC"
+    assert by_id[102][4:] == ("GPL-3.0", "lib/sub") and by_id[3][4:] == ("MIT", "lib") and by_id[109][4:] == ("MIT", "third") and by_id[103][4:] == (None,
+        None) and by_id[107][0] is None
     assert licences.scan(docs.limit(0), "source").count() == 0
 
 
@@ -233,7 +252,8 @@ def test_all_words_have_corpus_frequencies(spark):
     """Ordinary words of a header weigh little, and a verdict does not change when the corpus is repeated."""
     prose = "\n".join(["this project is for the file of you and see details in it"] * 40)
     said = "This project is released under the MIT License, see the file for details."
-    rows = [(i, f"{prose}\nown{i}", "en", "a", "", 0) for i in range(20)] + [(100, said, "en", "b", "", 0), (101, "xylophone quartz released zebra under umbrella MIT violin", "en", "c", "", 0)]
+    rows = [(i, f"{prose}\nown{i}", "en", "a", "", 0) for i in range(20)] + [(100, said, "en", "b", "", 0),
+        (101, "xylophone quartz released zebra under umbrella MIT violin", "en", "c", "", 0)]
     once = {r["doc_id"]: r["own_licence"] for r in licences.scan(spark.createDataFrame(rows, SCHEMA), "source").collect()}
     assert once[100] == "MIT" and once[101] is None and all(once[i] is None for i in range(20))
     more = [(i + 1000 * k, *rest) for k in range(10) for i, *rest in rows]

@@ -63,7 +63,8 @@ def test_stages_keep_the_columns(spark, tmp_path):
 def test_stages_take_nulls_repeats_and_other_columns(spark):
     """Each stage by itself: nulls in every column, repeated rows, a very long text, columns that operators use inside."""
     rows = corpus()[:60]
-    rows += [(None, rows[3][1], None, None, None), (None, None, None, None, None), (9001, None, "en", "a", 0), (9002, "", None, "b", 0), rows[5], rows[5], (9003, "word and more " * 20_000, "en", "a", 0), (9004, rows[5][1], "en", "a", 0)]
+    rows += [(None, rows[3][1], None, None, None), (None, None, None, None, None), (9001, None, "en", "a", 0), (9002, "", None, "b", 0), rows[5], rows[5],
+        (9003, "word and more " * 20_000, "en", "a", 0), (9004, rows[5][1], "en", "a", 0)]
     docs = spark.createDataFrame(rows, SCHEMA)
     odd = ["id", "row_key", "digest", "salt", "h", "size", "block", "copies", "component_id", "kept", "text_key", "mix_shard", "key"]
     docs = docs.select("*", *[F.lit("x").alias(c) for c in odd]).repartition(3)

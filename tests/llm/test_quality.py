@@ -124,21 +124,24 @@ def corpus(seed=1):
         if i % 41 == 0:
             words = ["\n", *words[:10], "\n", *words[:10], "\n", *words]
         rows.append((i, " ".join(words), r.choice(["en", "de", None]), r.choice(["a", "a", None]), "x", 1))
-    return [*rows, rows[7], (900, None, None, None, "", 0), (901, "", "en", "a", "", 0), (902, "w " * 70_000, "en", "b", "", 0), (None, "one two", "en", "a", "", 0)]
+    return [*rows, rows[7], (900, None, None, None, "", 0), (901, "", "en", "a", "", 0), (902, "w " * 70_000, "en", "b", "", 0),
+        (None, "one two", "en", "a", "", 0)]
 
 
 def test_against_brute_force(spark):
     rows = corpus()
     stats, kept = verdicts(rows)
     found = Q.quality(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
-    got = Counter((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"], r["kept"]) for r in found)
+    got = Counter((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"],
+        r["kept"]) for r in found)
     assert got == Counter((row[0], *c[:5], failed(c), k) for row, c, k in zip(rows, stats, kept, strict=True))
     assert sum(not k and not failed(c) for c, k in zip(stats, kept, strict=True)) > 10  # the method rejects some itself
 
 
 def test_strict_rules_against_brute_force(spark):
     """Several starts, steps to convergence, floors as minima, small groups by wider ones."""
-    rows = corpus(5) + [(2000 + i, f"{' '.join('abcdefgh'[i % 8] * (1 + k % 7) + str(k * i % 91) for k in range(60 + i))}", "fr", f"s{i}", "", 0) for i in range(9)]
+    rows = corpus(5) + [(2000 + i, f"{' '.join('abcdefgh'[i % 8] * (1 + k % 7) + str(k * i % 91) for k in range(60 + i))}", "fr", f"s{i}", "",
+        0) for i in range(9)]
     for wider in (False, True):
         stats, kept = strict(spark, rows, wider)
         found = Q.quality(spark.createDataFrame(rows, SCHEMA).repartition(3), **{**Q.STRICT, "wider": wider}).collect()
@@ -182,7 +185,8 @@ def test_small_groups_are_judged_by_wider_ones(spark):
     text = lambda extra="": "\n".join(" ".join("".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(3, 8))) for _ in range(12)) + extra for _ in range(r.randint(8, 20)))
     junk = " | | | | |"
     rows = [(i, text(), "en", f"site{i % 20}", "", 0) for i in range(80)]  # 4 rows a source
-    rows += [(100, text(junk), "en", "site3", "", 0), (101, text(), "xx", "rare", "", 0), (102, text(junk), "xx", "rare", "", 0), (103, text(junk), None, None, "", 0), (104, None, "en", "none", "", 0)]
+    rows += [(100, text(junk), "en", "site3", "", 0), (101, text(), "xx", "rare", "", 0), (102, text(junk), "xx", "rare", "", 0),
+        (103, text(junk), None, None, "", 0), (104, None, "en", "none", "", 0)]
     rows += [(200 + i, text(), "de", "big", "", 0) for i in range(60)] + [(300, text(junk), "de", "big", "", 0)]
     found = {x["doc_id"]: x for x in Q.quality(spark.createDataFrame(rows, SCHEMA), **Q.STRICT).collect()}
     assert len(found) == len(rows) and not any(found[i]["kept"] for i in (100, 102, 103, 104, 300))

@@ -10,7 +10,8 @@ from hypothesis import strategies as st
 from strata.llm import sentencepiece as sp
 from strata.llm.queries import PIECES
 
-TEXTS = ["", "a", "  a  b ", "x\ny", "▁ literal ▁▁", "日本語 🎉", "a" * 3000 + " " + "th" * 200, "<s> </s> <0x41>\t\r\x00", " " * 70 + "z", "internationalization of the thing", "\n\n"]
+TEXTS = ["", "a", "  a  b ", "x\ny", "▁ literal ▁▁", "日本語 🎉", "a" * 3000 + " " + "th" * 200, "<s> </s> <0x41>\t\r\x00", " " * 70 + "z",
+    "internationalization of the thing", "\n\n"]
 
 
 @pytest.fixture(scope="module")
@@ -61,7 +62,8 @@ def plain_agenda(vocabulary, chunk, key, dropout):
 @pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5])
 def test_against_a_plain_agenda(vocabulary, dropout):
     r = random.Random(1)
-    words = ["".join(r.choice("theandoré▁漢🎉\x00") for _ in range(r.randint(0, 20))) for _ in range(300)] + ["internationalization"] * 30 + ["x" * 80, "\n", "the" * 30]
+    words = ["".join(r.choice("theandoré▁漢🎉\x00") for _ in range(r.randint(0, 20))) for _ in range(300)] + ["internationalization"] * 30 + ["x" * 80, "\n",
+        "the" * 30]
     r.shuffle(words)
     texts = [" ".join(words[:150]), " ".join(words[150:]), "", "a"]
     codec = sp.Codec(vocabulary, 9, dropout)

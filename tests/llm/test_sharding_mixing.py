@@ -10,7 +10,8 @@ SCHEMA = "doc_id long, text string, lang string, source string, size int, cell i
 
 
 def documents(spark, n=500):
-    rows = [(i, None if i % 50 == 0 else "wörd " * (i * 7 % 90), None if i % 11 == 0 else "en", None if i % 13 == 0 else f"s{i % 3 if i % 2 else 0}", 1, 2, "x") for i in range(n)]
+    rows = [(i, None if i % 50 == 0 else "wörd " * (i * 7 % 90), None if i % 11 == 0 else "en", None if i % 13 == 0 else f"s{i % 3 if i % 2 else 0}", 1, 2,
+        "x") for i in range(n)]
     rows += [rows[3]] * 3 + [(None, "null id", "en", "s1", 0, 0, "")]
     return rows, spark.createDataFrame(rows, SCHEMA).repartition(5)
 
@@ -25,7 +26,8 @@ def test_the_curve_is_a_walk():
 def test_shards(spark):
     rows, docs = documents(spark)
     placed = sharding.hilbert_shards(docs, rows_per_task=20).collect()
-    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in placed) == Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, *_ in rows)
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in placed) == Counter((i, len((t or "").encode()) + 1,
+        zlib.crc32((t or "").encode())) for i, t, *_ in rows)
     slots = defaultdict(list)
     for r in placed:
         slots[r["shard"]].append((r["slot"], r["cell"]))
@@ -94,7 +96,8 @@ def test_shards_take_the_drawn_quotas_in_disjoint_runs(spark):
     meta = docs.select(*[c.alias(k) for k, c in mixing.keyed(docs, 7, "doc_id", "text", "source").items()])
     places = mixing.placed_blocks(meta, 8, 7, 3, mixing.WEIGHTS, 1.0, 16).collect()
     names = sorted({r["src"] for r in places}, key=lambda s: (s is None, s or ""))
-    draws = {name: sorted((k, r["block_start"], r["blk"], r["places"][k]) for r in places if r["src"] == name for k in range(3) if k * r["source_size"] + r["block_start"] < r["target"]) for name in names}
+    draws = {name: sorted((k, r["block_start"], r["blk"],
+        r["places"][k]) for r in places if r["src"] == name for k in range(3) if k * r["source_size"] + r["block_start"] < r["target"]) for name in names}
     want = mixing.split_quotas([len(draws[name]) for name in names], 8, 7)
     for i, name in enumerate(names):
         shards = [shard for *_, shard in draws[name]]
