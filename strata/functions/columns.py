@@ -188,7 +188,8 @@ def split_table_name(c: Column) -> tuple[Column, Column]:
 
 
 #: Words of expressions that are no columns.
-KEYWORDS = ["and", "as", "avg", "between", "case", "cast", "coalesce", "count", "distinct", "double", "else", "end", "false", "if", "in", "is", "like", "max", "min", "not", "null", "nullif", "or", "round", "sum", "then", "true", "when"]
+KEYWORDS = ["and", "as", "avg", "between", "case", "cast", "coalesce", "count", "distinct", "double", "else", "end", "false", "if", "in", "is", "like", "max",
+    "min", "not", "null", "nullif", "or", "round", "sum", "then", "true", "when"]
 
 
 def identifiers(expression: Column) -> Column:

@@ -41,7 +41,8 @@ def apply(planned: DataFrame, drop, dry_run: bool = True, cold=None) -> DataFram
 
 def partition_usage(files: DataFrame) -> DataFrame:
     """From a listing (table, dt, bytes, rows): what each table holds."""
-    return files.groupBy("table").agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.min("dt").alias("first_dt"), F.max("dt").alias("last_dt"))
+    return files.groupBy("table").agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"),
+        F.min("dt").alias("first_dt"), F.max("dt").alias("last_dt"))
 
 
 def usage_view(usage: DataFrame) -> DataFrame:

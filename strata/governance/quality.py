@@ -41,7 +41,8 @@ def rule_from(config: dict) -> Rule:
     """
     bound = lambda name: next((float(config[k]) for k in ALIASES[name] if config.get(k) is not None), None)
     columns = config.get("columns") or ([config["column"]] if config.get("column") else [])
-    return Rule(config["name"], config["table"], str(config["kind"]).upper(), tuple(columns), bound("least"), bound("most"), config.get("parent"), config.get("parent_column"), config.get("partition_column"), str(config.get("severity") or "WARN").upper())
+    return Rule(config["name"], config["table"], str(config["kind"]).upper(), tuple(columns), bound("least"), bound("most"), config.get("parent"),
+        config.get("parent_column"), config.get("partition_column"), str(config.get("severity") or "WARN").upper())
 
 
 def stale(rows: DataFrame, time: str, now: str, minutes: int = 15) -> DataFrame:

@@ -25,5 +25,6 @@ def content_changes(df: DataFrame, key: list[str], order: list[str], content: st
     """Rows whose content differs from that of the key's row before; rows without content all stay."""
     none = F.coalesce(F.col(content), F.lit("")) == ""
     # A row without content leaves the last content as it was.
-    known = F.last(F.nullif(F.col(content), F.lit("")), ignorenulls=True).over(Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    known = F.last(F.nullif(F.col(content), F.lit("")),
+        ignorenulls=True).over(Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
     return df.withColumn("__before", known).where(none | F.col("__before").isNull() | (F.col("__before") != F.col(content))).drop("__before")

@@ -9,7 +9,8 @@ from strata.functions import columns as C
 from strata.operators.dedup import latest
 from strata.sources import schemas
 
-MOVIE_BUSINESS = ["title", "original_title", "original_language", "status", "release_date", "release_year", "runtime", "budget", "revenue", "collection_id", "adult"]
+MOVIE_BUSINESS = ["title", "original_title", "original_language", "status", "release_date", "release_year", "runtime", "budget", "revenue", "collection_id",
+    "adult"]
 PERSON_BUSINESS = ["person_name", "gender", "birthday", "deathday", "place_of_birth", "known_for_department", "adult", "biography"]
 
 
@@ -43,13 +44,20 @@ def version_bounds(df: DataFrame, dt: str, key: str) -> DataFrame:
 def dim_movie(movies: DataFrame, dt: str) -> DataFrame:
     p = lambda name: F.col(f"p.{name}")
     released = C.parse_date(p("release_date"))
-    rows = movies.select(p("id").alias("movie_id"), p("title").alias("title"), p("original_title").alias("original_title"), p("original_language").alias("original_language"), p("status").alias("status"), released.alias("release_date"), F.year(released).alias("release_year"), p("runtime").alias("runtime"), C.zero_as_null(p("budget")).alias("budget"), C.zero_as_null(p("revenue")).alias("revenue"), p("popularity").alias("popularity"), p("vote_average").alias("vote_average"), p("vote_count").alias("vote_count"), C.flag(p("adult")).alias("adult"), p("belongs_to_collection.id").alias("collection_id"), "ingest_time")
+    rows = movies.select(p("id").alias("movie_id"), p("title").alias("title"), p("original_title").alias("original_title"),
+        p("original_language").alias("original_language"), p("status").alias("status"), released.alias("release_date"), F.year(released).alias("release_year"),
+        p("runtime").alias("runtime"), C.zero_as_null(p("budget")).alias("budget"), C.zero_as_null(p("revenue")).alias("revenue"),
+        p("popularity").alias("popularity"), p("vote_average").alias("vote_average"), p("vote_count").alias("vote_count"), C.flag(p("adult")).alias("adult"),
+        p("belongs_to_collection.id").alias("collection_id"), "ingest_time")
     return version_bounds(first_known(rows, ["movie_id"], dt), dt, "movie_id")
 
 
 def dim_person(persons: DataFrame, dt: str) -> DataFrame:
     p = lambda name: F.col(f"p.{name}")
-    rows = persons.select(p("id").alias("person_id"), p("name").alias("person_name"), C.gender_name(p("gender")).alias("gender"), C.parse_date(p("birthday")).alias("birthday"), C.parse_date(p("deathday")).alias("deathday"), p("place_of_birth").alias("place_of_birth"), p("known_for_department").alias("known_for_department"), p("popularity").alias("popularity"), C.flag(p("adult")).alias("adult"), p("biography").alias("biography"), "ingest_time")
+    rows = persons.select(p("id").alias("person_id"), p("name").alias("person_name"), C.gender_name(p("gender")).alias("gender"),
+        C.parse_date(p("birthday")).alias("birthday"), C.parse_date(p("deathday")).alias("deathday"), p("place_of_birth").alias("place_of_birth"),
+        p("known_for_department").alias("known_for_department"), p("popularity").alias("popularity"), C.flag(p("adult")).alias("adult"),
+        p("biography").alias("biography"), "ingest_time")
     return version_bounds(first_known(rows, ["person_id"], dt), dt, "person_id")
 
 
@@ -74,8 +82,10 @@ def keywords(movies: DataFrame, tv: DataFrame | None = None) -> DataFrame:
     """movie and tv keywords, which differ in shape; the id is a hash of the name where there is none."""
     both = movies.select(F.col("p.id").alias("id"), F.lit("movie").alias("media_type"), F.explode("p.keywords.keywords").alias("k"), "ingest_time")
     if tv is not None:
-        both = both.unionByName(tv.select(F.col("p.id").alias("id"), F.lit("tv").alias("media_type"), F.explode("p.keywords.results").alias("k"), "ingest_time"))
-    return both.select("id", "media_type", F.coalesce("k.id", F.xxhash64("k.name")).alias("keyword_id"), F.col("k.name").alias("keyword_name"), "ingest_time").where("keyword_name is not null")
+        both = both.unionByName(tv.select(F.col("p.id").alias("id"), F.lit("tv").alias("media_type"), F.explode("p.keywords.results").alias("k"),
+            "ingest_time"))
+    return both.select("id", "media_type", F.coalesce("k.id", F.xxhash64("k.name")).alias("keyword_id"), F.col("k.name").alias("keyword_name"),
+        "ingest_time").where("keyword_name is not null")
 
 
 def dim_keyword(movies: DataFrame, dt: str, tv: DataFrame | None = None) -> DataFrame:
@@ -83,17 +93,20 @@ def dim_keyword(movies: DataFrame, dt: str, tv: DataFrame | None = None) -> Data
 
 
 def dim_country(movies: DataFrame, dt: str) -> DataFrame:
-    rows = movies.select(F.explode("p.production_countries").alias("x"), "ingest_time").select(F.col("x.iso_3166_1").alias("country_code"), F.col("x.name").alias("country_name"), "ingest_time")
+    rows = movies.select(F.explode("p.production_countries").alias("x"), "ingest_time").select(F.col("x.iso_3166_1").alias("country_code"),
+        F.col("x.name").alias("country_name"), "ingest_time")
     return first_known(rows.where("country_code is not null"), ["country_code"], dt)
 
 
 def dim_language(movies: DataFrame, dt: str) -> DataFrame:
-    rows = movies.select(F.explode("p.spoken_languages").alias("x"), "ingest_time").select(F.col("x.iso_639_1").alias("language_code"), F.col("x.name").alias("language_name"), "ingest_time")
+    rows = movies.select(F.explode("p.spoken_languages").alias("x"), "ingest_time").select(F.col("x.iso_639_1").alias("language_code"),
+        F.col("x.name").alias("language_name"), "ingest_time")
     return first_known(rows.where("language_code is not null"), ["language_code"], dt)
 
 
 def dim_collection(movies: DataFrame, dt: str) -> DataFrame:
-    rows = movies.select(F.col("p.belongs_to_collection.id").alias("collection_id"), F.col("p.belongs_to_collection.name").alias("collection_name"), "ingest_time")
+    rows = movies.select(F.col("p.belongs_to_collection.id").alias("collection_id"), F.col("p.belongs_to_collection.name").alias("collection_name"),
+        "ingest_time")
     return first_known(rows.where("collection_id is not null"), ["collection_id"], dt)
 
 
@@ -121,27 +134,36 @@ def fact_credit(movies: DataFrame, dt: str) -> DataFrame:
     """One row per credit, cast and crew."""
     none = lambda kind: F.lit(None).cast(kind)
     cast = movies.select(F.col("p.id").alias("movie_id"), F.explode_outer("p.credits.cast").alias("x"), "ingest_time")
-    cast = cast.select("movie_id", F.col("x.credit_id").alias("credit_id"), F.col("x.id").alias("person_id"), F.lit("cast").alias("credit_type"), none("string").alias("department"), none("string").alias("job"), F.col("x.character").alias("character_name"), F.col("x.order").alias("cast_order"), F.lit(0).alias("is_director"), "ingest_time")
+    cast = cast.select("movie_id", F.col("x.credit_id").alias("credit_id"), F.col("x.id").alias("person_id"), F.lit("cast").alias("credit_type"),
+        none("string").alias("department"), none("string").alias("job"), F.col("x.character").alias("character_name"), F.col("x.order").alias("cast_order"),
+        F.lit(0).alias("is_director"), "ingest_time")
     crew = movies.select(F.col("p.id").alias("movie_id"), F.explode_outer("p.credits.crew").alias("x"), "ingest_time")
-    crew = crew.select("movie_id", F.col("x.credit_id").alias("credit_id"), F.col("x.id").alias("person_id"), F.lit("crew").alias("credit_type"), F.col("x.department").alias("department"), F.col("x.job").alias("job"), none("string").alias("character_name"), none("int").alias("cast_order"), C.is_director(F.col("x.job")).alias("is_director"), "ingest_time")
+    crew = crew.select("movie_id", F.col("x.credit_id").alias("credit_id"), F.col("x.id").alias("person_id"), F.lit("crew").alias("credit_type"),
+        F.col("x.department").alias("department"), F.col("x.job").alias("job"), none("string").alias("character_name"), none("int").alias("cast_order"),
+        C.is_director(F.col("x.job")).alias("is_director"), "ingest_time")
     return first_known(cast.unionByName(crew).where("credit_id is not null"), ["credit_id"], dt, with_dt=True)
 
 
 def fact_snapshot(movies: DataFrame, dt: str) -> DataFrame:
-    rows = movies.select(F.col("p.id").alias("movie_id"), F.col("p.title").alias("title"), F.col("p.popularity").alias("popularity"), F.col("p.vote_average").alias("vote_average"), F.col("p.vote_count").alias("vote_count"), C.zero_as_null(F.col("p.revenue")).alias("revenue"), C.parse_date(F.col("p.release_date")).alias("release_date"), "ingest_time")
+    rows = movies.select(F.col("p.id").alias("movie_id"), F.col("p.title").alias("title"), F.col("p.popularity").alias("popularity"),
+        F.col("p.vote_average").alias("vote_average"), F.col("p.vote_count").alias("vote_count"), C.zero_as_null(F.col("p.revenue")).alias("revenue"),
+        C.parse_date(F.col("p.release_date")).alias("release_date"), "ingest_time")
     return first_known(rows, ["movie_id"], dt, with_dt=True)
 
 
 def fact_release(movies: DataFrame, dt: str) -> DataFrame:
     """One row per movie, country, kind and date; a country without dates stays with null ones."""
     rows = movies.select(F.col("p.id").alias("movie_id"), F.explode_outer("p.release_dates.results").alias("c"), "ingest_time")
-    rows = rows.select("movie_id", F.col("c.iso_3166_1").alias("country_code"), F.explode_outer("c.release_dates").alias("r"), "ingest_time").where("country_code is not null")
-    rows = rows.select("movie_id", "country_code", C.release_type_name(F.col("r.type")).alias("release_type"), F.to_date(C.parse_instant(F.col("r.release_date"))).alias("release_date"), F.col("r.certification").alias("certification"), "ingest_time")
+    rows = rows.select("movie_id", F.col("c.iso_3166_1").alias("country_code"), F.explode_outer("c.release_dates").alias("r"),
+        "ingest_time").where("country_code is not null")
+    rows = rows.select("movie_id", "country_code", C.release_type_name(F.col("r.type")).alias("release_type"),
+        F.to_date(C.parse_instant(F.col("r.release_date"))).alias("release_date"), F.col("r.certification").alias("certification"), "ingest_time")
     return first_known(rows, ["movie_id", "country_code", "release_type", "release_date"], dt, with_dt=True)
 
 
 def fact_change(raw: DataFrame, dt: str) -> DataFrame:
-    rows = raw.select(C.event_id(F.col("entity_type"), F.col("entity_id"), F.col("ingest_time")).alias("event_id"), "entity_type", "entity_id", F.timestamp_millis("ingest_time").alias("event_time"), "source", "ingest_time")
+    rows = raw.select(C.event_id(F.col("entity_type"), F.col("entity_id"), F.col("ingest_time")).alias("event_id"), "entity_type", "entity_id",
+        F.timestamp_millis("ingest_time").alias("event_time"), "source", "ingest_time")
     return first_known(rows, ["event_id"], dt, with_dt=True)
 
 
@@ -149,4 +171,5 @@ def dim_date(spark, start: str, days: int) -> DataFrame:
     """A calendar; day 1 of a week is Monday."""
     d = F.date_add(F.lit(start).cast("date"), F.col("id").cast("int"))
     rows = spark.range(days).select(d.alias("dt"))
-    return rows.select("dt", F.year("dt").alias("year"), F.quarter("dt").alias("quarter"), F.month("dt").alias("month"), F.dayofmonth("dt").alias("day"), F.weekofyear("dt").alias("week"), C.iso_day_of_week(F.col("dt")).alias("day_of_week"), C.flag(C.iso_day_of_week(F.col("dt")) >= 6).alias("is_weekend"))
+    return rows.select("dt", F.year("dt").alias("year"), F.quarter("dt").alias("quarter"), F.month("dt").alias("month"), F.dayofmonth("dt").alias("day"),
+        F.weekofyear("dt").alias("week"), C.iso_day_of_week(F.col("dt")).alias("day_of_week"), C.flag(C.iso_day_of_week(F.col("dt")) >= 6).alias("is_weekend"))

@@ -24,12 +24,15 @@ def movie_metric(snapshots: DataFrame, credits: DataFrame, movies: DataFrame) ->
     rows = snapshots.withColumn("before", week)
     rows = rows.join(credit_counts(credits), ["dt", "movie_id"], "left").join(movies.select("movie_id", "budget").distinct(), "movie_id", "left")
     known = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return rows.select("dt", "movie_id", "title", F.year("release_date").alias("release_year"), "popularity", C.change_ratio(F.col("popularity"), F.col("before")).alias("popularity_wow"), "vote_average", "vote_count", "revenue", "budget", C.safe_divide(F.col("revenue"), F.col("budget")).alias("roi"), known("cast_count").alias("cast_count"), known("crew_count").alias("crew_count"))
+    return rows.select("dt", "movie_id", "title", F.year("release_date").alias("release_year"), "popularity",
+        C.change_ratio(F.col("popularity"), F.col("before")).alias("popularity_wow"), "vote_average", "vote_count", "revenue", "budget",
+        C.safe_divide(F.col("revenue"), F.col("budget")).alias("roi"), known("cast_count").alias("cast_count"), known("crew_count").alias("crew_count"))
 
 
 def genre_year(genres: DataFrame, movies: DataFrame) -> DataFrame:
     rows = genres.join(movies, "movie_id").groupBy("genre_id", "genre_name", "release_year")
-    return rows.agg(F.count_distinct("movie_id").alias("movie_count"), F.avg("popularity").alias("avg_popularity"), F.avg("vote_average").alias("avg_vote_average"), F.sum("revenue").alias("total_revenue")).where("release_year is not null")
+    return rows.agg(F.count_distinct("movie_id").alias("movie_count"), F.avg("popularity").alias("avg_popularity"),
+        F.avg("vote_average").alias("avg_vote_average"), F.sum("revenue").alias("total_revenue")).where("release_year is not null")
 
 
 def person_career(credits: DataFrame, movies: DataFrame, persons: DataFrame) -> DataFrame:
@@ -40,20 +43,23 @@ def person_career(credits: DataFrame, movies: DataFrame, persons: DataFrame) ->
     pairs = credits.groupBy("person_id", "movie_id").agg(F.count(F.lit(1)).alias("n"), F.sum("is_director").alias("directed"), cast.alias("acted"))
     known = F.when(F.col("vote_average").isNotNull(), F.col("n"))
     rows = pairs.join(movies, "movie_id").groupBy("person_id").agg(
-        F.count_distinct("movie_id").alias("work_count"), F.sum("directed").alias("as_director_count"), F.sum("acted").alias("as_cast_count"), F.min("release_year").alias("first_work_year"),
+        F.count_distinct("movie_id").alias("work_count"), F.sum("directed").alias("as_director_count"), F.sum("acted").alias("as_cast_count"),
+        F.min("release_year").alias("first_work_year"),
         F.max("release_year").alias("latest_work_year"), F.try_divide(F.sum(F.col("vote_average") * F.col("n")), F.sum(known)).alias("avg_vote_average"))
     return rows.join(persons.select("person_id", "person_name", "known_for_department", F.col("popularity")), "person_id", "left")
 
 
 def country_year(countries: DataFrame, movies: DataFrame) -> DataFrame:
     rows = countries.join(movies, "movie_id").groupBy("country_code", "country_name", "release_year")
-    return rows.agg(F.count_distinct("movie_id").alias("movie_count"), F.sum("revenue").alias("total_revenue"), F.avg("vote_average").alias("avg_vote_average")).where("release_year is not null")
+    return rows.agg(F.count_distinct("movie_id").alias("movie_count"), F.sum("revenue").alias("total_revenue"),
+        F.avg("vote_average").alias("avg_vote_average")).where("release_year is not null")
 
 
 def company_finance(companies: DataFrame, movies: DataFrame) -> DataFrame:
     """avg_roi is the mean of ratios; unknown ones don't count."""
     rows = companies.join(movies, "movie_id").groupBy("company_id", "company_name")
-    return rows.agg(F.count_distinct("movie_id").alias("movie_count"), F.sum("budget").alias("total_budget"), F.sum("revenue").alias("total_revenue"), F.avg(C.safe_divide(F.col("revenue"), F.col("budget"))).alias("avg_roi"))
+    return rows.agg(F.count_distinct("movie_id").alias("movie_count"), F.sum("budget").alias("total_budget"), F.sum("revenue").alias("total_revenue"),
+        F.avg(C.safe_divide(F.col("revenue"), F.col("budget"))).alias("avg_roi"))
 
 
 def lag_calendar(series: DataFrame, keys: list[str], value: str, days: int = 7) -> DataFrame:

@@ -45,7 +45,9 @@ MODEL_EDGES = [
     ("PRODUCED_BY", "bridge_movie_company", "movie_id", "company_id", "movie", "company"),
     ("HAS_KEYWORD", "bridge_movie_keyword", "movie_id", "keyword_id", "movie", "keyword"),
 ]
-MODEL_VERTICES = [("movie", "dim_movie", "movie_id", "title"), ("person", "dim_person", "person_id", "person_name"), ("genre", "dim_genre", "genre_id", "genre_name"), ("company", "dim_company", "company_id", "company_name"), ("keyword", "dim_keyword", "keyword_id", "keyword_name")]
+MODEL_VERTICES = [("movie", "dim_movie", "movie_id", "title"), ("person", "dim_person", "person_id", "person_name"),
+    ("genre", "dim_genre", "genre_id", "genre_name"), ("company", "dim_company", "company_id", "company_name"),
+    ("keyword", "dim_keyword", "keyword_id", "keyword_name")]
 
 
 def from_tables(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
@@ -63,8 +65,10 @@ def from_tables(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
         vertices = rows if vertices is None else vertices.unionByName(rows)
     vertices = merged_vertices(vertices)
     credits = tables["fact_movie_credit"].select(F.col("person_id").alias("from_id"), F.col("movie_id").alias("to_id"), "credit_type", "is_director")
-    ends = lambda rows, kind, a, b: rows.select("from_id", "to_id", F.lit(kind).alias("type"), F.lit(a).alias("from_label"), F.lit(b).alias("to_label"))
-    edges = ends(credits.where("credit_type = 'cast'"), "ACTED_IN", "person", "movie").unionByName(ends(credits.where("is_director = 1"), "DIRECTED", "person", "movie"))
+    ends = lambda rows, kind, a, b: rows.select("from_id", "to_id", F.lit(kind).alias("type"), F.lit(a).alias("from_label"),
+        F.lit(b).alias("to_label"))
+    edges = ends(credits.where("credit_type = 'cast'"), "ACTED_IN", "person",
+        "movie").unionByName(ends(credits.where("is_director = 1"), "DIRECTED", "person", "movie"))
     for kind, name, a, b, from_label, to_label in MODEL_EDGES:
         edges = edges.unionByName(ends(tables[name].select(F.col(a).alias("from_id"), F.col(b).cast("bigint").alias("to_id")), kind, from_label, to_label))
     for end in ("from", "to"):
@@ -120,7 +124,8 @@ def director_actor(edges: DataFrame, limit: int | None = None) -> DataFrame:
 
 def director_actor_names(edges: DataFrame, persons: DataFrame, limit: int | None = None) -> DataFrame:
     """The same by the persons' names (id, name): those of one name count together, by distinct movies."""
-    named = lambda kind, name: of(edges, kind).join(persons.select(F.col("id").alias("from_id"), F.col("name").alias(name)), "from_id").select(name, "to_id").distinct()
+    named = lambda kind, name: of(edges, kind).join(persons.select(F.col("id").alias("from_id"), F.col("name").alias(name)), "from_id").select(name,
+        "to_id").distinct()
     pairs = named("DIRECTED", "director").join(named("ACTED_IN", "actor"), "to_id").groupBy("director", "actor").agg(F.count(F.lit(1)).alias("shared"))
     return ranked(pairs, "shared", limit, "director", "actor")
 
@@ -155,7 +160,8 @@ def similar(edges: DataFrame, movie: int, limit: int | None = None) -> DataFrame
 
 
 def keyword_centrality(edges: DataFrame, limit: int | None = None) -> DataFrame:
-    return ranked(of(edges, "HAS_KEYWORD").groupBy(F.col("to_id").alias("keyword_id")).agg(F.count_distinct("from_id").alias("movies")), "movies", limit, "keyword_id")
+    return ranked(of(edges, "HAS_KEYWORD").groupBy(F.col("to_id").alias("keyword_id")).agg(F.count_distinct("from_id").alias("movies")), "movies", limit,
+        "keyword_id")
 
 
 def counts(vertices: DataFrame, edges: DataFrame) -> DataFrame:

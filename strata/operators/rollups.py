@@ -11,7 +11,8 @@ STATE = {"n": F.sum, "total": F.sum, "most": F.max, "least": F.min}
 def states(events: DataFrame, bucket: Column, keys: list[str], value: str) -> DataFrame:
     """One state per bucket and keys."""
     v = F.col(value)
-    return events.groupBy(bucket.alias("bucket"), *keys).agg(F.count(F.lit(1)).alias("n"), F.sum(v).alias("total"), F.max(v).alias("most"), F.min(v).alias("least"))
+    return events.groupBy(bucket.alias("bucket"), *keys).agg(F.count(F.lit(1)).alias("n"), F.sum(v).alias("total"), F.max(v).alias("most"),
+        F.min(v).alias("least"))
 
 
 def hourly(events: DataFrame, time: str, keys: list[str], value: str) -> DataFrame:

@@ -40,7 +40,8 @@ def summed(tables: dict[str, DataFrame], dt: str, past: DataFrame | None = None)
     now, persons = dws.current_movies(tables["dim_movie"]), scd2.current(tables["dim_person"])
     metric = dws.movie_metric(snapshots, credits, now).where(f"dt = date'{dt}'")
     out = {"dws_genre_year_metric": dws.genre_year(tables["bridge_movie_genre"], now), "dws_person_career": dws.person_career(credits, now, persons)}
-    out |= {"dws_country_year_metric": dws.country_year(tables["bridge_movie_country"], now), "dws_company_finance": dws.company_finance(tables["bridge_movie_company"], now)}
+    out |= {"dws_country_year_metric": dws.country_year(tables["bridge_movie_country"], now),
+        "dws_company_finance": dws.company_finance(tables["bridge_movie_company"], now)}
     return {"dws_movie_metric_1d": metric} | {k: dwd.loaded(v, dt, with_dt=True) for k, v in out.items()}
 
 

@@ -45,7 +45,8 @@ def full_load(ids: DataFrame, details: DataFrame, path: str, most_failed: float
     return result
 
 
-def incremental(spark: SparkSession, state_path: str, entity: str, today: str, load: Callable[[str, str], None], start: str, days: int = 14) -> list[tuple[str, str]]:
+def incremental(spark: SparkSession, state_path: str, entity: str, today: str, load: Callable[[str, str], None], start: str,
+    days: int = 14) -> list[tuple[str, str]]:
     """Loads the windows from an entity's watermark to yesterday, in order; the watermark follows each that succeeds.
 
     A window that fails ends the run with its error, so that the next run begins with it.
@@ -68,7 +69,8 @@ def changes_between(changes: DataFrame, start: str, end: str, adult: bool = Fals
 def ranked_pages(pages: DataFrame, keys: list[str], page: str = "page", results: str = "results") -> DataFrame:
     """Every result with its rank from 1 across the pages of its list: what the pages before hold, and its own place."""
     sizes = pages.select(*[F.col(k).alias(f"s_{k}") for k in keys], F.col(page).alias("s_page"), F.coalesce(F.size(results), F.lit(0)).alias("n"))
-    earlier = pages.join(sizes, _same(keys) & (F.col("s_page") < F.col(page)), "left").groupBy(*keys, page).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("before"))
+    earlier = pages.join(sizes, _same(keys) & (F.col("s_page") < F.col(page)), "left").groupBy(*keys,
+        page).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("before"))
     rows = pages.select(*keys, page, F.posexplode(results).alias("at", "result"))
     return rows.join(earlier, [*keys, page]).select(*keys, (F.col("before") + F.col("at") + 1).cast("int").alias("rank"), "result.*")
 

@@ -85,10 +85,12 @@ SELECT dt, event_type, popularity, round(coalesce((popularity - before) / nullif
 def movie_metric_1d(spark, t) -> DataFrame:
     """A daily series with its change over the week, left joined to counts of another table."""
     c = V.credits(t).where("credit_type = 'cast'").groupBy((F.col("movie_id") % 5).alias("k")).agg(F.count(F.lit(1)).alias("credit_count"))
-    code = F.when(F.col("event_type") == "click", 0).when(F.col("event_type") == "view", 1).when(F.col("event_type") == "purchase", 2).when(F.col("event_type") == "error", 3).otherwise(4).cast("bigint")
+    code = F.when(F.col("event_type") == "click", 0).when(F.col("event_type") == "view", 1).when(F.col("event_type") == "purchase",
+        2).when(F.col("event_type") == "error", 3).otherwise(4).cast("bigint")
     week = F.lag("popularity", 7).over(Window.partitionBy("event_type").orderBy("dt"))
     rows = V.daily(t).withColumn("k", code).withColumn("before", week).join(c, "k", "left")
-    return rows.select("dt", "event_type", "popularity", F.round(C.change_ratio(F.col("popularity"), F.col("before")), 6).alias("wow"), F.coalesce("credit_count", F.lit(0)).alias("credit_count"))
+    return rows.select("dt", "event_type", "popularity", F.round(C.change_ratio(F.col("popularity"), F.col("before")), 6).alias("wow"),
+        F.coalesce("credit_count", F.lit(0)).alias("credit_count"))
 
 
 @query(f"""WITH {V.DAILY}, w AS (SELECT *, lag(popularity, 7) OVER (PARTITION BY event_type ORDER BY dt) AS before FROM daily),
@@ -111,7 +113,8 @@ def genre_year_metric(spark, t) -> DataFrame:
 
 @query(f"WITH {V.MOVIES}, {V.PERSONS}, {V.CREDITS} SELECT country, release_year, count(DISTINCT movie_id) AS movie_count, sum(revenue)::BIGINT AS total_revenue FROM (SELECT DISTINCT movie_id, country FROM credits JOIN persons USING (person_id)) JOIN movies USING (movie_id) WHERE release_year IS NOT NULL GROUP BY 1, 2")
 def country_year_metric(spark, t) -> DataFrame:
-    countries = V.credits(t).join(V.persons(t), "person_id").select("movie_id", F.col("country").alias("country_code"), F.col("country").alias("country_name")).distinct()
+    countries = V.credits(t).join(V.persons(t), "person_id").select("movie_id", F.col("country").alias("country_code"),
+        F.col("country").alias("country_name")).distinct()
     rows = dws.country_year(countries, V.movies(t).withColumn("vote_average", F.lit(None).cast("double")))
     return rows.select(F.col("country_code").alias("country"), "release_year", "movie_count", "total_revenue")
 
@@ -136,7 +139,8 @@ def person_career(spark, t) -> DataFrame:
 @query(f"""WITH {CAREER}, i AS (SELECT person_id, person_name, work_count, round(coalesce(popularity_cents::DOUBLE, 0) + 2 * coalesce(work_count::DOUBLE, 0) + 10 * coalesce(avg_vote_average, 0), 6) AS influence FROM career LEFT JOIN persons USING (person_id))
 SELECT * FROM (SELECT *, dense_rank() OVER (ORDER BY influence DESC)::INT AS rank FROM i) WHERE rank <= 50""")
 def person_influence(spark, t) -> DataFrame:
-    rows = career(t).withColumn("influence", F.round(C.influence(F.col("popularity"), F.col("work_count"), F.col("avg_vote_average")), 6)).withColumn("dt", F.lit(1))
+    rows = career(t).withColumn("influence", F.round(C.influence(F.col("popularity"), F.col("work_count"), F.col("avg_vote_average")), 6)).withColumn("dt",
+        F.lit(1))
     return ads.top(rows, "influence", 50).select("person_id", "person_name", "work_count", "influence", "rank")
 
 
@@ -246,7 +250,8 @@ def content_hash(spark, t) -> DataFrame:
 @query("SELECT event_id, sha256(event_type || ':' || user_id || ':' || (epoch_us(ts) // 1000)) AS batch_id, left(sha256(event_type || chr(1) || user_id || chr(1) || 'null'), 32) AS stable_id FROM events")
 def event_id(spark, t) -> DataFrame:
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
-    return t.events.select("event_id", C.event_id(F.col("event_type"), F.col("user_id"), ms).alias("batch_id"), C.deterministic_id(F.col("event_type"), F.col("user_id"), F.lit(None)).alias("stable_id"))
+    return t.events.select("event_id", C.event_id(F.col("event_type"), F.col("user_id"), ms).alias("batch_id"),
+        C.deterministic_id(F.col("event_type"), F.col("user_id"), F.lit(None)).alias("stable_id"))
 
 
 @query("SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id, max(ts) AS ts FROM events GROUP BY 1, 2")
@@ -258,7 +263,8 @@ def replacing_latest(spark, t) -> DataFrame:
   FROM (SELECT c_custkey, DATE '2024-01-01' AS b, (DATE '2024-01-01' + (c_custkey % 60)::INT - 10) AS e FROM customer) WHERE b <= e)""")
 def change_windows_14d(spark, t) -> DataFrame:
     """[start, end] cut to closed windows of 14 days; none where start is after end."""
-    rows = t.customer.select("c_custkey", F.lit("2024-01-01").cast("date").alias("b"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % 60).cast("int") - 10).alias("e")).where("b <= e")
+    rows = t.customer.select("c_custkey", F.lit("2024-01-01").cast("date").alias("b"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % 60).cast("int") - 10).alias("e")).where("b <= e")
     rows = rows.select("c_custkey", "e", F.explode(F.expr("sequence(b, e, interval 14 days)")).alias("window_start"))
     return rows.select("c_custkey", "window_start", F.least(F.date_add("window_start", 13), "e").alias("window_end"))
 
@@ -286,12 +292,14 @@ def rollup_daily_merge(spark, t) -> DataFrame:
 
 @query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderdate >= DATE '1998-03-01' AND o_orderdate < DATE '1998-04-01'")
 def partition_scan(spark, t) -> DataFrame:
-    return t.orders.where("o_orderdate >= timestamp_ntz'1998-03-01 00:00:00' and o_orderdate < timestamp_ntz'1998-04-01 00:00:00'").select("o_orderkey", "o_custkey", "o_totalprice")
+    return t.orders.where("o_orderdate >= timestamp_ntz'1998-03-01 00:00:00' and o_orderdate < timestamp_ntz'1998-04-01 00:00:00'").select("o_orderkey",
+        "o_custkey", "o_totalprice")
 
 
 @query("SELECT c_custkey, CASE c_nationkey % 5 WHEN 1 THEN 'female' WHEN 2 THEN 'male' WHEN 3 THEN 'non-binary' ELSE 'unknown' END AS gender, CASE c_nationkey % 8 WHEN 1 THEN '首映' WHEN 2 THEN '限定上映' WHEN 3 THEN '院线' WHEN 4 THEN '数字' WHEN 5 THEN '实体' WHEN 6 THEN '电视' ELSE '其他' END AS release_type FROM customer")
 def code_names(spark, t) -> DataFrame:
-    return t.customer.select("c_custkey", C.gender_name(F.col("c_nationkey") % 5).alias("gender"), C.release_type_name(F.col("c_nationkey") % 8).alias("release_type"))
+    return t.customer.select("c_custkey", C.gender_name(F.col("c_nationkey") % 5).alias("gender"),
+        C.release_type_name(F.col("c_nationkey") % 8).alias("release_type"))
 
 
 @query("SELECT c_custkey, CASE WHEN length(c_name) >= 12 THEN left(c_name, 4) || '****' || right(c_name, 4) ELSE '****' END AS masked, try_cast(CASE WHEN c_custkey % 2 = 0 THEN '2024-02-' || lpad((c_custkey % 40)::VARCHAR, 2, '0') ELSE '' END AS DATE) AS parsed FROM customer")

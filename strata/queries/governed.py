@@ -78,7 +78,9 @@ def dq_report(spark, t) -> DataFrame:
 
 
 #: A catalogue's edges, with a cycle.
-EDGES = [("ods_movie", "dim_movie"), ("ods_movie", "fact_credit"), ("ods_person", "dim_person"), ("dim_movie", "dws_metric"), ("fact_credit", "dws_metric"), ("fact_credit", "dws_career"), ("dim_person", "dws_career"), ("dws_metric", "ads_top"), ("dws_career", "ads_influence"), ("ads_top", "dws_feedback"), ("dws_feedback", "dws_metric")]
+EDGES = [("ods_movie", "dim_movie"), ("ods_movie", "fact_credit"), ("ods_person", "dim_person"), ("dim_movie", "dws_metric"), ("fact_credit", "dws_metric"),
+    ("fact_credit", "dws_career"), ("dim_person", "dws_career"), ("dws_metric", "ads_top"), ("dws_career", "ads_influence"), ("ads_top", "dws_feedback"),
+    ("dws_feedback", "dws_metric")]
 EDGE_SQL = "edges(source, target) AS (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in EDGES) + ")"
 
 
@@ -121,11 +123,13 @@ def lifecycle_plan(spark, t) -> DataFrame:
 
 @query("SELECT event_type AS \"table\", count(*) AS files, sum(user_id)::BIGINT AS \"rows\", sum(event_id)::BIGINT AS bytes, min(ts::DATE) AS first_dt, max(ts::DATE) AS last_dt FROM events GROUP BY 1")
 def partition_usage(spark, t) -> DataFrame:
-    return lifecycle.partition_usage(t.events.select(F.col("event_type").alias("table"), F.to_date("ts").alias("dt"), F.col("user_id").alias("rows"), F.col("event_id").alias("bytes")))
+    return lifecycle.partition_usage(t.events.select(F.col("event_type").alias("table"), F.to_date("ts").alias("dt"), F.col("user_id").alias("rows"),
+        F.col("event_id").alias("bytes")))
 
 
 @query("SELECT l_returnflag, round(sum(round(l_extendedprice * 100)::BIGINT) / sum(round(l_quantity)::BIGINT), 6) AS price_per_unit FROM lineitem GROUP BY 1")
 def metric_registry_eval(spark, t) -> DataFrame:
     registry = metrics.Registry()
-    registry.add(metrics.Metric("price_per_unit", "lineitem", "round(sum(cast(round(l_extendedprice * 100) as bigint)) / sum(cast(round(l_quantity) as bigint)), 6)", ("l_returnflag",)))
+    registry.add(metrics.Metric("price_per_unit", "lineitem",
+        "round(sum(cast(round(l_extendedprice * 100) as bigint)) / sum(cast(round(l_quantity) as bigint)), 6)", ("l_returnflag",)))
     return registry.evaluate("price_per_unit", {"lineitem": t.lineitem})

@@ -110,7 +110,8 @@ SELECT 2 AS hops, path, (SELECT s_name FROM supplier WHERE s_suppkey = 1) || ' >
 def graph_path_names(spark, t) -> DataFrame:
     """A shortest path with the names along it."""
     found = graph.shortest_path(V.edges(t), 1, 2)
-    named = graph.path_names(found, t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")), t.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name")))
+    named = graph.path_names(found, t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")),
+        t.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name")))
     return named.select("hops", "path", F.array_join("names", " > ").alias("names"))
 
 

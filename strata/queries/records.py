@@ -22,29 +22,44 @@ def _date(days: Column) -> Column:
 
 
 def envelope(rows: DataFrame, kind: str, key: str, payload: Column) -> DataFrame:
-    return rows.select(F.lit(1).alias("schema_version"), F.lit(kind).alias("entity_type"), F.col(key).cast("bigint").alias("entity_id"), F.lit(DT).alias("dt"), (F.lit(FIRST) + F.col(key) * 60_000).alias("ingest_time"), F.lit("files").alias("source"), payload.alias("payload"))
+    return rows.select(F.lit(1).alias("schema_version"), F.lit(kind).alias("entity_type"), F.col(key).cast("bigint").alias("entity_id"), F.lit(DT).alias("dt"),
+        (F.lit(FIRST) + F.col(key) * 60_000).alias("ingest_time"), F.lit("files").alias("source"), payload.alias("payload"))
 
 
 def raw_movies(t) -> DataFrame:
     """part as movie records; every eleventh is no JSON, every seventeenth has no id."""
     k, size = F.col("p_partkey"), F.col("p_size")
     person = lambda i: ((k * 3 + i) % 97 + 1).alias("id")
-    cast = F.transform(F.sequence(F.lit(0), size % 3), lambda i: F.struct(person(i), F.concat(F.lit("c"), k, F.lit("-"), i).alias("credit_id"), F.concat(F.lit("n"), i).alias("name"), F.concat(F.lit("role"), i).alias("character"), i.cast("int").alias("order")))
-    crew = F.array(*[F.struct(person(F.lit(7 * n)), F.concat(F.lit(f"w{n}-"), k).alias("credit_id"), F.lit("n").alias("name"), F.lit(dep).alias("department"), F.lit(job).alias("job")) for n, (dep, job) in enumerate([("Directing", "DIRECTOR"), ("Writing", "Author")])])
-    words = F.transform(F.array_distinct(F.split("p_name", " ")), lambda w: F.struct(F.when(F.length(w) % 2 == 0, F.length(w)).cast("bigint").alias("id"), w.alias("name")))
+    cast = F.transform(F.sequence(F.lit(0), size % 3),
+        lambda i: F.struct(person(i), F.concat(F.lit("c"), k, F.lit("-"), i).alias("credit_id"), F.concat(F.lit("n"), i).alias("name"),
+        F.concat(F.lit("role"), i).alias("character"), i.cast("int").alias("order")))
+    crew = F.array(*[F.struct(person(F.lit(7 * n)), F.concat(F.lit(f"w{n}-"), k).alias("credit_id"), F.lit("n").alias("name"), F.lit(dep).alias("department"),
+        F.lit(job).alias("job")) for n, (dep, job) in enumerate([("Directing", "DIRECTOR"), ("Writing", "Author")])])
+    words = F.transform(F.array_distinct(F.split("p_name", " ")),
+        lambda w: F.struct(F.when(F.length(w) % 2 == 0, F.length(w)).cast("bigint").alias("id"), w.alias("name")))
     record = F.struct(
-        F.when(k % 17 != 0, k).alias("id"), F.col("p_name").alias("title"), F.upper("p_name").alias("original_title"), F.lit("en").alias("original_language"), F.lit("Released").alias("status"),
-        F.when(k % 7 == 0, F.lit("")).otherwise(_date(size * 200)).alias("release_date"), size.alias("runtime"), F.when(k % 5 == 0, 0).otherwise(V.cents("p_retailprice")).alias("budget"), (size * 10_000).cast("bigint").alias("revenue"),
-        size.cast("double").alias("popularity"), (size % 9).cast("double").alias("vote_average"), (size * 2).cast("int").alias("vote_count"), (k % 13 == 0).alias("adult"),
+        F.when(k % 17 != 0, k).alias("id"), F.col("p_name").alias("title"), F.upper("p_name").alias("original_title"), F.lit("en").alias("original_language"),
+        F.lit("Released").alias("status"),
+        F.when(k % 7 == 0, F.lit("")).otherwise(_date(size * 200)).alias("release_date"), size.alias("runtime"),
+        F.when(k % 5 == 0, 0).otherwise(V.cents("p_retailprice")).alias("budget"), (size * 10_000).cast("bigint").alias("revenue"),
+        size.cast("double").alias("popularity"), (size % 9).cast("double").alias("vote_average"), (size * 2).cast("int").alias("vote_count"),
+        (k % 13 == 0).alias("adult"),
         F.when(k % 3 == 0, F.struct(size.cast("bigint").alias("id"), F.concat(F.lit("set "), size).alias("name"))).alias("belongs_to_collection"),
-        F.array(*[F.struct((size % m + b).cast("bigint").alias("id"), F.concat(F.lit("genre "), size % m + b).alias("name")) for m, b in ((6, 0), (3, 10))]).alias("genres"),
-        F.array(F.struct(F.substring("p_brand", 7, 2).cast("bigint").alias("id"), F.concat("p_brand", F.lit(" (US)")).alias("name"))).alias("production_companies"),
-        F.array(*[F.struct(F.concat(F.lit("C"), size % m).alias("iso_3166_1"), F.concat(F.lit("land "), size % m).alias("name")) for m in (4, 40)]).alias("production_countries"),
+        F.array(*[F.struct((size % m + b).cast("bigint").alias("id"), F.concat(F.lit("genre "), size % m + b).alias("name")) for m, b in ((6, 0),
+        (3, 10))]).alias("genres"),
+        F.array(F.struct(F.substring("p_brand", 7, 2).cast("bigint").alias("id"),
+        F.concat("p_brand", F.lit(" (US)")).alias("name"))).alias("production_companies"),
+        F.array(*[F.struct(F.concat(F.lit("C"), size % m).alias("iso_3166_1"), F.concat(F.lit("land "), size % m).alias("name")) for m in (4,
+        40)]).alias("production_countries"),
         F.array(F.struct(F.concat(F.lit("l"), size % 5).alias("iso_639_1"), F.concat(F.lit("tongue "), size % 5).alias("name"))).alias("spoken_languages"),
         F.struct(words.alias("keywords")).alias("keywords"), F.struct(cast.alias("cast"), crew.alias("crew")).alias("credits"),
         F.struct(F.array(
-            F.struct(F.lit("US").alias("iso_3166_1"), F.array(F.struct(F.lit("PG").alias("certification"), F.concat(_date(size * 100), F.lit("T00:00:00.000Z")).alias("release_date"), (size % 8).cast("int").alias("type"))).alias("release_dates")),
-            F.struct(F.lit("FR").alias("iso_3166_1"), F.slice(F.array(F.struct(F.lit("").alias("certification"), F.lit("soon").alias("release_date"), F.lit(3).alias("type"))), F.lit(1), (size % 2).cast("int")).alias("release_dates"))).alias("results")).alias("release_dates"),
+            F.struct(F.lit("US").alias("iso_3166_1"),
+            F.array(F.struct(F.lit("PG").alias("certification"), F.concat(_date(size * 100), F.lit("T00:00:00.000Z")).alias("release_date"),
+            (size % 8).cast("int").alias("type"))).alias("release_dates")),
+            F.struct(F.lit("FR").alias("iso_3166_1"),
+            F.slice(F.array(F.struct(F.lit("").alias("certification"), F.lit("soon").alias("release_date"), F.lit(3).alias("type"))), F.lit(1),
+            (size % 2).cast("int")).alias("release_dates"))).alias("results")).alias("release_dates"),
     )
     return envelope(t.part, "movie", "p_partkey", F.when(k % 11 == 0, F.lit("{broken")).otherwise(F.to_json(record)))
 
@@ -65,7 +80,10 @@ def movies(t) -> DataFrame:
 def raw_tv(t) -> DataFrame:
     """supplier as tv records."""
     k = F.col("s_suppkey")
-    record = F.struct(k.alias("id"), F.col("s_name").alias("name"), F.array(F.struct((k % 4).alias("id"), F.concat(F.lit("genre "), k % 4).alias("name"))).alias("genres"), F.array(F.struct((k % 3).alias("id"), F.concat(F.lit("net "), k % 3).alias("name"))).alias("networks"), F.struct(F.array(F.struct((k % 9 + 100).alias("id"), F.concat(F.lit("topic "), k % 9).alias("name"))).alias("results")).alias("keywords"))
+    record = F.struct(k.alias("id"), F.col("s_name").alias("name"),
+        F.array(F.struct((k % 4).alias("id"), F.concat(F.lit("genre "), k % 4).alias("name"))).alias("genres"),
+        F.array(F.struct((k % 3).alias("id"), F.concat(F.lit("net "), k % 3).alias("name"))).alias("networks"),
+        F.struct(F.array(F.struct((k % 9 + 100).alias("id"), F.concat(F.lit("topic "), k % 9).alias("name"))).alias("results")).alias("keywords"))
     return envelope(t.supplier, "tv", "s_suppkey", F.to_json(record))
 
 
@@ -76,13 +94,18 @@ def tv(t) -> DataFrame:
 def raw_persons(t) -> DataFrame:
     """customer as person records."""
     k = F.col("c_custkey")
-    record = F.struct(k.alias("id"), F.col("c_name").alias("name"), (k % 5).cast("int").alias("gender"), F.when(k % 3 == 0, F.lit("unknown")).otherwise(_date(k % 9000)).alias("birthday"), F.lit("").alias("deathday"), F.col("c_mktsegment").alias("place_of_birth"), F.when(k % 2 == 0, F.lit("Acting")).alias("known_for_department"), (k % 50).cast("double").alias("popularity"), (k % 4 == 0).alias("adult"), F.lit("b").alias("biography"))
+    record = F.struct(k.alias("id"), F.col("c_name").alias("name"), (k % 5).cast("int").alias("gender"),
+        F.when(k % 3 == 0, F.lit("unknown")).otherwise(_date(k % 9000)).alias("birthday"), F.lit("").alias("deathday"),
+        F.col("c_mktsegment").alias("place_of_birth"), F.when(k % 2 == 0, F.lit("Acting")).alias("known_for_department"),
+        (k % 50).cast("double").alias("popularity"), (k % 4 == 0).alias("adult"), F.lit("b").alias("biography"))
     return envelope(t.customer, "person", "c_custkey", F.to_json(record))
 
 
 def model(t) -> dict[str, DataFrame]:
     m, v = movies(t), tv(t)
-    out = {"dim_movie": dwd.dim_movie(m, DT), "dim_person": dwd.dim_person(dwd.parsed(raw_persons(t), schemas.PERSON), DT), "dim_company": dwd.dim_company(m, DT), "dim_genre": dwd.dim_genre(m, v, DT), "dim_keyword": dwd.dim_keyword(m, DT, v), "fact_movie_credit": dwd.fact_credit(m, DT)}
+    out = {"dim_movie": dwd.dim_movie(m, DT), "dim_person": dwd.dim_person(dwd.parsed(raw_persons(t), schemas.PERSON), DT),
+        "dim_company": dwd.dim_company(m, DT), "dim_genre": dwd.dim_genre(m, v, DT), "dim_keyword": dwd.dim_keyword(m, DT, v),
+        "fact_movie_credit": dwd.fact_credit(m, DT)}
     return out | dwd.bridges(m, v, DT)
 
 
@@ -97,7 +120,8 @@ def model_dim_movie(spark, t) -> DataFrame:
 @query(f"WITH {MOVIES} SELECT count(*) AS versions, count(*) AS keys, count(*) FILTER (movie_id IS NULL) AS unknown FROM m")
 def model_surrogate_keys(spark, t) -> DataFrame:
     """Keys of versions are distinct."""
-    return dwd.dim_movie(movies(t), DT).agg(F.count(F.lit(1)).alias("versions"), F.count_distinct("surrogate_key").alias("keys"), F.count_if(F.col("surrogate_key").isNull()).alias("unknown"))
+    return dwd.dim_movie(movies(t), DT).agg(F.count(F.lit(1)).alias("versions"), F.count_distinct("surrogate_key").alias("keys"),
+        F.count_if(F.col("surrogate_key").isNull()).alias("unknown"))
 
 
 @query(f"""SELECT c_custkey AS person_id, c_name AS person_name, CASE c_custkey % 5 WHEN 1 THEN 'female' WHEN 2 THEN 'male' WHEN 3 THEN 'non-binary' ELSE 'unknown' END AS gender,
@@ -125,7 +149,11 @@ def model_dimensions(spark, t) -> DataFrame:
     """The small dimensions; the suffix of companies is gone."""
     m = movies(t)
     rows = lambda kind, df, key, name: df.select(F.lit(kind).alias("kind"), key.cast("string").alias("key"), F.col(name).alias("name"))
-    parts = [rows("genre", dwd.dim_genre(m, tv(t), DT), F.concat_ws(":", "media_type", "genre_id"), "genre_name"), rows("company", dwd.dim_company(m, DT), F.col("company_id"), "normalized_name"), rows("country", dwd.dim_country(m, DT), F.col("country_code"), "country_name"), rows("language", dwd.dim_language(m, DT), F.col("language_code"), "language_name"), rows("collection", dwd.dim_collection(m, DT), F.col("collection_id"), "collection_name")]
+    parts = [rows("genre", dwd.dim_genre(m, tv(t), DT), F.concat_ws(":", "media_type", "genre_id"), "genre_name"),
+        rows("company", dwd.dim_company(m, DT), F.col("company_id"), "normalized_name"),
+        rows("country", dwd.dim_country(m, DT), F.col("country_code"), "country_name"),
+        rows("language", dwd.dim_language(m, DT), F.col("language_code"), "language_name"),
+        rows("collection", dwd.dim_collection(m, DT), F.col("collection_id"), "collection_name")]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -139,7 +167,10 @@ def model_bridges(spark, t) -> DataFrame:
     """One row per owner and member; rows without either are left out."""
     b = dwd.bridges(movies(t), tv(t), DT)
     out = None
-    for kind, name, owner, member, said in (("genre", "bridge_movie_genre", "movie_id", "genre_id", "genre_name"), ("company", "bridge_movie_company", "movie_id", "company_id", "company_name"), ("country", "bridge_movie_country", "movie_id", "country_code", "country_name"), ("tv_genre", "bridge_tv_genre", "tv_id", "genre_id", "genre_name"), ("tv_network", "bridge_tv_network", "tv_id", "network_id", "network_name")):
+    for kind, name, owner, member, said in (("genre", "bridge_movie_genre", "movie_id", "genre_id", "genre_name"),
+        ("company", "bridge_movie_company", "movie_id", "company_id", "company_name"),
+        ("country", "bridge_movie_country", "movie_id", "country_code", "country_name"), ("tv_genre", "bridge_tv_genre", "tv_id", "genre_id", "genre_name"),
+        ("tv_network", "bridge_tv_network", "tv_id", "network_id", "network_name")):
         rows = b[name].select(F.lit(kind).alias("kind"), F.col(owner).alias("owner"), F.col(member).cast("string").alias("member"), F.col(said).alias("name"))
         out = rows if out is None else out.unionByName(rows)
     return out
@@ -181,8 +212,11 @@ def model_fact_change(spark, t) -> DataFrame:
 def snapshots(t) -> DataFrame:
     """Ten days of snapshots: popularity goes up by its remainder each day."""
     days = F.explode(F.sequence(F.lit(0), F.lit(9))).alias("d")
-    rows = movies(t).select(F.col("p.id").alias("movie_id"), F.col("p.title").alias("title"), F.col("p.popularity").alias("popularity"), F.col("p.vote_average").alias("vote_average"), F.col("p.vote_count").alias("vote_count"), C.zero_as_null(F.col("p.revenue")).alias("revenue"), C.parse_date(F.col("p.release_date")).alias("release_date"), days)
-    return rows.withColumn("dt", F.date_add(F.lit(DT).cast("date"), F.col("d") - 9)).withColumn("popularity", F.col("popularity") + F.col("d") * (F.col("movie_id") % 4)).drop("d")
+    rows = movies(t).select(F.col("p.id").alias("movie_id"), F.col("p.title").alias("title"), F.col("p.popularity").alias("popularity"),
+        F.col("p.vote_average").alias("vote_average"), F.col("p.vote_count").alias("vote_count"), C.zero_as_null(F.col("p.revenue")).alias("revenue"),
+        C.parse_date(F.col("p.release_date")).alias("release_date"), days)
+    return rows.withColumn("dt", F.date_add(F.lit(DT).cast("date"), F.col("d") - 9)).withColumn("popularity",
+        F.col("popularity") + F.col("d") * (F.col("movie_id") % 4)).drop("d")
 
 
 METRIC = f"""{MOVIES}, {CREDITS}, s AS (SELECT *, DATE '{DT}' + d::INT - 9 AS dt, size::DOUBLE + d * (movie_id % 4) AS popularity, size::DOUBLE + (d - 7) * (movie_id % 4) AS before FROM m, range(10) r(d)),
@@ -193,7 +227,8 @@ METRIC = f"""{MOVIES}, {CREDITS}, s AS (SELECT *, DATE '{DT}' + d::INT - 9 AS dt
 
 def metric(t) -> DataFrame:
     m = model(t)
-    return dws.movie_metric(snapshots(t), m["fact_movie_credit"], dws.current_movies(m["dim_movie"])).withColumns({c: F.round(c, 6) for c in ("popularity_wow", "roi")})
+    return dws.movie_metric(snapshots(t), m["fact_movie_credit"],
+        dws.current_movies(m["dim_movie"])).withColumns({c: F.round(c, 6) for c in ("popularity_wow", "roi")})
 
 
 @query(f"WITH {METRIC} SELECT * FROM metric")

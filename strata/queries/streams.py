@@ -39,7 +39,8 @@ def surge_alerts(spark, t) -> DataFrame:
     return no_zone(rows.select("window_start", "event_type", "samples", "average", "baseline", F.round("ratio", 6).alias("ratio")))
 
 
-@query(HOURS + SURGE.replace(" SELECT window_start,", ", a AS (SELECT window_start,", 1) + ") SELECT date_trunc('hour', window_start) AS bucket, event_type, count(*) AS alerts, max(ratio) AS most FROM a GROUP BY 1, 2")
+@query(HOURS + SURGE.replace(" SELECT window_start,", ", a AS (SELECT window_start,",
+    1) + ") SELECT date_trunc('hour', window_start) AS bucket, event_type, count(*) AS alerts, max(ratio) AS most FROM a GROUP BY 1, 2")
 def alert_rollup(spark, t) -> DataFrame:
     from strata.operators.rollups import alert_rollup as rolled
 
@@ -88,8 +89,10 @@ def seen_before(rows: DataFrame, ranges: int = 64) -> DataFrame:
 def envelopes(t) -> DataFrame:
     """events as messages on the wire, some of them broken, in either naming."""
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
-    event = lambda *names: F.to_json(F.struct(F.lit("POPULARITY_OBSERVED").alias(names[0]), F.lit("movie").alias(names[1]), F.col("user_id").alias(names[2]), ms.alias(names[3]), F.md5(F.col("event_type")).alias(names[4])))
-    snake, camel = event("event_type", "entity_type", "entity_id", "event_time", "content_hash"), event("eventType", "entityType", "entityId", "eventTime", "contentHash")
+    event = lambda *names: F.to_json(F.struct(F.lit("POPULARITY_OBSERVED").alias(names[0]), F.lit("movie").alias(names[1]), F.col("user_id").alias(names[2]),
+        ms.alias(names[3]), F.md5(F.col("event_type")).alias(names[4])))
+    snake, camel = event("event_type", "entity_type", "entity_id", "event_time", "content_hash"), event("eventType", "entityType", "entityId", "eventTime",
+        "contentHash")
     k = F.col("event_id") % 10
     broken = F.when(k == 7, F.lit("not-json")).when(k == 8, F.lit("[]")).when(k == 9, F.lit("{}"))
     return t.events.select("event_id", F.when(k >= 7, broken).when(k >= 4, camel).otherwise(snake).alias("value"))
@@ -118,7 +121,8 @@ def available_now(spark, stream: DataFrame, empty_batches: bool = True) -> DataF
     State that expires by the clock asks for another empty batch after each one, so such a stream would never end.
     """
     base = scratch(spark)
-    conf = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.shuffle.partitions": "4", "spark.sql.streaming.noDataMicroBatches.enabled": str(empty_batches).lower()}
+    conf = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.shuffle.partitions": "4", "spark.sql.streaming.noDataMicroBatches.enabled": str(empty_batches).lower()}
     before = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
@@ -146,9 +150,11 @@ def stream_dedup_available_now(spark, t) -> DataFrame:
     return available_now(spark, rows, empty_batches=False).select("event_id", "user_id", "event_type")
 
 
-@query(HOURS.replace("FROM observed GROUP BY 1, 2)", "FROM observed GROUP BY 1, 2 HAVING time_bucket(INTERVAL '1 hour', min(event_time)) + INTERVAL '1 hour' <= (SELECT max(event_time) - INTERVAL '1 minute' FROM observed))") + SURGE)
+@query(HOURS.replace("FROM observed GROUP BY 1, 2)",
+    "FROM observed GROUP BY 1, 2 HAVING time_bucket(INTERVAL '1 hour', min(event_time)) + INTERVAL '1 hour' <= (SELECT max(event_time) - INTERVAL '1 minute' FROM observed))") + SURGE)
 def stream_surge_available_now(spark, t) -> DataFrame:
-    rows = trend.windowed(stream_of(spark, t), keys=("event_type",), width="1 hour", watermark="1 minute").select("window_start", "event_type", "samples", F.round("average", 6).alias("average"))
+    rows = trend.windowed(stream_of(spark, t), keys=("event_type",), width="1 hour", watermark="1 minute").select("window_start", "event_type", "samples",
+        F.round("average", 6).alias("average"))
     found = available_now(spark, stateful.surge_stream(rows, ["event_type"], least=2000.0))
     return no_zone(found.select("window_start", "event_type", "samples", "average", "baseline", F.round("ratio", 6).alias("ratio")))
 
@@ -170,7 +176,8 @@ def stream_late_rows(spark, t) -> DataFrame:
         fs = hadoop(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         for file in fs.globStatus(hadoop(f"{folder}/{k}/*.parquet")):  # files go by their times
             fs.setTimes(file.getPath(), 1_700_000_000_000 + 60_000 * k, -1)
-    stream = spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(folder)
+    stream = spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").option("pathGlobFilter",
+        "*.parquet").parquet(folder)
     rows = stream.select("event_id", F.col("ts").cast("timestamp").alias("event_time"), "user_id", "event_type", V.cents("value").alias("popularity"))
     rows = trend.windowed(rows, keys=("event_type",), width="1 hour", watermark="1 minute").withColumn("average", F.round("average", 6))
     return no_zone(available_now(spark, rows).drop("window_end"))

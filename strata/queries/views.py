@@ -17,8 +17,10 @@ def cents(c: Column | str) -> Column:
 
 def movies(t: Tables) -> DataFrame:
     """part as a movie dimension with its revenue, in cents."""
-    revenue = t.lineitem.groupBy(F.col("l_partkey").alias("movie_id")).agg(F.sum(cents("l_extendedprice")).alias("revenue"), F.year(F.min("l_shipdate")).alias("release_year"))
-    part = t.part.select(F.col("p_partkey").alias("movie_id"), F.col("p_name").alias("title"), F.col("p_type").alias("genre"), F.col("p_brand").alias("company"), F.col("p_size").alias("popularity"), cents("p_retailprice").alias("budget"))
+    revenue = t.lineitem.groupBy(F.col("l_partkey").alias("movie_id")).agg(F.sum(cents("l_extendedprice")).alias("revenue"),
+        F.year(F.min("l_shipdate")).alias("release_year"))
+    part = t.part.select(F.col("p_partkey").alias("movie_id"), F.col("p_name").alias("title"), F.col("p_type").alias("genre"),
+        F.col("p_brand").alias("company"), F.col("p_size").alias("popularity"), cents("p_retailprice").alias("budget"))
     return part.join(revenue, "movie_id", "left")
 
 
@@ -33,7 +35,8 @@ MOVIES = """revenue AS (
 
 def persons(t: Tables) -> DataFrame:
     nation = t.nation.select("n_nationkey", F.col("n_name").alias("country"))
-    return t.supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("person_id"), F.col("s_name").alias("person_name"), "country", cents("s_acctbal").alias("popularity_cents"))
+    return t.supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("person_id"),
+        F.col("s_name").alias("person_name"), "country", cents("s_acctbal").alias("popularity_cents"))
 
 
 PERSONS = """persons AS (
@@ -45,7 +48,9 @@ def credits(t: Tables) -> DataFrame:
     """lineitem as credits; (order, line) is no key, so one row of each is taken."""
     kind = F.when(F.col("l_returnflag") == "R", "crew").otherwise("cast")
     director = F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), 1).otherwise(0)
-    return t.lineitem.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("credit_id"), F.col("l_partkey").alias("movie_id"), F.col("l_suppkey").alias("person_id"), kind.alias("credit_type"), director.alias("is_director"), F.col("l_shipdate").alias("at"), F.col("l_quantity").cast("int").alias("quantity"))
+    return t.lineitem.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("credit_id"), F.col("l_partkey").alias("movie_id"),
+        F.col("l_suppkey").alias("person_id"), kind.alias("credit_type"), director.alias("is_director"), F.col("l_shipdate").alias("at"),
+        F.col("l_quantity").cast("int").alias("quantity"))
 
 
 CREDITS = """credits AS (
@@ -58,7 +63,8 @@ CREDITS = """credits AS (
 
 def observed(t: Tables) -> DataFrame:
     """events as observations of popularity, in cents."""
-    return t.events.select("event_id", F.col("ts").cast("timestamp").alias("event_time"), F.col("user_id").alias("entity_id"), "event_type", cents("value").alias("popularity"), "props")
+    return t.events.select("event_id", F.col("ts").cast("timestamp").alias("event_time"), F.col("user_id").alias("entity_id"), "event_type",
+        cents("value").alias("popularity"), "props")
 
 
 OBSERVED = "observed AS (SELECT event_id, ts AS event_time, user_id AS entity_id, event_type, round(value * 100)::BIGINT AS popularity, props FROM events)"
@@ -82,7 +88,8 @@ def edges(t: Tables) -> DataFrame:
     p = t.part
     genre = p.select(F.col("p_partkey").alias("from_id"), code(F.col("p_type")).alias("to_id"), F.lit("HAS_GENRE").alias("type"))
     made = p.select(F.col("p_partkey").alias("from_id"), code(F.col("p_brand")).alias("to_id"), F.lit("PRODUCED_BY").alias("type"))
-    words = p.select(F.col("p_partkey").alias("from_id"), F.explode(F.split("p_name", " ")).alias("w")).select("from_id", code(F.col("w")).alias("to_id"), F.lit("HAS_KEYWORD").alias("type"))
+    words = p.select(F.col("p_partkey").alias("from_id"), F.explode(F.split("p_name", " ")).alias("w")).select("from_id", code(F.col("w")).alias("to_id"),
+        F.lit("HAS_KEYWORD").alias("type"))
     return acted.unionByName(directed).unionByName(genre).unionByName(made).unionByName(words).distinct()
 
 
@@ -97,5 +104,6 @@ EDGES = CREDITS + """, edges AS (
 
 def versions(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Two batches of customers' states: their last order before 1998 and their last one at all."""
-    rows = t.orders.select(F.col("o_custkey").alias("customer_id"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"), F.col("o_orderdate").cast("timestamp").alias("valid_from"), F.lit("2099-12-31 00:00:00").cast("timestamp").alias("valid_to"))
+    rows = t.orders.select(F.col("o_custkey").alias("customer_id"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"),
+        F.col("o_orderdate").cast("timestamp").alias("valid_from"), F.lit("2099-12-31 00:00:00").cast("timestamp").alias("valid_to"))
     return rows.where("valid_from < timestamp'1998-01-01 00:00:00'"), rows.where("valid_from >= timestamp'1998-01-01 00:00:00'")

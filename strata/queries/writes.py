@@ -126,7 +126,8 @@ def ingest_changes(spark, t) -> DataFrame:
 @query("SELECT count(DISTINCT p_partkey) AS wanted, count(*) FILTER (p_partkey % 10 <> 0 AND p_partkey % 11 <> 0 AND p_partkey % 17 <> 0) AS loaded, count(*) FILTER (p_partkey % 10 = 0) AS missing, count(*) FILTER (p_partkey % 10 <> 0 AND (p_partkey % 11 = 0 OR p_partkey % 17 = 0)) AS failed FROM part")
 def ingest_full_load(spark, t) -> DataFrame:
     """Details of all ids, some of which are gone and some of which are broken; counted while they are written."""
-    result = ingest.full_load(t.part.select(F.col("p_partkey").alias("id")), R.raw_movies(t).where("entity_id % 10 <> 0"), scratch(spark, "full"), most_failed=0.5)
+    result = ingest.full_load(t.part.select(F.col("p_partkey").alias("id")), R.raw_movies(t).where("entity_id % 10 <> 0"), scratch(spark, "full"),
+        most_failed=0.5)
     return spark.createDataFrame([(result.wanted, result.loaded, result.missing, result.failed)], "wanted bigint, loaded bigint, missing bigint, failed bigint")
 
 
@@ -152,7 +153,8 @@ def ingest_list_ranks(spark, t) -> DataFrame:
     """Pages of twenty results of each list; ranks go on from page to page."""
     number = F.row_number().over(V_window("p_brand", "p_partkey")) - 1
     rows = t.part.withColumn("n", number).withColumn("page", F.floor(F.col("n") / 20).cast("int") + 1)
-    pages = rows.groupBy(F.col("p_brand").alias("list_name"), "page").agg(F.sort_array(F.collect_list(F.struct("n", F.col("p_partkey").alias("id"), F.col("p_name").alias("title")))).alias("r"))
+    pages = rows.groupBy(F.col("p_brand").alias("list_name"),
+        "page").agg(F.sort_array(F.collect_list(F.struct("n", F.col("p_partkey").alias("id"), F.col("p_name").alias("title")))).alias("r"))
     pages = pages.select("list_name", "page", F.transform("r", lambda x: F.struct(x["id"].alias("id"), x["title"].alias("title"))).alias("results"))
     return ingest.ranked_pages(pages, ["list_name"])
 
@@ -189,7 +191,8 @@ def state_steps(spark, t) -> DataFrame:
 @query("SELECT c_custkey, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey > 10")
 def source_parameters(spark, t) -> DataFrame:
     """A query with named parameters over a table."""
-    return raw.sql(spark, "SELECT c_custkey, c_acctbal FROM {customers} WHERE c_mktsegment = :segment AND c_nationkey > :nation", {"customers": t.customer}, segment="BUILDING", nation=10)
+    return raw.sql(spark, "SELECT c_custkey, c_acctbal FROM {customers} WHERE c_mktsegment = :segment AND c_nationkey > :nation", {"customers": t.customer},
+        segment="BUILDING", nation=10)
 
 
 @query(f"WITH {ORDERS} SELECT 'orders' AS \"table\", count(DISTINCT dt) AS partitions, count(*) AS \"rows\", min(dt) AS first_dt, max(dt) AS last_dt, TRUE AS has_bytes FROM o")
@@ -209,7 +212,8 @@ def function_texts(spark, t) -> DataFrame:
     k = F.col("c_custkey")
     name = F.concat(F.when(k % 3 == 1, F.lit("dwd.")).otherwise(""), F.when(k % 3 == 2, F.lit("graph:Movie")).otherwise(F.concat(F.lit("t_"), k)))
     db, tbl = C.split_table_name(name)
-    return t.customer.select("c_custkey", F.sha2("c_name", 256).alias("sha"), C.md5_base64(F.col("c_name")).alias("md5_64"), db.alias("db"), tbl.alias("tbl"), C.display_name(F.when(k % 2 == 0, F.col("c_name")).otherwise(""), F.col("c_mktsegment")).alias("display"))
+    return t.customer.select("c_custkey", F.sha2("c_name", 256).alias("sha"), C.md5_base64(F.col("c_name")).alias("md5_64"), db.alias("db"), tbl.alias("tbl"),
+        C.display_name(F.when(k % 2 == 0, F.col("c_name")).otherwise(""), F.col("c_mktsegment")).alias("display"))
 
 
 @query("""SELECT event_id, strftime(ts, '%Y%m') AS month, strftime(ts, '%m_%d_%Y') AS export_date, (epoch_us(date_trunc('day', ts)) // 1000) AS day_ms, ts::DATE AS day, ts::DATE AS path_day, greatest(0, 1735689600000 - (epoch_us(ts) // 1000)) AS latency, 1735689600000 - (epoch_us(ts) // 1000) > 300000 AS late,
@@ -219,7 +223,9 @@ def function_times(spark, t) -> DataFrame:
     ms, now = F.unix_millis(ts), F.lit(1735689600000)
     path = F.concat(F.lit("s3a://lake/raw/movie/dt="), F.to_date(ts), F.lit("/part-0.ndjson.gz"))
     stamp = C.parse_instant(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-    return no_zone(t.events.select("event_id", C.month_of(ts).alias("month"), C.export_date(ts).alias("export_date"), C.start_of_day_ms(ts).alias("day_ms"), C.day_of_ms(ms).alias("day"), C.dt_from_path(path).alias("path_day"), C.latency_ms(ms, now).alias("latency"), C.too_late(ms, now).alias("late"), stamp.alias("instant"), C.alert_id(F.lit("surge"), F.col("event_type"), ts).alias("alert")))
+    return no_zone(t.events.select("event_id", C.month_of(ts).alias("month"), C.export_date(ts).alias("export_date"), C.start_of_day_ms(ts).alias("day_ms"),
+        C.day_of_ms(ms).alias("day"), C.dt_from_path(path).alias("path_day"), C.latency_ms(ms, now).alias("latency"), C.too_late(ms, now).alias("late"),
+        stamp.alias("instant"), C.alert_id(F.lit("surge"), F.col("event_type"), ts).alias("alert")))
 
 
 @query("""SELECT c_custkey, 'https://****:****@host/' || c_custkey || '?api_key=****&n=1 Bearer **** ****' AS masked FROM customer""")
@@ -255,13 +261,15 @@ def scd2_chain(spark, t) -> DataFrame:
 
 @query("SELECT max(ts) AS latest, round(date_diff('second', max(ts), TIMESTAMP '2025-01-01') / 60.0, 3) AS minutes, date_diff('second', max(ts), TIMESTAMP '2025-01-01') > 900 AS stale FROM events")
 def freshness_minutes(spark, t) -> DataFrame:
-    return no_zone(quality.stale(t.events.withColumn("ts", F.date_trunc("second", "ts")), "ts", "2025-01-01 00:00:00").withColumn("minutes", F.round("minutes", 3))).join(t.events.agg(F.max("ts").alias("exact"))).select(F.col("exact").alias("latest"), "minutes", "stale")
+    return no_zone(quality.stale(t.events.withColumn("ts", F.date_trunc("second", "ts")), "ts", "2025-01-01 00:00:00").withColumn("minutes",
+        F.round("minutes", 3))).join(t.events.agg(F.max("ts").alias("exact"))).select(F.col("exact").alias("latest"), "minutes", "stale")
 
 
 @query("""SELECT 'rows' AS rule, 'BLOCKER' AS severity, count(*)::DOUBLE AS value, TRUE AS passed, 'r1' AS run FROM orders UNION ALL SELECT 'prices', 'WARN', count(*) FILTER (o_totalprice > 200000)::DOUBLE, count(*) FILTER (o_totalprice > 200000) = 0, 'r1' FROM orders""")
 def dq_configured(spark, t) -> DataFrame:
     """Rules of a configuration, with bounds under other names and without a severity; their results are kept."""
-    rules = [quality.rule_from({"name": "rows", "table": "orders", "kind": "row_count", "min": 1, "severity": "blocker"}), quality.rule_from({"name": "prices", "table": "orders", "kind": "range", "column": "o_totalprice", "threshold_max": 200_000})]
+    rules = [quality.rule_from({"name": "rows", "table": "orders", "kind": "row_count", "min": 1, "severity": "blocker"}),
+        quality.rule_from({"name": "prices", "table": "orders", "kind": "range", "column": "o_totalprice", "threshold_max": 200_000})]
     path = scratch(spark, "results")
     quality.keep_results(quality.measure(spark, {"orders": t.orders}, rules, "2025-01-01").drop("error"), path, "r1")
     return spark.read.parquet(path)
@@ -285,7 +293,8 @@ def lineage_direct(spark, t) -> DataFrame:
 @query("SELECT * FROM (VALUES ('price', 'DUPLICATE', ''), ('margin', 'MISSING_COLUMN', 'cost'), ('gone', 'MISSING_TABLE', '')) v(metric, problem, columns)")
 def metric_problems(spark, t) -> DataFrame:
     M = metrics.Metric
-    found = metrics.problems([M("price", "orders", "avg(o_totalprice)"), M("price", "orders", "max(o_totalprice)"), M("margin", "orders", "sum(o_totalprice - cost)"), M("gone", "nothing", "count(x)")], {"orders": t.orders})
+    found = metrics.problems([M("price", "orders", "avg(o_totalprice)"), M("price", "orders", "max(o_totalprice)"),
+        M("margin", "orders", "sum(o_totalprice - cost)"), M("gone", "nothing", "count(x)")], {"orders": t.orders})
     return spark.createDataFrame([(n, p, ",".join(c)) for n, p, c in found], "metric string, problem string, columns string")
 
 

@@ -145,5 +145,6 @@ def delete(spark: SparkSession, path: str) -> None:
 def table_files(spark: SparkSession, path: str, table: str, by: str = "dt") -> DataFrame:
     """table, dt, file, bytes, rows of a Parquet table's files. The listing and the row counts are Spark's."""
     found = spark.read.option("basePath", path).parquet(path)
-    rows = found.groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"), F.col(by).cast("date").alias("dt")).agg(F.count(F.lit(1)).alias("rows"))
+    rows = found.groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"),
+        F.col(by).cast("date").alias("dt")).agg(F.count(F.lit(1)).alias("rows"))
     return rows.select(F.lit(table).alias("table"), "dt", "file", "bytes", "rows")

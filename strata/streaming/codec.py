@@ -50,7 +50,9 @@ def dead_letters(decoded: DataFrame, column: str = "value") -> DataFrame:
 
 def popularity(events: DataFrame) -> DataFrame:
     """Numbers of a popularity payload; what is no number is null."""
-    return events.withColumn("p", F.from_json("payload", POPULARITY)).withColumns({"title": F.coalesce("p.title", F.lit("")), "list_name": F.coalesce("p.list_name", F.lit("")), "popularity": F.col("p.popularity"), "vote_average": F.col("p.vote_average"), "vote_count": F.col("p.vote_count")}).drop("p")
+    return events.withColumn("p", F.from_json("payload", POPULARITY)).withColumns({"title": F.coalesce("p.title", F.lit("")),
+        "list_name": F.coalesce("p.list_name", F.lit("")), "popularity": F.col("p.popularity"), "vote_average": F.col("p.vote_average"),
+        "vote_count": F.col("p.vote_count")}).drop("p")
 
 
 #: Where rows of a stream go: by the time of the event, as text where the table has text.
@@ -59,7 +61,8 @@ ODS_COLUMNS = ["event_id", "event_type", "entity_type", "entity_id", "event_time
 
 def to_ods(events: DataFrame) -> DataFrame:
     """Good events as rows of the raw event table: dt is the day of the event in UTC, a missing payload is {}."""
-    return events.select(*[F.timestamp_millis("ingest_ms").alias(c) if c == "ingest_time" else F.coalesce("payload", F.lit("{}")).alias(c) if c == "payload" else F.col(c) for c in ODS_COLUMNS])
+    return events.select(*[F.timestamp_millis("ingest_ms").alias(c) if c == "ingest_time" else F.coalesce("payload",
+        F.lit("{}")).alias(c) if c == "payload" else F.col(c) for c in ODS_COLUMNS])
 
 
 def to_observations(events: DataFrame) -> DataFrame:

@@ -54,7 +54,8 @@ class Deduplicator(StatefulProcessor):
 def deduplicated(stream: DataFrame, keys: list[str], content: str, order: str | list[str], ttl_ms: int = 7 * 24 * 3600 * 1000) -> DataFrame:
     """Rows of a batch go by the columns of ``order``, the first of which is the time and the others break its ties."""
     order = [order] if isinstance(order, str) else order
-    return stream.groupBy(*keys).transformWithStateInPandas(Deduplicator(content, order, ttl_ms), outputStructType=stream.schema, outputMode="Append", timeMode="ProcessingTime")
+    return stream.groupBy(*keys).transformWithStateInPandas(Deduplicator(content, order, ttl_ms), outputStructType=stream.schema, outputMode="Append",
+        timeMode="ProcessingTime")
 
 
 class SurgeDetector(StatefulProcessor):
@@ -84,4 +85,5 @@ class SurgeDetector(StatefulProcessor):
 
 def surge_stream(windows: DataFrame, keys: list[str], samples: int = SAMPLES, least: float = LEAST, ratio: float = RATIO) -> DataFrame:
     schema = StructType(list(windows.schema.fields)).add("baseline", "double").add("ratio", "double")
-    return windows.groupBy(*keys).transformWithStateInPandas(SurgeDetector(samples, least, ratio), outputStructType=schema, outputMode="Append", timeMode="None")
+    return windows.groupBy(*keys).transformWithStateInPandas(SurgeDetector(samples, least, ratio), outputStructType=schema, outputMode="Append",
+        timeMode="None")

@@ -25,7 +25,8 @@ def test_dates(spark):
     assert value(spark, C.lenient_date(t), t="2024-01-05T10:00:00Z") == datetime.date(2024, 1, 5)
     assert value(spark, F.date_format(C.parse_instant(t), "yyyy-MM-dd HH"), t="2024-01-05T10:00:00.000Z") == "2024-01-05 10"
     assert value(spark, C.parse_instant(t), t="soon") is None
-    assert value(spark, C.dt_from_path(t), t="s3://b/raw/movie/dt=2024-03-01/x.gz") == datetime.date(2024, 3, 1) and value(spark, C.dt_from_path(t), t="x") is None
+    assert value(spark, C.dt_from_path(t), t="s3://b/raw/movie/dt=2024-03-01/x.gz") == datetime.date(2024, 3, 1) and value(spark, C.dt_from_path(t),
+        t="x") is None
     assert value(spark, C.iso_day_of_week(F.lit("2024-01-01").cast("date"))) == 1
 
 
@@ -34,11 +35,13 @@ def test_texts(spark):
     assert value(spark, C.company_name(t), t="Legendary Pictures (US)") == "Legendary Pictures"
     assert value(spark, C.mask_secret(t), t="abcdefghijklmnop") == "abcd****mnop" and value(spark, C.mask_secret(t), t="short") == "****"
     assert value(spark, C.mask_text(t), t="GET http://u:p@h/x?api_key=abc Bearer a.b") == "GET http://****:****@h/x?api_key=**** Bearer ****"
-    assert value(spark, C.canonical_json(t), t='{"b": 1, "a": {"d": 2, "c": [3]}}') == '{"a":{"c":[3],"d":2},"b":1}' and value(spark, C.canonical_json(t), t="x") is None
+    assert value(spark, C.canonical_json(t), t='{"b": 1, "a": {"d": 2, "c": [3]}}') == '{"a":{"c":[3],"d":2},"b":1}' and value(spark, C.canonical_json(t),
+        t="x") is None
     assert value(spark, C.display_name(t, F.lit("n")), t="") == "n"
     assert value(spark, C.is_director(t), t="DIRECTOR") == 1 and value(spark, C.flag(F.lit(None).cast("boolean"))) == 0
     assert value(spark, C.readable_size(F.col("n")), n=3 << 20) == "3.00 MiB"
-    assert [value(spark, c, t="a.b") for c in C.split_table_name(t)] == ["a", "b"] and [value(spark, c, t="graph:Movie") for c in C.split_table_name(t)] == ["graph", "Movie"]
+    assert [value(spark, c, t="a.b") for c in C.split_table_name(t)] == ["a",
+        "b"] and [value(spark, c, t="graph:Movie") for c in C.split_table_name(t)] == ["graph", "Movie"]
     assert [value(spark, c, t="b") for c in C.split_table_name(t)] == ["default", "b"]
     assert value(spark, C.content_hash("t"), t="") == value(spark, C.content_hash("u"), u=None)
     assert len(value(spark, C.deterministic_id(t, F.lit(None)), t="x")) == 32

@@ -12,7 +12,8 @@ from strata.streaming import codec, sinks, stateful, trend
 
 def test_quality_rules_fail_alone(spark):
     t = {"t": spark.createDataFrame([(1, None), (1, 5)], "a int, b int")}
-    rules = [quality.Rule("rows", "t", "ROW_COUNT", least=3, severity="BLOCKER"), quality.Rule("bad", "t", "RANGE", ("zzz",)), quality.Rule("nulls", "t", "NOT_NULL", ("b",), most=0.5), quality.Rule("gone", "u", "ROW_COUNT")]
+    rules = [quality.Rule("rows", "t", "ROW_COUNT", least=3, severity="BLOCKER"), quality.Rule("bad", "t", "RANGE", ("zzz",)),
+        quality.Rule("nulls", "t", "NOT_NULL", ("b",), most=0.5), quality.Rule("gone", "u", "ROW_COUNT")]
     out = quality.measure(spark, t, rules, "2024-01-01")
     found = {r["rule"]: (r["value"], r["passed"]) for r in out.collect()}
     assert found == {"rows": (2.0, False), "bad": (None, False), "nulls": (0.5, True), "gone": (None, False)} and quality.blocked(out)
@@ -30,7 +31,8 @@ def test_lifecycle(spark):
     plan = spark.createDataFrame([("t", datetime.date(2024, 1, 5), "DROP"), ("t", datetime.date(2024, 3, 5), "COLD")], "table string, dt date, action string")
     dropped = []
     assert {r["status"] for r in lifecycle.apply(plan, lambda *x: dropped.append(x)).collect()} == {"SKIPPED"} and not dropped
-    assert sorted(r["status"] for r in lifecycle.apply(plan, lambda *x: dropped.append(x), dry_run=False).collect()) == ["APPLIED", "SKIPPED"] and len(dropped) == 1
+    assert sorted(r["status"] for r in lifecycle.apply(plan, lambda *x: dropped.append(x), dry_run=False).collect()) == ["APPLIED",
+        "SKIPPED"] and len(dropped) == 1
 
 
 def test_metrics_and_access(spark):
@@ -41,7 +43,8 @@ def test_metrics_and_access(spark):
     with pytest.raises(ValueError):
         r.add(metrics.Metric("m", "t", "sum(a)"))
     t = {"t": spark.createDataFrame([(1,), (3,)], "a int")}
-    assert metrics.problems([metrics.Metric("x", "t", "sum(a + b + c)"), metrics.Metric("y", "t", "sum('b' || a"), metrics.Metric("x", "t", "a")], t) == [("x", "DUPLICATE", []), ("x", "MISSING_COLUMN", ["b", "c"])] + [("y", "INVALID", [])] + [("x", "INVALID", [])]
+    assert metrics.problems([metrics.Metric("x", "t", "sum(a + b + c)"), metrics.Metric("y", "t", "sum('b' || a"), metrics.Metric("x", "t", "a")],
+        t) == [("x", "DUPLICATE", []), ("x", "MISSING_COLUMN", ["b", "c"])] + [("y", "INVALID", [])] + [("x", "INVALID", [])]
     assert r.validate(t) == [("n", "MISSING_COLUMN"), ("o", "MISSING_TABLE")] and r.evaluate("m", t).first()[0] == 2.0
     role = access.Role("reader", ("SELECT",), ("dws", "ads"))
     assert access.grants([role])[1] == "GRANT SELECT ON DATABASE `ads` TO ROLE `reader`" and len(access.revokes([role])) == 2
@@ -58,7 +61,8 @@ def test_metrics_and_access(spark):
 
 
 def test_parameters():
-    assert [graph.parameter(x) for x in ("limit=5", "ratio=1.50", "name = a=b ", "n=NaN")] == [("limit", 5), ("ratio", decimal.Decimal("1.50")), ("name", "a=b"), ("n", "NaN")]
+    assert [graph.parameter(x) for x in ("limit=5", "ratio=1.50", "name = a=b ", "n=NaN")] == [("limit", 5), ("ratio", decimal.Decimal("1.50")),
+        ("name", "a=b"), ("n", "NaN")]
     with pytest.raises(ValueError):
         graph.parameter("nothing")
 
@@ -113,29 +117,35 @@ def test_a_stream_goes_on_after_a_failure(spark, tmp_path):
 
 
 def test_graph(spark):
-    edges = spark.createDataFrame([(1, 10, "ACTED_IN"), (2, 10, "ACTED_IN"), (2, 11, "ACTED_IN"), (3, 11, "DIRECTED"), (10, 5, "HAS_GENRE"), (11, 5, "HAS_GENRE")], "from_id bigint, to_id bigint, type string")
+    edges = spark.createDataFrame([(1, 10, "ACTED_IN"), (2, 10, "ACTED_IN"), (2, 11, "ACTED_IN"), (3, 11, "DIRECTED"), (10, 5, "HAS_GENRE"),
+        (11, 5, "HAS_GENRE")], "from_id bigint, to_id bigint, type string")
     assert graph.coactors(edges).collect()[0][:] == (1, 2, 1)
-    assert graph.shortest_path(edges, 1, 3).first()[:] == (4, "p1>m10>p2>m11>p3") and graph.shortest_path(edges, 1, 3, 3).isEmpty() and graph.shortest_path(edges, 1, 99).isEmpty()
+    assert graph.shortest_path(edges, 1, 3).first()[:] == (4, "p1>m10>p2>m11>p3") and graph.shortest_path(edges, 1, 3,
+        3).isEmpty() and graph.shortest_path(edges, 1, 99).isEmpty()
     assert [graph.circle(edges, 1, d).first()[0] for d in (1, 3)] == [1, 2]
     assert graph.similar(edges, 10).first()[:] == (11, 2)
 
 
 def message(**more):
-    return json.dumps({"event_type": "POPULARITY_OBSERVED", "entity_type": "movie", "entity_id": 1, "event_time": 1_700_000_000_000, "payload": {"popularity": 5.5, "title": "T"}} | more)
+    return json.dumps({"event_type": "POPULARITY_OBSERVED", "entity_type": "movie", "entity_id": 1, "event_time": 1_700_000_000_000,
+        "payload": {"popularity": 5.5, "title": "T"}} | more)
 
 
 def test_codec(spark):
-    bad = [None, "", "not-json", "{}", "[]", message(event_type="X"), message(entity_type="y"), message(entity_id="no"), message(entity_id="12"), message(event_time="1700000000000"), message(event_time=None)]
+    bad = [None, "", "not-json", "{}", "[]", message(event_type="X"), message(entity_type="y"), message(entity_id="no"), message(entity_id="12"),
+        message(event_time="1700000000000"), message(event_time=None)]
     camel = json.dumps({"eventType": "ENTITY_CHANGED", "entityType": "tv", "entityId": 2, "eventTime": 5})
     rows = codec.decode(spark.createDataFrame([(x,) for x in [*bad, message(), camel]], "value string"))
     assert codec.dead_letters(rows).count() == len(bad)
     good = codec.popularity(codec.good(rows)).orderBy("entity_id").collect()
-    assert [(r["entity_id"], r["popularity"], r["source"], r["schema_version"]) for r in good] == [(1, 5.5, "unknown", 1), (2, None, "unknown", 1)] and good[1]["ingest_ms"] == 5
+    assert [(r["entity_id"], r["popularity"], r["source"], r["schema_version"]) for r in good] == [(1, 5.5, "unknown", 1),
+        (2, None, "unknown", 1)] and good[1]["ingest_ms"] == 5
 
 
 def test_windows_and_surges(spark):
     at = lambda minute: datetime.datetime(2024, 1, 1, 0, minute)
-    rows = [(1, at(0), 20.0, 8.0, 5, "a", "l"), (1, at(1), None, None, None, "", ""), (1, at(6), 40.0, None, 6, "b", "l"), (1, at(7), 30.0, None, 6, "", ""), (1, at(8), 50.0, 7.0, 7, "", "")]
+    rows = [(1, at(0), 20.0, 8.0, 5, "a", "l"), (1, at(1), None, None, None, "", ""), (1, at(6), 40.0, None, 6, "b", "l"), (1, at(7), 30.0, None, 6, "", ""),
+        (1, at(8), 50.0, 7.0, 7, "", "")]
     events = spark.createDataFrame(rows, "entity_id bigint, event_time timestamp, popularity double, vote_average double, vote_count int, title string, list_name string")
     w = trend.windowed(events, extra=trend.popularity_extras()).orderBy("window_start").collect()
     assert [(r["samples"], r["average"], r["most"], r["title"], r["vote_average"]) for r in w] == [(2, 10.0, 20.0, "a", 8.0), (3, 40.0, 50.0, "b", 7.0)]

@@ -20,16 +20,21 @@ def movie(n, **more):
     actor = lambda i: {"id": i, "credit_id": f"act-{n}-{i}", "name": f"actor {i}", "character": f"part {i}", "order": i - 1}
     worker = lambda dep, job: {"id": 3, "credit_id": f"{job.lower()}-{n}", "name": "worker 3", "department": dep, "job": job}
     return {
-        "id": n, "title": f"Film {n}", "release_date": "1998-03-05", "budget": 250, "revenue": 1000, "popularity": 4.0 + n, "vote_average": 6.5, "vote_count": 12, "adult": False,
+        "id": n, "title": f"Film {n}", "release_date": "1998-03-05", "budget": 250, "revenue": 1000, "popularity": 4.0 + n, "vote_average": 6.5,
+        "vote_count": 12, "adult": False,
         "belongs_to_collection": {"id": 40, "name": "Harbour tales"}, "genres": [{"id": g, "name": f"kind {g}"} for g in (3, 4, 5)],
-        "production_companies": [{"id": 70, "name": "Blue Lantern (NZ)"}], "production_countries": [{"iso_3166_1": "NZ", "name": "New Zealand"}], "spoken_languages": [{"iso_639_1": "mi", "name": "Maori"}],
-        "keywords": {"keywords": [{"id": 8, "name": "tide"}]}, "credits": {"cast": [actor(1), actor(2)], "crew": [worker("Directing", "Director"), worker("Editing", "Editor")]},
-        "release_dates": {"results": [{"iso_3166_1": "NZ", "release_dates": [{"certification": "M", "release_date": "1998-03-05T00:00:00.000Z", "type": 3}]}, {"iso_3166_1": "CH", "release_dates": []}]},
+        "production_companies": [{"id": 70, "name": "Blue Lantern (NZ)"}], "production_countries": [{"iso_3166_1": "NZ", "name": "New Zealand"}],
+        "spoken_languages": [{"iso_639_1": "mi", "name": "Maori"}],
+        "keywords": {"keywords": [{"id": 8, "name": "tide"}]},
+        "credits": {"cast": [actor(1), actor(2)], "crew": [worker("Directing", "Director"), worker("Editing", "Editor")]},
+        "release_dates": {"results": [{"iso_3166_1": "NZ", "release_dates": [{"certification": "M", "release_date": "1998-03-05T00:00:00.000Z", "type": 3}]},
+        {"iso_3166_1": "CH", "release_dates": []}]},
     } | more
 
 
 def tv(n):
-    return {"id": n, "name": f"Series {n}", "genres": [{"id": 3, "name": "kind 3 on tv"}], "networks": [{"id": 61, "name": "Channel"}], "keywords": {"results": [{"id": 9, "name": "ferry"}]}}
+    return {"id": n, "name": f"Series {n}", "genres": [{"id": 3, "name": "kind 3 on tv"}], "networks": [{"id": 61, "name": "Channel"}],
+        "keywords": {"results": [{"id": 9, "name": "ferry"}]}}
 
 
 def person(n):
@@ -42,7 +47,8 @@ def frame(spark, kind, payloads, dt=DT):
 
 
 def frames(spark, **more):
-    return {"movie": frame(spark, "movie", more.get("movies", [movie(1), movie(2, budget=0)])), "tv": frame(spark, "tv", [tv(1)]), "person": frame(spark, "person", [person(1), person(2), person(3)])}
+    return {"movie": frame(spark, "movie", more.get("movies", [movie(1), movie(2, budget=0)])), "tv": frame(spark, "tv", [tv(1)]),
+        "person": frame(spark, "person", [person(1), person(2), person(3)])}
 
 
 def test_modelled_layer(spark):
@@ -61,14 +67,16 @@ def test_modelled_layer(spark):
     releases = {(r["movie_id"], r["country_code"]): (r["release_type"], r["release_date"]) for r in dwd.fact_release(m, DT).collect()}
     assert len(releases) == 4 and releases[1, "NZ"] == ("院线", datetime.date(1998, 3, 5)) and releases[1, "CH"] == ("其他", None)
     assert dwd.fact_snapshot(m, DT).count() == 2
-    assert {k: v.count() for k, v in dwd.bridges(m, t, DT).items()} == {"bridge_movie_genre": 6, "bridge_movie_company": 2, "bridge_movie_country": 2, "bridge_movie_keyword": 2, "bridge_tv_genre": 1, "bridge_tv_network": 1}
+    assert {k: v.count() for k, v in dwd.bridges(m, t, DT).items()} == {"bridge_movie_genre": 6, "bridge_movie_company": 2, "bridge_movie_country": 2,
+        "bridge_movie_keyword": 2, "bridge_tv_genre": 1, "bridge_tv_network": 1}
 
 
 def test_week_over_week(spark):
     """Nine days of one film: the change is to the seventh row before, and 0 where there is none."""
     popularity = [8.0, 9.5, 7.0, 6.0, 6.5, 9.0, 9.0, 12.0, 19.0]
     days = [(datetime.date(2023, 2, 25) + datetime.timedelta(i), 77, "Film", p, 6.5, 12, 1000, datetime.date(1998, 3, 5)) for i, p in enumerate(popularity)]
-    snapshots = spark.createDataFrame(days, "dt date, movie_id bigint, title string, popularity double, vote_average double, vote_count int, revenue bigint, release_date date")
+    snapshots = spark.createDataFrame(days,
+        "dt date, movie_id bigint, title string, popularity double, vote_average double, vote_count int, revenue bigint, release_date date")
     credits = spark.createDataFrame([(days[2][0], 77, kind) for kind in ("cast", "cast", "crew")], "dt date, movie_id bigint, credit_type string")
     movies = spark.createDataFrame([(77, 250)], "movie_id bigint, budget bigint")
     rows = sorted(dws.movie_metric(snapshots, credits, movies).collect(), key=lambda r: r["dt"])
@@ -126,7 +134,8 @@ def test_scd2_histories_have_no_overlaps(spark, batches):
 
 
 def test_rollups_merge_without_loss(spark):
-    rows = spark.createDataFrame([(datetime.datetime(2024, 1, 1 + i // 20, i % 20, i % 60), i % 3, i * 7 % 11) for i in range(60)], "at timestamp, k int, v bigint")
+    rows = spark.createDataFrame([(datetime.datetime(2024, 1, 1 + i // 20, i % 20, i % 60), i % 3, i * 7 % 11) for i in range(60)],
+        "at timestamp, k int, v bigint")
     day = lambda c: F.date_trunc("day", c)
     merged = rollups.merged(rollups.hourly(rows, "at", ["k"], "v"), day("bucket"), ["k"])
     assert sorted(merged.collect()) == sorted(rollups.states(rows, day("at"), ["k"], "v").select(*merged.columns).collect())
@@ -174,7 +183,8 @@ def test_lake_and_exports(spark, tmp_path):
     counts = raw.export_counts(spark, str(tmp_path / "e.ndjson")).first()
     assert (counts["good"], counts["blank"], counts["malformed"]) == (2, 1, 1)
     old = spark.createDataFrame([(1, datetime.datetime(2024, 5, 1)), (2, datetime.datetime(2024, 5, 2))], "k int, valid_from timestamp")
-    assert sorted(r["k"] for r in lake.replace_window(old, old.where("k = 1").withColumn("k", F.lit(9)), "valid_from", "2024-05-01 00:00:00", "2024-05-01 23:59:59").collect()) == [2, 9]
+    assert sorted(r["k"] for r in lake.replace_window(old, old.where("k = 1").withColumn("k", F.lit(9)), "valid_from", "2024-05-01 00:00:00",
+        "2024-05-01 23:59:59").collect()) == [2, 9]
 
 
 def test_a_failed_swap_leaves_the_table(spark, tmp_path, monkeypatch):
@@ -234,7 +244,8 @@ def test_full_load_gate(spark, tmp_path):
 def test_graph_of_the_batch(spark, tmp_path):
     write_raw(spark, tmp_path, DT, movie=[movie(1), movie(2)], tv=[tv(1)], person=[person(1), person(3)])
     vertices, edges = graph.from_tables(batch.run(spark, str(tmp_path), DT))
-    assert {(r["label"], r["count"]) for r in vertices.groupBy("label").count().collect()} == {("movie", 2), ("person", 2), ("genre", 3), ("company", 1), ("keyword", 2)}
+    assert {(r["label"], r["count"]) for r in vertices.groupBy("label").count().collect()} == {("movie", 2), ("person", 2), ("genre", 3), ("company", 1),
+        ("keyword", 2)}
     kinds = {r["type"]: r["count"] for r in edges.groupBy("type").count().collect()}
     assert kinds == {"ACTED_IN": 2, "DIRECTED": 2, "HAS_GENRE": 6, "PRODUCED_BY": 2, "HAS_KEYWORD": 2}  # actor 2 is no vertex
     path = graph.path_names(graph.shortest_path(edges, 1, 3), vertices.where("label = 'person'"), vertices.where("label = 'movie'")).first()
