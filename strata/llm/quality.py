@@ -26,9 +26,9 @@ SCALE = 256
 FLOORS = {"log_words": 0.75, "log_word_length": 0.25, "log_symbols": 0.4, "log_dup_lines": 1.0, "log_repeats": 1.0}
 NAMES = list(FLOORS)
 #: Floors that stand in only for a smaller spread: the largest value of each coordinate is beyond the cut-off alone.
-MINIMA = {"log_words": 0.5, "log_word_length": 0.05, "log_symbols": 0.2, "log_dup_lines": 0.75, "log_repeats": 0.75}
+MINIMA = {"log_words": 0.5, "log_word_length": 0.05, "log_symbols": 0.2, "log_dup_lines": 0.75, "log_repeats": 0.63}
 #: The share of clean rows that the cut-off may reject if they are normal.
-FALSE_REJECTIONS = 1e-4
+FALSE_REJECTIONS = 1e-6
 #: Concentration ends by itself, as the subsets are finite in number; beyond so many steps something is wrong.
 MOST_STEPS = 100
 
