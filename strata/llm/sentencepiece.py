@@ -31,9 +31,9 @@ WIDE = 62
 #: So many chunks are merged side by side: a block's columns stay in a core's cache.
 BLOCK = 8192
 #: A worker forgets chunks when it knows so many.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Characters that are encoded at a time, which bounds a worker's memory.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 NONE = np.int32(2**31 - 1)
 U = np.uint64
 
