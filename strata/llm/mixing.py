@@ -130,24 +130,35 @@ def mix(docs: DataFrame, shards: int = 64, seed: int = 7, most: int = 3, weights
         *[f"keep_{c}" for c in keep or []])
 
 
-def mixed_rows(docs: DataFrame, seed: int = 7, **options) -> DataFrame:
-    """The mix itself: the columns of ``docs``, a row for each copy taken, with mix_shard and mix_place in it.
+def mixed_rows(docs: DataFrame, seed: int = 7, copy_col: str | None = None, **options) -> DataFrame:
+    """The mix itself: the columns of ``docs``, a row for each copy taken, with mix_shard and mix_place in it, and the
+    number of the document's copy, from 0, as ``copy_col`` if that is asked for.
 
-    Columns of ``docs`` with these two names, or __copy, are left out for the operator's own. Rules for nulls and
+    Columns of ``docs`` with these names, or __copy, are left out for the operator's own. Rules for nulls and
     repeated rows are those of mix().
     """
-    columns = [c for c in docs.columns if c not in ("mix_shard", "mix_place", "__copy")]
+    columns = [c for c in docs.columns if c not in ("mix_shard", "mix_place", "__copy", copy_col)]
     planned = mix(docs, seed=seed, keep=columns, **options)
     id_col = options.get("id_col", "doc_id")
     taken = planned.select(*[F.col(f"keep_{c}").alias(c) for c in columns], F.posexplode("shards").alias("__copy", "mix_shard"))
-    return taken.withColumn("mix_place", F.xxhash64(F.lit(seed), "mix_shard", "__copy", id_col)).drop("__copy")
+    taken = taken.withColumn("mix_place", F.xxhash64(F.lit(seed), "mix_shard", "__copy", id_col))
+    return taken.withColumnRenamed("__copy", copy_col) if copy_col else taken.drop("__copy")
 
 
-def in_shards(mixed: DataFrame, parts: int = 1) -> DataFrame:
+def parts_for(docs: DataFrame, shards: int, text_col: str = "text", part_bytes: int = 256 << 20) -> int:
+    """In how many parts a shard of a mix of ``docs`` is about ``part_bytes`` large or less: a mix has about as many words as its documents."""
+    held = docs.agg(F.sum(F.octet_length(text_of(text_col)))).first()[0] or 0
+    return max(1, -(-held // (shards * part_bytes)))
+
+
+def in_shards(mixed: DataFrame, parts: int = 1, shards: int | None = None) -> DataFrame:
     """The rows of mixed_rows() dealt to their shards and shuffled there, by place. A shard that is too large for one
-    task takes several ``parts``, each shuffled.
+    task takes several ``parts``, each shuffled. With ``shards`` (their number) each part of each is a partition of its
+    own, in their order; else several may share one.
     """
-    return mixed.repartition("mix_shard", F.pmod("mix_place", F.lit(parts))).sortWithinPartitions("mix_shard", "mix_place")
+    part = F.pmod("mix_place", F.lit(parts)).cast("int")
+    dealt = mixed.repartitionById(shards * parts, F.col("mix_shard") * parts + part) if shards else mixed.repartition("mix_shard", part)
+    return dealt.sortWithinPartitions("mix_shard", "mix_place")
 
 
 def write_shards(docs: DataFrame, path: str, parts: int = 1, **options) -> None:

@@ -15,6 +15,7 @@ without a piece, and the piece mark itself when it stands in a text, become byte
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 from collections.abc import Iterator
@@ -51,7 +52,9 @@ def load_pieces(model_file: str) -> dict:
     special = [model.is_control(i) or model.is_unknown(i) or model.is_unused(i) for i in range(size)]
     if any(re.search(f"[^{MARK}]{MARK}|.\n|\n.", p) for p, s in zip(pieces, special, strict=True) if not s):
         raise ValueError("a piece reaches over a space or a line feed")
-    return {"pieces": pieces, "scores": [model.get_score(i) for i in range(size)], "special": special, "byte": [model.is_byte(i) for i in range(size)]}
+    scores, byte = [model.get_score(i) for i in range(size)], [model.is_byte(i) for i in range(size)]
+    return {"pieces": pieces, "scores": scores, "special": special, "byte": byte,
+        "digest": hashlib.sha256(repr((pieces, scores, special, byte)).encode("utf-8", "surrogatepass")).hexdigest()}
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -103,7 +106,7 @@ class Codec:
         self.rank = np.zeros(self.size, dtype=np.int32)
         self.rank[self.by_rank] = np.arange(self.size, dtype=np.int32)
         self.raw = [bytes([int(p[3:5], 16)]) if b else b"" if s else p.replace(MARK, " ").encode() for p, s, b in zip(vocabulary["pieces"],
-            vocabulary["special"], vocabulary["byte"], strict=True)]
+            vocabulary["special"], vocabulary["byte"], strict=True)] + ["\ufffd".encode()]
         self.raw_array = pa.array(self.raw, pa.binary())
         self.raw_len = np.array([len(x) for x in self.raw], dtype=np.int64)
         self.pairs = {}
@@ -314,20 +317,23 @@ class Codec:
         return out, np.bincount(text, weights=n, minlength=len(counts)).astype(np.int64)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
-        """UTF-8 of each text."""
+        """UTF-8 of each text; an id that is none becomes a replacement character."""
         if not len(ids):
             return [b""] * len(counts)
+        if len(odd := np.flatnonzero((ids < 0) | (ids >= self.size))):
+            ids = ids.copy()
+            ids[odd] = self.size  # the last of raw
         joined = b"".join(map(self.raw.__getitem__, ids.tolist())) if len(ids) < 1000 else self.raw_array.take(pa.array(ids)).buffers()[2].to_pybytes()
         ends = np.concatenate([[0], np.cumsum(self.raw_len[ids])])[np.concatenate([[0], np.cumsum(counts)])]
-        return [joined[a:b][1:] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        return [joined[a:b].removeprefix(b" ") for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
 _codecs: dict[tuple, Codec] = {}
 
 
 def codec(vocabulary: dict, *key) -> Codec:
-    """One per Python worker and setting."""
-    if (found := _codecs.get(own := (len(vocabulary["pieces"]), vocabulary["pieces"][-1], *key))) is None:
+    """One per Python worker, model and setting."""
+    if (found := _codecs.get(own := (vocabulary["digest"], *key))) is None:
         _codecs.clear()
         found = _codecs[own] = Codec(vocabulary, *key)
     return found
@@ -345,12 +351,13 @@ def slices(texts: list[str]) -> Iterator[slice]:
 
 
 def encode(docs: DataFrame, model_file: str, seed: int = 0, dropout: float = 0.1, id_col: str = "doc_id", text_col: str = "text",
-    copy_col: str | None = None) -> DataFrame:
-    """One row per row of ``docs``: the id, ids (pieces), n_tokens, lossless (the ids decode to the text).
+    copy_col: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``docs``: the id, ids (pieces), n_tokens, lossless (the ids decode to the text), and the columns in ``keep``.
 
     A null text is an empty one, whose ids are empty. The keyed hash is seeded and takes the document's id and the
-    position, so reruns agree and repeated rows get the same ids, unless ``copy_col`` tells them apart; a null id counts as 0. Texts are encoded whole,
-    whatever their length. Other columns are ignored.
+    position, so reruns agree and repeated rows get the same ids, unless ``copy_col`` tells them apart; a null id counts
+    as 0, and so does one that is no whole number (it is returned as null). Texts are encoded whole, whatever their
+    length. Rows stay in the order of ``docs``. Other columns are ignored.
     """
     vocabulary = load_pieces(model_file)
 
@@ -366,16 +373,22 @@ def encode(docs: DataFrame, model_file: str, seed: int = 0, dropout: float = 0.1
                 lossless = [b == t.encode("utf-8", "surrogatepass") for b, t in zip(back, some, strict=True)]
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.start, part.stop - part.start),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)), pa.array(counts), pa.array(lossless, pa.bool_())],
-                    names=["id", "ids", "n_tokens", "lossless"])
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)), pa.array(counts), pa.array(lossless, pa.bool_()),
+                    *(c.slice(part.start, part.stop - part.start) for c in batch.columns[3:])], names=["id", "ids", "n_tokens", "lossless", *kept])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-        F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("long"), F.lit(0)), *([copy_col] if copy_col else [])).alias("key"))
-    return rows.mapInArrow(work, "id long, ids array<int>, n_tokens long, lossless boolean").withColumnRenamed("id", id_col)
+    number, kept = F.col(id_col).try_cast("long"), [f"keep_{c}" for c in keep]
+    rows = docs.select(number.alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.xxhash64(F.lit(seed), F.coalesce(number, F.lit(0)), *([copy_col] if copy_col else [])).alias("key"),
+        *[F.col(c).alias(k) for c, k in zip(keep, kept, strict=True)])
+    types = "".join(f", {k} {docs.schema[c].dataType.simpleString()}" for c, k in zip(keep, kept, strict=True))
+    out = rows.mapInArrow(work, f"id long, ids array<int>, n_tokens long, lossless boolean{types}")
+    return out.withColumnsRenamed({"id": id_col, **dict(zip(kept, keep, strict=True))})
 
 
 def decode(encoded: DataFrame, model_file: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """The texts again: the id, text. Null or empty ids give an empty text."""
+    """The texts again: the id, text. Null or empty ids give an empty text; ids that are in no vocabulary, and bytes that
+    are no UTF-8, become replacement characters.
+    """
     vocabulary = load_pieces(model_file)
 
     def work(batches):
@@ -384,8 +397,8 @@ def decode(encoded: DataFrame, model_file: str, id_col: str = "doc_id", ids_col:
             lists = batch.column(1)
             counts = np.diff(np.asarray(lists.offsets))
             texts = own.decode(np.asarray(lists.flatten()), counts)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t.decode("utf-8", "surrogatepass") for t in texts], pa.string())],
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())],
                 names=["id", "text"])
 
-    rows = encoded.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
+    rows = encoded.select(F.col(id_col).try_cast("long").alias("id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
     return rows.mapInArrow(work, "id long, text string").withColumnRenamed("id", id_col)

@@ -45,6 +45,12 @@ def test_run(spark, tmp_path):
     for r in got:
         copies[r["doc_id"]] += 1
     assert max(copies.values()) <= 3
+    order = [(r["mix_shard"], r["mix_place"]) for r in got]
+    assert order == sorted(order) and len({s for s, _ in order}) > 1  # encoded shards in their drawn order
+    several = defaultdict(list)
+    for r in got:
+        several[r["doc_id"]].append(r["ids"])
+    assert any(a != b for a, b, *_ in (x for x in several.values() if len(x) > 1))
     names = sorted({row[3] for row in stay}, key=lambda s: (s is None, s or ""))
     own = [[row for row in stay if row[3] == name] for name in names]
     targets = mixing.source_targets([sum(words[row[0]] for row in mine) for mine in own])
@@ -55,8 +61,8 @@ def test_run(spark, tmp_path):
 def test_stages_keep_the_columns(spark, tmp_path):
     docs = spark.createDataFrame(corpus()[:80], SCHEMA)
     assert len(corpus_pipeline.STAGES) == 5
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs, "").columns == docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, "").columns == docs.columns + (["mix_shard", "mix_place", "mix_copy"] if name == "mixing" else [])
         assert stage(spark, docs.limit(0), "").count() == 0
 
 
@@ -82,4 +88,4 @@ def test_stages_take_nulls_repeats_and_other_columns(spark):
         else:
             assert len(got) == len(rows) and all(r["lossless"] for r in got)
         if name != "SentencePiece encoding":
-            assert out.columns == corpus_pipeline.COLUMNS
+            assert out.columns == corpus_pipeline.COLUMNS + (["mix_shard", "mix_place", "mix_copy"] if name == "mixing" else [])

@@ -141,3 +141,16 @@ def test_copies_differ(spark):
     docs = spark.createDataFrame([(1, "the international thing " * 20, k) for k in range(3)], "doc_id long, text string, place long")
     found = {tuple(r["ids"]) for r in sp.encode(docs, PIECES, dropout=0.2, copy_col="place").collect()}
     assert len(found) == 3
+
+
+def test_models_that_are_alike_have_their_own_codecs(vocabulary):
+    other = vocabulary | {"scores": [*vocabulary["scores"][:-1], 1.0], "digest": "another"}
+    assert sp.codec(vocabulary, 1) is sp.codec(vocabulary, 1) and sp.codec(vocabulary, 1) is not sp.codec(other, 1)
+
+
+def test_ids_of_no_vocabulary_and_odd_document_ids(spark):
+    back = sp.decode(spark.createDataFrame([("x", [-1, 10**6]), ("2", None), (None, [])], "doc_id string, ids array<int>"), PIECES)
+    assert sorted((str(r["doc_id"]), r["text"]) for r in back.collect()) == [("2", ""), ("None", ""), ("None", "\ufffd\ufffd")]
+    docs = spark.createDataFrame([("x", "a b", 1), ("7", "a b", 2)], "doc_id string, text string, n int")
+    got = sp.encode(docs, PIECES, keep=("n",)).collect()
+    assert [(r["doc_id"], r["lossless"], r["n"]) for r in got] == [(None, True, 1), (7, True, 2)]
