@@ -1,7 +1,8 @@
 """The corpus pipeline: quality rules, exact dedup, near-duplicate join, mixing, SentencePiece encoding.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the
-next stage's docs. All but the last return the columns of documents; columns of other names are left out.
+next stage's docs. All but the last return the columns of documents, to which the mix adds a row's place in its shards;
+columns of other names are left out.
 
 Null and empty texts fail the quality rules, so none comes further; the stages by themselves take them as empty. Null
 languages and sources are groups of their own. Rows that repeat an id and its text share a verdict, and the exact
@@ -22,6 +23,9 @@ from strata.llm.queries import PIECES
 from strata.sources import lake
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Shards of the mix, and where a row stands in them.
+SHARDS = 64
+PLACE = ("mix_shard", "mix_place")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,17 +44,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, up to three times each, written by shard in its shuffled order."""
-    return mixing.in_shards(mixing.mixed_rows(docs.select(*COLUMNS))).select(*COLUMNS)
+    """Documents as often as the mix takes them, up to three times each, shard by shard in the order drawn there.
 
+    mix_shard, mix_place and mix_copy (the document's copies are numbered from 0) say where the mix has put a row.
+    """
+    rows = mixing.mixed_rows(docs.select(*COLUMNS), shards=SHARDS, copy_col="mix_copy")
+    return mixing.in_shards(rows, mixing.parts_for(docs, SHARDS), SHARDS).select(*COLUMNS, *PLACE, "mix_copy")
 
-def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids, n_tokens, lossless of every document of the mix; copies of a document are numbered and differ.
 
-    Copies are alike in all they show, so whichever gets which number, the result is the same.
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids, n_tokens, lossless of every document of the mix, and its shard and place, in that order; a document's
+    copies are encoded apart. Documents that no mix has placed are numbered here and stay where they are.
     """
+    options = {"seed": 2024, "dropout": 0.1, "copy_col": "mix_copy"}
+    if {*PLACE, "mix_copy"} <= {*docs.columns}:
+        encoded = sentencepiece.encode(docs, PIECES, keep=PLACE, **options)
+        return mixing.in_shards(encoded, mixing.parts_for(docs, SHARDS), SHARDS)
     copies = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
-    return sentencepiece.encode(docs.withColumn("copy", F.row_number().over(copies)), PIECES, seed=2024, dropout=0.1, copy_col="copy")
+    return sentencepiece.encode(docs.withColumn("mix_copy", F.row_number().over(copies) - 1), PIECES, **options)
 
 
 STAGES = [
