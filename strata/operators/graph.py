@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.session import checkpointed
+from strata.sources import upserts
+from strata.sources.raw import exists
 
 CREDITS = ["ACTED_IN", "DIRECTED"]
 FEATURES = ["ACTED_IN", "HAS_GENRE", "HAS_KEYWORD"]
@@ -29,14 +31,43 @@ def merged_vertices(vertices: DataFrame) -> DataFrame:
 
 
 def merge(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """existing with incoming upserted by its keys: one row a key, incoming's values where it has one. Merging the same
-    again changes nothing.
+    """existing with incoming upserted by its keys (null is a key): one row a key, incoming's values where it has one, of
+    several the greatest. Merging the same again changes nothing. ``save`` does this on disk.
     """
-    new = incoming.dropDuplicates(keys)
-    same = F.lit(True)
-    for k in keys:
-        same = same & (existing[k] == new[k])
-    return existing.join(new, same, "left_anti").unionByName(new.select(*existing.columns))
+    return upserts.merged(existing, incoming, keys)
+
+
+VERTEX_KEYS, EDGE_KEYS = ["label", "id"], ["from_id", "to_id", "type"]
+
+
+def violations(vertices: DataFrame) -> DataFrame:
+    """What breaks the constraint that a label's ids are there and unique: label, id, n."""
+    rows = vertices.groupBy(*VERTEX_KEYS).agg(F.count(F.lit(1)).alias("n"))
+    return rows.where("n > 1 or id is null or label is null")
+
+
+def save(vertices: DataFrame, edges: DataFrame, path: str, buckets: int = 64) -> dict[str, int]:
+    """Upserts a graph into the tables below ``path``, vertices first; returns how many buckets of each were written.
+
+    Vertices without a label or an id are refused. An edge needs both ends among the vertices as they are then.
+    """
+    spark = vertices.sparkSession
+    if not vertices.where("id is null or label is null").isEmpty():
+        raise ValueError("a vertex has no label or no id")
+    written = {}
+    for name, rows, keys in (("vertices", vertices, VERTEX_KEYS), ("edges", edges, EDGE_KEYS)):
+        home = f"{path}/{name}"
+        if not exists(spark, f"{home}/_table*"):
+            upserts.create(rows.limit(0), home, keys, buckets)
+        if name == "edges":
+            rows = checked_edges(rows, upserts.read(spark, f"{path}/vertices"))
+        written[name] = len(upserts.upsert(rows, home))
+    return written
+
+
+def load(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The vertices and edges of a saved graph."""
+    return tuple(upserts.read(spark, f"{path}/{name}") for name in ("vertices", "edges"))
 
 
 #: What the modelled tables say: edge type, table, its two columns, and the labels of their ends.

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import date_windows
@@ -30,19 +31,24 @@ def full_load(ids: DataFrame, details: DataFrame, path: str, most_failed: float
     """Writes the raw records of ``ids`` (id) from ``details`` (entity_id, payload, ...) as gzipped lines.
 
     An id without details is missing, one whose payload is no JSON object with this id has failed. Counts come with
-    the write. Raises RuntimeError, with nothing left written, if too many have failed.
+    the write. The records go to a stage beside ``path`` and are moved in once the counts are good: if too many have
+    failed, RuntimeError is raised and ``path`` is as it was, with all that earlier loads have left there.
     """
+    spark, stage = ids.sparkSession, f"{path.rstrip('/').rpartition('/')[0]}/_load-{uuid.uuid4().hex}"
     rows = ids.select(F.col("id").alias("wanted_id")).distinct().join(details, F.col("wanted_id") == F.col("entity_id"), "left")
     own = F.try_variant_get(F.try_parse_json("payload"), "$.id", "bigint")
     rows = rows.withColumn("state", F.when(F.col("entity_id").isNull(), "missing").when(own.eqNullSafe(F.col("wanted_id")), "loaded").otherwise("failed"))
     seen = Observation()
     counts = [F.count(F.lit(1)).alias("wanted"), *[F.count_if(F.col("state") == s).alias(s) for s in ("loaded", "missing", "failed")]]
-    lake.write_ndjson(rows.observe(seen, *counts).where("state = 'loaded'").select(*details.columns), path)
-    result = Result(**seen.get)
-    if not result.passes(most_failed):
-        lake.delete(ids.sparkSession, path)
-        raise RuntimeError(f"{result.failed} of {result.wanted} records failed")
-    return result
+    try:
+        lake.write_ndjson(rows.observe(seen, *counts).where("state = 'loaded'").select(*details.columns), stage)
+        result = Result(**seen.get)
+        if not result.passes(most_failed):
+            raise RuntimeError(f"{result.failed} of {result.wanted} records failed")
+        lake.move_in(spark, stage, path)
+        return result
+    finally:
+        lake.delete(spark, stage)
 
 
 def incremental(spark: SparkSession, state_path: str, entity: str, today: str, load: Callable[[str, str], None], start: str,
@@ -68,15 +74,7 @@ def changes_between(changes: DataFrame, start: str, end: str, adult: bool = Fals
 
 def ranked_pages(pages: DataFrame, keys: list[str], page: str = "page", results: str = "results") -> DataFrame:
     """Every result with its rank from 1 across the pages of its list: what the pages before hold, and its own place."""
-    sizes = pages.select(*[F.col(k).alias(f"s_{k}") for k in keys], F.col(page).alias("s_page"), F.coalesce(F.size(results), F.lit(0)).alias("n"))
-    earlier = pages.join(sizes, _same(keys) & (F.col("s_page") < F.col(page)), "left").groupBy(*keys,
-        page).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("before"))
-    rows = pages.select(*keys, page, F.posexplode(results).alias("at", "result"))
-    return rows.join(earlier, [*keys, page]).select(*keys, (F.col("before") + F.col("at") + 1).cast("int").alias("rank"), "result.*")
-
-
-def _same(keys: list[str]) -> Column:
-    on = F.lit(True)
-    for k in keys:
-        on = on & (F.col(k) == F.col(f"s_{k}"))
-    return on
+    order = Window.partitionBy(*keys).orderBy(page).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.coalesce(F.size(results), F.lit(0))).over(order), F.lit(0))
+    rows = pages.select(*keys, page, results, before.alias("before")).select(*keys, "before", F.posexplode(results).alias("at", "result"))
+    return rows.select(*keys, (F.col("before") + F.col("at") + 1).cast("int").alias("rank"), "result.*")

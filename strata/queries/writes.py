@@ -83,14 +83,8 @@ def source_raw_partition(spark, t) -> DataFrame:
     base = scratch(spark, "raw")
     rows = R.raw_movies(t)
     path = f"{base}/raw/movie/dt={R.DT}"
-    lake.write_ndjson(rows.unionByName(rows.limit(1).withColumn("entity_id", F.lit(None).cast("bigint"))), path, bytes_per_file=1 << 26)
-    for_reader = f"{base}/again/raw/movie/dt={R.DT}"
-    fs, where = lake._fs(spark, path)
-    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(for_reader)
-    fs.mkdirs(to)
-    for k, status in enumerate(fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/*.json.gz"))):
-        fs.rename(status.getPath(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{for_reader}/{k}.ndjson.gz"))
-    return raw.read_partition(spark, f"{base}/again", "movie", R.DT).select("entity_id", "ingest_time", "entity_type")
+    lake.write_ndjson(rows.unionByName(rows.limit(1).withColumn("entity_id", F.lit(None).cast("bigint"))), path, bytes_per_file=1 << 16)
+    return raw.read_partition(spark, base, "movie", R.DT).select("entity_id", "ingest_time", "entity_type")
 
 
 @query("SELECT 0 AS \"rows\", 'schema_version,entity_type,entity_id,dt,ingest_time,source,payload' AS columns")

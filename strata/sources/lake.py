@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources import rolling
 from strata.sources.raw import exists
 
 
@@ -84,12 +85,23 @@ def checked(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*columns)
 
 
-def write_ndjson(df: DataFrame, path: str, records_per_file: int = 200_000, bytes_per_file: int | None = None, record_bytes: int = 1024) -> None:
-    """Adds gzipped lines of JSON in files of at most ``records_per_file`` records, and of about ``bytes_per_file``
-    before compression where that is given, at ``record_bytes`` a record.
+def write_ndjson(df: DataFrame, path: str, records_per_file: int = rolling.LINES, bytes_per_file: int = rolling.BYTES) -> None:
+    """Adds gzipped lines of JSON, in files that ``raw.read_partition`` reads: at most so many records, and about so
+    many bytes before compression, each.
     """
-    most = min(records_per_file, max(1, bytes_per_file // record_bytes)) if bytes_per_file else records_per_file
-    df.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", most).json(path)
+    rolling.write_records(df, path, records_per_file, bytes_per_file)
+
+
+def move_in(spark: SparkSession, stage: str, path: str, pattern: str = f"*{rolling.SUFFIX}") -> int:
+    """Moves the files of a stage into a folder, beside what it has; returns how many. The stage goes."""
+    fs, target = _fs(spark, path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(target)
+    found = [status.getPath() for status in fs.globStatus(hadoop(f"{stage}/{pattern}")) or ()]
+    for file in found:
+        _move(fs, file, hadoop(target, file.getName()))
+    delete(spark, stage)
+    return len(found)
 
 
 def compact(spark: SparkSession, path: str, target_bytes: int = 128 << 20) -> int:
