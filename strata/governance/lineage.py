@@ -5,29 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import checkpointed
+
 
 def direct(edges: DataFrame, table: str, down: bool = True) -> DataFrame:
     a, b = ("source", "target") if down else ("target", "source")
     return edges.where(F.col(a) == table).select(F.col(b).alias("table")).distinct()
 
 
-def reachable(edges: DataFrame, table: str, down: bool = True, most_steps: int = 32) -> DataFrame:
+def reachable(edges: DataFrame, table: str, down: bool = True) -> DataFrame:
     """Tables that are reached from one, with the fewest steps. The table itself is among them only on a cycle.
 
-    The declared edges of a catalogue are metadata, a few rows a table; they come to the driver in one job and the
-    search is done there, at most ``most_steps`` deep.
+    The edges are written once; each step joins what was new in the last one with them and leaves out what is known,
+    so cycles end and a search is as deep as its longest way. Nothing but the question whether a step found anything
+    comes to the driver.
     """
     a, b = ("source", "target") if down else ("target", "source")
-    steps = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).distinct().collect()  # a catalogue's edges are few
-    on: dict[str, list[str]] = {}
-    for row in steps:
-        on.setdefault(row["u"], []).append(row["v"])
-    found, front, n = {}, [table], 0
-    while front and n < most_steps:
+    links = checkpointed(edges.select(F.col(a).cast("string").alias("u"), F.col(b).cast("string").alias("table")).where("table is not null").distinct())
+    front = links.sparkSession.createDataFrame([(table,)], "u string")
+    found, n = links.limit(0).select("table", F.lit(0).alias("steps")), 0
+    while True:
         n += 1
-        front = list(dict.fromkeys(v for u in front for v in on.get(u, []) if v not in found))
-        found |= dict.fromkeys(front, n)
-    return edges.sparkSession.createDataFrame(sorted(found.items()), "table string, steps int")
+        new = links.join(front, "u", "left_semi").select("table").distinct().join(found, "table", "left_anti")
+        new = checkpointed(new.withColumn("steps", F.lit(n)))
+        if new.isEmpty():
+            return found
+        found, front = found.unionByName(new), new.select(F.col("table").alias("u"))
 
 
 def tables(edges: DataFrame) -> DataFrame:

@@ -6,14 +6,14 @@ that are ranked break ties by id.
 
 from __future__ import annotations
 
+import math
 from decimal import Decimal, InvalidOperation
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.session import checkpointed
-from strata.sources import upserts
-from strata.sources.raw import exists
+from strata.sources import lake, upserts
 
 CREDITS = ["ACTED_IN", "DIRECTED"]
 FEATURES = ["ACTED_IN", "HAS_GENRE", "HAS_KEYWORD"]
@@ -57,7 +57,7 @@ def save(vertices: DataFrame, edges: DataFrame, path: str, buckets: int = 64) ->
     written = {}
     for name, rows, keys in (("vertices", vertices, VERTEX_KEYS), ("edges", edges, EDGE_KEYS)):
         home = f"{path}/{name}"
-        if not exists(spark, f"{home}/_table*"):
+        if not lake.load_state(spark, f"{home}/_table"):
             upserts.create(rows.limit(0), home, keys, buckets)
         if name == "edges":
             rows = checked_edges(rows, upserts.read(spark, f"{path}/vertices"))
@@ -138,11 +138,46 @@ def degree(edges: DataFrame, limit: int | None = None) -> DataFrame:
     return ranked(of(edges, CREDITS).groupBy(F.col("from_id").alias("person_id")).agg(F.count_distinct("to_id").alias("degree")), "degree", limit, "person_id")
 
 
-def coactors(edges: DataFrame, limit: int | None = None) -> DataFrame:
-    """Pairs of actors a < b with their distinct shared movies."""
-    acted = of(edges, "ACTED_IN").select("from_id", "to_id").distinct()
-    pairs = acted.select(F.col("from_id").alias("a_id"), "to_id").join(acted.select(F.col("from_id").alias("b_id"), "to_id"), "to_id").where("a_id < b_id")
-    return ranked(pairs.groupBy("a_id", "b_id").agg(F.count(F.lit(1)).alias("shared")), "shared", limit, "a_id", "b_id")
+#: A movie with more actors is heavy: its pairs are dealt in blocks of about so many actors by as many.
+HEAVY, BLOCK = 1024, 512
+
+
+def _pairs_within(rows: DataFrame, heavy: int, block: int) -> DataFrame:
+    """a_id < b_id, once for each movie (rows: from_id, to_id, distinct) that has both.
+
+    Light movies pair their actors where they meet. A heavy one's actors go to blocks, and each pair of blocks is a key
+    of its own, so none of its tasks has more than one block by another.
+    """
+    sizes = checkpointed(rows.groupBy("to_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > heavy))
+    oriented = lambda both: both.select(F.least("x", "y").alias("a_id"), F.greatest("x", "y").alias("b_id"))
+    light = rows.join(sizes, "to_id", "left_anti")
+    pairs = oriented(light.select("to_id", F.col("from_id").alias("x")).join(light.select("to_id", F.col("from_id").alias("y")), "to_id").where("x < y"))
+    if sizes.isEmpty():
+        return pairs
+    dealt = rows.join(sizes, "to_id").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("from_id"), F.col("blocks")).cast("int"))
+    left = dealt.select("to_id", F.col("from_id").alias("x"), F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"))
+    right = dealt.select("to_id", F.col("from_id").alias("y"), F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"))
+    met = left.join(right, ["to_id", "i", "j"]).where((F.col("i") < F.col("j")) | (F.col("x") < F.col("y")))
+    return pairs.unionByName(oriented(met))
+
+
+def coactors(edges: DataFrame, limit: int | None = None, heavy: int = HEAVY, block: int = BLOCK) -> DataFrame:
+    """Pairs of actors a < b with their distinct shared movies.
+
+    With a limit, the pairs among the persons of most movies say how many shared movies a pair has to have at least to
+    be among the first; two persons share no more movies than either has, so others are left out before they pair.
+    """
+    acted = checkpointed(of(edges, "ACTED_IN").select("from_id", "to_id").distinct())
+    shared = lambda rows: _pairs_within(rows, heavy, block).groupBy("a_id", "b_id").agg(F.count(F.lit(1)).alias("shared"))
+    if limit:
+        degrees = acted.groupBy("from_id").agg(F.count(F.lit(1)).alias("n"))
+        few = degrees.orderBy(F.desc("n"), "from_id").limit(2 + math.isqrt(2 * limit) * 2)
+        among = ranked(shared(acted.join(few.select("from_id"), "from_id", "left_semi")), "shared", limit, "a_id", "b_id")
+        told = among.agg(F.count(F.lit(1)).alias("n"), F.min("shared").alias("least")).first()
+        if told["n"] == limit and told["least"] > 1:
+            acted = acted.join(degrees.where(F.col("n") >= told["least"]).select("from_id"), "from_id", "left_semi")
+    return ranked(shared(acted), "shared", limit, "a_id", "b_id")
 
 
 def director_actor(edges: DataFrame, limit: int | None = None) -> DataFrame:

@@ -47,11 +47,32 @@ def chain(versions: DataFrame, key: str) -> DataFrame:
     return versions.orderBy(key, "valid_from")
 
 
-def as_of(facts: DataFrame, versions: DataFrame, key: str, at: str, closed: bool = False) -> DataFrame:
+#: Keys with more versions meet their facts in buckets of time, of about so many versions each.
+HOT_VERSIONS, BUCKET_VERSIONS = 1024, 256
+
+
+def _time_bucket(at: Column) -> Column:
+    """The place of a time in its key's buckets; 0 for keys that have none. Times beyond the last start are in the last bucket."""
+    place = F.floor((F.unix_micros(at.cast("timestamp")) - F.col("__low")) / F.col("__width"))
+    return F.coalesce(F.least(F.greatest(place, F.lit(0)), F.col("__buckets") - 1), F.lit(0)).cast("int")
+
+
+def as_of(facts: DataFrame, versions: DataFrame, key: str, at: str, closed: bool = False, hot: int = HOT_VERSIONS, per_bucket: int = BUCKET_VERSIONS) -> DataFrame:
     """facts with the version that was valid at their time; half open, or closed at both ends.
 
-    The join is by key; the range is checked on its matches. The versions' clashing columns are dropped.
+    The join is by key; the range is checked on its matches. Keys with more than ``hot`` versions are cut in buckets of
+    time: a version lies in each bucket that it reaches, a fact in one, and these meet, so that such a key is many
+    tasks' work, and a fact looks at about ``per_bucket`` versions. The versions' clashing columns are dropped.
     """
     v = versions.select(F.col(key).alias("__key"), *[c for c in versions.columns if c not in facts.columns])
+    start = F.unix_micros(F.col("valid_from").cast("timestamp"))
+    sizes = v.groupBy("__key").agg(F.count(F.lit(1)).alias("n"), F.min(start).alias("__low"), F.max(start).alias("high")).where(F.col("n") > hot)
+    buckets = F.ceil(F.col("n") / per_bucket)
+    sizes = sizes.select("__key", "__low", buckets.alias("__buckets"), F.greatest((F.col("high") - F.col("__low")) / buckets, F.lit(1.0)).alias("__width"))
+    reach = F.sequence(_time_bucket(F.col("valid_from")), F.greatest(_time_bucket(F.col("valid_to")), _time_bucket(F.col("valid_from"))))
+    v = v.join(sizes, "__key", "left").withColumn("__bucket", F.explode(reach)).drop("__low", "__buckets", "__width")
+    own = facts.join(sizes.withColumnRenamed("__key", "__hot"), facts[key] == F.col("__hot"), "left")
+    own = own.withColumn("__at", _time_bucket(F.col(at))).drop("__hot", "__low", "__buckets", "__width")
     end = F.col(at) <= F.col("valid_to") if closed else F.col(at) < F.col("valid_to")
-    return facts.join(v, (facts[key] == v["__key"]) & (F.col(at) >= F.col("valid_from")) & end).drop("__key")
+    on = (own[key] == v["__key"]) & (F.col("__at") == F.col("__bucket")) & (F.col(at) >= F.col("valid_from")) & end
+    return own.join(v, on).drop("__key", "__at", "__bucket")

@@ -77,35 +77,47 @@ def dq_report(spark, t) -> DataFrame:
     return quality.measure(spark, tables(t), RULES, TODAY).drop("error")
 
 
-#: A catalogue's edges, with a cycle.
-EDGES = [("ods_movie", "dim_movie"), ("ods_movie", "fact_credit"), ("ods_person", "dim_person"), ("dim_movie", "dws_metric"), ("fact_credit", "dws_metric"),
-    ("fact_credit", "dws_career"), ("dim_person", "dws_career"), ("dws_metric", "ads_top"), ("dws_career", "ads_influence"), ("ads_top", "dws_feedback"),
-    ("dws_feedback", "dws_metric")]
-EDGE_SQL = "edges(source, target) AS (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in EDGES) + ")"
+#: What follows what: orders, customers, nations, regions; and some nations follow their region, which makes cycles.
+EDGE_SQL = """edges(source, target) AS (
+  SELECT 'o' || o_orderkey, 'c' || o_custkey FROM orders UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer
+  UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation UNION ALL SELECT 'r' || n_regionkey, 'n' || n_nationkey FROM nation WHERE n_nationkey % 3 = 0)"""
 
 
 def closure(start: str, a: str, b: str) -> str:
     return f"WITH RECURSIVE {EDGE_SQL}, r(tbl, steps) AS (SELECT {b}, 1 FROM edges WHERE {a} = '{start}' UNION SELECT {b}, steps + 1 FROM r JOIN edges ON {a} = tbl WHERE steps < 12) SELECT tbl AS \"table\", min(steps)::INT AS steps FROM r GROUP BY 1"
 
 
-def edges(spark) -> DataFrame:
-    return spark.createDataFrame(EDGES, "source string, target string")
+def edges(t) -> DataFrame:
+    pair = lambda rows, a, b, x, y: rows.select(F.concat(F.lit(a), x).alias("source"), F.concat(F.lit(b), y).alias("target"))
+    rows = pair(t.orders, "o", "c", "o_orderkey", "o_custkey").unionByName(pair(t.customer, "c", "n", "c_custkey", "c_nationkey"))
+    rows = rows.unionByName(pair(t.nation, "n", "r", "n_nationkey", "n_regionkey"))
+    return rows.unionByName(pair(t.nation.where("n_nationkey % 3 = 0"), "r", "n", "n_regionkey", "n_nationkey"))
 
 
-@query(closure("ods_movie", "source", "target"))
+@query(closure("o1", "source", "target"))
 def lineage_downstream(spark, t) -> DataFrame:
-    return lineage.reachable(edges(spark), "ods_movie")
+    return lineage.reachable(edges(t), "o1")
 
 
-@query(closure("dws_metric", "target", "source"))
+@query(closure("n3", "target", "source"))
 def lineage_upstream(spark, t) -> DataFrame:
-    """From a table on a cycle, which reaches itself."""
-    return lineage.reachable(edges(spark), "dws_metric", down=False)
+    """From a nation on a cycle, which reaches itself."""
+    return lineage.reachable(edges(t), "n3", down=False)
 
 
 @query("WITH " + EDGE_SQL + ' SELECT source AS "table" FROM edges UNION SELECT target FROM edges')
 def lineage_tables(spark, t) -> DataFrame:
-    return lineage.tables(edges(spark))
+    return lineage.tables(edges(t))
+
+
+@query("""SELECT 'c' || c_custkey AS source, 'n' || c_nationkey AS target, f AS source_column, g AS target_column, 'DECLARED' AS origin
+FROM (SELECT c_custkey, c_nationkey, unnest(CASE WHEN c_custkey % 3 = 0 THEN [NULL] WHEN c_custkey % 3 = 1 THEN ['c_name'] ELSE ['c_name', 'c_acctbal'] END) AS f,
+  unnest(CASE WHEN c_custkey % 3 = 0 THEN [NULL] WHEN c_custkey % 3 = 1 THEN ['n_name'] ELSE ['n_name', 'n_total'] END) AS g FROM customer)""")
+def lineage_columns(spark, t) -> DataFrame:
+    """Declared pairs of columns; an edge without any has one row."""
+    k, pair = F.col("c_custkey") % 3, lambda a, b: F.struct(F.lit(a).alias("from"), F.lit(b).alias("to"))
+    columns = F.when(k == 1, F.array(pair("c_name", "n_name"))).when(k == 2, F.array(pair("c_name", "n_name"), pair("c_acctbal", "n_total")))
+    return lineage.column_rows(t.customer.select(F.concat(F.lit("c"), "c_custkey").alias("source"), F.concat(F.lit("n"), "c_nationkey").alias("target"), columns.alias("columns")))
 
 
 POLICIES = [("click", 60, 300), ("view", 10, 340), ("purchase", 400, 900)]

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.queries import views as V
 from strata.queries.batch import no_zone
 from strata.queries.registry import query
 from strata.session import shared_folder
-from strata.streaming import codec, sinks, stateful, trend
+from strata.streaming import codec, metrics, sinks, stateful, tiers, trend
 
 WINDOWS = "w AS (SELECT time_bucket(INTERVAL '{0}', event_time) AS window_start, event_type, count(*) AS samples, sum(popularity)::BIGINT AS total, max(popularity) AS most, round(sum(popularity) / count(*), 6) AS average FROM observed GROUP BY 1, 2)"
 HOURS = f"WITH {V.OBSERVED}, " + WINDOWS.format("1 hour")
@@ -48,44 +48,6 @@ def alert_rollup(spark, t) -> DataFrame:
     return no_zone(rolled(rows, "window_start", ["event_type"], "ratio"))
 
 
-LET_IN = f"""WITH {V.OBSERVED}, m AS (SELECT *, max(event_time) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM observed)
-SELECT event_id, event_type FROM m WHERE seen IS NULL OR time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes' > seen - INTERVAL '1 minute'"""
-
-
-@query(LET_IN)
-def late_data_filter(spark, t) -> DataFrame:
-    """Events that a watermark of a minute, moved by every row, lets in if rows arrive by id: their window has not
-    closed. A stream moves its watermark between batches; ``stream_late_rows`` is one.
-    """
-    return let_in(V.observed(t))
-
-
-@query(LET_IN)
-def late_data_filter_all(spark, t) -> DataFrame:
-    return let_in(V.observed(t))
-
-
-def let_in(rows: DataFrame) -> DataFrame:
-    rows = seen_before(rows).withColumn("end", F.window("event_time", "5 minutes").end)
-    return rows.where(F.col("seen").isNull() | (F.col("end") > F.col("seen") - F.expr("interval 1 minute"))).select("event_id", "event_type")
-
-
-def seen_before(rows: DataFrame, ranges: int = 64) -> DataFrame:
-    """Adds seen, the greatest event_time of the rows with smaller ids: of the ranges before, and inside the row's own.
-
-    Ranges of ids hold about as many rows each; all that meets in one place is a maximum a range.
-    """
-    bounds = rows.agg(F.percentile_approx("event_id", [k / ranges for k in range(1, ranges)], 10_000)).first()[0] or []
-    at = sum((F.coalesce(F.col("event_id") > b, F.lit(False)).cast("int") for b in sorted(set(bounds))), F.lit(0))
-    rows = rows.withColumn("range", at)
-    tops = rows.groupBy("range").agg(F.max("event_time").alias("top"))
-    later = tops.select(F.col("range").alias("own")).join(F.broadcast(tops), F.col("range") < F.col("own"))
-    earlier = later.groupBy("own").agg(F.max("top").alias("earlier"))
-    inside = F.max("event_time").over(Window.partitionBy("range").orderBy("event_id").rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("inside", inside).join(F.broadcast(earlier), F.col("range") == F.col("own"), "left")
-    return rows.withColumn("seen", F.greatest("earlier", "inside")).drop("range", "own", "earlier", "inside")
-
-
 def envelopes(t) -> DataFrame:
     """events as messages on the wire, some of them broken, in either naming."""
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
@@ -109,28 +71,44 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/stream-{uuid.uuid4()}"
 
 
-def stream_of(spark, t) -> DataFrame:
-    schema = t.events.schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t._dir)
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session of its own for a stream's settings, which other queries don't see."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    own.conf.set("spark.sql.shuffle.partitions", "4")
+    return own
+
+
+def observed_stream(rows: DataFrame) -> DataFrame:
     return rows.select("event_id", F.col("ts").cast("timestamp").alias("event_time"), "user_id", "event_type", V.cents("value").alias("popularity"))
 
 
-def available_now(spark, stream: DataFrame, empty_batches: bool = True) -> DataFrame:
+def stream_of(spark, t) -> DataFrame:
+    reader = own_session(spark).readStream.schema(t.events.schema)
+    return observed_stream(reader.option("pathGlobFilter", "events.parquet").parquet(t._dir))
+
+
+def in_files(spark, parts: list[DataFrame], folder: str) -> DataFrame:
+    """A stream of the parts, one after the other, a file a batch."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for k, rows in enumerate(parts):
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/{k}")
+        fs = hadoop(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for file in fs.globStatus(hadoop(f"{folder}/{k}/*.parquet")):  # files go by their times
+            fs.setTimes(file.getPath(), 1_700_000_000_000 + 60_000 * k, -1)
+    reader = own_session(spark).readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
+    return reader.option("pathGlobFilter", "*.parquet").parquet(folder)
+
+
+def available_now(spark, stream: DataFrame, empty_batches: bool = True, base: str | None = None) -> DataFrame:
     """What the stream gives for the data that is there.
 
     State that expires by the clock asks for another empty batch after each one, so such a stream would never end.
     """
-    base = scratch(spark)
-    conf = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        "spark.sql.shuffle.partitions": "4", "spark.sql.streaming.noDataMicroBatches.enabled": str(empty_batches).lower()}
-    before = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        sinks.run_available(stream, f"{base}/checkpoint", f"{base}/out").awaitTermination()
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    base = base or scratch(spark)
+    stream.sparkSession.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(empty_batches).lower())
+    sinks.run_available(stream, f"{base}/checkpoint", f"{base}/out").awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/out").select(*stream.columns)
 
 
@@ -164,20 +142,97 @@ def stream_surge_available_now(spark, t) -> DataFrame:
 LATE = "2024-01-15 00:00:00"
 
 
-@query(HOURS.replace("FROM events)", f"FROM events WHERE ts >= TIMESTAMP '{LATE}')") + " SELECT window_start, event_type, samples, total, most, average FROM w" + CLOSED)
+def three_batches(t) -> list[DataFrame]:
+    late, even = F.col("ts") < F.lit(LATE).cast("timestamp_ntz"), F.col("event_id") % 2 == 0
+    return [t.events.where(~late & even), t.events.where(~late & ~even), t.events.where(late)]
+
+
+@query(HOURS.replace("FROM events)", f"FROM events WHERE ts >= TIMESTAMP '{LATE}')") + f", n AS (SELECT count(*) AS late_rows FROM events WHERE ts < TIMESTAMP '{LATE}') SELECT window_start, event_type, samples, total, most, average, late_rows, late_rows > 0 AS reported FROM w, n" + CLOSED)
 def stream_late_rows(spark, t) -> DataFrame:
-    """Three batches: what the last brings is late, and its rows are dropped; windows show what came in time."""
-    folder = f"{scratch(spark)}/late"
-    late = F.col("ts") < F.lit(LATE).cast("timestamp_ntz")
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    even = F.col("event_id") % 2 == 0
-    for k, rows in enumerate((t.events.where(~late & even), t.events.where(~late & ~even), t.events.where(late))):
-        rows.coalesce(1).write.mode("append").parquet(f"{folder}/{k}")
-        fs = hadoop(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for file in fs.globStatus(hadoop(f"{folder}/{k}/*.parquet")):  # files go by their times
-            fs.setTimes(file.getPath(), 1_700_000_000_000 + 60_000 * k, -1)
-    stream = spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").option("pathGlobFilter",
-        "*.parquet").parquet(folder)
-    rows = stream.select("event_id", F.col("ts").cast("timestamp").alias("event_time"), "user_id", "event_type", V.cents("value").alias("popularity"))
-    rows = trend.windowed(rows, keys=("event_type",), width="1 hour", watermark="1 minute").withColumn("average", F.round("average", 6))
-    return no_zone(available_now(spark, rows).drop("window_end"))
+    """Three batches: what the last brings is late, and its rows are dropped; windows show what came in time. The rows
+    dropped are those that are in no closed window and in none that the state still holds; the listener has reported
+    (combined) rows that came too late if there are any.
+    """
+    base, seen = scratch(spark), metrics.StreamMetrics()
+    stream = observed_stream(in_files(spark, three_batches(t), f"{base}/in"))
+    rows = trend.windowed(stream, keys=("event_type",), width="1 hour", watermark="1 minute").withColumn("average", F.round("average", 6))
+    own = stream.sparkSession
+    own.streams.addListener(seen)
+    closed = available_now(spark, rows, base=base)
+    own.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    own.streams.removeListener(seen)
+    seen.flush(spark, f"{base}/metrics")
+    came, late = spark.read.parquet(f"{base}/metrics").agg(F.sum("input_rows"), F.sum("late")).first()
+    kept = closed.agg(F.sum("samples")).first()[0] + (metrics.last_state(spark, f"{base}/checkpoint").agg(F.sum("value.count")).first()[0] or 0)
+    return no_zone(closed.drop("window_end").withColumns({"late_rows": F.lit(came - kept).cast("bigint"), "reported": F.lit(late > 0)}))
+
+
+def let_in(spark, t) -> DataFrame:
+    """event_id, event_type of the rows of ``three_batches`` that a stream with a watermark of a minute takes."""
+    stream = observed_stream(in_files(spark, three_batches(t), f"{scratch(spark)}/in"))
+    rows = stream.withWatermark("event_time", "1 minute").dropDuplicatesWithinWatermark(["event_id"])
+    return available_now(spark, rows.select("event_id", "event_type"))
+
+
+@query(f"SELECT event_id, event_type FROM events WHERE ts >= TIMESTAMP '{LATE}'")
+def late_data_filter(spark, t) -> DataFrame:
+    """The rows that come in time; the watermark drops the others."""
+    return let_in(spark, t)
+
+
+@query(f"SELECT event_id, event_type FROM events WHERE ts < TIMESTAMP '{LATE}'")
+def late_data_filter_all(spark, t) -> DataFrame:
+    """The rows that came too late: those that were sent, without those that were taken."""
+    return t.events.select("event_id", "event_type").join(let_in(spark, t).select("event_id"), "event_id", "left_anti")
+
+
+@query(HOURS + " SELECT window_start, event_type, samples, total, window_start + INTERVAL '1 hour' <= (SELECT max(event_time) - INTERVAL '1 minute' FROM observed) AS closed, 2 AS starts, 1 AS failures FROM w")
+def stream_recovered(spark, t) -> DataFrame:
+    """A stream of three batches that dies inside its second one, after that has written, and is started again from its
+    checkpoint: the closed windows, and the open ones from the state that it leaves. Both are those of an undisturbed run.
+    """
+    base, seen, died = scratch(spark), metrics.StreamMetrics(), []
+    until = lambda day: F.col("ts") < F.lit(f"2024-01-{day}").cast("timestamp_ntz")
+    parts = [t.events.where(until(11)), t.events.where(~until(11) & until(21)), t.events.where(~until(21))]
+    stream = observed_stream(in_files(spark, parts, f"{base}/in"))
+    rows = trend.windowed(stream, keys=("event_type",), width="1 hour", watermark="1 minute")
+    write = sinks.idempotent(f"{base}/out")
+
+    def dying(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        if batch_id == 1 and not died:
+            died.append(1)
+            raise OSError("the machine is gone")
+
+    stream.sparkSession.streams.addListener(seen)
+    starts = metrics.supervised(lambda: sinks.run_available(rows, f"{base}/checkpoint", f"{base}/out", dying), sleep=lambda s: None)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    stream.sparkSession.streams.removeListener(seen)
+    failures = metrics.alerts(seen.rows(spark)).where("kind = 'FAILED'").count()
+    closed = spark.read.schema(rows.schema).parquet(f"{base}/out").select("window_start", "event_type", "samples", "total", F.lit(True).alias("closed"))
+    kept = metrics.last_state(spark, f"{base}/checkpoint").select(F.col("key.window.start").alias("window_start"), "key.event_type", F.col("value.count").alias("samples"),
+        F.col("value.sum").alias("total"), F.lit(False).alias("closed"))
+    return no_zone(closed.unionByName(kept).withColumns({"starts": F.lit(starts), "failures": F.lit(failures)}))
+
+
+@query(f"WITH {V.OBSERVED} SELECT event_time::DATE AS bucket, event_type, count(*) AS n, sum(popularity)::BIGINT AS total, max(popularity) AS most, min(popularity) AS least, TRUE AS few_folders FROM observed GROUP BY 1, 2")
+def stream_rollup_tiers(spark, t) -> DataFrame:
+    """A stream of twenty batches, each of which fails once after it has been added and so comes again: days from the
+    hours in a handful of folders.
+    """
+    from strata.operators.rollups import hourly, merged
+
+    base, failed = scratch(spark), set()
+    stream = observed_stream(in_files(spark, [t.events.where(F.col("event_id") % 20 == k) for k in range(20)], f"{base}/in"))
+    add = tiers.rolling_up(f"{base}/rollup", lambda rows: hourly(rows, "event_time", ["event_type"], "popularity"), ["event_type"])
+
+    def failing(batch: DataFrame, batch_id: int) -> None:
+        add(batch, batch_id)
+        if batch_id not in failed:
+            failed.add(batch_id)
+            raise OSError("no answer")
+
+    sinks.run_available(stream, f"{base}/checkpoint", "", sinks.retrying(failing, sleep=lambda s: None)).awaitTermination()
+    few = len(tiers.folders(spark, f"{base}/rollup")) <= 8 and len(failed) == 20
+    states = tiers.read(spark, f"{base}/rollup", "bucket", ["event_type"])
+    return merged(states, F.to_date("bucket"), ["event_type"]).withColumn("few_folders", F.lit(few))

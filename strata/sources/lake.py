@@ -112,28 +112,47 @@ def compact(spark: SparkSession, path: str, target_bytes: int = 128 << 20) -> in
     return int(files)
 
 
-def save_state(spark: SparkSession, path: str, state: dict) -> None:
-    """Writes the state beside the old one and swaps, so that a crash leaves one of the two."""
-    publish_text(spark, path, json.dumps(state, sort_keys=True))
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written by the driver through Spark's file systems."""
+    fs, where = _fs(spark, path)
+    out = fs.create(where, True)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    fs, where = _fs(spark, path)
+    data = fs.open(where)
+    try:
+        return bytes(data.readAllBytes()).decode()
+    finally:
+        data.close()
 
 
 def publish_text(spark: SparkSession, path: str, text: str) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    """Writes the text beside the old one and swaps, so that a crash leaves one of the two."""
     fs, target = _fs(spark, path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     stage, old = hadoop(f"{path}__{uuid.uuid4().hex}"), hadoop(f"{path}.old")
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(stage.toString())
-    fs.delete(old, True)
+    put_text(spark, stage.toString(), text)
     if fs.exists(target):
+        fs.delete(old, True)
         _move(fs, target, old)
     _move(fs, stage, target)
     fs.delete(old, True)
 
 
+def save_state(spark: SparkSession, path: str, state: dict) -> None:
+    publish_text(spark, path, json.dumps(state, sort_keys=True))
+
+
 def load_state(spark: SparkSession, path: str) -> dict:
     """The state, or that before it where a crash came between; {} where there is none."""
     for place in (path, f"{path}.old"):
-        if exists(spark, f"{place}/*") and (row := spark.read.text(place).first()):
-            return json.loads(row[0])
+        if exists(spark, place):
+            return json.loads(get_text(spark, place))
     return {}
 
 

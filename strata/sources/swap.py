@@ -27,23 +27,6 @@ def _path(spark: SparkSession, *parts: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join(parts))
 
 
-def _put(spark: SparkSession, path: str, text: str) -> None:
-    fs, where = lake._fs(spark, path)
-    out = fs.create(where, True)
-    out.write(text.encode())
-    out.close()
-
-
-def _get(spark: SparkSession, path: str) -> str:
-    fs, where = lake._fs(spark, path)
-    size = fs.getFileStatus(where).getLen()
-    data = fs.open(where)
-    try:
-        return bytes(data.readNBytes(int(size))).decode()
-    finally:
-        data.close()
-
-
 def _folders(spark: SparkSession, path: str, pattern: str) -> list[str]:
     fs, _ = lake._fs(spark, path)
     return sorted(s.getPath().getName() for s in fs.globStatus(_path(spark, path, pattern)) or ())
@@ -60,7 +43,7 @@ def recover(spark: SparkSession, path: str) -> int:
     for name in left:
         home = f"{path}/{name}"
         if exists(spark, f"{home}/journal") and not exists(spark, f"{home}/done"):
-            _undo(spark, path, home, json.loads(_get(spark, f"{home}/journal")))
+            _undo(spark, path, home, json.loads(lake.get_text(spark, f"{home}/journal")))
         lake.delete(spark, home)
     return len(left)
 
@@ -77,7 +60,7 @@ def _undo(spark: SparkSession, path: str, home: str, names: list[str]) -> None:
 
 
 def _staged(spark: SparkSession, home: str) -> set[str]:
-    return set(json.loads(_get(spark, f"{home}/staged")))
+    return set(json.loads(lake.get_text(spark, f"{home}/staged")))
 
 
 def _exchange(spark: SparkSession, path: str, home: str, names: list[str]) -> None:
@@ -87,8 +70,8 @@ def _exchange(spark: SparkSession, path: str, home: str, names: list[str]) -> No
     for sub in ("old", "new"):
         fs.mkdirs(_path(spark, home, sub))
     staged = [n for n in names if fs.exists(_path(spark, home, "new", n))]
-    _put(spark, f"{home}/staged", json.dumps(staged))
-    _put(spark, f"{home}/journal", json.dumps(names))
+    lake.put_text(spark, f"{home}/staged", json.dumps(staged))
+    lake.put_text(spark, f"{home}/journal", json.dumps(names))
     try:
         for name in names:
             here = _path(spark, path, name)
@@ -96,7 +79,7 @@ def _exchange(spark: SparkSession, path: str, home: str, names: list[str]) -> No
                 lake._move(fs, here, _path(spark, home, "old", name))
             if name in staged:
                 lake._move(fs, _path(spark, home, "new", name), here)
-        _put(spark, f"{home}/done", "")
+        lake.put_text(spark, f"{home}/done", "")
     except Exception:
         _undo(spark, path, home, names)
         lake.delete(spark, home)

@@ -38,7 +38,7 @@ def merged(existing: DataFrame, incoming: DataFrame, keys: list[str], version: s
 
 def create(df: DataFrame, path: str, keys: list[str], buckets: int = 64, version: str | None = None) -> None:
     """A new table of df's last versions. Large tables take so many buckets that one is a task's work."""
-    if exists(df.sparkSession, f"{path}/_table*"):
+    if lake.load_state(df.sparkSession, f"{path}/_table"):
         raise ValueError(f"{path} is a table")
     lake.save_state(df.sparkSession, f"{path}/_table", {"keys": keys, "buckets": buckets, "schema": df.schema.json()})
     upsert(df, path, version)

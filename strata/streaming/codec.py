@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 from strata.sources.schemas import ENTITY_TYPES, EVENT_TYPES, POPULARITY
 
 
-def field(text: Column, snake: str, camel: str) -> Column:
-    """A field under its snake_case or camelCase name."""
-    return F.coalesce(F.get_json_object(text, f"$.{snake}"), F.get_json_object(text, f"$.{camel}"))
+def field(parsed: Column, snake: str, camel: str) -> Column:
+    """A field as text, under its snake_case or camelCase name."""
+    return F.coalesce(F.try_variant_get(parsed, f"$.{snake}", "string"), F.try_variant_get(parsed, f"$.{camel}", "string"))
 
 
 def decode(messages: DataFrame, column: str = "value") -> DataFrame:
-    """messages with the event's columns and ``valid``; invalid rows keep their text alone."""
-    text = F.col(column)
-    parsed = F.try_parse_json(text)
+    """messages with the event's columns and ``valid``; invalid rows keep their text alone.
+
+    A text is parsed once; only a payload is cut out of it as it stands.
+    """
+    text, parsed = F.col(column), F.col("__parsed")
+    messages = messages.withColumn("__parsed", F.try_parse_json(text))
 
     def long(snake: str, camel: str) -> Column:
         """A field that is a JSON number; a text of digits is none."""
@@ -25,19 +28,24 @@ def decode(messages: DataFrame, column: str = "value") -> DataFrame:
         return F.coalesce(number(snake), number(camel))
 
     rows = messages.withColumns({
-        "event_type": F.upper(field(text, "event_type", "eventType")),
-        "entity_type": F.lower(field(text, "entity_type", "entityType")),
+        "event_type": F.upper(field(parsed, "event_type", "eventType")),
+        "entity_type": F.lower(field(parsed, "entity_type", "entityType")),
         "entity_id": long("entity_id", "entityId"),
         "event_ms": long("event_time", "eventTime"),
-        "event_id": field(text, "event_id", "eventId"),
-        "content_hash": field(text, "content_hash", "contentHash"),
+        "event_id": field(parsed, "event_id", "eventId"),
+        "content_hash": field(parsed, "content_hash", "contentHash"),
         "payload": F.coalesce(F.get_json_object(text, "$.payload"), F.lit("{}")),
         "schema_version": F.coalesce(long("schema_version", "schemaVersion"), F.lit(1)).cast("int"),
-        "source": F.coalesce(F.get_json_object(text, "$.source"), F.lit("unknown")),
+        "source": F.coalesce(F.try_variant_get(parsed, "$.source", "string"), F.lit("unknown")),
     })
     valid = F.col("event_type").isin(EVENT_TYPES) & F.col("entity_type").isin(ENTITY_TYPES) & F.col("entity_id").isNotNull() & F.col("event_ms").isNotNull()
     rows = rows.withColumn("ingest_ms", F.coalesce(long("ingest_time", "ingestTime"), F.col("event_ms"))).withColumn("valid", F.coalesce(valid, F.lit(False)))
-    return rows.withColumn("event_time", F.timestamp_millis("event_ms")).withColumn("dt", F.to_date("event_time"))
+    return rows.drop("__parsed").withColumn("event_time", F.timestamp_millis("event_ms")).withColumn("dt", F.to_date("event_time"))
+
+
+def of_types(events: DataFrame, *entity_types: str) -> DataFrame:
+    """The events of some entity types, e.g. movies only."""
+    return events.where(F.col("entity_type").isin([t.lower() for t in entity_types]))
 
 
 def good(decoded: DataFrame) -> DataFrame:

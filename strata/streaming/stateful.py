@@ -36,16 +36,17 @@ class Deduplicator(StatefulProcessor):
         self.last = handle.getValueState("last", "hash string", self.ttl_ms)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        kept = []
-        last = self.last.get()[0] if self.last.exists() else None
-        for row in pd.concat(list(rows)).sort_values(self.order, kind="stable").to_dict("records"):
-            content = row[self.content] or None
-            if content is None or content != last:
-                kept.append(row)
-            if content is not None and content != last:
-                last = content
-                self.last.update((content,))
-        yield pd.DataFrame(kept) if kept else pd.DataFrame()
+        first = self.last.get()[0] if self.last.exists() else None
+        batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
+        content = batch[self.content].where(batch[self.content].astype(bool), None).astype(object)
+        known = content.ffill()
+        before = known.shift()
+        if first is not None:  # what the state remembers stands before the first row that has content
+            known, before = known.fillna(first), before.fillna(first)
+        new = content.notna() & (content != before)
+        if new.any():
+            self.last.update((content[new].iloc[-1],))
+        yield batch[new | content.isna()]
 
     def close(self) -> None:
         pass
@@ -69,15 +70,13 @@ class SurgeDetector(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         samples, least, ratio = self.limits
-        base = self.before.get()[0] if self.before.exists() else None
-        found = []
-        for row in pd.concat(list(rows)).sort_values("window_start").to_dict("records"):
-            now = row["average"]
-            if base and base > 0 and row["samples"] >= samples and now >= least and now / base >= ratio:
-                found.append(row | {"baseline": base, "ratio": now / base})
-            base = now
-        self.before.update((float(base),))
-        yield pd.DataFrame(found) if found else pd.DataFrame()
+        batch = pd.concat(list(rows)).sort_values("window_start")
+        first = self.before.get()[0] if self.before.exists() else float("nan")
+        batch["baseline"] = batch["average"].shift().astype(float)
+        batch.iloc[0, batch.columns.get_loc("baseline")] = first
+        batch["ratio"] = batch["average"] / batch["baseline"].where(batch["baseline"] > 0)
+        self.before.update((float(batch["average"].iloc[-1]),))
+        yield batch[(batch["samples"] >= samples) & (batch["average"] >= least) & (batch["ratio"] >= ratio)]
 
     def close(self) -> None:
         pass
