@@ -1,10 +1,12 @@
-"""What licences say of themselves in headers, and the texts of their files (of long ones the beginning).
+"""What licences say of themselves in headers, and the whole texts of their files (long ones in ``texts``).
 
 A new licence is a new entry; ``licences.scan`` takes any such table.
 """
 
 from __future__ import annotations
 
+from importlib.resources import files
+
 WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
 WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
 COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
@@ -66,33 +68,6 @@ Unless required by applicable law or agreed to in writing, software distributed
 "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
 language governing permissions and limitations under the License."""
 
-APACHE = """Apache License Version 2.0, January 2004 http://www.apache.org/licenses/
-
-TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION
-
-1. Definitions.
-
-"License" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of
-this document.
-
-"Licensor" shall mean the copyright owner or entity authorized by the copyright owner that is granting the License.
-
-"Legal Entity" shall mean the union of the acting entity and all other entities that control, are controlled by, or are
-under common control with that entity.
-
-"You" (or "Your") shall mean an individual or Legal Entity exercising permissions granted by this License.
-
-"Source" form shall mean the preferred form for making modifications, including but not limited to software source code,
-documentation source, and configuration files.
-
-"Object" form shall mean any form resulting from mechanical transformation or translation of a Source form, including but
-not limited to compiled object code, generated documentation, and conversions to other media types.
-
-2. Grant of Copyright License. Subject to the terms and conditions of this License, each Contributor hereby grants to You a
-perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare
-Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in
-Source or Object form."""
-
 GPL_NOTICE = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License
 as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
 
@@ -102,23 +77,6 @@ of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Publ
 You should have received a copy of the GNU General Public License along with this program. If not, see
 https://www.gnu.org/licenses/."""
 
-GPL = """GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007
-
-Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.
-
-Preamble
-
-The GNU General Public License is a free, copyleft license for software and other kinds of works.
-
-The licenses for most software and other practical works are designed to take away your freedom to share and change the
-works. By contrast, the GNU General Public License is intended to guarantee your freedom to share and change all versions
-of a program--to make sure it remains free software for all its users.
-
-When we speak of free software, we are referring to freedom, not price. Our General Public Licenses are designed to make
-sure that you have the freedom to distribute copies of free software (and charge for them if you wish), that you receive
-source code or can get it if you want it, that you can change the software or use pieces of it in new free programs, and
-that you know you can do these things."""
-
 MPL_NOTICE = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
 distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
 
@@ -131,18 +89,34 @@ In jurisdictions that recognize copyright laws, the author or authors of this so
 interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the
 detriment of our heirs and successors."""
 
+#: Licences by the names of the files in ``texts`` that have them.
+FILED = ["Apache-2.0", "Artistic-1.0", "CC0-1.0", "GFDL-1.2", "GFDL-1.3", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MPL-1.1", "MPL-2.0"]
+
+
+def whole_text(name: str) -> str:
+    return files(__package__).joinpath("texts", f"{name}.txt").read_text(encoding="utf-8")
+
+
+def gnu(kind: str, version: str, what: str = "program") -> list[str]:
+    """What a header says of a GNU licence of a kind and version."""
+    notice = GPL_NOTICE.replace("General", f"{kind} General".strip()).replace("version 3", f"version {version}").replace("program", what)
+    short = f"{kind[:1]}GPL"
+    return [f"This work is licensed under the GNU {kind} General Public License, version {version}.".replace("  ", " "),
+        f"SPDX-License-Identifier: {short}-{version if '.' in version else version + '.0'}-or-later", notice.split("\n\n")[0], notice]
+
+
 TEMPLATES = {
     "MIT": ["Released under the MIT License.", "Licensed under the MIT license.", "SPDX-License-Identifier: MIT", MIT],
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache-2.0", APACHE_NOTICE.split("\n\n")[0], APACHE_NOTICE,
-    APACHE],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-3.0-or-later",
-    GPL_NOTICE.split("\n\n")[0], GPL_NOTICE, GPL],
-    "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0-or-later",
-    GPL_NOTICE.replace("General", "Lesser General").replace("program", "library")],
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache-2.0", APACHE_NOTICE.split("\n\n")[0], APACHE_NOTICE],
+    "GPL-3.0": gnu("", "3"), "GPL-2.0": gnu("", "2"), "GPL-1.0": [],
+    "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3.", *gnu("Lesser", "3", "library")],
+    "LGPL-2.1": gnu("Lesser", "2.1", "library"), "LGPL-2.0": gnu("Library", "2", "library"),
+    "GFDL-1.2": ["Licensed under the GNU Free Documentation License, Version 1.2."], "GFDL-1.3": ["Licensed under the GNU Free Documentation License, Version 1.3."],
     "BSD-2-Clause": ["Released under the BSD 2-Clause License.", "SPDX-License-Identifier: BSD-2-Clause", BSD_2],
     "BSD-3-Clause": ["Released under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause", BSD_3],
     "ISC": ["Released under the ISC License.", "SPDX-License-Identifier: ISC", ISC],
-    "MPL-2.0": ["SPDX-License-Identifier: MPL-2.0", MPL_NOTICE],
+    "MPL-2.0": ["SPDX-License-Identifier: MPL-2.0", MPL_NOTICE], "MPL-1.1": ["Licensed under the Mozilla Public License, Version 1.1."],
+    "Artistic-1.0": ["Released under the Artistic License.", "SPDX-License-Identifier: Artistic-1.0"],
     "Unlicense": ["SPDX-License-Identifier: Unlicense", UNLICENSE],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
@@ -150,3 +124,7 @@ TEMPLATES = {
     "CC0-1.0": ["Released into the public domain under CC0 1.0.", "SPDX-License-Identifier: CC0-1.0"],
     "Proprietary": ["Copyright. All rights reserved.", "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited."],
 }
+for _name in FILED:
+    TEMPLATES[_name].append(whole_text(_name))
+#: What any licence may say beside its own terms: these are named only where nothing else is.
+BOILERPLATE = ["Proprietary"]

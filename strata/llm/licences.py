@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import cut, salted_join, text_of
-from strata.llm.licence_texts import TEMPLATES
+from strata.llm.licence_texts import BOILERPLATE, TEMPLATES
 
 TOKEN = r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"
 #: The weight of a word that is in every line.
@@ -81,7 +81,9 @@ def holds(words: Column, needed: set[str]) -> Column:
 
 
 def scored(units: DataFrame, keys: list[str], weights: DataFrame, vectors: Vectors, least: float, salts: int) -> DataFrame:
-    """keys, licence, cosine of the best template of each unit (column ``words``) that reaches ``least``."""
+    """keys, licence, cosine of the best template of each unit (column ``words``) that reaches ``least``, and lead: how much
+    less the best template of any other licence has (all of the cosine, if none reaches ``least``).
+    """
     units = units.where(holds(F.col("words"), vectors.needed(least))).dropDuplicates(keys)
     terms = cut(units.select(*keys, F.explode(counted(F.col("words"))).alias("t")).select(*keys, "t.term", "t.tf"))
     own = weights.join(terms.select("term").distinct(), "term", "left_semi")
@@ -95,8 +97,15 @@ def scored(units: DataFrame, keys: list[str], weights: DataFrame, vectors: Vecto
         same = same & F.col(k).eqNullSafe(F.col(f"n_{k}"))
     dots = dots.join(norms.select(*[F.col(k).alias(f"n_{k}") for k in keys], "norm"), same)
     dots = dots.select(*keys, "licence", F.round(F.col("dot") / F.col("norm"), 9).alias("cosine")).where(F.col("cosine") >= least)
-    best = dots.groupBy(*keys).agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "licence")).alias("best"))
-    return best.select(*keys, F.col("best.licence").alias("licence"), (-F.col("best.minus")).alias("cosine"))
+    each = dots.groupBy(*keys, "licence").agg(F.max("cosine").alias("cosine"))
+    ordered = F.array_sort(F.collect_list(F.struct(boilerplate(F.col("licence")), (-F.col("cosine")).alias("minus"), "licence")))
+    best = each.groupBy(*keys).agg(ordered.alias("all"))
+    lead = F.coalesce(F.get("all", F.lit(1))["minus"], F.lit(0.0)) - F.get("all", F.lit(0))["minus"]
+    return best.select(*keys, F.get("all", F.lit(0))["licence"].alias("licence"), (-F.get("all", F.lit(0))["minus"]).alias("cosine"), F.round(lead, 9).alias("lead"))
+
+
+def boilerplate(licence: Column) -> Column:
+    return licence.isin(BOILERPLATE).alias("any")
 
 
 def ancestors(directory: Column) -> Column:
@@ -116,10 +125,12 @@ def line_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def scan(docs: DataFrame, path: str | Column, id_col: str = "doc_id", text_col: str = "text", header: float = 0.6, file: float = 0.5,
     templates: dict[str, list[str]] = TEMPLATES, salts: int = 16) -> DataFrame:
     """One row per row of ``docs``: the id, path, own_licence, cosine, line (-1: the whole text), is_file, licence,
-    inherited_from (directory).
+    inherited_from (directory), lead (of own_licence over the next licence in that line or text).
+
+    Words that any licence may say of itself ("all rights reserved") name a licence only where nothing else does.
 
     A file is a licence file if its whole text is like a template, no less than any of its lines, or if its name says
-    so and a line is; it speaks for its directory, by its highest cosine, then by path and name. A header's licence
+    so and a line is; it speaks for its directory, by its highest cosine (boilerplate last), then by path and name. A header's licence
     stands before an inherited one. Null texts are empty, a null path is the root's; repeated rows have equal results;
     an empty table gives no rows. Texts are compared whole, whatever their length; other columns are ignored, whatever
     their names.
@@ -139,18 +150,18 @@ def scan(docs: DataFrame, path: str | Column, id_col: str = "doc_id", text_col:
     lines = likely.select("id", "row_key", F.posexplode(F.split("text", "\n", -1)).alias("line", "said")).select(*keys, tokens(F.col("said")).alias("words"))
     of_lines = scored(lines, keys, weights, vectors, header, salts)
     of_texts = scored(likely.select("id", "row_key", F.lit(-1).alias("line"), "words"), keys, weights, vectors, file, salts)
-    best = F.min(F.struct((-F.col("cosine")).alias("minus"), "line", "licence"))
+    best = F.min(F.struct(boilerplate(F.col("licence")), (-F.col("cosine")).alias("minus"), "line", "licence", "lead"))
     own = of_lines.unionByName(of_texts).groupBy("id", "row_key").agg(best.alias("best"))
     own = cut(own.select(F.col("id").alias("o_id"), F.col("row_key").alias("o_key"), F.col("best.licence").alias("own_licence"),
-        (-F.col("best.minus")).alias("cosine"), F.col("best.line").alias("line")))
+        (-F.col("best.minus")).alias("cosine"), F.col("best.line").alias("line"), F.col("best.lead").alias("lead")))
 
     paths = rows.select("id", "row_key", "path")
     named = paths.join(own, paths["id"].eqNullSafe(own["o_id"]) & (paths["row_key"] == own["o_key"]), "left").drop("o_id", "o_key")
     is_file = F.col("own_licence").isNotNull() & ((F.col("line") < 0) | F.col("path").rlike(FILE_NAME))
     directory = F.regexp_replace("path", r"/?[^/]*$", "")
-    named = cut(named.select("id", "row_key", "path", directory.alias("directory"), "own_licence", "cosine", "line",
+    named = cut(named.select("id", "row_key", "path", directory.alias("directory"), "own_licence", "cosine", "line", "lead",
         F.coalesce(is_file, F.lit(False)).alias("is_file")))
-    holders = named.where("is_file").groupBy("directory").agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "path", "own_licence")).alias("best"))
+    holders = named.where("is_file").groupBy("directory").agg(F.min(F.struct(boilerplate(F.col("own_licence")), (-F.col("cosine")).alias("minus"), "path", "own_licence")).alias("best"))
     holders = holders.select(F.col("directory").alias("holder"), F.col("best.own_licence").alias("licence"))
     ways = named.where("own_licence is null").select("directory").distinct()
     ways = ways.select("directory", F.explode(ancestors(F.col("directory"))).alias("holder"))
@@ -160,4 +171,4 @@ def scan(docs: DataFrame, path: str | Column, id_col: str = "doc_id", text_col:
     nearest = cut(nearest.select("directory", F.col("near.holder").alias("inherited_from"), F.col("near.licence").alias("inherited")))
     final = salted_join(named, nearest, ["directory"], salts, ["id", "row_key"])
     return final.select(F.col("id").alias(id_col), "path", "own_licence", "cosine", "line", "is_file", F.coalesce("own_licence", "inherited").alias("licence"),
-        F.when(F.col("own_licence").isNull(), F.col("inherited_from")).alias("inherited_from"))
+        F.when(F.col("own_licence").isNull(), F.col("inherited_from")).alias("inherited_from"), "lead")

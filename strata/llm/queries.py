@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import chat, decontamination, exact_dedup, hard_negatives, jaccard, lexical, licences, line_dedup, mixing, pii, quality, sentencepiece, sharding
 from strata.llm.common import table
+from strata.llm.licence_texts import FILED, whole_text
 
 #: Where the public tokenizers' files are.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -19,13 +20,20 @@ PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
 def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents have no paths of their own. They lie in eight folders under source/lang; a short one that ends with a
     word of licences has the name of a licence file, and lies in its folder or, if its id is even, above the folders.
+    Every source/lang also has a folder with the whole text of a licence.
     """
     base = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")))
     folder = F.concat_ws("/", base, F.concat(F.lit("d"), F.pmod("doc_id", F.lit(8)).cast("string")))
     named = (F.length("text") < 1000) & F.substring_index("text", "\n", -1).rlike(r"(?i)licen[cs]e")
     file = F.concat_ws("/", F.when(F.col("doc_id") % 2 == 0, base).otherwise(folder), F.concat(F.lit("LICENSE."), F.col("doc_id").cast("string")))
-    return licences.scan(table(spark, sf_dir, "documents"),
-        F.when(named, file).otherwise(F.concat_ws("/", folder, F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))))
+    path = F.when(named, file).otherwise(F.concat_ws("/", folder, F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", path.alias("path"), base.alias("base"))
+    # Every source/lang has a whole licence text in a folder of its own, by its name; ids of these are negative.
+    own = F.pmod(F.xxhash64("base"), F.lit(1 << 40))
+    texts = F.array(*[F.lit(whole_text(name)) for name in FILED])
+    filed = docs.select("base").distinct().select((-1 - own).alias("doc_id"), F.get(texts, F.pmod(own, F.lit(len(FILED))).cast("int")).alias("text"),
+        F.concat_ws("/", "base", F.lit("legal"), F.lit("terms.txt")).alias("path"))
+    return licences.scan(docs.drop("base").unionByName(filed), "path")
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

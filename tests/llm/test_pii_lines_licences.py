@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from pyspark.sql import functions as F
 
 from strata.llm import licences, line_dedup, pii
+from strata.llm.licence_texts import BOILERPLATE
 
 SCHEMA = "doc_id long, text string, lang string, source string, spans string, start int"
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
@@ -174,29 +175,31 @@ def plain_scan(rows, path, header=0.6, file=0.5):
 
     def best(said, least):
         v = vector(licences.tokens_of(said))
-        found = [(-round(sum(x * b.get(w, 0) for w, x in v.items()) / size(v) / size(b), 9), name) for name, b in templates] if v else []
-        return min((x for x in found if -x[0] >= least), default=None)
+        found = [(name in BOILERPLATE, -round(sum(x * b.get(w, 0) for w, x in v.items()) / size(v) / size(b), 9), name) for name, b in templates] if v else []
+        found = sorted(x for x in found if -x[1] >= least)
+        return (*found[0], next((x[1] for x in found if x[2] != found[0][2]), 0.0) - found[0][1]) if found else None
 
     own, holders = [], defaultdict(list)
     for row in rows:
         text, where = row[1] or "", path(row)
-        units = [(x[0], k, x[1]) for k, said in enumerate(text.split("\n")) if (x := best(said, header))] + [(x[0], -1, x[1]) for x in [best(text, file)] if x]
+        units = [(*x[:2], k, *x[2:]) for k, said in enumerate(text.split("\n")) if (x := best(said, header))] + [(*x[:2], -1, *x[2:]) for x in [best(text, file)] if x]
         top = min(units, default=None)
+        last, top = (top[0], top[1:]) if top else (None, None)
         is_file = bool(top) and (top[1] < 0 or bool(re.search(licences.FILE_NAME, where)))
         own.append((where, top, is_file))
         if is_file:
-            holders[where.rpartition("/")[0]].append((top[0], where, top[2]))
+            holders[where.rpartition("/")[0]].append((last, top[0], where, top[2]))
     out = []
     for row, (where, top, is_file) in zip(rows, own, strict=True):
         licence, source, d = top[2] if top else None, None, where.rpartition("/")[0]
         while not top:
             if d in holders:
-                licence, source = min(holders[d])[2], d
+                licence, source = min(holders[d])[3], d
                 break
             if not d:
                 break
             d = d.rpartition("/")[0]
-        out.append((row[0], where, top[2] if top else None, -top[0] if top else None, top[1] if top else None, is_file, licence, source))
+        out.append((row[0], where, top[2] if top else None, -top[0] if top else None, top[1] if top else None, is_file, licence, source, top[3] if top else None))
     return out
 
 
@@ -223,11 +226,31 @@ def test_licences(spark):
     by_id = {r[0]: r[2:] for r in want}
     assert by_id[100][0] == "MIT" and by_id[100][3] and by_id[101][0] == "Apache-2.0" and not by_id[101][3] and by_id[111][:1] == ("BSD-3-Clause",
         ) and by_id[111][3] and by_id[None][0] == "ISC"
-    assert by_id[102][4:] == ("GPL-3.0", "lib/sub") and by_id[3][4:] == ("MIT", "lib") and by_id[109][4:] == ("MIT", "third") and by_id[103][4:] == (None,
+    assert by_id[102][4:6] == ("GPL-3.0", "lib/sub") and by_id[3][4:6] == ("MIT", "lib") and by_id[109][4:6] == ("MIT", "third") and by_id[103][4:6] == (None,
         None) and by_id[107][0] is None
     assert licences.scan(docs.limit(0), "source").count() == 0
 
 
+def test_whole_licence_texts_have_their_own_names(spark):
+    """Texts as they lie in projects: with other line ends and breaks, a line of copyright, a word changed here and there."""
+    from strata.llm import licence_texts as L
+
+    r, rows = random.Random(1), [(i, f"some prose number {i} that is of no licence and for all", "en", "x", "", 0) for i in range(50)]
+    for k, name in enumerate(L.FILED):
+        words = L.whole_text(name).split()
+        for at in r.sample(range(len(words)), 5):
+            words[at] = "changed"
+        text = "\r\n".join(" ".join(words[i : i + 9]) for i in range(0, len(words), 9))
+        rows.append((100 + k, f"Copyright 2024 Some One. All rights reserved.\n\n{text}", "doc", f"p{k}", "", 0))
+    rows.append((200, "Terms of our own.\nAll rights reserved.\n" + "you may not do this with that " * 30, "terms", "own", "", 0))
+    found = {x["doc_id"]: x for x in licences.scan(spark.createDataFrame(rows, SCHEMA), F.concat_ws("/", "source", "lang")).collect()}
+    for k, name in enumerate(L.FILED):
+        got = found[100 + k]
+        assert (got["own_licence"], got["is_file"], got["line"]) == (name, True, -1) and got["lead"] > 0, (name, got)
+    assert found[200]["own_licence"] in (None, "Proprietary") and not found[200]["is_file"]
+    assert all(found[i]["own_licence"] is None for i in range(50))
+
+
 def test_words_that_are_needed():
     """No vector without them reaches the threshold: the best that can do so is the template's own rest."""
     vectors = licences.Vectors(licences.TEMPLATES, defaultdict(lambda: 2.0, {"the": 0.1, "license": 0.9, "software": 0.5}))
