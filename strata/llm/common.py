@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,14 @@ def cut(df: DataFrame) -> DataFrame:
     return checkpointed(df)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Spark deletes the shuffles and checkpoints of plans that nothing refers to when the driver's garbage is collected,
+    which a small driver of large jobs seldom does by itself: searches in many turns ask for it.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_of(column: str = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))
