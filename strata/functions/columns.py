@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
-from pyspark.sql import Column
+from pyspark.errors import ParseException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The end of a current version.
@@ -165,12 +163,26 @@ def mask_secret(c: Column) -> Column:
     return F.when(F.length(c) >= 12, F.concat(F.substring(c, 1, 4), F.lit("****"), F.right(c, F.lit(4)))).when(c.isNotNull(), F.lit("****"))
 
 
+#: Names whose values are secret, in texts and parameters, and in headers.
+SECRET_NAMES = ["access_token", "api-key", "api_key", "apikey", "passwd", "password", "pwd", "refresh_token", "secret", "secret-key", "secret_key", "session_id",
+    "token"]
+SECRET_HEADERS = ["authorization", "cookie", "proxy-authorization", "set-cookie", "x-api-key", "x-clickhouse-key"]
+
+
 def mask_text(c: Column) -> Column:
-    """Secrets in URLs, headers and key=value pairs."""
+    """Secrets in URLs, headers, key=value pairs and quoted keys; a quoted value goes up to its closing quote."""
+    names, headers = "|".join(sorted(SECRET_NAMES, key=len, reverse=True)), "|".join(sorted(SECRET_HEADERS, key=len, reverse=True))
     c = F.regexp_replace(c, r"(?i)(://)[^/\s:@]+:[^/\s@]+@", "$1****:****@")
+    c = F.regexp_replace(c, rf"(?im)(^|[^\w-])({headers})(\"?\s*+:\s*+\"?+)(?!bearer\s)[^\r\n\"]+", "$1$2$3****")
     c = F.regexp_replace(c, r"(?i)\b(bearer)\s+[A-Za-z0-9._~+/=-]+", "$1 ****")
     c = F.regexp_replace(c, r"\beyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", "****")
-    return F.regexp_replace(c, r"(?i)\b(api[_-]?key|token|password|secret)\s*([=:])\s*[^\s&,;]+", "$1$2****")
+    c = F.regexp_replace(c, rf"(?i)(?<![\w-])({names})(\"?\s*[=:]\s*)\"(?:[^\"\\]|\\.)*\"", '$1$2"****"')
+    return F.regexp_replace(c, rf"(?i)(?<![\w-])({names})(\"?\s*[=:]\s*)(?!\")[^\s&,;}}]+", "$1$2****")
+
+
+def mask_header(name: Column, value: Column) -> Column:
+    """The value of a header; a secret one's not at all."""
+    return F.when(F.lower(name).isin(SECRET_HEADERS) & value.isNotNull(), F.lit("****")).otherwise(value)
 
 
 def readable_size(n: Column) -> Column:
@@ -187,30 +199,47 @@ def split_table_name(c: Column) -> tuple[Column, Column]:
     return database, F.when(c.contains(":"), F.substring_index(c, ":", -1)).otherwise(F.regexp_replace(c, r"^[^.]*\.", ""))
 
 
-#: Words of expressions that are no columns.
-KEYWORDS = ["and", "as", "avg", "between", "case", "cast", "coalesce", "count", "distinct", "double", "else", "end", "false", "if", "in", "is", "like", "max",
-    "min", "not", "null", "nullif", "or", "round", "sum", "then", "true", "when"]
-
-
-def identifiers(expression: Column) -> Column:
-    """The distinct column names in an expression's text, in order: words outside of quotes that are no keyword and
-    open no bracket.
+def references(spark: SparkSession, expression: str) -> list[str]:
+    """The columns that an expression names, once each, in order, as Spark's parser reads it: dotted if they are
+    qualified, whatever words they are made of. Raises ParseException for what is no expression.
     """
-    bare = F.regexp_replace(expression, "'[^']*'", "")
-    words = F.regexp_extract_all(bare, F.lit(r"\b[A-Za-z_][A-Za-z0-9_]*\b(?!\s*\()"), F.lit(0))
-    known = F.array(*[F.lit(k) for k in KEYWORDS])
-    return F.filter(F.array_distinct(words), lambda w: ~F.array_contains(known, F.lower(w)))
-
+    found: dict[str, None] = {}
+    each = lambda seq: [seq.apply(i) for i in range(seq.length())]
+
+    def visit(node, bound: frozenset[str]) -> None:
+        kind = node.getClass().getSimpleName()
+        if kind == "LambdaFunction":
+            bound = bound | {each(a.nameParts())[0] for a in each(node.arguments())}
+        elif kind in ("UnresolvedAttribute", "UnresolvedNamedLambdaVariable"):
+            parts = each(node.nameParts())
+            if parts[0] not in bound:
+                found[".".join(parts)] = None
+        for child in each(node.children()):
+            visit(child, bound)
+
+    visit(spark._jsparkSession.sessionState().sqlParser().parseExpression(expression), frozenset())
+    return list(found)
+
+
+def identifiers(rows: DataFrame, column: str, to: str = "names") -> DataFrame:
+    """rows with the columns that the expressions in ``column`` name; null for what is no expression. Each distinct
+    expression is parsed once, on the driver: they are definitions, which don't grow with the data they are about.
+    """
+    spark = rows.sparkSession
 
-def canonical_json(c: Column) -> Column:
-    """JSON with its keys sorted at every depth; null for what is no JSON. Batches go through Arrow."""
-    def one(text: str | None) -> str | None:
+    def names(text: str) -> list[str] | None:
         try:
-            return None if text is None else json.dumps(json.loads(text), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
-        except ValueError:
+            return references(spark, text)
+        except ParseException:
             return None
 
-    def batch(texts: pd.Series) -> pd.Series:
-        return texts.map(one)
+    distinct = rows.select(column).where(F.col(column).isNotNull()).distinct()
+    parsed = spark.createDataFrame([(r[0], names(r[0])) for r in distinct.toLocalIterator()], f"__text string, {to} array<string>")
+    return rows.join(parsed, F.col(column) == F.col("__text"), "left").drop("__text")
 
-    return F.pandas_udf(batch, "string")(c)
+
+def canonical_json(c: Column) -> Column:
+    """JSON with its keys sorted at every depth; null for what is no JSON, or repeats a key in an object. A variant keeps
+    its keys sorted, so parsing and writing one does it; numbers lose zeros that say nothing (1.50 is 1.5).
+    """
+    return F.to_json(F.try_parse_json(c))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from strata.functions.columns import identifiers
+from strata.functions.columns import references
 
 
 @dataclass(frozen=True)
@@ -43,7 +43,8 @@ class Registry:
 
 def problems(metrics: list[Metric], tables: dict[str, DataFrame]) -> list[tuple[str, str, list[str]]]:
     """(name, problem, columns): DUPLICATE where a name has several expressions, MISSING_TABLE, MISSING_COLUMN with the
-    columns that the table does not have, INVALID where the analyser refuses the expression for another reason.
+    columns that the table does not have, INVALID where the parser or the analyser refuses the expression for another
+    reason. No job runs: Spark's parser says which columns an expression names, and the analyser what it is worth.
     """
     by_name: dict[str, set[str]] = {}
     for m in metrics:
@@ -54,13 +55,18 @@ def problems(metrics: list[Metric], tables: dict[str, DataFrame]) -> list[tuple[
             found.append((m.name, "MISSING_TABLE", []))
             continue
         table = tables[m.table]
-        words = table.sparkSession.range(1).select(identifiers(F.lit(m.expression)).alias("w")).first()["w"]
-        unknown = [w for w in words if w.lower() not in {c.lower() for c in table.columns}]
-        if unknown:
-            found.append((m.name, "MISSING_COLUMN", unknown))
-            continue
+        known = {c.lower() for c in table.columns}
         try:
+            unknown = [name for name in references(table.sparkSession, m.expression) if name.split(".")[0].lower() not in known]
+            if unknown:
+                found.append((m.name, "MISSING_COLUMN", unknown))
+                continue
             table.groupBy(*m.keys).agg(F.expr(m.expression).alias(m.name)).schema  # noqa: B018
         except AnalysisException:
             found.append((m.name, "INVALID", []))
     return found
+
+
+def registered(rows: DataFrame) -> list[Metric]:
+    """Metrics from a table of definitions (name, table, expression): a registry's rows, in order."""
+    return [Metric(r["name"], r["table"], r["expression"]) for r in rows.orderBy("name", "table", "expression").toLocalIterator()]

@@ -179,9 +179,11 @@ def lag7_calendar(spark, t) -> DataFrame:
 
 
 @query("""SELECT dt, year(dt)::INT AS year, quarter(dt)::INT AS quarter, month(dt)::INT AS month, day(dt)::INT AS day, week(dt)::INT AS week, isodow(dt)::INT AS day_of_week, CASE WHEN isodow(dt) >= 6 THEN 1 ELSE 0 END AS is_weekend
-  FROM (SELECT (DATE '2024-01-01' + i::INT) AS dt FROM range(730) r(i))""")
+  FROM (SELECT unnest(generate_series(min(o_orderdate)::DATE, max(o_orderdate)::DATE, INTERVAL 1 DAY))::DATE AS dt FROM orders)""")
 def dim_date(spark, t) -> DataFrame:
-    return dwd.dim_date(spark, "2024-01-01", 730)
+    """The calendar of the orders, from the first day to the last."""
+    first, last = t.orders.agg(F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate"))).first()
+    return dwd.dim_date(spark, str(first), (last - first).days + 1)
 
 
 FAR = "TIMESTAMP '2099-12-31'"
@@ -259,14 +261,13 @@ def replacing_latest(spark, t) -> DataFrame:
     return dedup.replacing(t.events.select("user_id", "event_type", "ts", "event_id"), ["user_id", "event_type"], "ts")
 
 
-@query("""SELECT c_custkey, s AS window_start, least(s + 13, e) AS window_end FROM (SELECT c_custkey, e, unnest(generate_series(b, e, INTERVAL 14 DAY))::DATE AS s
-  FROM (SELECT c_custkey, DATE '2024-01-01' AS b, (DATE '2024-01-01' + (c_custkey % 60)::INT - 10) AS e FROM customer) WHERE b <= e)""")
+@query("""SELECT o_custkey, s AS window_start, least(s + 13, e) AS window_end FROM (SELECT o_custkey, e, unnest(generate_series(b, e, INTERVAL 14 DAY))::DATE AS s
+  FROM (SELECT o_custkey, min(o_orderdate)::DATE AS b, max(o_orderdate)::DATE AS e FROM orders GROUP BY 1))""")
 def change_windows_14d(spark, t) -> DataFrame:
-    """[start, end] cut to closed windows of 14 days; none where start is after end."""
-    rows = t.customer.select("c_custkey", F.lit("2024-01-01").cast("date").alias("b"),
-        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % 60).cast("int") - 10).alias("e")).where("b <= e")
-    rows = rows.select("c_custkey", "e", F.explode(F.expr("sequence(b, e, interval 14 days)")).alias("window_start"))
-    return rows.select("c_custkey", "window_start", F.least(F.date_add("window_start", 13), "e").alias("window_end"))
+    """From each customer's first order to the last, closed windows of 14 days."""
+    rows = t.orders.groupBy("o_custkey").agg(F.min(F.to_date("o_orderdate")).alias("b"), F.max(F.to_date("o_orderdate")).alias("e"))
+    rows = rows.select("o_custkey", F.explode(C.date_windows(F.col("b"), F.col("e"))).alias("w"))
+    return rows.select("o_custkey", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"))
 
 
 @query("SELECT event_id, user_id, event_type FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) WHERE before IS NULL OR before <> event_type")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.governance import lifecycle, lineage, metrics, quality
+from strata.governance import catalogue, lifecycle, lineage, metrics, quality
 from strata.governance.quality import Rule
 from strata.queries.registry import query
+from strata.session import shared_folder
 
 TODAY = "2025-01-01"
 RULES = [
@@ -133,10 +137,15 @@ def lifecycle_plan(spark, t) -> DataFrame:
     return lifecycle.plan(partitions, policies, TODAY)
 
 
-@query("SELECT event_type AS \"table\", count(*) AS files, sum(user_id)::BIGINT AS \"rows\", sum(event_id)::BIGINT AS bytes, min(ts::DATE) AS first_dt, max(ts::DATE) AS last_dt FROM events GROUP BY 1")
+@query("SELECT event_type AS \"table\", count(DISTINCT ts::DATE) AS files, count(*) AS \"rows\", min(ts::DATE) AS first_dt, max(ts::DATE) AS last_dt, TRUE AS has_bytes FROM events GROUP BY 1")
 def partition_usage(spark, t) -> DataFrame:
-    return lifecycle.partition_usage(t.events.select(F.col("event_type").alias("table"), F.to_date("ts").alias("dt"), F.col("user_id").alias("rows"),
-        F.col("event_id").alias("bytes")))
+    """Tables of events by type, a file a day: what their listing and their footers say."""
+    base = f"{shared_folder(spark)}/usage-{uuid.uuid4()}"
+    rows = t.events.select("event_id", "event_type", F.to_date("ts").alias("dt"))
+    rows.repartition("event_type", "dt").write.partitionBy("event_type", "dt").parquet(base)
+    types = [r[0] for r in rows.select("event_type").distinct().collect()]  # a row a table
+    files = functools.reduce(DataFrame.unionByName, [catalogue.files(spark, f"{base}/event_type={k}", k) for k in sorted(types)])
+    return lifecycle.partition_usage(files).select("table", "files", "rows", "first_dt", "last_dt", (F.col("bytes") > 0).alias("has_bytes"))
 
 
 @query("SELECT l_returnflag, round(sum(round(l_extendedprice * 100)::BIGINT) / sum(round(l_quantity)::BIGINT), 6) AS price_per_unit FROM lineitem GROUP BY 1")

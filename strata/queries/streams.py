@@ -52,9 +52,9 @@ def envelopes(t) -> DataFrame:
     """events as messages on the wire, some of them broken, in either naming."""
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     event = lambda *names: F.to_json(F.struct(F.lit("POPULARITY_OBSERVED").alias(names[0]), F.lit("movie").alias(names[1]), F.col("user_id").alias(names[2]),
-        ms.alias(names[3]), F.md5(F.col("event_type")).alias(names[4])))
-    snake, camel = event("event_type", "entity_type", "entity_id", "event_time", "content_hash"), event("eventType", "entityType", "entityId", "eventTime",
-        "contentHash")
+        ms.alias(names[3]), F.md5(F.col("event_type")).alias(names[4]), F.col("event_id").cast("string").alias(names[5])))
+    snake, camel = event("event_type", "entity_type", "entity_id", "event_time", "content_hash", "event_id"), event("eventType", "entityType", "entityId",
+        "eventTime", "contentHash", "eventId")
     k = F.col("event_id") % 10
     broken = F.when(k == 7, F.lit("not-json")).when(k == 8, F.lit("[]")).when(k == 9, F.lit("{}"))
     return t.events.select("event_id", F.when(k >= 7, broken).when(k >= 4, camel).otherwise(snake).alias("value"))

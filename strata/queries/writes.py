@@ -5,20 +5,21 @@ A query that writes does so under the folder that all machines share, and return
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import columns as C
-from strata.governance import lifecycle, lineage, metrics, migrations, quality
+from strata.governance import catalogue, lifecycle, lineage, metrics, migrations, quality
 from strata.operators import scd2
 from strata.plans import ingest
 from strata.queries import records as R
 from strata.queries import views as V
 from strata.queries.batch import BATCHES, MERGED, history, no_zone
 from strata.queries.registry import query
-from strata.sources import lake, raw
+from strata.sources import lake, pages, raw
 from strata.session import shared_folder
 from strata.streaming import codec, sinks
 
@@ -87,11 +88,16 @@ def source_raw_partition(spark, t) -> DataFrame:
     return raw.read_partition(spark, base, "movie", R.DT).select("entity_id", "ingest_time", "entity_type")
 
 
-@query("SELECT 0 AS \"rows\", 'schema_version,entity_type,entity_id,dt,ingest_time,source,payload' AS columns")
+@query(f"SELECT '{R.DT}' AS day, count(*) AS \"rows\", 'schema_version,entity_type,entity_id,dt,ingest_time,source,payload' AS columns FROM part UNION ALL SELECT '2024-01-01', 0, 'schema_version,entity_type,entity_id,dt,ingest_time,source,payload'")
 def source_missing_partition(spark, t) -> DataFrame:
-    """A day without records is an empty frame of the same columns."""
-    rows = raw.read_partition(spark, scratch(spark, "nothing"), "movie", "2024-01-01")
-    return rows.agg(F.count(F.lit(1)).cast("int").alias("rows"), F.lit(",".join(rows.columns)).alias("columns"))
+    """A day with records, and one without: an empty frame of the same columns."""
+    base, out = scratch(spark, "days"), None
+    lake.write_ndjson(R.raw_movies(t), f"{base}/raw/movie/dt={R.DT}")
+    for day in (R.DT, "2024-01-01"):
+        rows = raw.read_partition(spark, base, "movie", day)
+        told = rows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(day).alias("day"), "rows", F.lit(",".join(rows.columns)).alias("columns"))
+        out = told if out is None else out.unionByName(told)
+    return out
 
 
 @query("SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE 'other ' || c_custkey END AS display_name FROM customer WHERE c_custkey % 7 <> 0")
@@ -125,38 +131,72 @@ def ingest_full_load(spark, t) -> DataFrame:
     return spark.createDataFrame([(result.wanted, result.loaded, result.missing, result.failed)], "wanted bigint, loaded bigint, missing bigint, failed bigint")
 
 
-@query("SELECT * FROM (VALUES ('2024-01-01', '2024-01-14', 1), ('2024-01-15', '2024-01-28', 2), ('2024-01-29', '2024-01-31', 2)) v(window_start, window_end, run)")
+@query("""SELECT v.*, (SELECT count(*) FROM events WHERE ts::DATE BETWEEN v.window_start::DATE AND v.window_end::DATE) AS "rows"
+FROM (VALUES ('2024-01-01', '2024-01-14', 1), ('2024-01-15', '2024-01-28', 2), ('2024-01-29', '2024-01-31', 2)) v(window_start, window_end, run)""")
 def ingest_watermark(spark, t) -> DataFrame:
-    """Windows by watermark: the second fails in the first run, so the next begins with it."""
-    path, done = scratch(spark, "state"), []
+    """Windows by watermark, each of which loads its events: the second fails in the first run, so the next begins with it."""
+    path, loaded, runs = scratch(spark, "state"), scratch(spark, "loaded"), []
 
     def load(start: str, end: str) -> None:
-        if start == "2024-01-15" and not done:
+        if start == "2024-01-15" and len(runs) == 1:
             raise OSError("the source does not answer")
+        rows = t.events.where(F.to_date("ts").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+        lake.append(rows.select("event_id", F.lit(start).alias("window_start"), F.lit(end).alias("window_end"), F.lit(len(runs)).alias("run")), loaded)
 
-    try:
-        ingest.incremental(spark, path, "movie", "2024-02-01", load, "2024-01-01")
-    except OSError:
-        done.append(("2024-01-01", "2024-01-14", 1))
-    done += [(*w, 2) for w in ingest.incremental(spark, path, "movie", "2024-02-01", load, "2024-01-01")]
-    return spark.createDataFrame(done, "window_start string, window_end string, run int")
+    for _ in range(2):
+        runs.append(1)
+        try:
+            ingest.incremental(spark, path, "movie", "2024-02-01", load, "2024-01-01")
+        except OSError:
+            continue
+    return spark.read.parquet(loaded).groupBy("window_start", "window_end", "run").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("SELECT p_brand AS list_name, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey)::INT AS rank, p_partkey AS id, p_name AS title FROM part")
 def ingest_list_ranks(spark, t) -> DataFrame:
-    """Pages of twenty results of each list; ranks go on from page to page."""
-    number = F.row_number().over(V_window("p_brand", "p_partkey")) - 1
-    rows = t.part.withColumn("n", number).withColumn("page", F.floor(F.col("n") / 20).cast("int") + 1)
-    pages = rows.groupBy(F.col("p_brand").alias("list_name"),
-        "page").agg(F.sort_array(F.collect_list(F.struct("n", F.col("p_partkey").alias("id"), F.col("p_name").alias("title")))).alias("r"))
-    pages = pages.select("list_name", "page", F.transform("r", lambda x: F.struct(x["id"].alias("id"), x["title"].alias("title"))).alias("results"))
-    return ingest.ranked_pages(pages, ["list_name"])
-
-
-def V_window(partition: str, order: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(partition).orderBy(order)
+    """Pages of seven results of each list, read from the files of a poll; ranks go on from page to page."""
+    path = scratch(spark, "polls")
+    write_polls(t.part, path, 1)
+    spark.dataSource.register(pages.ListPages)
+    return ranked_lists(spark.read.format("list_pages").options(path=path, pages_a_task=2).load()).drop("poll")
+
+
+def write_polls(part, path: str, polls: int) -> None:
+    """Each poll's pages as files; every poll has some more parts than that before. One page too many lies beside them, which no list has announced."""
+    for n in range(polls):
+        rows = part.where(F.col("p_partkey") % polls <= n)
+        rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey")) - 1)
+        total = F.ceil(F.count(F.lit(1)).over(Window.partitionBy("p_brand")) / 7)
+        rows = rows.select(F.col("p_brand").alias("list"), F.floor(F.col("n") / 7).cast("int").alias("k"), total.alias("total"), "n",
+            F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("title")).alias("r"))
+        said = rows.groupBy("list", "k").agg(F.first("total").alias("total"), F.sort_array(F.collect_list(F.struct("n", "r"))).alias("results"))
+        beyond = said.where(F.col("k") + 1 == F.col("total")).withColumn("k", F.col("total").cast("int"))
+        said = said.unionByName(beyond).withColumn("page", F.col("k") + 1)
+        text = F.to_json(F.struct("page", F.col("total").alias("total_pages"), F.transform("results", lambda x: x["r"]).alias("results")))
+        said.select(F.lit(n).alias("poll"), "list", "page", text.alias("value")).repartition("list").write.mode("append").partitionBy("poll", "list", "page").text(path)
+
+
+def ranked_lists(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("results", F.from_json("results", "array<struct<id:bigint,title:string>>"))
+    return ingest.ranked_pages(rows, ["poll", "list_name"])
+
+
+@query("""SELECT p AS poll, p_brand AS list_name, row_number() OVER (PARTITION BY p, p_brand ORDER BY p_partkey)::INT AS rank, p_partkey AS id, p_name AS title
+FROM part, (SELECT unnest([0, 1])::BIGINT AS p) WHERE p_partkey % 2 <= p""")
+def stream_list_ranks(spark, t) -> DataFrame:
+    """Two polls of the same lists as a stream, a batch each, and the second after a restart."""
+    base = scratch(spark, "polls")
+    spark.dataSource.register(pages.ListPages)
+    read = lambda: spark.readStream.format("list_pages").options(path=f"{base}/pages").load()
+    write = lambda batch, n: ranked_lists(batch).write.mode("overwrite").parquet(f"{base}/out/batch={n}")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    write_polls(t.part, f"{base}/all", 2)
+    fs, _ = lake._fs(spark, base)
+    fs.mkdirs(hadoop(f"{base}/pages"))
+    for n in range(2):
+        lake._move(fs, hadoop(f"{base}/all/poll={n}"), hadoop(f"{base}/pages/poll={n}"))
+        sinks.run_available(read(), f"{base}/checkpoint", "", write).awaitTermination()
+    return spark.read.parquet(f"{base}/out").drop("batch")
 
 
 @query("""SELECT c_custkey, s AS window_start, least(s + 13, e) AS window_end FROM (SELECT c_custkey, e, unnest(generate_series(b, e, INTERVAL 14 DAY))::DATE AS s
@@ -167,18 +207,19 @@ def date_windows(spark, t) -> DataFrame:
     return rows.select("c_custkey", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"))
 
 
-@query("SELECT * FROM (VALUES ('saved', '{\"a\": 1, \"b\": 2}'), ('updated', '{\"a\": 1, \"b\": 3}'), ('deleted', '{}')) v(step, state)")
+@query("""SELECT step, CASE step WHEN 'saved' THEN '{"rows": ' || n || '}' WHEN 'updated' THEN '{"last": ' || k || ', "rows": ' || n || '}' ELSE '{}' END AS state
+FROM (SELECT count(*) AS n, max(o_orderkey) AS k FROM orders), (SELECT unnest(['saved', 'updated', 'deleted']) AS step)""")
 def state_steps(spark, t) -> DataFrame:
-    """State saved, updated and deleted, as it is loaded after each."""
-    import json
-
+    """State about a table saved, updated and deleted, as it is loaded after each."""
     path, seen = scratch(spark, "state"), []
-    lake.save_state(spark, path, {"a": 1, "b": 2})
-    seen.append(("saved", json.dumps(lake.load_state(spark, path), sort_keys=True)))
-    lake.update_state(spark, path, lambda state: state | {"b": 3})
-    seen.append(("updated", json.dumps(lake.load_state(spark, path), sort_keys=True)))
+    rows, last = t.orders.agg(F.count(F.lit(1)), F.max("o_orderkey")).first()
+    said = lambda: json.dumps(lake.load_state(spark, path), sort_keys=True)
+    lake.save_state(spark, path, {"rows": rows})
+    seen.append(("saved", said()))
+    lake.update_state(spark, path, lambda state: state | {"last": last})
+    seen.append(("updated", said()))
     lake.delete_state(spark, path)
-    seen.append(("deleted", json.dumps(lake.load_state(spark, path), sort_keys=True)))
+    seen.append(("deleted", said()))
     return spark.createDataFrame(seen, "step string, state string")
 
 
@@ -191,13 +232,13 @@ def source_parameters(spark, t) -> DataFrame:
 
 @query(f"WITH {ORDERS} SELECT 'orders' AS \"table\", count(DISTINCT dt) AS partitions, count(*) AS \"rows\", min(dt) AS first_dt, max(dt) AS last_dt, TRUE AS has_bytes FROM o")
 def table_usage(spark, t) -> DataFrame:
-    """What a table's files hold, from their listing and their rows."""
+    """What a table's files hold, from their listing and their footers."""
     path = scratch(spark, "orders")
     lake.overwrite_partitions(orders(t), path)
-    files = lake.table_files(spark, path, "orders")
+    files = catalogue.files(spark, path, "orders")
     used = lifecycle.usage_view(lifecycle.partition_usage(files))
-    days = files.agg(F.count_distinct("dt").alias("partitions"))
-    return used.join(days).select("table", "partitions", "rows", "first_dt", "last_dt", (F.col("bytes") > 0).alias("has_bytes"))
+    days = files.groupBy("table").agg(F.count_distinct("dt").alias("partitions"))
+    return used.join(days, "table").select("table", "partitions", "rows", "first_dt", "last_dt", (F.col("bytes") > 0).alias("has_bytes"))
 
 
 @query("""SELECT c_custkey, sha256(c_name) AS sha, to_base64(unhex(md5(c_name))) AS md5_64, CASE WHEN c_custkey % 3 = 0 THEN 'default' WHEN c_custkey % 3 = 1 THEN 'dwd' ELSE 'graph' END AS db, CASE WHEN c_custkey % 3 = 2 THEN 'Movie' ELSE 't_' || c_custkey END AS tbl,
@@ -222,10 +263,15 @@ def function_times(spark, t) -> DataFrame:
         stamp.alias("instant"), C.alert_id(F.lit("surge"), F.col("event_type"), ts).alias("alert")))
 
 
-@query("""SELECT c_custkey, 'https://****:****@host/' || c_custkey || '?api_key=****&n=1 Bearer **** ****' AS masked FROM customer""")
+@query("""SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'https://****:****@host/' || c_custkey || '?api_key=****&n=1 Bearer **** ****' WHEN 1 THEN '{"password":"****","n":' || c_custkey || ',"access_token":"****"}'
+  WHEN 2 THEN 'Cookie: ****' || chr(10) || 'Host: h' || c_custkey || chr(10) || 'X-Api-Key: ****' WHEN 3 THEN 'pwd=****&tokens=' || c_custkey || '; session_id: ****' ELSE c_name END AS masked FROM customer""")
 def function_masked_texts(spark, t) -> DataFrame:
-    """Secrets in an address, a parameter, a header and a web token."""
-    text = F.concat(F.lit("https://me:secret@host/"), F.col("c_custkey"), F.lit("?api_key=abc123&n=1 Bearer abc.def eyJhb.eyJzd.sig"))
+    """Secrets in addresses, parameters, headers, web tokens and JSON; other texts and names stay."""
+    k = F.col("c_custkey")
+    text = F.when(k % 5 == 0, F.concat(F.lit("https://me:secret@host/"), k, F.lit("?api_key=abc123&n=1 Bearer abc.def eyJhb.eyJzd.sig")))
+    text = text.when(k % 5 == 1, F.to_json(F.struct(F.concat(F.lit('a "b" '), "c_name").alias("password"), k.alias("n"), F.col("c_name").alias("access_token"))))
+    text = text.when(k % 5 == 2, F.concat(F.lit("Cookie: a=b; c="), "c_name", F.lit("\nHost: h"), k, F.lit("\nX-Api-Key: k"), k))
+    text = text.when(k % 5 == 3, F.concat(F.lit("pwd="), k, F.lit("&tokens="), k, F.lit("; session_id: s"), k)).otherwise(F.col("c_name"))
     return t.customer.select("c_custkey", C.mask_text(text).alias("masked"))
 
 
@@ -241,10 +287,12 @@ def function_canonical_json(spark, t) -> DataFrame:
     return t.events.select("event_id", C.canonical_json(text).alias("canonical"))
 
 
-@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'revenue,budget' ELSE 'vote_average' END AS names FROM customer")
+@query("SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'revenue,budget' WHEN 1 THEN 'count,end' WHEN 2 THEN 't.odd name,k' END AS names FROM customer")
 def function_identifiers(spark, t) -> DataFrame:
-    text = F.when(F.col("c_custkey") % 2 == 0, F.lit("SUM(CASE WHEN revenue > 0 THEN revenue / NULLIF(budget, 0) ELSE 0 END)")).otherwise("avg(vote_average)")
-    return t.customer.select("c_custkey", F.array_join(C.identifiers(text), ",").alias("names"))
+    """Columns that expressions name, whatever words they are; null for what is no expression."""
+    said = F.when(F.col("c_custkey") % 4 == 0, "SUM(CASE WHEN revenue > 0 THEN revenue / NULLIF(budget, 0) ELSE 0 END)").when(F.col("c_custkey") % 4 == 1,
+        "sum(count) + max(end)").when(F.col("c_custkey") % 4 == 2, "avg(t.`odd name`) over (partition by k)").otherwise("sum(")
+    return C.identifiers(t.customer.select("c_custkey", said.alias("said")), "said").select("c_custkey", F.array_join("names", ",").alias("names"))
 
 
 @query(f"WITH {BATCHES}, {MERGED} SELECT * FROM merged ORDER BY customer_id, valid_from")
@@ -255,8 +303,9 @@ def scd2_chain(spark, t) -> DataFrame:
 
 @query("SELECT max(ts) AS latest, round(date_diff('second', max(ts), TIMESTAMP '2025-01-01') / 60.0, 3) AS minutes, date_diff('second', max(ts), TIMESTAMP '2025-01-01') > 900 AS stale FROM events")
 def freshness_minutes(spark, t) -> DataFrame:
-    return no_zone(quality.stale(t.events.withColumn("ts", F.date_trunc("second", "ts")), "ts", "2025-01-01 00:00:00").withColumn("minutes",
-        F.round("minutes", 3))).join(t.events.agg(F.max("ts").alias("exact"))).select(F.col("exact").alias("latest"), "minutes", "stale")
+    latest = t.events.agg(F.max("ts")).first()[0]
+    found = quality.stale(t.events.withColumn("ts", F.date_trunc("second", "ts")), "ts", "2025-01-01 00:00:00")
+    return found.select(F.lit(latest).cast("timestamp_ntz").alias("latest"), F.round("minutes", 3).alias("minutes"), "stale")
 
 
 @query("""SELECT 'rows' AS rule, 'BLOCKER' AS severity, count(*)::DOUBLE AS value, TRUE AS passed, 'r1' AS run FROM orders UNION ALL SELECT 'prices', 'WARN', count(*) FILTER (o_totalprice > 200000)::DOUBLE, count(*) FILTER (o_totalprice > 200000) = 0, 'r1' FROM orders""")
@@ -284,46 +333,75 @@ def lineage_direct(spark, t) -> DataFrame:
     return lineage.direct(edges, "n3")
 
 
-@query("SELECT * FROM (VALUES ('price', 'DUPLICATE', ''), ('margin', 'MISSING_COLUMN', 'cost'), ('gone', 'MISSING_TABLE', '')) v(metric, problem, columns)")
+@query("""SELECT 'price' AS metric, 'DUPLICATE' AS problem, '' AS columns FROM nation HAVING count(*) > 1
+UNION ALL SELECT lower(n_name), CASE n_nationkey % 4 WHEN 1 THEN 'MISSING_COLUMN' WHEN 2 THEN 'MISSING_TABLE' ELSE 'INVALID' END, CASE n_nationkey % 4 WHEN 1 THEN 'cost_' || n_nationkey ELSE '' END FROM nation WHERE n_nationkey % 4 > 0""")
 def metric_problems(spark, t) -> DataFrame:
-    M = metrics.Metric
-    found = metrics.problems([M("price", "orders", "avg(o_totalprice)"), M("price", "orders", "max(o_totalprice)"),
-        M("margin", "orders", "sum(o_totalprice - cost)"), M("gone", "nothing", "count(x)")], {"orders": t.orders})
+    """Definitions that a table holds, one a nation: some name a column or a table that is not there, some are no expression, one name has two."""
+    k = F.col("n_nationkey")
+    expression = F.when(k % 4 == 1, F.concat(F.lit("sum(o_totalprice - cost_"), k, F.lit(")"))).when(k % 4 == 3, "sum(o_totalprice").otherwise("avg(o_totalprice)")
+    rows = t.nation.select(F.lower("n_name").alias("name"), F.when(k % 4 == 2, "nothing").otherwise("orders").alias("table"), expression.alias("expression"))
+    two = t.nation.where("n_nationkey < 2").select(F.lit("price").alias("name"), F.lit("orders").alias("table"), F.when(k == 0, "avg(o_totalprice)").otherwise("max(o_totalprice)").alias("expression"))
+    found = metrics.problems(metrics.registered(rows.unionByName(two)), {"orders": t.orders})
     return spark.createDataFrame([(n, p, ",".join(c)) for n, p, c in found], "metric string, problem string, columns string")
 
 
-@query("SELECT * FROM (VALUES (1, TRUE, 1), (2, TRUE, 2)) v(version, success, run)")
+@query("SELECT version, TRUE AS success, version AS run, CASE version WHEN 2 THEN (SELECT count(*) FROM nation WHERE n_regionkey = 1) END AS \"rows\" FROM (SELECT unnest([1, 2]) AS version)")
 def migration_history(spark, t) -> DataFrame:
-    """Two migrations: the second fails in the first run and succeeds in the next; the state has each one's last run."""
+    """Two migrations over a table: the second fails in the first run, as its source is not there, and succeeds in the next; the state has each one's last run."""
     path, view = scratch(spark, "history"), f"v_{uuid.uuid4().hex}"
-    one, two = {"V1__a.sql": ["SELECT 1"]}, {"V2__b.sql": [f"SELECT * FROM {view}"]}
+    one = {"V1__a.sql": [f"CREATE OR REPLACE TEMPORARY VIEW {view}_all AS SELECT * FROM parquet.`{t._dir}/nation.parquet`"]}
+    two = {"V2__b.sql": [f"CREATE OR REPLACE TEMPORARY VIEW {view} AS SELECT a.* FROM {view}_all a JOIN {view}_regions USING (n_regionkey)"]}
     try:
         migrations.migrate(spark, migrations.load(one | two), path)
     except RuntimeError:
-        spark.range(1).createOrReplaceTempView(view)
+        spark.range(1, 2).toDF("n_regionkey").createOrReplaceTempView(f"{view}_regions")
     migrations.migrate(spark, migrations.load(one | two), path)
     last = migrations.history(spark, path).groupBy("version").agg(F.max("run").cast("int").alias("run"))
-    return migrations.state(migrations.history(spark, path)).join(last, "version").select("version", "success", "run")
+    rows = F.when(F.col("version") == 2, F.lit(spark.table(view).count()))
+    return migrations.state(migrations.history(spark, path)).join(last, "version").select("version", "success", "run", rows.alias("rows"))
 
 
-@query("""SELECT table_name AS "table", dt, action, CASE WHEN action = 'KEEP' THEN 'SKIPPED' ELSE 'APPLIED' END AS status FROM (SELECT event_type AS table_name, ts::DATE AS dt, CASE WHEN last_day(ts::DATE) < DATE '2025-01-01' - 300 THEN 'DROP' WHEN ts::DATE < DATE '2025-01-01' - 100 THEN 'COLD' ELSE 'KEEP' END AS action FROM events) WHERE action <> 'KEEP' GROUP BY ALL""")
+@query("""SELECT table_name AS "table", dt, action, 'APPLIED' AS status FROM (SELECT event_type AS table_name, ts::DATE AS dt, CASE WHEN last_day(ts::DATE) < DATE '2024-02-10' - cut THEN 'DROP' WHEN ts::DATE < DATE '2024-02-10' - 20 THEN 'COLD' ELSE 'KEEP' END AS action
+  FROM (SELECT *, CASE WHEN event_type = 'error' THEN 5 ELSE 300 END AS cut FROM events)) WHERE action <> 'KEEP' GROUP BY ALL""")
 def lifecycle_applied(spark, t) -> DataFrame:
-    """Partitions that go, and partitions that go cold, each by its own action."""
-    partitions = t.events.select(F.col("event_type").alias("table"), F.to_date("ts").alias("dt")).distinct()
-    policies = partitions.select("table").distinct().select("table", F.lit(100).alias("cold_days"), F.lit(300).alias("keep_days"))
-    done = lifecycle.apply(lifecycle.plan(partitions, policies, "2025-01-01"), lambda *x: None, dry_run=False, cold=lambda *x: None)
-    return done.drop("error")
+    """Folders of partitions that go, and that go cold: the audit of what was done to them."""
+    base, planned, locations = lifecycle_tables(spark, t)
+    return catalogue.act(catalogue.with_folders(spark, planned, locations, f"{base}/cold"), f"{base}/journal", dry_run=False).drop("error", "run")
+
+
+def lifecycle_tables(spark, t) -> tuple[str, DataFrame, dict[str, str]]:
+    """A table of events for each type, partitioned by day, and what is due on the tenth of February."""
+    base = scratch(spark, "tables")
+    rows = t.events.select("event_id", F.col("event_type").alias("table"), F.to_date("ts").alias("dt"))
+    rows.repartition("table").write.partitionBy("table", "dt").parquet(f"{base}/warm")
+    partitions = rows.select("table", "dt").distinct()
+    policies = partitions.select("table").distinct().select("table", F.lit(20).alias("cold_days"), F.when(F.col("table") == "error", 5).otherwise(300).alias("keep_days"))
+    locations = {r[0]: f"{base}/warm/table={r[0]}" for r in policies.select("table").collect()}  # a row a table
+    return base, lifecycle.plan(partitions, policies, "2024-02-10"), locations
+
+
+@query("""SELECT event_id, CASE WHEN ts::DATE < DATE '2024-02-10' - 20 THEN 'cold' ELSE 'warm' END AS place, TRUE AS resumed FROM events WHERE event_type <> 'error'""")
+def lifecycle_left(spark, t) -> DataFrame:
+    """What is left of the tables' rows, and where; the run dies once its plan is written, and a second one takes it up."""
+    base, planned, locations = lifecycle_tables(spark, t)
+    real, catalogue._act = catalogue._act, lambda *x: (_ for _ in ()).throw(SystemExit())
+    try:
+        catalogue.act(catalogue.with_folders(spark, planned, locations, f"{base}/cold"), f"{base}/journal", dry_run=False)
+    except SystemExit:
+        pass
+    finally:
+        catalogue._act = real
+    resumed = len(catalogue.resume(spark, f"{base}/journal")) == 1 and catalogue.resume(spark, f"{base}/journal") == []
+    read = lambda place: spark.read.option("recursiveFileLookup", "true").parquet(f"{base}/{place}").select("event_id", F.lit(place).alias("place"))
+    return read("warm").unionByName(read("cold")).withColumn("resumed", F.lit(resumed))
 
 
 @query("SELECT 'POPULARITY_OBSERVED' AS event_type, 'movie' AS entity_type, user_id AS entity_id, ts::DATE AS dt, '{}' AS payload, 'unknown' AS source, event_id FROM events WHERE event_id % 10 < 7")
 def stream_rows_to_ods(spark, t) -> DataFrame:
-    """Good events as rows of the raw event table."""
+    """Good events as rows of the raw event table, with the ids that came with them."""
     from strata.queries.streams import envelopes
 
-    decoded = codec.decode(envelopes(t).withColumnRenamed("event_id", "n"))
-    # The id of the test's event stands where the event's own would.
-    rows = codec.to_ods(codec.good(decoded).withColumn("event_id", F.col("n")))
-    return rows.select("event_type", "entity_type", "entity_id", "dt", "payload", "source", "event_id")
+    return codec.to_ods(codec.good(codec.decode(envelopes(t).select("value")))).select("event_type", "entity_type", "entity_id", "dt", "payload", "source", F.col("event_id").cast("bigint").alias("event_id"))
 
 
 @query(f"WITH {V.OBSERVED} SELECT event_time::DATE AS bucket, event_type, count(*) AS n, sum(popularity)::BIGINT AS total, max(popularity) AS most, min(popularity) AS least FROM observed GROUP BY 1, 2")

@@ -22,10 +22,17 @@ LINES, BYTES = 200_000, 64 << 20
 
 
 def file_system(path: str) -> tuple[fs.FileSystem, str]:
-    """The store and the path inside of it; a path without a scheme is on a file system that all machines mount."""
-    if path.startswith("s3a://"):
-        path = f"s3{path[3:]}"
-    return fs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (fs.LocalFileSystem(), path)
+    """The store and the path inside of it, whose characters stand for themselves; a path without a scheme is on a file
+    system that all machines mount.
+    """
+    scheme, sign, rest = path.partition(":")
+    if not sign or "/" in scheme:
+        return fs.LocalFileSystem(), path
+    if scheme == "file":
+        return fs.LocalFileSystem(), f"/{rest.lstrip('/')}"
+    authority, _, inside = rest.lstrip("/").partition("/")
+    store, root = fs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}://{authority}/")
+    return store, f"{root.rstrip('/')}/{inside}"
 
 
 class RollingFile:

@@ -5,7 +5,7 @@ import decimal
 import duckdb
 import pytest
 
-from strata.queries import batch, governed, graphs, lakes, records, streams, writes  # noqa: F401
+from strata.queries import acts, batch, governed, graphs, lakes, records, streams, writes  # noqa: F401
 from strata.queries.registry import QUERIES, SQL
 
 DATA = "/root/testdata/sf0.001"
