@@ -84,32 +84,46 @@ def bitmap(keys: DataFrame, *key: str | Column) -> DataFrame:
     return keys.select(F.shiftright(at, 6).alias("__word"), one.alias("__one")).groupBy("__word").agg(F.bit_or("__one").alias("__bits"))
 
 
-def with_maybe(docs: DataFrame, bits: DataFrame, *key: str | Column) -> DataFrame:
-    """docs with __maybe: false if the key is not in the bitmap. No row is shuffled for that.
+def free(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it that no column of docs has it, whatever its case."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def with_maybe(docs: DataFrame, bits: DataFrame, *key: str | Column, maybe: str = "__maybe") -> DataFrame:
+    """docs with ``maybe``: false if the key is not in the bitmap. No row is shuffled for that.
 
     Beyond some ten million keys more and more rows may be in it, so an exact join has to follow; the bitmap only
     saves the rows that it leaves out from taking part in that.
     """
-    at = _bit(*key)
-    joined = docs.withColumn("__at", at).join(F.broadcast(bits), F.shiftright("__at", 6) == F.col("__word"), "left")
-    return joined.withColumn("__maybe", F.coalesce(F.getbit("__bits", (F.col("__at") % 64).cast("int")) == 1, F.lit(False))).drop("__at", "__word", "__bits")
+    at, word, held = free(docs, "__at", "__word", "__bits")
+    joined = docs.withColumn(at, _bit(*key)).join(F.broadcast(bits.toDF(word, held)), F.shiftright(at, 6) == F.col(word), "left")
+    return joined.withColumn(maybe, F.coalesce(F.getbit(held, (F.col(at) % 64).cast("int")) == 1, F.lit(False))).drop(at, word, held)
 
 
-def _matches(keys: dict[str, Column]) -> Column:
+def _renamed(docs: DataFrame, wanted: DataFrame, keys: dict[str, Column]) -> tuple[DataFrame, Column]:
+    """The keys of ``wanted`` under names that docs does not have, and the null-safe condition."""
+    names = free(docs, *[f"__w_{k}" for k in keys])
     same = F.lit(True)
-    for name, own in keys.items():
-        same = same & own.eqNullSafe(F.col(f"__w_{name}"))
-    return same
+    for name, own in zip(names, keys.values(), strict=True):
+        same = same & own.eqNullSafe(F.col(name))
+    return wanted.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]), same
 
 
 def rows_in(docs: DataFrame, wanted: DataFrame, keys: dict[str, Column]) -> DataFrame:
     """The rows of docs whose keys (expressions by the name of their column in ``wanted``) are in ``wanted``, null-safe."""
-    maybe = with_maybe(docs, bitmap(wanted, *keys), *keys.values()).where("__maybe").drop("__maybe")
-    return maybe.join(wanted.select(*[F.col(k).alias(f"__w_{k}") for k in keys]), _matches(keys), "left_semi")
+    [maybe] = free(docs, "__maybe")
+    some = with_maybe(docs, bitmap(wanted, *keys), *keys.values(), maybe=maybe).where(F.col(maybe)).drop(maybe)
+    return some.join(*_renamed(docs, wanted, keys), "left_semi")
 
 
 def rows_not_in(docs: DataFrame, unwanted: DataFrame, keys: dict[str, Column]) -> DataFrame:
     """The other rows. Those that the bitmap leaves out stay where they are; the rest are compared by a join."""
-    marked = with_maybe(docs, bitmap(unwanted, *keys), *keys.values())
-    rest = marked.where("__maybe").drop("__maybe").join(unwanted.select(*[F.col(k).alias(f"__w_{k}") for k in keys]), _matches(keys), "left_anti")
-    return marked.where("not __maybe").drop("__maybe").unionByName(rest)
+    [maybe] = free(docs, "__maybe")
+    marked = with_maybe(docs, bitmap(unwanted, *keys), *keys.values(), maybe=maybe)
+    rest = marked.where(F.col(maybe)).drop(maybe).join(*_renamed(docs, unwanted, keys), "left_anti")
+    return marked.where(~F.col(maybe)).drop(maybe).unionByName(rest)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bitmap, cut, rows_not_in, salted_join, text_of, with_maybe
+from strata.llm.common import bitmap, cut, free, rows_not_in, salted_join, text_of, with_maybe
 
 
 def sha256_of(text: Column) -> Column:
@@ -66,13 +66,14 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 64) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns, once each, under the rules of exact_duplicates().
 
-    Only texts that may go, or that repeat under their id, take part in a shuffle.
+    Only texts that may go, or that repeat under their id, take part in a shuffle. Other columns may have any names.
     """
     found = exact_duplicates(docs, id_col, text_col, salts).select(F.col(id_col).alias("id"), F.col("text_digest").alias("digest"), "kept", "group_size")
     unsettled = cut(found.where("group_size > 1").groupBy("id", "digest").agg(F.min("kept").alias("kept"),
         F.count(F.lit(1)).alias("n")).where("not kept or n > 1"))
     own = {"id": F.col(id_col), "digest": sha256_of(text_of(text_col))}
-    marked = with_maybe(docs, bitmap(unsettled, *own), *own.values())
-    stay = rows_not_in(marked.where("__maybe").drop("__maybe"), unsettled.where("not kept"), own)
-    once = stay.withColumn("__own", own["digest"]).dropDuplicates([id_col, "__own"]).select(*docs.columns)
-    return marked.where("not __maybe").select(*docs.columns).unionByName(once)
+    maybe, digest = free(docs, "__maybe", "__own")
+    marked = with_maybe(docs, bitmap(unsettled, *own), *own.values(), maybe=maybe)
+    stay = rows_not_in(marked.where(F.col(maybe)).drop(maybe), unsettled.where("not kept"), own)
+    once = stay.withColumn(digest, own["digest"]).dropDuplicates([id_col, digest]).drop(digest)
+    return marked.where(~F.col(maybe)).drop(maybe).unionByName(once)

@@ -192,8 +192,8 @@ def same_group() -> Column:
 FEW = 12
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, steps: int | None = 3, least_rows: int = 50, tail: float = 1e-9, salts: int = 32,
-    minima: dict[str, float] | None = None, wider: bool = False, starts: int = 1, **columns) -> DataFrame:
+def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, steps: int | None = None, least_rows: int = 50, tail: float = FALSE_REJECTIONS, salts: int = 32,
+    minima: dict[str, float] | None = MINIMA, wider: bool = True, starts: int = 3, **columns) -> DataFrame:
     """One row per document: the id, row_key, counts, base_failed, distance (null for base failures), kept.
 
     ``base_failed``: fewer than 50 words, or more than half of the words in repeated 3-word windows. Others are
@@ -257,7 +257,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, step
         kept.alias("kept"), "distance")
 
 
-#: What the op9 query and the pipeline judge by; the function's own defaults are those its first tests describe.
+#: What the op9 query and the pipeline judge by, which are the defaults. Other settings leave small groups unjudged or end early.
 STRICT = {"minima": MINIMA, "steps": None, "tail": FALSE_REJECTIONS, "wider": True, "starts": 3}
 
 

@@ -38,3 +38,16 @@ def test_empty_and_dropping(spark):
     stay = drop_exact_duplicates(docs)
     assert stay.columns == docs.columns
     assert sorted((str(r["doc_id"]) for r in stay.collect())) == ["3", "5", "6", "8", "None"]
+
+
+def test_columns_of_any_name_stay(spark):
+    from strata.llm import common, decontamination, jaccard, quality
+
+    docs = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "doc_id long, text string")
+    odd = docs.select("*", *[F.lit(f"{i}").alias(c) for i, c in enumerate(["__at", "__word", "__bits", "__maybe", "__own", "__w_id", "__w_digest", "__MAYBE_", "__w_row_key", "lang", "source"])])
+    stay = drop_exact_duplicates(odd)
+    assert stay.columns == odd.columns and sorted((r["doc_id"], r["__own"], r["__MAYBE_"]) for r in stay.collect()) == [(2, "4", "7"), (3, "4", "7")]
+    for rows in (jaccard.one_per_component(odd), quality.keep_good(odd), decontamination.without_contamination(odd, spark.createDataFrame([(1, "b")], "item_id long, text string"))):
+        assert rows.columns == odd.columns
+    kept = common.rows_in(odd, docs.where("doc_id < 3").select(F.col("doc_id").alias("id")), {"id": F.col("doc_id")})
+    assert kept.columns == odd.columns and kept.count() == 2

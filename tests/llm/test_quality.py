@@ -131,7 +131,8 @@ def corpus(seed=1):
 def test_against_brute_force(spark):
     rows = corpus()
     stats, kept = verdicts(rows)
-    found = Q.quality(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    plain = {"steps": 3, "minima": None, "tail": 1e-9, "wider": False, "starts": 1}
+    found = Q.quality(spark.createDataFrame(rows, SCHEMA).repartition(4), **plain).collect()
     got = Counter((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"],
         r["kept"]) for r in found)
     assert got == Counter((row[0], *c[:5], failed(c), k) for row, c, k in zip(rows, stats, kept, strict=True))
@@ -152,7 +153,7 @@ def test_keeping_and_empty(spark):
     rows = corpus(2)
     docs = spark.createDataFrame(rows, SCHEMA)
     _, kept = verdicts(rows)
-    stay = Q.keep_good(docs)
+    stay = Q.keep_good(docs, steps=3, minima=None, tail=1e-9, wider=False, starts=1)
     assert stay.columns == docs.columns and Counter(r["doc_id"] for r in stay.collect()) == Counter(row[0] for row, k in zip(rows, kept, strict=True) if k)
     assert Q.quality(docs.limit(0)).count() == 0
 
