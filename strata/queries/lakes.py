@@ -92,3 +92,19 @@ def graph_saved(spark, t) -> DataFrame:
         graph.save(vertices, edges.where("type <> 'HAS_KEYWORD'").where(part), path, buckets=4)
         loads += 1
     return graph.load(spark, path)[1].select("from_id", "to_id", "type", F.lit(loads).alias("loads"))
+
+
+@query(f"WITH {ORDERS} SELECT o_orderkey, cents, dt, TRUE AS merged, TRUE AS kept FROM o")
+def sink_compacted(spark, t) -> DataFrame:
+    """Years in many small files, but for one: whether the small ones have become one a year, and the other is the file that it was."""
+    path, rows = scratch(spark, "small"), orders(t).select("o_orderkey", "cents", "dt")
+    for k in range(3):
+        rows.where("year(dt) <> 1995").where(F.col("o_orderkey") % 3 == k).repartition("dt").write.mode("append").partitionBy("dt").parquet(path)
+    rows.where("year(dt) = 1995").repartition(1).write.mode("append").partitionBy("dt").parquet(path)
+    names = lambda: {tuple(r) for r in spark.read.parquet(path).select(F.year("dt"), "_metadata.file_name").distinct().collect()}
+    before = {n for n in names() if n[0] == 1995}
+    swap.compact(spark, path, by="dt")
+    after = names()
+    merged, kept = len({y for y, _ in after}) == len(after), before <= after
+    found = spark.read.parquet(path).select("o_orderkey", "cents", F.col("dt").cast("date").alias("dt"))
+    return found.withColumns({"merged": F.lit(merged), "kept": F.lit(kept)})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -104,12 +105,21 @@ def move_in(spark: SparkSession, stage: str, path: str, pattern: str = f"*{rolli
     return len(found)
 
 
-def compact(spark: SparkSession, path: str, target_bytes: int = 128 << 20) -> int:
-    """Rewrites a table to files of about target_bytes; returns their number."""
-    fs, where = _fs(spark, path)
-    files = max(1, -(-fs.getContentSummary(where).getLength() // target_bytes))
-    publish(spark.read.parquet(path).repartition(int(files)), path)
-    return int(files)
+def expire(spark: SparkSession, path: str, older_than_ms: int) -> list[str]:
+    """Deletes what crashed publishes have left beside a table (its name and 32 hexadecimal digits), if it has not been
+    touched since then. A table that such a crash has moved aside and not replaced is put back instead. Returns the names.
+    """
+    fs, target = _fs(spark, path)
+    left = [s for s in fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}__*")) or () if re.fullmatch(r".*__[0-9a-f]{32}", s.getPath().getName())]
+    old = sorted((s for s in left if s.getModificationTime() < older_than_ms), key=lambda s: s.getModificationTime())
+    if old and not fs.exists(target):
+        whole = [s for s in old if exists(spark, f"{s.getPath()}/_SUCCESS")]
+        if whole:  # the oldest one: its stage came after it
+            _move(fs, whole[0].getPath(), target)
+            old.remove(whole[0])
+    for s in old:
+        fs.delete(s.getPath(), True)
+    return [s.getPath().getName() for s in old]
 
 
 def put_text(spark: SparkSession, path: str, text: str) -> None:

@@ -67,8 +67,9 @@ def _exchange(spark: SparkSession, path: str, home: str, names: list[str]) -> No
     """Moves the partitions aside and the staged ones in. An error undoes all of it."""
     fs, target = lake._fs(spark, path)
     fs.mkdirs(target)
-    for sub in ("old", "new"):
-        fs.mkdirs(_path(spark, home, sub))
+    for folder in {n.rpartition("/")[0] for n in names} | {""}:
+        for sub in (f"{home}/old", f"{home}/new", path):
+            fs.mkdirs(_path(spark, *filter(None, (sub, folder))))
     staged = [n for n in names if fs.exists(_path(spark, home, "new", n))]
     lake.put_text(spark, f"{home}/staged", json.dumps(staged))
     lake.put_text(spark, f"{home}/journal", json.dumps(names))
@@ -135,6 +136,40 @@ def take_partitions(spark: SparkSession, staging: str, path: str, by: str = "dt"
             lake.delete(spark, home)
 
 
+def _below(spark: SparkSession, root: str, file: str) -> str:
+    """A file's name below a folder, however the two spell their file system."""
+    qualified = lambda p: lake._fs(spark, p)[0].makeQualified(_path(spark, p)).toUri().getPath()
+    return qualified(file)[len(qualified(root)) + 1 :]
+
+
+def compact(spark: SparkSession, path: str, target_bytes: int = 128 << 20, by: str | None = None) -> int:
+    """Merges the small files of each folder (those below half of ``target_bytes``, where there are two or more) and
+    swaps the merged ones for them; other files stay as they are. Returns how many files went.
+
+    Merged files have about the session's advisory partition size. Names of files come to the driver, which moves them.
+    """
+    recover(spark, path)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    small = listed.where(F.col("length") < target_bytes // 2).groupBy(F.regexp_extract("path", "^(.*)/[^/]*$", 1)).agg(F.collect_list("path").alias("files"))
+    files = [f for r in small.where(F.size("files") > 1).select("files").toLocalIterator() for f in r["files"]]
+    if not files:
+        return 0
+    home = f"{path}/_swap-{uuid.uuid4().hex}"
+    try:
+        rows = spark.read.option("basePath", path).parquet(*files)
+        if by:
+            rows.hint("rebalance", by).write.partitionBy(by).parquet(f"{home}/new")
+        else:
+            rows.hint("rebalance").write.parquet(f"{home}/new")
+        merged = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{home}/new")
+        new = [_below(spark, f"{home}/new", r["path"]) for r in merged.select("path").toLocalIterator()]
+        _exchange(spark, path, home, sorted([*(_below(spark, path, f) for f in files), *new]))
+        return len(files)
+    finally:
+        if exists(spark, home) and not exists(spark, f"{home}/journal"):
+            lake.delete(spark, home)
+
+
 def replace_window(spark: SparkSession, path: str, incoming: DataFrame, column: str, start: str, end: str, by: str = "dt") -> list[str]:
     """The rows of a table whose ``column`` lies in [start, end] go, and incoming comes. Only partitions with such rows
     or with new ones are read and written. Returns their folders.

@@ -161,3 +161,42 @@ def test_a_saved_graph_has_both_ends_and_refuses_nameless_vertices(spark, tmp_pa
         graph.save(vertices.withColumn("id", F.lit(None).cast("long")), edges, str(tmp_path / "g"))
     assert graph.violations(vertices.unionByName(vertices.where("id = 1"))).first()["n"] == 2
     assert rolling.LINES == 200_000 and rolling.BYTES == 64 << 20
+
+
+def test_compaction_rewrites_small_files_alone(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    rows = spark.range(6000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"), F.when(F.col("id") < 3000, F.lit("a b")).otherwise("c").alias("p"))
+    rows.where("p = 'a b'").repartition(5).write.partitionBy("p").parquet(path)
+    rows.where("p = 'c'").coalesce(1).write.mode("append").partitionBy("p").parquet(path)
+    large = {f.name for f in (tmp_path / "t" / "p=c").glob("*.parquet")}
+    want = sorted(map(tuple, rows.collect()))
+    got = lambda: sorted(map(tuple, spark.read.parquet(path).select("id", "v", "p").collect()))
+    real, calls = lake._move, []
+
+    def move(fs, source, target):
+        calls.append(1)
+        if len(calls) == 4:
+            raise SystemExit
+        real(fs, source, target)
+
+    monkeypatch.setattr(lake, "_move", move)
+    with pytest.raises(SystemExit):
+        swap.compact(spark, path, 1 << 20, "p")
+    monkeypatch.setattr(lake, "_move", real)
+    assert swap.recover(spark, path) == 1 and got() == want
+    assert swap.compact(spark, path, 1 << 20, "p") == 5 and got() == want
+    assert {f.name for f in (tmp_path / "t" / "p=c").glob("*.parquet")} == large and swap.compact(spark, path, 1 << 20, "p") == 0
+    plain = str(tmp_path / "u")
+    spark.range(100).repartition(4).write.parquet(plain)
+    assert swap.compact(spark, plain) == 4 and spark.read.parquet(plain).count() == 100 and len(list((tmp_path / "u").glob("*.parquet"))) == 1
+
+
+def test_what_crashed_publishes_leave_goes_or_comes_back(spark, tmp_path):
+    path = str(tmp_path / "t")
+    lake.publish(spark.range(5), path)
+    spark.range(3).write.parquet(f"{path}__{'0' * 32}")
+    assert lake.expire(spark, path, 0) == [] and lake.expire(spark, path, 1 << 60) == [f"t__{'0' * 32}"]
+    (tmp_path / "t").rename(tmp_path / f"t__{'1' * 32}")  # a crash between the renames
+    spark.range(9).write.parquet(f"{path}__{'2' * 32}")
+    lake.expire(spark, path, 1 << 60)
+    assert spark.read.parquet(path).count() == 5 and {p.name for p in tmp_path.iterdir()} == {"t"}
