@@ -4,7 +4,7 @@ Every line of every text, and every whole text, is a sparse vector: a word's wei
 the inverse frequency that the word has among all lines of the corpus. Only what depends on the templates leaves the
 executors: the frequencies of their words.
 
-Few units can be like a template at all. Of each template the rarest words are set apart, until the others together are
+Few units can be like a template at all. Of each template heavy, rare words are set apart, until the others together are
 too light: a unit with none of the words set apart cannot reach the threshold, whatever else it holds. Texts that
 hold such a word give their lines and themselves as units, whose cosines are sums of products over joins by word.
 
@@ -63,12 +63,12 @@ class Vectors:
     def needed(self, least: float) -> set[str]:
         """Words of which a unit needs one at least to reach a cosine of ``least`` with any template.
 
-        The rarest words of the corpus come first, so that the frequent ones are those that need not be there.
+        Words that weigh much in a template and are in few lines of the corpus come first, so that few units have one.
         """
         found = set()
         for own, size in self.weights:
             rest = size * size
-            for word, weight in sorted(own.items(), key=lambda x: (-self.idf[x[0]], x[0])):
+            for word, weight in sorted(own.items(), key=lambda x: (-x[1] * x[1] * math.exp(self.idf[x[0]]), x[0])):
                 if math.sqrt(max(rest, 0.0)) < least * size * (1 - 1e-9):
                     break
                 found.add(word)
