@@ -16,3 +16,13 @@ def test_all_edges_and_vertices_are_counted(spark):
     for t in ("part", "supplier", "orders", "lineitem"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     assert sorted(db.execute(SQL["graph_counts_whole"]).fetchall()) == sorted((*k, n) for k, n in got.items())
+
+
+def test_a_circle_goes_on_to_the_movies_of_co_actors(spark):
+    db = duckdb.connect()
+    for t in ("part", "supplier", "orders", "lineitem"):
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
+    own = db.execute(SQL["graph_circle"].split(", m1 AS")[0] + " SELECT count(DISTINCT to_id) FROM a WHERE from_id = 1").fetchone()[0]
+    got = QUERIES["graph_circle_whole"](spark, DATA).first()["movies"]
+    assert got == db.execute(SQL["graph_circle_whole"]).fetchone()[0] == db.execute(SQL["graph_circle"]).fetchone()[0] > own
+    print(own, got)
