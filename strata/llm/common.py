@@ -37,6 +37,14 @@ def tidy(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """df written and its lineage cut; what was shuffled for it is deleted before the next step shuffles."""
+    out = cut(df)
+    del df  # its plan holds on to the shuffles
+    tidy(out.sparkSession)
+    return out
+
+
 def text_of(column: str = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))
