@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import chat, decontamination, exact_dedup, hard_negatives, jaccard, lexical, licences, line_dedup, mixing, pii, quality, sentencepiece, sharding
-from strata.llm.common import table
+from strata.llm.common import cut, table
 from strata.llm.licence_texts import FILED, whole_text
 
 #: Where the public tokenizers' files are.
@@ -31,7 +31,8 @@ def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Every source/lang has a whole licence text in a folder of its own, by its name; ids of these are negative.
     own = F.pmod(F.xxhash64("base"), F.lit(1 << 40))
     texts = F.array(*[F.lit(whole_text(name)) for name in FILED])
-    filed = docs.select("base").distinct().select((-1 - own).alias("doc_id"), F.get(texts, F.pmod(own, F.lit(len(FILED))).cast("int")).alias("text"),
+    # They are cut, as Spark would look for words in the licence of every document.
+    filed = cut(docs.select("base").distinct()).select((-1 - own).alias("doc_id"), F.get(texts, F.pmod(own, F.lit(len(FILED))).cast("int")).alias("text"),
         F.concat_ws("/", "base", F.lit("legal"), F.lit("terms.txt")).alias("path"))
     return licences.scan(docs.drop("base").unionByName(filed), "path")
 

@@ -282,3 +282,15 @@ def test_all_words_have_corpus_frequencies(spark):
     more = [(i + 1000 * k, *rest) for k in range(10) for i, *rest in rows]
     again = {r["doc_id"]: r["own_licence"] for r in licences.scan(spark.createDataFrame(more, SCHEMA), "source").collect()}
     assert all(again[i + 1000 * k] == x for i, x in once.items() for k in range(10))
+
+
+def test_units_unlike_any_licence_go_before_the_corpus_weights_come(spark, monkeypatch):
+    """Words of many licences beside each other are likely at first, but their shares alone tell that no licence is near."""
+    from strata.llm import licence_texts as L
+
+    rows = [(i, f"noninfringement sublicense gnu mozilla perl creative x{i}", "en", "x", "", 0) for i in range(40)] + [(100, L.MIT, "en", "x", "", 0)]
+    joined, join = [], licences.salted_join
+    monkeypatch.setattr(licences, "salted_join", lambda big, small, keys, *rest: (keys == ["term"] and joined.extend(r["id"] for r in big.select("id").distinct().collect()),
+        join(big, small, keys, *rest))[1])
+    found = {r["doc_id"]: r["own_licence"] for r in licences.scan(spark.createDataFrame(rows, SCHEMA), "source").collect()}
+    assert found == {i: None for i in range(40)} | {100: "MIT"} and set(joined) == {100}
