@@ -105,6 +105,14 @@ def move_in(spark: SparkSession, stage: str, path: str, pattern: str = f"*{rolli
     return len(found)
 
 
+def compact(spark: SparkSession, path: str, target_bytes: int = 128 << 20) -> int:
+    """Rewrites a whole table to files of about target_bytes; returns their number. ``swap.compact`` takes small files alone."""
+    fs, where = _fs(spark, path)
+    files = max(1, -(-fs.getContentSummary(where).getLength() // target_bytes))
+    publish(spark.read.parquet(path).repartition(int(files)), path)
+    return int(files)
+
+
 def expire(spark: SparkSession, path: str, older_than_ms: int) -> list[str]:
     """Deletes what crashed publishes have left beside a table (its name and 32 hexadecimal digits), if it has not been
     touched since then. A table that such a crash has moved aside and not replaced is put back instead. Returns the names.
