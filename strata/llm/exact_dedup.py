@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bitmap, cut, free, rows_not_in, salted_join, text_of, with_maybe
+from strata.llm.common import bitmap, free, rows_not_in, salted_join, settled, text_of, with_maybe
 
 
 def sha256_of(text: Column) -> Column:
@@ -41,16 +41,16 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     An empty table gives no rows; other columns are ignored, whatever their names.
     """
     own = digest(normalise(text_of(text_col)))
-    rows = cut(docs.select(F.col(id_col).alias("id"), own.alias("digest")))
+    rows = settled(docs.select(F.col(id_col).alias("id"), own.alias("digest")))
     repeated = bitmap(rows.groupBy("digest").count().where("count > 1"), "digest")
     maybe = with_maybe(docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias(text_col)), repeated, own).where("__maybe")
-    groups = cut(text_groups(maybe, id_col, text_col, salts, normalise, digest).select("digest", "keep_id", "group_size"))
+    groups = settled(text_groups(maybe, id_col, text_col, salts, normalise, digest).select("digest", "keep_id", "group_size"))
     clashing = groups.groupBy("digest").count().where("count > 1").select("digest")
     several = groups.where("group_size > 1")
     if clashing.isEmpty():
         found = salted_join(rows, several, ["digest"], salts=16, spread=["id"])
     else:  # one digest, several texts: these join by their whole text
-        clashing = cut(clashing)
+        clashing = settled(clashing)
         single = several.join(clashing, "digest", "left_anti")
         full = docs.select(F.col(id_col).alias("id"), normalise(text_of(text_col)).alias("text"))
         full = full.withColumn("digest", digest(F.col("text"))).join(clashing, "digest", "left_semi")
@@ -69,7 +69,7 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Only texts that may go, or that repeat under their id, take part in a shuffle. Other columns may have any names.
     """
     found = exact_duplicates(docs, id_col, text_col, salts).select(F.col(id_col).alias("id"), F.col("text_digest").alias("digest"), "kept", "group_size")
-    unsettled = cut(found.where("group_size > 1").groupBy("id", "digest").agg(F.min("kept").alias("kept"),
+    unsettled = settled(found.where("group_size > 1").groupBy("id", "digest").agg(F.min("kept").alias("kept"),
         F.count(F.lit(1)).alias("n")).where("not kept or n > 1"))
     own = {"id": F.col(id_col), "digest": sha256_of(text_of(text_col))}
     maybe, digest = free(docs, "__maybe", "__own")

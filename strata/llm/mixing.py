@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import WORD, cut, text_of
+from strata.llm.common import WORD, settled, text_of
 
 #: Weights of the sources by code point, null last; they repeat.
 WEIGHTS = (5, 2, 1)
@@ -88,7 +88,7 @@ def placed_blocks(meta: DataFrame, shards: int, seed: int, most: int, weights: t
     permuted = Window.partitionBy("src").orderBy(F.xxhash64(F.lit(seed), "src", "blk"), "blk")
     blocks = blocks.withColumns({"rank": F.row_number().over(permuted) - 1,
         "block_end": F.sum("words").over(permuted.rowsBetween(Window.unboundedPreceding, 0)), "n_ranks": F.count(F.lit(1)).over(Window.partitionBy("src"))})
-    blocks = cut(blocks.withColumn("block_start", F.col("block_end") - F.col("words")))
+    blocks = settled(blocks.withColumn("block_start", F.col("block_end") - F.col("words")))
     drawn = sum((F.when(k * F.col("source_size") + F.col("block_start") < F.col("target"), 1).otherwise(0) for k in range(most)), F.lit(0))
     quota = {r["src"]: r["q"] for r in blocks.groupBy("src").agg(F.sum(drawn).alias("q")).collect()}
     bounds = np.cumsum(split_quotas([quota.get(r["source"], 0) for r in seen], shards, seed), axis=0) if seen else np.zeros((shards, 0))
@@ -98,7 +98,7 @@ def placed_blocks(meta: DataFrame, shards: int, seed: int, most: int, weights: t
     shard = lambda k: F.size(F.filter("bounds", lambda b: b <= k * F.col("n_ranks") + F.col("rank")))
     run = lambda k: F.when(k * F.col("source_size") + F.col("block_end") <= F.col("target"),
         1).when(k * F.col("source_size") + F.col("block_start") <= F.col("target"), 2).otherwise(0)
-    return cut(blocks.select("src", "blk", "n_blocks", "source_size", "target", "block_start", F.array(*[shard(k) for k in range(most)]).alias("places"),
+    return settled(blocks.select("src", "blk", "n_blocks", "source_size", "target", "block_start", F.array(*[shard(k) for k in range(most)]).alias("places"),
         F.array(*[run(k) for k in range(most)]).alias("runs")))
 
 
@@ -113,7 +113,7 @@ def mix(docs: DataFrame, shards: int = 64, seed: int = 7, most: int = 3, weights
     carry along, as keep_NAME; other columns are ignored, whatever their names.
     """
     own = keyed(docs, seed, id_col, text_col, source_col)
-    meta = cut(docs.select(*[c.alias(k) for k, c in own.items()]))
+    meta = settled(docs.select(*[c.alias(k) for k, c in own.items()]))
     places = placed_blocks(meta, shards, seed, most, weights, share, docs_per_block)
     rows = docs.select(*[c.alias(k) for k, c in own.items()], *[F.col(c).alias(f"keep_{c}") for c in keep]) if keep else meta
     sources = F.broadcast(places.select(F.col("src").alias("of"), "n_blocks").distinct())

@@ -18,7 +18,7 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD, cut, rows_not_in, salted_join, text_of
+from strata.llm.common import WORD, rows_not_in, salted_join, settled, text_of
 
 SCALE = 256
 #: Least standard deviation of each coordinate, in the units of its transform. More than half of a group may agree
@@ -93,7 +93,7 @@ def levels_of(good: DataFrame, least_rows: int, wider: bool) -> DataFrame:
     Groups of fewer than ``least_rows`` rows are judged by their language, and by all rows if that has too few, too.
     Rows of a group count in a wider one only if that judges some group.
     """
-    groups = cut(good.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("rows")))
+    groups = settled(good.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("rows")))
     langs = groups.groupBy(F.col("lang").alias("l_lang")).agg(F.sum("rows").alias("lang_rows"), F.min("rows").alias("fewest"))
     rows = groups.join(langs, F.col("lang").eqNullSafe(F.col("l_lang")))
     few = langs.where(F.col("lang_rows") < least_rows).limit(1).count() > 0
@@ -103,7 +103,7 @@ def levels_of(good: DataFrame, least_rows: int, wider: bool) -> DataFrame:
     pools = [F.when(own, SOURCE)]
     if wider:
         pools += [F.when(of_lang & (F.col("fewest") < least_rows), LANG), F.lit(ALL if few else None).cast("int")]
-    return cut(rows.select("lang", "source", level.alias("level"), F.array_compact(F.array(*pools)).alias("pools")))
+    return settled(rows.select("lang", "source", level.alias("level"), F.array_compact(F.array(*pools)).alias("pools")))
 
 
 def in_group(rows: DataFrame, level: str) -> DataFrame:
@@ -210,13 +210,13 @@ def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, step
     """
     rows = text_counts(docs, id_col, **columns)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rows = cut(rows.withColumn("base_failed", failed).withColumns(vector()))
+    rows = settled(rows.withColumn("base_failed", failed).withColumns(vector()))
     good = rows.where("not base_failed").select("id", "row_key", "lang", "source", *NAMES)
     levels = levels_of(good, least_rows, wider)
     good = salted_join(good, levels.select("lang", "source", "pools"), ["lang", "source"], salts, ["id", "row_key"], "inner")
-    good = cut(in_group(good.withColumn("pool", F.explode("pools")), "pool").drop("pools", "pool"))
+    good = settled(in_group(good.withColumn("pool", F.explode("pools")), "pool").drop("pools", "pool"))
 
-    groups = cut(good.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("rows"), *[F.percentile(x, 0.5).alias(f"med_{x}") for x in NAMES]))
+    groups = settled(good.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("rows"), *[F.percentile(x, 0.5).alias(f"med_{x}") for x in NAMES]))
     near = lambda table, how="inner": salted_join(good, table, GROUP, salts, ["id", "row_key"], how)
     spread = near(groups).groupBy(*GROUP).agg(*[F.percentile(F.abs(F.col(x) - F.col(f"med_{x}")), 0.5).alias(f"mad_{x}") for x in NAMES])
     spread = spread.select(*[F.col(g).alias(f"g_{g}") for g in GROUP], *[f"mad_{x}" for x in NAMES])
@@ -231,23 +231,23 @@ def quality(docs: DataFrame, id_col: str = "doc_id", support: float = 0.75, step
         some = some.where(F.pmod(F.xxhash64("start", "id", "row_key"), F.col("rows")) < FEW)
         sums = some.groupBy(*GROUP, "start").agg(*[c.alias(k) for k, c in moments().items()])
         est = est.unionByName(estimate(sums, [*GROUP, "start"], minima))
-    est = cut(est)
+    est = settled(est)
     measured = lambda e: squared_distance(near(e)).withColumn("cell", cell(F.col("d2")))
     for _ in range(2 if steps is None else steps):
-        est = cut(concentrated(measured(est), [*GROUP, "start"], support, minima))
-    est = cut(least(est, GROUP, "start"))
+        est = settled(concentrated(measured(est), [*GROUP, "start"], support, minima))
+    est = settled(least(est, GROUP, "start"))
     for _ in range(MOST_STEPS if steps is None else 0):
         after = concentrated(measured(est), GROUP, support, minima).withColumn("step", F.lit(1)).unionByName(est.withColumn("step", F.lit(0)))
         fell = F.min(F.when(F.col("step") == 1, F.col("log_det"))) < F.min(F.when(F.col("step") == 0, F.col("log_det"))) - 1e-9
         best = F.min_by(F.struct(*ESTIMATE, "log_det"), F.when(F.col("step") == 1, F.col("log_det") + 1e-9).otherwise(F.col("log_det"))).alias("best")
-        after = cut(after.groupBy(*GROUP).agg(best, fell.alias("fell")).select(*GROUP, "best.*", "fell"))
+        after = settled(after.groupBy(*GROUP).agg(best, fell.alias("fell")).select(*GROUP, "best.*", "fell"))
         est = after.drop("fell")
         if after.where("fell").isEmpty():
             break
     middle = F.pow(F.lit(2.0), (F.percentile("cell", 0.5) + 0.5) / SCALE) - 1
     middle = measured(est).groupBy(*GROUP).agg(middle.alias("middle"))
     middle = middle.select(*[F.col(g).alias(f"g_{g}") for g in GROUP], "middle")
-    est = cut(est.join(middle, same_group()).drop(*[f"g_{g}" for g in GROUP]))
+    est = settled(est.join(middle, same_group()).drop(*[f"g_{g}" for g in GROUP]))
     p = len(NAMES)
     scaled = F.col("d2") * chi_square_quantile(0.5, p) / F.greatest(F.col("middle"), F.lit(chi_square_quantile(0.5, p)))
     judged = in_group(salted_join(rows, levels.select("lang", "source", F.col("level").alias("by")), ["lang", "source"], salts, ["id", "row_key"]), "by")
@@ -264,5 +264,5 @@ STRICT = {"minima": MINIMA, "steps": None, "tail": FALSE_REJECTIONS, "wider": Tr
 def keep_good(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` that quality() keeps, under its rules. Only rows that may go take part in a shuffle."""
     text, lang, source = (options.get(k, k.removesuffix("_col")) for k in ("text_col", "lang_col", "source_col"))
-    rejected = cut(quality(docs, id_col, **options).where("not kept").select(F.col(id_col).alias("id"), "row_key").distinct())
+    rejected = settled(quality(docs, id_col, **options).where("not kept").select(F.col(id_col).alias("id"), "row_key").distinct())
     return rows_not_in(docs, rejected, {"id": F.col(id_col), "row_key": F.xxhash64(F.col(id_col), text_of(text), F.col(lang), F.col(source))})

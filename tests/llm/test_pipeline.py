@@ -89,3 +89,15 @@ def test_stages_take_nulls_repeats_and_other_columns(spark):
             assert len(got) == len(rows) and all(r["lossless"] for r in got)
         if name != "SentencePiece encoding":
             assert out.columns == corpus_pipeline.COLUMNS + (["mix_shard", "mix_place", "mix_copy"] if name == "mixing" else [])
+
+
+def test_steps_release_what_they_shuffled(spark, monkeypatch):
+    """The driver is told to let go of each step's plans and shuffles, in the stages that once did so only at the end."""
+    from strata.llm import common
+
+    calls = []
+    monkeypatch.setattr(common, "tidy", lambda spark: calls.append(1))
+    docs = spark.createDataFrame([(i, f"word{i % 3} of a text", "en", "web", 16) for i in range(6)], "doc_id long, text string, lang string, source string, n_chars long")
+    for stage in (corpus_pipeline.exact_duplicates, corpus_pipeline.mixture):
+        calls.clear()
+        assert stage(spark, docs, "").count() > 0 and len(calls) >= 3
