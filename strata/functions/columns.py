@@ -185,10 +185,11 @@ def mask_header(name: Column, value: Column) -> Column:
     return F.when(F.lower(name).isin(SECRET_HEADERS) & value.isNotNull(), F.lit("****")).otherwise(value)
 
 
-def readable_size(n: Column) -> Column:
-    """B, KiB, MiB, GiB, TiB with two decimals."""
+def readable_size(n: Column, largest: str = "TiB") -> Column:
+    """B, KiB, MiB, GiB, TiB with two decimals; ``largest`` is the last of these units that is used."""
     out = F.format_string("%.2f B", n.cast("double"))
-    for k, unit in enumerate(("KiB", "MiB", "GiB", "TiB"), start=1):
+    units = ["KiB", "MiB", "GiB", "TiB"]
+    for k, unit in enumerate(units[: units.index(largest) + 1], start=1):
         out = F.when(n >= 1024**k, F.format_string(f"%.2f {unit}", n / float(1024**k))).otherwise(out)
     return out
 
