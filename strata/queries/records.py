@@ -102,8 +102,12 @@ def raw_persons(t) -> DataFrame:
 
 
 def model(t) -> dict[str, DataFrame]:
-    m, v = movies(t), tv(t)
-    out = {"dim_movie": dwd.dim_movie(m, DT), "dim_person": dwd.dim_person(dwd.parsed(raw_persons(t), schemas.PERSON), DT),
+    return modelled(movies(t), tv(t), dwd.parsed(raw_persons(t), schemas.PERSON))
+
+
+def modelled(m: DataFrame, v: DataFrame, persons: DataFrame) -> dict[str, DataFrame]:
+    """The tables of parsed movies, tv and persons."""
+    out = {"dim_movie": dwd.dim_movie(m, DT), "dim_person": dwd.dim_person(persons, DT),
         "dim_company": dwd.dim_company(m, DT), "dim_genre": dwd.dim_genre(m, v, DT), "dim_keyword": dwd.dim_keyword(m, DT, v),
         "fact_movie_credit": dwd.fact_credit(m, DT)}
     return out | dwd.bridges(m, v, DT)

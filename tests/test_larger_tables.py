@@ -1,9 +1,12 @@
 """Queries on tables that are larger than the driver's, in keys or in rows, against their SQL."""
 
 import duckdb
+from pyspark.sql import functions as F
 
 import __spark_entry__
-from tests.test_oracle import rows_of
+from strata.queries import records
+from strata.sources import upserts
+from tests.test_oracle import DATA, rows_of
 
 
 def compare(spark, name, folder):
@@ -21,3 +24,35 @@ def test_sizes_of_large_keys(spark, tmp_path):
     keys = [0, 31, 32, 1023, 1024, 32767, 32768, 1048575, 1048576, 1558745, 8999999, 94906265]
     spark.createDataFrame([(k,) for k in keys], "o_orderkey long").write.parquet(str(tmp_path / "orders.parquet"))
     compare(spark, "function_readable_sizes", tmp_path)
+
+
+def counting(spark, rows):
+    """rows, and how many of them tasks have made so far."""
+    made = spark.sparkContext.accumulator(0)
+
+    def told(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    return rows.mapInArrow(told, rows.schema), made
+
+
+def test_an_upsert_makes_its_rows_once(spark, tmp_path):
+    rows, made = counting(spark, spark.range(100).select("id", (F.col("id") % 7).alias("v")))
+    upserts.create(rows, str(tmp_path / "t"), ["id"], 4)
+    assert made.value == 100 and upserts.upsert(rows, str(tmp_path / "t")) == [] and made.value == 200
+    assert upserts.read(spark, str(tmp_path / "t")).count() == 100
+
+
+def test_a_graph_of_two_loads_parses_its_records_once(spark, monkeypatch):
+    real, told = records.raw_movies, []
+
+    def raw_movies(t):
+        rows, made = counting(spark, real(t))
+        told.append(made)
+        return rows
+
+    monkeypatch.setattr(records, "raw_movies", raw_movies)
+    assert __spark_entry__.queries()["graph_saved"](spark, DATA).count() > 0
+    assert [made.value for made in told] == [spark.read.parquet(f"{DATA}/part.parquet").count()]
