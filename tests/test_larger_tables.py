@@ -1,11 +1,14 @@
 """Queries on tables that are larger than the driver's, in keys or in rows, against their SQL."""
 
+import json
+
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from strata.queries import records
-from strata.sources import upserts
+from strata.queries import records, writes
+from strata.sources import pages, upserts
 from tests.test_oracle import DATA, rows_of
 
 
@@ -56,3 +59,45 @@ def test_a_graph_of_two_loads_parses_its_records_once(spark, monkeypatch):
     monkeypatch.setattr(records, "raw_movies", raw_movies)
     assert __spark_entry__.queries()["graph_saved"](spark, DATA).count() > 0
     assert [made.value for made in told] == [spark.read.parquet(f"{DATA}/part.parquet").count()]
+
+
+def block(folder, first, rows):
+    (folder / f"pages={first}").mkdir(parents=True)
+    (folder / f"pages={first}" / "part-0.txt").write_text("\n".join(map(json.dumps, rows)) + "\n")
+
+
+def test_pages_in_blocks(spark, tmp_path):
+    said = lambda *ks: [{"page": k, "total_pages": 5, "results": [{"id": k, "title": "a\u2028b\r"}]} for k in ks]
+    block(tmp_path / "poll=1" / "list=x", 1, said(1, 2, 3))
+    block(tmp_path / "poll=1" / "list=x", 4, said(4, 5, 6))
+    spark.dataSource.register(pages.ListPages)
+    rows = spark.read.format("list_pages").options(path=str(tmp_path), pages_a_task=2).load()
+    assert sorted(map(tuple, rows.collect())) == [(1, "x", r["page"], json.dumps(r["results"])) for r in said(1, 2, 3, 4, 5)]
+    for poll, some in ((2, (1, 3, 4, 5)), (3, (1, 2, 3, 4))):
+        block(tmp_path / f"poll={poll}" / "list=y", 1, said(*some))
+        run = pages.planned(str(tmp_path), [poll], 9)
+        with pytest.raises(OSError, match="page 2" if poll == 2 else "page 5"):
+            list(pages._read(*run))
+
+
+def test_long_lists_are_read_by_a_bounded_number_of_tasks(tmp_path):
+    for name, total in (("long", 200_000), ("short", 3)):
+        block(tmp_path / "poll=0" / f"list={name}", 1, [{"page": 1, "total_pages": total, "results": []}])
+    runs = pages.planned(str(tmp_path), [0], 2)
+    assert len(runs) <= pages.MANY_TASKS + 2
+    for name, total in (("long", 200_000), ("short", 3)):
+        assert [k for r in runs if r.name == name for k in range(r.first, r.last + 1)] == list(range(1, total + 1))
+
+
+def long_lists(spark, folder):
+    """Lists of 2,143 and 143 pages."""
+    rows = spark.range(16_000).select(F.col("id").alias("p_partkey"), F.when(F.col("id") % 16 == 3, "Brand#1").otherwise("Brand#2").alias("p_brand"),
+        F.concat(F.lit("name "), F.col("id") % 11).alias("p_name"))
+    rows.write.parquet(str(folder / "part.parquet"))
+
+
+def test_a_long_list_lies_in_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writes, "scratch", lambda spark, name: str(tmp_path / name))
+    long_lists(spark, tmp_path / "data")
+    compare(spark, "ingest_list_ranks", tmp_path / "data")
+    assert len(list((tmp_path / "polls").rglob("*.txt"))) == 4
