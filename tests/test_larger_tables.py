@@ -101,3 +101,10 @@ def test_a_long_list_lies_in_few_files(spark, tmp_path, monkeypatch):
     long_lists(spark, tmp_path / "data")
     compare(spark, "ingest_list_ranks", tmp_path / "data")
     assert len(list((tmp_path / "polls").rglob("*.txt"))) == 4
+
+
+def test_a_stream_of_long_lists_lies_in_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writes, "scratch", lambda spark, name: str(tmp_path / name))
+    long_lists(spark, tmp_path / "data")
+    compare(spark, "stream_list_ranks", tmp_path / "data")
+    assert len(list((tmp_path / "polls" / "pages").rglob("*.txt"))) == 6
