@@ -88,10 +88,13 @@ def sink_swap_partitions(spark, t) -> DataFrame:
 @query(R.GRAPH_EDGES + " SELECT from_id, to_id, type, 2 AS loads FROM e")
 def graph_saved(spark, t) -> DataFrame:
     """A graph saved in two overlapping loads, vertices before edges; keywords are left out as in ``graph_edges_of_tables``."""
-    # Records are parsed once, by all cores however few files part has (kept, as Spark would parse before it deals rows out), and both loads take one graph.
-    part = t.part.repartition("p_partkey").persist()
-    m = R.movies(SimpleNamespace(part=part)).drop("payload").persist()
-    vertices, edges = graph.from_tables(R.modelled(m, R.tv(t), dwd.parsed(R.raw_persons(t), schemas.PERSON)))
+    # Records are parsed once, by all cores however few files the tables have, and both loads take one graph. What is kept is kept
+    # before filters: Spark would parse for a filter before it deals rows out, and again for what the filter leaves.
+    part, customer = t.part.repartition("p_partkey").persist(), t.customer.repartition("c_custkey").persist()
+    dealt = SimpleNamespace(part=part, customer=customer)
+    records = R.raw_movies(dealt).select("ingest_time", F.from_json("payload", schemas.MOVIE).alias("p")).persist()
+    movies, persons = records.where("p.id is not null"), dwd.parsed(R.raw_persons(dealt), schemas.PERSON)
+    vertices, edges = graph.from_tables(R.modelled(movies, R.tv(t), persons))
     vertices, edges = vertices.persist(), edges.where("type <> 'HAS_KEYWORD'").persist()
     path, loads = scratch(spark, "graph"), 0
     try:
@@ -99,7 +102,7 @@ def graph_saved(spark, t) -> DataFrame:
             graph.save(vertices, edges.where(some), path, buckets=4)
             loads += 1
     finally:
-        for rows in (edges, vertices, m, part):
+        for rows in (edges, vertices, records, part, customer):
             rows.unpersist()
     return graph.load(spark, path)[1].select("from_id", "to_id", "type", F.lit(loads).alias("loads"))
 

@@ -62,18 +62,21 @@ def upsert(incoming: DataFrame, path: str, version: str | None = None) -> list[s
     said = lake.load_state(spark, f"{path}/_table")
     keys, place = said["keys"], bucket_of(said["keys"], said["buckets"])
     swap.recover(spark, path)
-    table = _bucketed(spark, path, said)
+    table, folders = _bucketed(spark, path, said), set(swap.partitions(spark, path, BUCKET))
     # They are made once and asked for three times.
     rows = last_versions(incoming.select(*[c for c in table.columns if c != BUCKET]), keys, [F.col(version)] if version else []).withColumn(BUCKET, place).persist()
     try:
         # Buckets in which some key is new or has other values: what incoming has, without what is there just so.
         touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # a number per bucket
-        old = table.where(F.col(BUCKET).isin(touched))
-        changed = [r[0] for r in rows.exceptAll(old).select(BUCKET).distinct().collect()]
+        there = [b for b in touched if swap.folder_of(spark, BUCKET, str(b)) in folders]
+        old = table.where(F.col(BUCKET).isin(there))
+        changed = [b for b in touched if b not in there]  # buckets that have no rows yet
+        if there:
+            changed += [r[0] for r in rows.where(F.col(BUCKET).isin(there)).exceptAll(old).select(BUCKET).distinct().collect()]
         if not changed:
             return []
         within = F.col(BUCKET).isin(changed)
-        new = merged(old.where(within), rows.where(within), keys, version)
+        new = merged(old.where(within), rows.where(within), keys, version) if there else rows
         return swap.replace_partitions(new.repartition(len(changed), BUCKET), path, BUCKET)
     finally:
         rows.unpersist()

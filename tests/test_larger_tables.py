@@ -108,3 +108,14 @@ def test_a_stream_of_long_lists_lies_in_few_files(spark, tmp_path, monkeypatch):
     long_lists(spark, tmp_path / "data")
     compare(spark, "stream_list_ranks", tmp_path / "data")
     assert len(list((tmp_path / "polls" / "pages").rglob("*.txt"))) == 6
+
+
+def test_buckets_that_are_new_and_buckets_that_change(spark, tmp_path):
+    path, want = str(tmp_path / "t"), {}
+    upserts.create(spark.createDataFrame([], "id long, v long, n long"), path, ["id"], 8)
+    for rows in ([(1, 1, 1)], [(1, 2, 2), (2, 1, 1), (2, 5, 3)], [(k, k, 2) for k in range(60)], [(k, 0, 1) for k in range(50, 70)], [(k, 9, 9) for k in range(3)]):
+        for k, v, n in rows:
+            want[k] = (n, v) if n >= want.get(k, (0, 0))[0] else want[k]
+        df = spark.createDataFrame(rows, "id long, v long, n long")
+        assert upserts.upsert(df, path, "n")
+        assert {r["id"]: (r["n"], r["v"]) for r in upserts.read(spark, path).collect()} == want
